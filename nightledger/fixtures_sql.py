@@ -156,3 +156,110 @@ def enriched_ctes(compress_time: bool = False) -> dict[str, str]:
     c = base_ctes(compress_time)
     c["enriched"] = ENRICHED
     return c
+
+
+# Snapshot pairs (prev = stored, curr = today's staging) ----------------------------
+# Per dimension: {attr: (side, k%10 values, SQL expression of the attribute)}.
+_CHANGES = {
+    "terminals": [
+        ("curr", "terminal_city", (3,), "'MOVED_' || terminal_city"),
+        ("prev", "terminal_address", (4,), "CAST(NULL AS VARCHAR)"),
+        ("curr", "terminal_address", (5,), "CAST(NULL AS VARCHAR)"),
+    ],
+    "clients": [
+        ("curr", "last_name", (3,), "'X_' || last_name"),
+        ("prev", "phone", (4,), "CAST(NULL AS VARCHAR)"),
+        ("curr", "phone", (5,), "CAST(NULL AS VARCHAR)"),
+        ("curr", "passport_valid_to", (6,), "CAST(passport_valid_to + 365 AS DATE)"),
+    ],
+    "accounts": [
+        ("curr", "valid_to", (3, 5), "CAST(valid_to + 30 AS DATE)"),
+        ("curr", "client", (4, 5), "'C0'"),
+        ("prev", "valid_to", (6,), "CAST(NULL AS DATE)"),
+    ],
+    "cards": [
+        ("curr", "account_num", (3,), "'A0'"),
+        ("prev", "account_num", (4,), "CAST(NULL AS VARCHAR)"),
+        ("curr", "account_num", (5,), "CAST(NULL AS VARCHAR)"),
+    ],
+}
+_OLD_VERSION = {
+    "terminals": ("terminal_city", "'OLD_' || terminal_city"),
+    "clients": ("last_name", "'OLD_' || last_name"),
+    "accounts": ("client", "'OLD'"),
+    "cards": ("account_num", "'OLD'"),
+}
+
+
+def _side(dim: str, side: str) -> str:
+    key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
+    cols = []
+    for a in attrs:
+        expr = a
+        for s, attr, ks, e in _CHANGES[dim]:
+            if s == side and attr == a:
+                expr = f"CASE WHEN _k % 10 IN ({', '.join(map(str, ks))}) THEN {e} ELSE {expr} END"
+        cols.append(f"{expr} AS {a}")
+    drop = 9 if side == "prev" else 8
+    return f"SELECT _k, {key}, {', '.join(cols)} FROM {dim}_k WHERE _k % 10 <> {drop}"
+
+
+def scd_ctes(dim: str) -> dict[str, str]:
+    """CTEs ``prev``, ``curr``, ``dim`` (stored SCD1 table) and ``hist``
+    (stored SCD2 table) for one dimension."""
+    key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
+    c = base_ctes()
+    alist = ", ".join(attrs)
+    old_col, old_expr = _OLD_VERSION[dim]
+    old_attrs = ", ".join(f"{old_expr} AS {a}" if a == old_col else a for a in attrs)
+    c["prev"] = _side(dim, "prev")
+    c["curr"] = _side(dim, "curr")
+    c["dim"] = (f"SELECT {key}, {alist}, {DAY0_TS} AS create_dt, "
+                f"CAST(NULL AS TIMESTAMP) AS update_dt FROM prev")
+    c["hist"] = (f"SELECT {key}, {alist}, {DAY0_TS} AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, "
+                 f"false AS deleted FROM prev UNION ALL "
+                 f"SELECT {key}, {old_attrs}, {OLD_FROM} AS effective_from, {DAY0_TS} AS effective_to, "
+                 f"false AS deleted FROM prev WHERE _k % 10 IN (7, 8)")
+    return c
+
+
+def _changed(attrs: list[str], a: str, b: str, all_: bool = False) -> str:
+    j = " AND " if all_ else " OR "
+    return "(" + j.join(f"{a}.{x} IS DISTINCT FROM {b}.{x}" for x in attrs) + ")"
+
+
+def scd1_sql(dim: str, what: str, all_changed: bool = False) -> str:
+    key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
+    ch = _changed(attrs, "c", "d", all_changed)
+    c_attrs = ", ".join(f"c.{a}" for a in attrs)
+    d_attrs = ", ".join(f"d.{a}" for a in attrs)
+    ins = (f"SELECT c.{key}, {c_attrs}, {BATCH_TS} AS create_dt, CAST(NULL AS TIMESTAMP) AS update_dt "
+           f"FROM curr c LEFT JOIN dim d ON c.{key} = d.{key} WHERE d.{key} IS NULL")
+    upd = (f"SELECT c.{key}, {c_attrs}, d.create_dt, {BATCH_TS} AS update_dt "
+           f"FROM curr c JOIN dim d ON c.{key} = d.{key} WHERE {ch}")
+    same = (f"SELECT d.{key}, {d_attrs}, d.create_dt, d.update_dt "
+            f"FROM curr c JOIN dim d ON c.{key} = d.{key} WHERE NOT {ch}")
+    dele = f"SELECT d.* FROM dim d LEFT JOIN curr c ON c.{key} = d.{key} WHERE c.{key} IS NULL"
+    body = {"insert": ins, "update": upd, "delete": dele,
+            "apply": f"{ins} UNION ALL {upd} UNION ALL {same}"}[what]
+    return with_ctes(scd_ctes(dim), body)
+
+
+def scd2_sql(dim: str, what: str) -> str:
+    key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
+    ch = _changed(attrs, "c", "h")
+    c_attrs = ", ".join(f"c.{a}" for a in attrs)
+    h_attrs = ", ".join(f"h.{a}" for a in attrs)
+    ins = (f"SELECT c.{key}, {c_attrs}, {BATCH_TS} AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, "
+           f"false AS deleted FROM curr c WHERE c.{key} NOT IN (SELECT {key} FROM hist)")
+    close = (f"SELECT h.{key}, {h_attrs}, h.effective_from, {BATCH_TS} AS effective_to, h.deleted "
+             f"FROM hist h JOIN curr c ON c.{key} = h.{key} WHERE h.effective_to IS NULL AND {ch}")
+    opn = (f"SELECT c.{key}, {c_attrs}, {BATCH_TS} AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, "
+           f"false AS deleted FROM hist h JOIN curr c ON c.{key} = h.{key} WHERE h.effective_to IS NULL AND {ch}")
+    dele = (f"SELECT h.{key}, {h_attrs}, h.effective_from, h.effective_to, true AS deleted "
+            f"FROM hist h WHERE h.{key} NOT IN (SELECT {key} FROM curr)")
+    keep = (f"SELECT h.{key}, {h_attrs}, h.effective_from, h.effective_to, h.deleted "
+            f"FROM hist h JOIN curr c ON c.{key} = h.{key} WHERE NOT (h.effective_to IS NULL AND {ch})")
+    body = {"insert": ins, "close": close, "open": opn, "mark_deleted": dele,
+            "apply": " UNION ALL ".join([ins, close, opn, dele, keep])}[what]
+    return with_ctes(scd_ctes(dim), body)

@@ -103,3 +103,46 @@ def q_fraud_amount_probe_elapsed(spark, sf_dir):
     f"SELECT * FROM ({q})" for q in (fq.F1, fq.F2, fq.F3, fq.f4()))))
 def q_fraud_report(spark, sf_dir):
     return rules.fraud_report(enriched(spark, sf_dir, with_blacklist=True), fx.REPORT_DT)
+
+
+# D1-D7 ----------------------------------------------------------------------------------
+from .. import schemas as sch  # noqa: E402
+from ..operators import scd  # noqa: E402
+
+
+def _scd1_query(dim: str, what: str, change: str = "any") -> QueryFn:
+    key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
+
+    def q(spark, sf_dir):
+        stored = fx.stored_dimension(spark, sf_dir, dim)
+        snap = fx.todays_snapshot(spark, sf_dir, dim)
+        if what == "insert":
+            return scd.scd1_insert(stored, snap, key, attrs, fx.BATCH_TS)
+        if what == "update":
+            return scd.scd1_update(stored, snap, key, attrs, fx.BATCH_TS, change)
+        if what == "delete":
+            return scd.scd1_delete(stored, snap, key, attrs)
+        return scd.scd1_apply(stored, snap, key, attrs, fx.BATCH_TS, change)
+    q.__name__ = f"scd1_{what}_{dim}"
+    return q
+
+
+def _scd2_query(dim: str, what: str) -> QueryFn:
+    key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
+    op = {"insert": scd.scd2_insert, "close": scd.scd2_close, "open": scd.scd2_open,
+          "mark_deleted": scd.scd2_mark_deleted, "apply": scd.scd2_apply}[what]
+
+    def q(spark, sf_dir):
+        return op(fx.stored_history(spark, sf_dir, dim), fx.todays_snapshot(spark, sf_dir, dim),
+                  key, attrs, fx.BATCH_TS)
+    q.__name__ = f"scd2_{what}_{dim}"
+    return q
+
+
+for _dim in sch.DIMENSIONS:
+    for _what in ("insert", "update", "delete", "apply"):
+        register(f"scd1_{_what}_{_dim}", fq.scd1_sql(_dim, _what))(_scd1_query(_dim, _what))
+    for _what in ("insert", "close", "open", "mark_deleted", "apply"):
+        register(f"scd2_{_what}_{_dim}", fq.scd2_sql(_dim, _what))(_scd2_query(_dim, _what))
+register("scd1_update_accounts_allchanged", fq.scd1_sql("accounts", "update", all_changed=True))(
+    _scd1_query("accounts", "update", change="all"))
