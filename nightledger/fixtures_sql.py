@@ -204,22 +204,23 @@ def _side(dim: str, side: str) -> str:
     return f"SELECT _k, {key}, {', '.join(cols)} FROM {dim}_k WHERE _k % 10 <> {drop}"
 
 
-def scd_ctes(dim: str) -> dict[str, str]:
+def scd_ctes(dim: str, p: str = "", base: bool = True) -> dict[str, str]:
     """CTEs ``prev``, ``curr``, ``dim`` (stored SCD1 table) and ``hist``
-    (stored SCD2 table) for one dimension."""
+    (stored SCD2 table) for one dimension, names prefixed with ``p``."""
     key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
-    c = base_ctes()
+    c = base_ctes() if base else {}
     alist = ", ".join(attrs)
     old_col, old_expr = _OLD_VERSION[dim]
     old_attrs = ", ".join(f"{old_expr} AS {a}" if a == old_col else a for a in attrs)
-    c["prev"] = _side(dim, "prev")
-    c["curr"] = _side(dim, "curr")
-    c["dim"] = (f"SELECT {key}, {alist}, {DAY0_TS} AS create_dt, "
-                f"CAST(NULL AS TIMESTAMP) AS update_dt FROM prev")
-    c["hist"] = (f"SELECT {key}, {alist}, {DAY0_TS} AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, "
-                 f"false AS deleted FROM prev UNION ALL "
-                 f"SELECT {key}, {old_attrs}, {OLD_FROM} AS effective_from, {DAY0_TS} AS effective_to, "
-                 f"false AS deleted FROM prev WHERE _k % 10 IN (7, 8)")
+    c[f"{p}prev"] = _side(dim, "prev")
+    c[f"{p}curr"] = _side(dim, "curr")
+    c[f"{p}dim"] = (f"SELECT {key}, {alist}, {DAY0_TS} AS create_dt, "
+                    f"CAST(NULL AS TIMESTAMP) AS update_dt FROM {p}prev")
+    c[f"{p}hist"] = (
+        f"SELECT {key}, {alist}, {DAY0_TS} AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, "
+        f"false AS deleted FROM {p}prev UNION ALL "
+        f"SELECT {key}, {old_attrs}, {OLD_FROM} AS effective_from, {DAY0_TS} AS effective_to, "
+        f"false AS deleted FROM {p}prev WHERE _k % 10 IN (7, 8)")
     return c
 
 
@@ -228,21 +229,25 @@ def _changed(attrs: list[str], a: str, b: str, all_: bool = False) -> str:
     return "(" + j.join(f"{a}.{x} IS DISTINCT FROM {b}.{x}" for x in attrs) + ")"
 
 
-def scd1_sql(dim: str, what: str, all_changed: bool = False) -> str:
+def scd1_body(dim: str, what: str, all_changed: bool = False, p: str = "") -> str:
     key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
     ch = _changed(attrs, "c", "d", all_changed)
     c_attrs = ", ".join(f"c.{a}" for a in attrs)
     d_attrs = ", ".join(f"d.{a}" for a in attrs)
+    curr, dim_ = f"{p}curr", f"{p}dim"
     ins = (f"SELECT c.{key}, {c_attrs}, {BATCH_TS} AS create_dt, CAST(NULL AS TIMESTAMP) AS update_dt "
-           f"FROM curr c LEFT JOIN dim d ON c.{key} = d.{key} WHERE d.{key} IS NULL")
+           f"FROM {curr} c LEFT JOIN {dim_} d ON c.{key} = d.{key} WHERE d.{key} IS NULL")
     upd = (f"SELECT c.{key}, {c_attrs}, d.create_dt, {BATCH_TS} AS update_dt "
-           f"FROM curr c JOIN dim d ON c.{key} = d.{key} WHERE {ch}")
+           f"FROM {curr} c JOIN {dim_} d ON c.{key} = d.{key} WHERE {ch}")
     same = (f"SELECT d.{key}, {d_attrs}, d.create_dt, d.update_dt "
-            f"FROM curr c JOIN dim d ON c.{key} = d.{key} WHERE NOT {ch}")
-    dele = f"SELECT d.* FROM dim d LEFT JOIN curr c ON c.{key} = d.{key} WHERE c.{key} IS NULL"
-    body = {"insert": ins, "update": upd, "delete": dele,
+            f"FROM {curr} c JOIN {dim_} d ON c.{key} = d.{key} WHERE NOT {ch}")
+    dele = f"SELECT d.* FROM {dim_} d LEFT JOIN {curr} c ON c.{key} = d.{key} WHERE c.{key} IS NULL"
+    return {"insert": ins, "update": upd, "delete": dele,
             "apply": f"{ins} UNION ALL {upd} UNION ALL {same}"}[what]
-    return with_ctes(scd_ctes(dim), body)
+
+
+def scd1_sql(dim: str, what: str, all_changed: bool = False) -> str:
+    return with_ctes(scd_ctes(dim), scd1_body(dim, what, all_changed))
 
 
 def scd2_sql(dim: str, what: str) -> str:
@@ -263,3 +268,100 @@ def scd2_sql(dim: str, what: str) -> str:
     body = {"insert": ins, "close": close, "open": opn, "mark_deleted": dele,
             "apply": " UNION ALL ".join([ins, close, opn, dele, keep])}[what]
     return with_ctes(scd_ctes(dim), body)
+
+
+def all_dims_ctes() -> dict[str, str]:
+    """Base CTEs plus prefixed snapshot CTEs of all four dimensions
+    (``terminals_curr``, ``clients_dim`` ...)."""
+    c = base_ctes()
+    for d in sch.DIMENSIONS:
+        c.update(scd_ctes(d, p=f"{d}_", base=False))
+    return c
+
+
+# Staging, facts, metadata, control, quality ---------------------------------------
+STAGE = {
+    "stage_transactions": "SELECT trans_id, date_trunc('second', trans_date) AS trans_date, card_num, "
+                          "oper_type, amt, oper_result, terminal FROM transactions",
+    "stage_terminals": "SELECT * FROM terminals",
+    "stage_blacklist": "SELECT * FROM blacklist",
+    "stage_clients": "SELECT * FROM clients",
+    "stage_accounts": "SELECT * FROM accounts",
+    "stage_cards": "SELECT * FROM cards",
+}
+
+FACT_TRANSACTIONS_APPEND = """SELECT i.* FROM transactions i
+LEFT JOIN (SELECT trans_id FROM transactions WHERE CAST(trans_id AS BIGINT) % 10 <> 9) s
+  ON i.trans_id = s.trans_id WHERE s.trans_id IS NULL"""
+
+FACT_BLACKLIST_APPEND = """SELECT i.passport_num, i.entry_dt FROM (
+  SELECT 'P' || c_custkey AS passport_num, TIMESTAMP '2024-02-01 00:00:00' AS entry_dt
+  FROM customer WHERE c_custkey % 17 = 3
+  UNION ALL
+  SELECT 'P' || c_custkey, TIMESTAMP '2024-02-01 00:00:00'
+  FROM customer WHERE c_custkey % 17 = 3 AND c_custkey % 5 = 0) i
+LEFT JOIN (SELECT 'P' || c_custkey AS passport_num FROM customer
+           WHERE c_custkey % 17 = 3 AND c_custkey % 3 = 0) s
+  ON i.passport_num = s.passport_num WHERE s.passport_num IS NULL"""
+
+
+def _meta_seed() -> str:
+    rows = ", ".join(f"('{sch.META_SCHEMA_NAME}', '{t}', TIMESTAMP '{sch.META_SEED_TS}')"
+                     for t in sch.META_TABLES)
+    return f"SELECT * FROM (VALUES {rows}) AS m(schema_name, table_name, max_update_dt)"
+
+
+def _high_water() -> str:
+    marks = " UNION ALL ".join(
+        f"SELECT '{sch.DIM_TABLES[d]}' AS table_name, max(update_dt) AS mark "
+        f"FROM ({scd1_body(d, 'apply', p=f'{d}_')})" for d in sch.DIMENSIONS)
+    return (f"SELECT m.schema_name, m.table_name, coalesce(w.mark, m.max_update_dt) AS max_update_dt "
+            f"FROM ({_meta_seed()}) m LEFT JOIN ({marks}) w ON m.table_name = w.table_name")
+
+
+def meta_sql(stamp: bool) -> str:
+    body = _high_water()
+    if stamp:
+        stamped = ", ".join(f"'{t}'" for t in sch.FACT_TABLES + list(sch.HIST_TABLES.values()))
+        body = (f"SELECT schema_name, table_name, CASE WHEN table_name IN ({stamped}) "
+                f"THEN {BATCH_TS} ELSE max_update_dt END AS max_update_dt FROM ({body})")
+    return with_ctes(all_dims_ctes(), body)
+
+
+NEXT_BATCH_DATE = """SELECT DISTINCT strftime(CAST(ts AS DATE), '%d%m%Y') AS dt,
+       strftime(CAST(ts AS DATE) + 1, '%d%m%Y') AS next_dt FROM events"""
+
+_PKS = {"clients": "client_id", "accounts": "account_num", "cards": "card_num",
+        "terminals": "terminal_id", "transactions": "trans_id"}
+
+DQ_DUPLICATE_KEYS = " UNION ALL ".join(
+    [f"SELECT '{t}' AS table_name, CAST({k} AS VARCHAR) AS key_value, count(*) AS n_rows "
+     f"FROM {t} GROUP BY {k} HAVING count(*) > 1" for t, k in _PKS.items()]
+    + ["SELECT 'lineitem' AS table_name, CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) "
+       "AS key_value, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"])
+
+DQ_NULL_KEYS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) FILTER (WHERE {k} IS NULL) AS n_null_keys "
+    f"FROM {t}" for t, k in _PKS.items())
+
+
+def _curr(d: str) -> str:
+    return f"(SELECT * EXCLUDE (_k) FROM {d}_curr)"
+
+
+DQ_ORPHANS = " UNION ALL ".join([
+    f"SELECT 'accounts.client->clients' AS relation, a.account_num AS child_key, a.client AS fk_value "
+    f"FROM {_curr('accounts')} a WHERE a.client IS NOT NULL AND a.client NOT IN (SELECT client_id FROM {_curr('clients')})",
+    f"SELECT 'cards.account_num->accounts', c.card_num, c.account_num "
+    f"FROM {_curr('cards')} c WHERE c.account_num IS NOT NULL AND c.account_num NOT IN (SELECT account_num FROM {_curr('accounts')})",
+    f"SELECT 'transactions.card_num->cards', t.trans_id, t.card_num "
+    f"FROM transactions t WHERE t.card_num IS NOT NULL AND t.card_num NOT IN (SELECT card_num FROM {_curr('cards')})",
+    f"SELECT 'transactions.terminal->terminals', t.trans_id, t.terminal "
+    f"FROM transactions t WHERE t.terminal IS NOT NULL AND t.terminal NOT IN (SELECT terminal_id FROM {_curr('terminals')})",
+])
+
+DQ_BAD_AMOUNTS = """SELECT 'transactions' AS table_name, count(*) AS n_rows,
+  count(*) FILTER (WHERE amount IS NULL) AS n_null_amounts,
+  count(*) FILTER (WHERE amount IS NOT NULL AND TRY_CAST(replace(trim(amount), ',', '.') AS DECIMAL(18,2)) IS NULL)
+    AS n_bad_amounts
+FROM (SELECT replace(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS amount FROM events)"""

@@ -146,3 +146,120 @@ for _dim in sch.DIMENSIONS:
         register(f"scd2_{_what}_{_dim}", fq.scd2_sql(_dim, _what))(_scd2_query(_dim, _what))
 register("scd1_update_accounts_allchanged", fq.scd1_sql("accounts", "update", all_changed=True))(
     _scd1_query("accounts", "update", change="all"))
+
+
+# Staging --------------------------------------------------------------------------
+from ..operators import facts, meta, quality  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import control, files, tables  # noqa: E402
+
+_BASE = fq.base_ctes()
+
+
+def drop_file(spark: SparkSession, df: DataFrame, name: str, sep: str = ";") -> str:
+    """Write ``df`` as a header-row text file under the shared scratch
+    folder, the way the daily files arrive; returns its path."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    return path
+
+
+@register("stage_transactions", fq.with_ctes(_BASE, fq.STAGE["stage_transactions"]))
+def q_stage_transactions(spark, sf_dir):
+    path = drop_file(spark, fx.transactions_text(spark, sf_dir), "transactions_file")
+    return files.read_transactions_file(spark, path)
+
+
+@register("stage_terminals", fq.with_ctes(_BASE, fq.STAGE["stage_terminals"]))
+def q_stage_terminals(spark, sf_dir):
+    path = drop_file(spark, fx.terminals_sheet(spark, sf_dir), "terminals_file")
+    return files.read_terminals_file(spark, path)
+
+
+@register("stage_blacklist", fq.with_ctes(_BASE, fq.STAGE["stage_blacklist"]))
+def q_stage_blacklist(spark, sf_dir):
+    path = drop_file(spark, fx.blacklist_sheet(spark, sf_dir), "blacklist_file")
+    return files.read_blacklist_file(spark, path)
+
+
+@register("stage_clients", fq.with_ctes(_BASE, fq.STAGE["stage_clients"]))
+def q_stage_clients(spark, sf_dir):
+    return tables.stage_clients(fx.clients(spark, sf_dir))
+
+
+@register("stage_accounts", fq.with_ctes(_BASE, fq.STAGE["stage_accounts"]))
+def q_stage_accounts(spark, sf_dir):
+    return tables.stage_accounts(fx.source_accounts(spark, sf_dir))
+
+
+@register("stage_cards", fq.with_ctes(_BASE, fq.STAGE["stage_cards"]))
+def q_stage_cards(spark, sf_dir):
+    return tables.stage_cards(fx.source_cards(spark, sf_dir))
+
+
+# D8-D12, S1/S13 ----------------------------------------------------------------------------
+@register("fact_transactions_append", fq.with_ctes(_BASE, fq.FACT_TRANSACTIONS_APPEND))
+def q_fact_transactions_append(spark, sf_dir):
+    return facts.new_transactions(fx.transactions(spark, sf_dir), fx.stored_transactions(spark, sf_dir))
+
+
+@register("fact_blacklist_append", fq.FACT_BLACKLIST_APPEND)
+def q_fact_blacklist_append(spark, sf_dir):
+    return facts.new_blacklist_entries(fx.incoming_blacklist(spark, sf_dir), fx.stored_blacklist(spark, sf_dir))
+
+
+def _dims_after_load(spark, sf_dir) -> dict[str, DataFrame]:
+    out = {}
+    for d in sch.DIMENSIONS:
+        key, attrs = sch.dim_key(d), sch.dim_attrs(d)
+        out[sch.DIM_TABLES[d]] = scd.scd1_apply(fx.stored_dimension(spark, sf_dir, d),
+                                                fx.todays_snapshot(spark, sf_dir, d), key, attrs, fx.BATCH_TS)
+    return out
+
+
+@register("meta_high_water", fq.meta_sql(stamp=False))
+def q_meta_high_water(spark, sf_dir):
+    return meta.high_water_marks(meta.seed(spark), _dims_after_load(spark, sf_dir))
+
+
+@register("meta_load_stamps", fq.meta_sql(stamp=True))
+def q_meta_load_stamps(spark, sf_dir):
+    m = meta.high_water_marks(meta.seed(spark), _dims_after_load(spark, sf_dir))
+    return meta.stamp_load_time(m, sch.FACT_TABLES + list(sch.HIST_TABLES.values()), fx.BATCH_TS)
+
+
+@register("next_batch_date", fq.NEXT_BATCH_DATE)
+def q_next_batch_date(spark, sf_dir):
+    return control.batch_days(fx.transactions(spark, sf_dir))
+
+
+# K1-K6 ---------------------------------------------------------------------------------------
+def _staged(spark, sf_dir) -> dict[str, DataFrame]:
+    return {"clients": fx.clients(spark, sf_dir), "accounts": fx.accounts(spark, sf_dir),
+            "cards": fx.cards(spark, sf_dir), "terminals": fx.terminals(spark, sf_dir),
+            "transactions": fx.transactions(spark, sf_dir)}
+
+
+@register("dq_duplicate_keys", fq.with_ctes(_BASE, fq.DQ_DUPLICATE_KEYS))
+def q_dq_duplicate_keys(spark, sf_dir):
+    dups = quality.check_all(_staged(spark, sf_dir))["duplicate_keys"]
+    li = quality.duplicate_keys(fx.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem")
+    return dups.unionByName(li)
+
+
+@register("dq_null_keys", fq.with_ctes(_BASE, fq.DQ_NULL_KEYS))
+def q_dq_null_keys(spark, sf_dir):
+    return quality.check_all(_staged(spark, sf_dir))["null_keys"]
+
+
+@register("dq_orphans", fq.with_ctes(fq.all_dims_ctes(), fq.DQ_ORPHANS))
+def q_dq_orphans(spark, sf_dir):
+    t = {d: fx.todays_snapshot(spark, sf_dir, d) for d in sch.DIMENSIONS}
+    t["transactions"] = fx.transactions(spark, sf_dir)
+    return quality.check_all(t)["orphans"]
+
+
+@register("dq_bad_amounts", fq.DQ_BAD_AMOUNTS)
+def q_dq_bad_amounts(spark, sf_dir):
+    path = drop_file(spark, fx.transactions_text(spark, sf_dir), "transactions_file")
+    return quality.bad_amount_summary(files.read_text_table(spark, path), "transactions")
