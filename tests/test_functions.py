@@ -1,0 +1,59 @@
+"""Scalar expressions: C1, C2, C5, C9, C10, C11, P7, P10."""
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from nightledger import functions as fn
+
+
+def test_full_name_keeps_separators_around_nulls(spark):
+    df = spark.createDataFrame([("A", "B", None), ("A", None, "C"), (None, None, None)],
+                               "last_name string, first_name string, patrinymic string")
+    got = [r[0] for r in df.select(fn.full_name()).collect()]
+    assert got == ["A B ", "A  C", "  "]
+
+
+def test_hour_start_is_wall_clock_in_a_dst_gap(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30),)], "t timestamp_ntz")
+        got = df.select(fn.hour_start("t").alias("h")).first()["h"]
+        assert got == dt.datetime(2024, 3, 10, 2, 0)
+        assert dict(df.select(fn.hour_start("t").alias("h")).dtypes)["h"] == "timestamp_ntz"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_changed_is_null_safe(spark):
+    df = spark.createDataFrame([(None, None), (None, "x"), ("x", None), ("x", "x"), ("x", "y")],
+                               "a string, b string")
+    got = [r[0] for r in df.select(fn.changed("a", "b")).collect()]
+    assert got == [False, True, True, False, True]
+
+
+def test_strip_whitespace_and_amounts(spark):
+    df = spark.createDataFrame([("\t 4 \t",), ("8378,05",), ("x",), (None,), (" 12 ",)], "a string")
+    got = [r[0] for r in df.select(fn.parse_decimal_comma("a")).collect()]
+    assert got == [Decimal("4.00"), Decimal("8378.05"), None, None, Decimal("12.00")]
+    assert df.select(fn.strip_whitespace(F.lit("  K1-0 \t"))).first()[0] == "K1-0"
+
+
+def test_next_label(spark):
+    df = spark.createDataFrame([("01032021",), ("28022021",), ("31122021",)], "dt string")
+    assert [r[0] for r in df.select(fn.next_label("dt")).collect()] == ["02032021", "01032021", "01012022"]
+
+
+def test_minute_field_ignores_hours(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 1, 10), dt.datetime(2024, 1, 1))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    assert df.select(fn.minute_field(F.col("a") - F.col("b"))).first()[0] == 10
+
+
+def test_date_before_timestamp_compares_as_midnight(spark):
+    df = spark.createDataFrame([(dt.date(2021, 3, 1), dt.datetime(2021, 3, 1, 0, 0, 0)),
+                                (dt.date(2021, 3, 1), dt.datetime(2021, 3, 1, 0, 0, 1))],
+                               "d date, t timestamp_ntz")
+    assert [r[0] for r in df.select(F.col("d") < F.col("t")).collect()] == [False, True]
