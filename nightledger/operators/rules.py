@@ -145,10 +145,60 @@ def fraud_amount_probe_elapsed(enriched: DataFrame, report_dt: DateLike,
     return fraud_amount_probe(enriched, report_dt, gap=probe_gap_elapsed(minutes))
 
 
-def fraud_report(enriched: DataFrame, report_dt: DateLike,
-                 blacklist: DataFrame | None = None) -> DataFrame:
-    """all four rules, appended (duplicates across rules are kept)."""
+def fraud_report_by_rule(enriched: DataFrame, report_dt: DateLike,
+                         blacklist: DataFrame | None = None) -> DataFrame:
+    """F5 as four separate rule queries appended; the reference form of
+    ``fraud_report`` (each branch plans its own pass over ``enriched``)."""
     return (fraud_passport(enriched, report_dt, blacklist)
             .unionByName(fraud_contract(enriched, report_dt))
             .unionByName(fraud_multi_city(enriched, report_dt))
             .unionByName(fraud_amount_probe(enriched, report_dt)))
+
+
+def fraud_report(enriched: DataFrame, report_dt: DateLike,
+                 blacklist: DataFrame | None = None) -> DataFrame:
+    """all four rules, appended (duplicates across rules are kept).
+
+    One pass: F3 groups by (client, clock hour) and F4 looks back per
+    (client, clock-hour bucket), so one shuffle of the enriched rows by that
+    pair serves both, and F1/F2 are filters on the same rows.  Each row
+    emits one report row per rule it triggers (F4: once per hit at its
+    timestamp); only the F3 rows are then made distinct.  Same rows as
+    ``fraud_report_by_rule``.
+    """
+    if blacklist is not None:
+        enriched = (enriched.drop(BLACKLISTED)
+                    .join(blacklisted_passports(blacklist), "passport_num", "left")
+                    .withColumn(BLACKLISTED, F.coalesce(F.col(BLACKLISTED), F.lit(False))))
+    elif BLACKLISTED not in enriched.columns:
+        raise ValueError("pass the blacklist, or enrich with it")
+    extra = ["passport_num", "fio", "phone", "passport_valid_to", "valid_to",
+             "terminal_city", BLACKLISTED]
+    lagged = client_lags(enriched, extra=extra)
+    hour = Window.partitionBy("client_id", BUCKET)
+    instant = Window.partitionBy("client_id", BUCKET, "trans_date")
+    probe_hit = F.coalesce((_probe_pattern() & probe_gap_as_written()).cast("int"), F.lit(0))
+    t = F.col("trans_date")
+    none = F.array().cast("array<string>")
+
+    def once(cond: Column, label: str) -> Column:
+        return F.when(cond, F.array(F.lit(label))).otherwise(none)
+
+    flagged = lagged.select(
+        "trans_date", "passport_num", "fio", "phone",
+        ((F.col("passport_valid_to") < t) | F.col(BLACKLISTED)).alias("_f1"),
+        (F.col("valid_to") < t).alias("_f2"),
+        (F.min("terminal_city").over(hour) != F.max("terminal_city").over(hour)).alias("_f3"),
+        F.sum(probe_hit).over(instant).cast("int").alias("_f4"))
+    types = F.flatten(F.array(
+        once(F.col("_f1"), sch.EVENT_PASSPORT),
+        once(F.col("_f2"), sch.EVENT_CONTRACT),
+        once(F.col("_f3"), sch.EVENT_MULTI_CITY),
+        F.array_repeat(F.lit(sch.EVENT_AMOUNT_PROBE), F.col("_f4")),
+    ))
+    rows = (flagged.select("trans_date", "passport_num", "fio", "phone", F.explode(types).alias("_type"))
+                  .select(F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"),
+                          "fio", "phone", F.col("_type").alias("event_type"),
+                          F.lit(str(report_dt)).cast("date").alias("report_dt")))
+    multi = F.col("event_type") == sch.EVENT_MULTI_CITY
+    return rows.where(~multi).unionByName(rows.where(multi).distinct())

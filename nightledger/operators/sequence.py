@@ -41,11 +41,15 @@ def ordered_lags(df: DataFrame, key: Sequence[str], order: Sequence[str],
     key, order, values = list(key), list(order), list(values)
     cols = list(dict.fromkeys(order + values))
     d = df.withColumn(BUCKET, bucket)
+    # The look-back rows carry every column of the input, not only the ones
+    # the lags need: both branches of the union below then read the same
+    # input columns, so Spark plans the input once and reuses its shuffles.
+    carried = list(dict.fromkeys(cols + [c for c in df.columns if c not in key]))
 
     # Last n rows of every (key, bucket).  The row_number <= n filter is
     # planned as a window group limit, applied map-side before the shuffle.
     newest_first = Window.partitionBy(*key, BUCKET).orderBy(*[F.col(c).desc() for c in order])
-    tail = (d.select(*key, BUCKET, *cols)
+    tail = (d.select(*key, BUCKET, *carried)
              .withColumn("_rn", F.row_number().over(newest_first))
              .where(F.col("_rn") <= n).drop("_rn"))
 
@@ -53,13 +57,13 @@ def ordered_lags(df: DataFrame, key: Sequence[str], order: Sequence[str],
     # tail row of a bucket, the previous n tail rows are the n rows that
     # precede the bucket in the full order.
     by_key = Window.partitionBy(*key).orderBy(*order)
-    rec = F.struct(*[F.col(c) for c in cols])
+    rec = F.struct(*[F.col(c) for c in carried])
     prev = [F.lag(rec, i).over(by_key) for i in range(1, n + 1)]
     tail = tail.select(*key, BUCKET, F.lag(BUCKET, 1).over(by_key).alias("_prev_bucket"),
                        F.array(*prev).alias("_prev"))
     carry = (tail.where(F.col("_prev_bucket").isNull() | (F.col("_prev_bucket") != F.col(BUCKET)))
                  .select(*key, BUCKET, F.explode(F.filter("_prev", lambda r: r.isNotNull())).alias("_r"))
-                 .select(*key, BUCKET, *[F.col(f"_r.{c}").alias(c) for c in cols])
+                 .select(*key, BUCKET, *[F.col(f"_r.{c}").alias(c) for c in carried])
                  .withColumn(_CARRY, F.lit(True)))
 
     rows = d.withColumn(_CARRY, F.lit(False)).unionByName(carry, allowMissingColumns=True)

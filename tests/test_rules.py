@@ -104,3 +104,19 @@ def test_ordered_lags_match_a_plain_window(spark):
                      *[F.lag(c, i).over(w).alias(lag_name(c, i)) for c in ("t", "id", "v") for i in (1, 2)])
     cols = ["k", "id", "rk"] + [lag_name(c, i) for c in ("t", "id", "v") for i in (1, 2)]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_fused_report_equals_rules_appended(spark):
+    h = lambda H, M, S=0: dt.datetime(2021, 3, 1, H, M, S)
+    rows = (_probe_rows([5, 5], client="C1") + _probe_rows([0, 10], client="C3", id0=20)
+            + [row("90", h(12, 1), city="A", client="C7", pvalid=dt.date(2021, 3, 1)),
+               row("91", h(12, 1), city="A", client="C7"), row("92", h(12, 59), city="B", client="C7",
+                                                                valid=dt.date(2021, 1, 1)),
+               row("93", h(13, 0), city=None, client="C8", passport="P9")])
+    e = spark.createDataFrame(rows, ENRICHED)
+    bl = spark.createDataFrame([("P9", T0)], sch.STG_BLACKLIST)
+    fused = rules.fraud_report(e, "2021-03-02", bl).collect()
+    by_rule = rules.fraud_report_by_rule(e, "2021-03-02", bl).collect()
+    assert sorted(map(repr, fused)) == sorted(map(repr, by_rule))
+    assert {r.event_type for r in fused} == {sch.EVENT_PASSPORT, sch.EVENT_CONTRACT,
+                                            sch.EVENT_MULTI_CITY, sch.EVENT_AMOUNT_PROBE}
