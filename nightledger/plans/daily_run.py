@@ -100,8 +100,14 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
     before = [d for d in store.committed_days() if d < day]
     prev = before[-1] if before else None
 
-    _check(store, day, inputs, on_violation)
-    staged = inputs.as_dict()
+    # Staging is written once and read back, so every later step (and
+    # any recomputation after a lost executor) sees the same snapshot even if
+    # a source database moves on meanwhile.
+    staged = {}
+    for name, df in inputs.as_dict().items():
+        store.write_version(f"stg_{name}", day, df)
+        staged[name] = store.read_version(f"stg_{name}", day, df.schema)
+    _check(store, day, DailyInputs(**staged), on_violation)
 
     # SCD1 dimensions and SCD2 history, one version each.
     for d in sch.DIMENSIONS:

@@ -57,3 +57,33 @@ def test_quality_checks(spark):
     nulls = {r.table_name: r.n_null_keys for r in got["null_keys"].collect()}
     assert nulls == {"cards": 1, "accounts": 0}
     assert [(r.child_key, r.fk_value) for r in got["orphans"].collect()] == [("K1", "A9")]
+
+
+def test_source_table_and_staging(spark, tmp_path):
+    from nightledger.sources import tables
+    src = spark.createDataFrame([("  K1-0 \t", "A1", T, None, "extra")],
+                                "card_num string, account_num string, create_dt timestamp_ntz, "
+                                "update_dt timestamp_ntz, spare string")
+    src.write.parquet(str(tmp_path / "cards"))
+    got = tables.stage_cards(tables.read_source_table(spark, "info.cards", path=str(tmp_path / "cards")))
+    assert got.columns == sch.STG_CARDS.names and got.first().card_num == "K1-0"
+    acc = spark.createDataFrame([("A1", dt.datetime(2024, 3, 1, 17, 30), "C1", T, None)], sch.SRC_ACCOUNTS)
+    assert tables.stage_accounts(acc).first().valid_to == dt.date(2024, 3, 1)
+
+
+def test_missing_file_column_is_null(spark, tmp_path):
+    p = tmp_path / "transactions_02032021.txt"
+    p.write_text("transaction_id;transaction_date;amount;card_num;oper_type;oper_result\n"
+                 "7;2021-03-02 10:00:00;1,5;K1;PAY;SUCCESS\n")
+    r = files.read_transactions_file(spark, str(p)).first()
+    assert r.terminal is None and str(r.amt) == "1.50"
+
+
+def test_terminals_by_position_and_blacklist_by_name(spark, tmp_path):
+    t = tmp_path / "terminals.csv"
+    t.write_text("id;kind;town;street\nT1;ATM;Moscow;Lenina 1\n")
+    assert tuple(files.read_terminals_file(spark, str(t)).first()) == ("T1", "ATM", "Moscow", "Lenina 1")
+    b = tmp_path / "blacklist.csv"
+    b.write_text("date;passport\n2021-03-01 00:00:00;P1\n")
+    r = files.read_blacklist_file(spark, str(b)).first()
+    assert (r.passport_num, r.entry_dt) == ("P1", dt.datetime(2021, 3, 1))
