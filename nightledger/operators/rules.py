@@ -163,7 +163,8 @@ def fraud_report(enriched: DataFrame, report_dt: DateLike,
     (client, clock-hour bucket), so one shuffle of the enriched rows by that
     pair serves both, and F1/F2 are filters on the same rows.  Each row
     emits one report row per rule it triggers (F4: once per hit at its
-    timestamp); only the F3 rows are then made distinct.  Same rows as
+    timestamp); one ``dropDuplicates`` over the report rows then merges only
+    F3 rows (all others carry a unique row identity).  Same rows as
     ``fraud_report_by_rule``.
     """
     if blacklist is not None:
@@ -179,26 +180,33 @@ def fraud_report(enriched: DataFrame, report_dt: DateLike,
     instant = Window.partitionBy("client_id", BUCKET, "trans_date")
     probe_hit = F.coalesce((_probe_pattern() & probe_gap_as_written()).cast("int"), F.lit(0))
     t = F.col("trans_date")
-    none = F.array().cast("array<string>")
-
-    def once(cond: Column, label: str) -> Column:
-        return F.when(cond, F.array(F.lit(label))).otherwise(none)
-
     flagged = lagged.select(
         "trans_date", "passport_num", "fio", "phone",
+        F.monotonically_increasing_id().alias("_row"),
         ((F.col("passport_valid_to") < t) | F.col(BLACKLISTED)).alias("_f1"),
         (F.col("valid_to") < t).alias("_f2"),
         (F.min("terminal_city").over(hour) != F.max("terminal_city").over(hour)).alias("_f3"),
         F.sum(probe_hit).over(instant).cast("int").alias("_f4"))
-    types = F.flatten(F.array(
-        once(F.col("_f1"), sch.EVENT_PASSPORT),
-        once(F.col("_f2"), sch.EVENT_CONTRACT),
-        once(F.col("_f3"), sch.EVENT_MULTI_CITY),
-        F.array_repeat(F.lit(sch.EVENT_AMOUNT_PROBE), F.col("_f4")),
+
+    # One (rule, copy) entry per report row the transaction produces.
+    def entry(label: str, copy) -> Column:
+        return F.struct(F.lit(label).alias("t"), F.lit(copy).cast("int").alias("c"))
+
+    none = F.array().cast("array<struct<t:string,c:int>>")
+    probes = F.transform(F.sequence(F.lit(1), F.greatest(F.col("_f4"), F.lit(1))),
+                         lambda i: entry(sch.EVENT_AMOUNT_PROBE, i))
+    entries = F.flatten(F.array(
+        F.when(F.col("_f1"), F.array(entry(sch.EVENT_PASSPORT, 0))).otherwise(none),
+        F.when(F.col("_f2"), F.array(entry(sch.EVENT_CONTRACT, 0))).otherwise(none),
+        F.when(F.col("_f3"), F.array(entry(sch.EVENT_MULTI_CITY, 0))).otherwise(none),
+        F.when(F.col("_f4") > 0, probes).otherwise(none),
     ))
-    rows = (flagged.select("trans_date", "passport_num", "fio", "phone", F.explode(types).alias("_type"))
-                  .select(F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"),
-                          "fio", "phone", F.col("_type").alias("event_type"),
-                          F.lit(str(report_dt)).cast("date").alias("report_dt")))
-    multi = F.col("event_type") == sch.EVENT_MULTI_CITY
-    return rows.where(~multi).unionByName(rows.where(multi).distinct())
+    e = F.col("_e")
+    rows = (flagged.select("trans_date", "passport_num", "fio", "phone", "_row",
+                           F.explode(entries).alias("_e"))
+                   .select(F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"),
+                           "fio", "phone", e["t"].alias("event_type"),
+                           F.lit(str(report_dt)).cast("date").alias("report_dt"),
+                           # F3 rows may collapse; every other row keeps its identity
+                           F.when(e["t"] != sch.EVENT_MULTI_CITY, F.struct("_row", e["c"])).alias("_u")))
+    return rows.dropDuplicates().drop("_u")
