@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import anti_join
+
 
 def new_transactions(staged: DataFrame, fact: DataFrame, range_prefilter: bool = True) -> DataFrame:
     """Staged transactions whose ``trans_id`` is not yet in the fact
@@ -22,7 +24,7 @@ def new_transactions(staged: DataFrame, fact: DataFrame, range_prefilter: bool =
         if b is None or b["lo"] is None:
             return staged
         stored = stored.where(F.col("trans_id").between(F.lit(b["lo"]), F.lit(b["hi"])))
-    return staged.join(stored, "trans_id", "left_anti")
+    return anti_join(staged, stored, "trans_id")
 
 
 def new_blacklist_entries(staged: DataFrame, fact: DataFrame) -> DataFrame:
@@ -32,4 +34,4 @@ def new_blacklist_entries(staged: DataFrame, fact: DataFrame) -> DataFrame:
     for one passport within the same batch all enter; a row with a null
     passport matches nothing and enters every time.
     """
-    return staged.join(fact.select("passport_num"), "passport_num", "left_anti")
+    return anti_join(staged, fact.select("passport_num"), "passport_num")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as sch
+from .joins import anti_join
 
 INSERT, UPDATE, SAME, DELETE = "insert", "update", "same", "delete"
 CLOSE, OPEN = "close", "open"
@@ -41,10 +42,18 @@ def _change_test(attrs: list[str], change: str) -> Column:
 
 def _pair(stored: DataFrame, snapshot: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     """Full outer join on ``key``: columns ``_key``, ``_old`` (stored row
-    struct or null) and ``_new`` (snapshot row struct or null)."""
+    struct or null) and ``_new`` (snapshot row struct or null).
+
+    Rows with a null key never match; they bypass the join (otherwise they
+    would all hash into one shuffle partition) and come back unpaired.
+    """
     old = stored.select(F.col(key).alias("_key"), F.struct(*stored.columns).alias("_old"))
     new = snapshot.select(F.col(key).alias("_key"), F.struct(key, *attrs).alias("_new"))
-    return old.join(new, "_key", "full_outer")
+    k = F.col("_key")
+    paired = old.where(k.isNotNull()).join(new.where(k.isNotNull()), "_key", "full_outer")
+    return (paired
+            .unionByName(old.where(k.isNull()).withColumn("_new", F.lit(None).cast(new.schema["_new"].dataType)))
+            .unionByName(new.where(k.isNull()).withColumn("_old", F.lit(None).cast(old.schema["_old"].dataType))))
 
 
 def classify(stored: DataFrame, snapshot: DataFrame, key: str, attrs: list[str],
@@ -93,7 +102,7 @@ def scd1_update(dim, snapshot, key, attrs, batch_ts, change: str = "any") -> Dat
 
 def scd1_delete(dim, snapshot, key, attrs, batch_ts=None) -> DataFrame:
     """D3: stored rows whose key is gone from the snapshot (they are removed)."""
-    return dim.join(snapshot.select(key), key, "left_anti")
+    return anti_join(dim, snapshot.select(key), key)
 
 
 def scd1_apply(dim, snapshot, key, attrs, batch_ts, change: str = "any") -> DataFrame:

@@ -83,3 +83,11 @@ def test_apply_twice_changes_nothing_and_one_open_version(spark, sf_small):
         assert sorted(map(repr, h1.collect())) == sorted(map(repr, h2.collect()))
         open_per_key = h1.where(F.col("effective_to").isNull()).groupBy(key).count()
         assert open_per_key.where("count > 1").count() == 0
+
+
+def test_null_keys_bypass_the_join(spark):
+    dim = _dim(spark, [("T1", "ATM", "A", "a", OLD, None), (None, "ATM", "B", "b", OLD, None)])
+    snap = _snap(spark, [("T1", "ATM", "A", "a"), (None, "POS", "C", "c"), (None, "POS", "D", "d")])
+    got = scd.scd1_changes(dim, snap, KEY, ATTRS, TS).collect()
+    acts = sorted((r._action, r.terminal_city) for r in got)
+    assert acts == [("delete", "B"), ("insert", "C"), ("insert", "D"), ("same", "A")]
