@@ -26,15 +26,40 @@ def test_scans_read_only_needed_columns(spark, sf_small):
     assert any("event_id" in s and "props" not in s for s in schemas), schemas
 
 
-def test_fraud_amount_probe_shuffles_enriched_once_by_client_bucket(spark, sf_small):
+def _exchanges(spark, df):
+    """Shuffle keys of the plan with broadcasts and AQE off, so every join
+    shows its shuffle; ``ReusedExchange`` entries are not counted."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = _plan(QUERIES["fraud_amount_probe"](spark, sf_small))
+        p = _plan(df)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
-    parts = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
-    assert not any(x.strip().startswith("client_id") and "_bucket" not in x and x.count(",") == 0 and
-                   "trans_date" not in x for x in parts if "rk" in x)
+    lines = [ln for ln in p.split("\n") if "ReusedExchange" not in ln]
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", "\n".join(lines))
+    return [re.sub(r"#\d+", "", k).rsplit(",", 1)[0].strip() for k in keys], p
+
+
+def test_report_plans_the_enrichment_once(spark, sf_small):
+    keys, p = _exchanges(spark, QUERIES["fraud_report"](spark, sf_small))
+    # the fact side meets the card profile once and the terminals once
+    assert keys.count("card_num") == 2, keys
+    assert keys.count("terminal_id") == 2, keys
+    # the enriched rows are shuffled once by (client, hour bucket): the main
+    # window; the per-bucket top-2 goes through the same key before it
+    assert keys.count("client_id, _bucket") == 2, keys
     assert "WindowGroupLimit" in p
+
+
+def test_no_full_row_window_over_a_whole_client(spark, sf_small):
+    """Windows partitioned by the client alone only see the per-bucket
+    top-2 rows or per-bucket counts, never the transaction rows."""
+    for name in ("fraud_amount_probe", "client_lag_features", "fraud_report"):
+        keys, p = _exchanges(spark, QUERIES[name](spark, sf_small))
+        assert "WindowGroupLimit" in p, name
+        # two for the accounts-clients join on the dimension side, one for
+        # the top-2 rows, and one for the per-bucket counts when ranks are
+        # asked for
+        want = 2 + (2 if name == "client_lag_features" else 1)
+        assert keys.count("client_id") == want, (name, keys)
