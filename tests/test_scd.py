@@ -91,3 +91,17 @@ def test_null_keys_bypass_the_join(spark):
     got = scd.scd1_changes(dim, snap, KEY, ATTRS, TS).collect()
     acts = sorted((r._action, r.terminal_city) for r in got)
     assert acts == [("delete", "B"), ("insert", "C"), ("insert", "D"), ("same", "A")]
+
+
+def test_returning_key_is_not_reopened(spark):
+    """Q8 as written: a deleted key keeps its flag when it comes back
+    unchanged; if it comes back changed, the flagged version is closed and
+    a new live version opens."""
+    hist = spark.createDataFrame([("T1", "ATM", "A", "a", OLD, None, False),
+                                  ("T2", "ATM", "A", "a", OLD, None, False)], sch.HIST["terminals"])
+    day1 = scd.scd2_apply(hist, _snap(spark, []), KEY, ATTRS, TS)
+    assert all(r.deleted for r in day1.collect())
+    back = _snap(spark, [("T1", "ATM", "A", "a"), ("T2", "ATM", "B", "a")])
+    got = scd.scd2_changes(day1, back, KEY, ATTRS, "2024-02-02 09:00:00").collect()
+    acts = sorted((r.terminal_id, r._action, r.terminal_city, r.deleted) for r in got)
+    assert acts == [("T1", "same", "A", True), ("T2", "close", "A", True), ("T2", "open", "B", False)]
