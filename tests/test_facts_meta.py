@@ -87,3 +87,16 @@ def test_terminals_by_position_and_blacklist_by_name(spark, tmp_path):
     b.write_text("date;passport\n2021-03-01 00:00:00;P1\n")
     r = files.read_blacklist_file(spark, str(b)).first()
     assert (r.passport_num, r.entry_dt) == ("P1", dt.datetime(2021, 3, 1))
+
+
+def test_fact_append_twice_adds_nothing(spark, sf_small):
+    from nightledger import fixtures as fx
+    stored = fx.stored_transactions(spark, sf_small)
+    incoming = fx.transactions(spark, sf_small)
+    new = facts.new_transactions(incoming, stored)
+    after = stored.unionByName(new)
+    assert new.count() == incoming.count() - stored.count()
+    assert facts.new_transactions(incoming, after).count() == 0
+    bl_new = facts.new_blacklist_entries(fx.incoming_blacklist(spark, sf_small), fx.stored_blacklist(spark, sf_small))
+    bl_after = fx.stored_blacklist(spark, sf_small).unionByName(bl_new)
+    assert facts.new_blacklist_entries(fx.incoming_blacklist(spark, sf_small), bl_after).count() == 0

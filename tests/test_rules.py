@@ -120,3 +120,12 @@ def test_fused_report_equals_rules_appended(spark):
     assert sorted(map(repr, fused)) == sorted(map(repr, by_rule))
     assert {r.event_type for r in fused} == {sch.EVENT_PASSPORT, sch.EVENT_CONTRACT,
                                             sch.EVENT_MULTI_CITY, sch.EVENT_AMOUNT_PROBE}
+
+
+def test_every_report_row_comes_from_an_enriched_row(spark, sf_small):
+    from nightledger.plans.catalog import enriched
+    e = enriched(spark, sf_small, with_blacklist=True)
+    rep = rules.fraud_report(e, "2024-02-01")
+    keys = e.select(F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"))
+    assert rep.count() > 0
+    assert rep.join(keys, ["event_dt", "passport"], "left_anti").count() == 0
