@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from .. import fixtures_sql as fq
+from .. import schemas as sch
 from ..operators import enrich as en
-from ..operators import rules
+from ..operators import facts, meta, quality, rules, scd
 from ..operators.sequence import lag_name
+from ..session import scratch_path
+from ..sources import control, files, tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -106,8 +109,6 @@ def q_fraud_report(spark, sf_dir):
 
 
 # D1-D7 ----------------------------------------------------------------------------------
-from .. import schemas as sch  # noqa: E402
-from ..operators import scd  # noqa: E402
 
 
 def _scd1_query(dim: str, what: str, change: str = "any") -> QueryFn:
@@ -149,9 +150,6 @@ register("scd1_update_accounts_allchanged", fq.scd1_sql("accounts", "update", al
 
 
 # Staging --------------------------------------------------------------------------
-from ..operators import facts, meta, quality  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import control, files, tables  # noqa: E402
 
 _BASE = fq.base_ctes()
 

@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle on the smallest data."""
 
-import hashlib
 import os
 import sys
 
