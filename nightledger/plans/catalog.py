@@ -102,6 +102,19 @@ def q_fraud_amount_probe_elapsed(spark, sf_dir):
     return rules.fraud_amount_probe_elapsed(enriched(spark, sf_dir, compress_time=True), fx.REPORT_DT)
 
 
+REPORT_SINCE = "2024-01-20 12:30:00"
+
+
+@register("fraud_report_since", fq.with_ctes(_E, "SELECT * FROM (" + "\nUNION ALL\n".join(
+    f"SELECT * FROM ({q})" for q in (fq.F1, fq.F2, fq.F3, fq.f4()))
+    + f") WHERE event_dt >= TIMESTAMP '{REPORT_SINCE}'"))
+def q_fraud_report_since(spark, sf_dir):
+    return rules.fraud_report_since(
+        fx.transactions(spark, sf_dir), fx.cards(spark, sf_dir), fx.terminals(spark, sf_dir),
+        fx.accounts(spark, sf_dir), fx.clients(spark, sf_dir), fx.blacklist(spark, sf_dir),
+        REPORT_SINCE, fx.REPORT_DT)
+
+
 @register("fraud_report", fq.with_ctes(_E, "\nUNION ALL\n".join(
     f"SELECT * FROM ({q})" for q in (fq.F1, fq.F2, fq.F3, fq.f4()))))
 def q_fraud_report(spark, sf_dir):

@@ -91,8 +91,16 @@ def _check(store: Store, day: _dt.date, inputs: DailyInputs, on_violation: str)
 def run_day(store: Store, label: str, inputs: DailyInputs, *,
             batch_ts: str | _dt.datetime | None = None,
             report_dt: str | _dt.date | None = None,
-            on_violation: str = "report") -> None:
-    """Load batch ``label`` (``ddMMyyyy``) and publish its version."""
+            on_violation: str = "report",
+            report_since: str | _dt.datetime | None = None) -> None:
+    """Load batch ``label`` (``ddMMyyyy``) and publish its version.
+
+    The report covers the whole fact history, as the original does (every
+    past hit is reported again under the new report date).  With
+    ``report_since`` it covers operations from that time on, computed from
+    the recent rows plus a two-row look-back per card
+    (``rules.fraud_report_since``), so the history is not re-enriched.
+    """
     spark = store.spark
     day = day_of_label(label)
     batch_ts = str(batch_ts or _dt.datetime.now().replace(microsecond=0))
@@ -138,9 +146,13 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
     # Enriched table over the whole fact history, as the rules expect.
     all_tx = store.read_partitions(tx_fact, FACT_PARTITION, sch.FACT_TRANSACTIONS, before + [day])
     all_bl = store.read_partitions(bl_fact, FACT_PARTITION, sch.FACT_BLACKLIST, before + [day])
-    enriched = enrich(all_tx, dims["cards"], dims["terminals"], dims["accounts"],
-                      dims["clients"], blacklist=all_bl)
-    report = rules.fraud_report(enriched, report_dt)
+    if report_since is None:
+        enriched = enrich(all_tx, dims["cards"], dims["terminals"], dims["accounts"],
+                          dims["clients"], blacklist=all_bl)
+        report = rules.fraud_report(enriched, report_dt)
+    else:
+        report = rules.fraud_report_since(all_tx, dims["cards"], dims["terminals"], dims["accounts"],
+                                          dims["clients"], all_bl, report_since, report_dt)
     store.write_partition("rep_fraud", REPORT_PARTITION, report_dt,
                           report.select(*REPORT_SCHEMA.names))
 

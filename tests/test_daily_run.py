@@ -70,3 +70,19 @@ def test_two_days_and_rerun(spark, sf_small, tmp_path):
             report_dt="2024-02-02")
     assert _snapshot_of(store, d2) == first
     assert sorted(map(repr, read_report(store, "2024-02-02").drop("report_dt").collect())) == rep_rows
+
+
+def test_report_since_in_the_daily_run(spark, sf_small, tmp_path):
+    store = Store(spark, str(tmp_path / "wh"))
+    run_day(store, "01022024", _inputs(spark, sf_small, 1), batch_ts="2024-02-01 09:00:00",
+            report_dt="2024-02-01")
+    since = "2024-01-25 00:00:00"
+    run_day(store, "02022024", _inputs(spark, sf_small, 2), batch_ts="2024-02-02 09:00:00",
+            report_dt="2024-02-02", report_since=since)
+    snap = {d: fx.todays_snapshot(spark, sf_small, d) for d in sch.DIMENSIONS}
+    bl = fx.stored_blacklist(spark, sf_small).unionByName(fx.incoming_blacklist(spark, sf_small))
+    e = enrich(fx.transactions(spark, sf_small), snap["cards"], snap["terminals"], snap["accounts"],
+               snap["clients"], blacklist=bl)
+    want = rules.fraud_report(e, "2024-02-02").where(F.col("event_dt") >= F.lit(since).cast("timestamp_ntz"))
+    got = read_report(store, "2024-02-02")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))

@@ -129,3 +129,30 @@ def test_every_report_row_comes_from_an_enriched_row(spark, sf_small):
     keys = e.select(F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"))
     assert rep.count() > 0
     assert rep.join(keys, ["event_dt", "passport"], "left_anti").count() == 0
+
+
+def test_report_since_equals_full_report_after_since(spark):
+    from nightledger.operators.enrich import enrich
+    D = lambda H, M: dt.datetime(2021, 3, 1, H, M)
+    tx = spark.createDataFrame([
+        ("1", D(9, 0), "K1", "PAY", Decimal("30.00"), "REJECT", "T1"),
+        ("2", D(9, 5), "K2", "PAY", Decimal("20.00"), "REJECT", "T1"),
+        ("3", D(9, 6), "K1", "PAY", Decimal("99.00"), "SUCCESS", "TX"),   # unknown terminal
+        ("4", D(9, 7), "K1", "PAY", Decimal("98.00"), "SUCCESS", "TX"),   # unknown terminal
+        ("5", D(10, 10), "K2", "PAY", Decimal("10.00"), "SUCCESS", "T1"),
+        ("6", D(10, 20), "K1", "PAY", Decimal("5.00"), "SUCCESS", "T2"),
+    ], sch.FACT_TRANSACTIONS)
+    cards = spark.createDataFrame([("K1", "A1", T0, None), ("K2", "A1", T0, None)], sch.DIM_CARDS)
+    accounts = spark.createDataFrame([("A1", dt.date(2021, 3, 1), "C1", T0, None)], sch.DIM_ACCOUNTS)
+    clients = spark.createDataFrame([("C1", "L", "F", None, dt.date(1990, 1, 1), "P1", dt.date(2030, 1, 1),
+                                      "+7", T0, None)], sch.DIM_CLIENTS)
+    terms = spark.createDataFrame([("T1", "ATM", "A", "x", T0, None), ("T2", "ATM", "B", "y", T0, None)],
+                                  sch.DIM_TERMINALS)
+    bl = spark.createDataFrame([], sch.STG_BLACKLIST)
+    full = rules.fraud_report(enrich(tx, cards, terms, accounts, clients, blacklist=bl), "2021-03-02")
+    since = "2021-03-01 10:05:00"
+    want = sorted(map(repr, full.where(F.col("event_dt") >= F.lit(since).cast("timestamp_ntz")).collect()))
+    got = sorted(map(repr, rules.fraud_report_since(tx, cards, terms, accounts, clients, bl, since,
+                                                   "2021-03-02").collect()))
+    assert got == want
+    assert any(sch.EVENT_AMOUNT_PROBE in r for r in got)     # the look-back reached into history
