@@ -8,7 +8,7 @@ from nightledger import fixtures as fx
 from nightledger import schemas as sch
 from nightledger.operators import rules
 from nightledger.operators.enrich import enrich
-from nightledger.plans.daily_run import DailyInputs, read_report, run_day
+from nightledger.plans.daily_run import DailyInputs, next_batch_label, read_report, run_day
 from nightledger.plans.store import Store
 
 
@@ -44,7 +44,8 @@ def test_two_days_and_rerun(spark, sf_small, tmp_path):
     run_day(store, "02022024", _inputs(spark, sf_small, 2), batch_ts="2024-02-02 09:00:00",
             report_dt="2024-02-02")
     assert store.committed_days() == [dt.date(2024, 2, 1), dt.date(2024, 2, 2)]
-    assert store.next_label() == "03022024"
+    assert store.next_label() == "03022024" == next_batch_label(store)
+    assert next_batch_label(Store(spark, str(tmp_path / "empty"))) == sch.BATCH_LABEL_SEED
     d2 = dt.date(2024, 2, 2)
     # dimensions equal today's snapshot; history has closed + open versions
     for d in sch.DIMENSIONS:
