@@ -1,65 +1,62 @@
-"""Plan shape: no Python UDFs or cartesian products, pushed-down scans and
-the expected number of shuffles."""
-
-import re
+"""Plan shape, read from ``DataFrame.explain``: no Python UDFs or cartesian
+products, pruned scans, and the expected shuffles."""
 
 from nightledger.plans.catalog import QUERIES
+from nightledger.plans.explain import plan_text, shuffle_keys, summary
 
 
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+def _no_broadcast(spark, fn):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return fn()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
 
 
 def test_no_python_or_cartesian_in_any_query(spark, sf_small):
     for name, q in QUERIES.items():
-        if name.startswith(("stage_", "dq_bad")):
-            continue          # these write a text file first
-        p = _plan(q(spark, sf_small))
-        assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
-        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+        p = plan_text(q(spark, sf_small))
+        for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
+                    "BroadcastNestedLoopJoin"):
+            assert bad not in p, (name, bad)
 
 
 def test_scans_read_only_needed_columns(spark, sf_small):
-    p = _plan(QUERIES["fraud_contract"](spark, sf_small))
-    events_scan = [s for s in p.split("\n") if "events.parquet" in s or "events" in s and "ReadSchema" in s]
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)
-    assert any("event_id" in s and "props" not in s for s in schemas), schemas
-
-
-def _exchanges(spark, df):
-    """Shuffle keys of the plan with broadcasts and AQE off, so every join
-    shows its shuffle; ``ReusedExchange`` entries are not counted."""
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        p = _plan(df)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
-    lines = [ln for ln in p.split("\n") if "ReusedExchange" not in ln]
-    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", "\n".join(lines))
-    return [re.sub(r"#\d+", "", k).rsplit(",", 1)[0].strip() for k in keys], p
+    schemas = summary(QUERIES["fraud_contract"](spark, sf_small))["read_schemas"]
+    events = [s for s in schemas if "event_id" in s]
+    assert events and all("props" not in s for s in events), schemas
 
 
 def test_report_plans_the_enrichment_once(spark, sf_small):
-    keys, p = _exchanges(spark, QUERIES["fraud_report"](spark, sf_small))
+    df = QUERIES["fraud_report"](spark, sf_small)
+    keys = _no_broadcast(spark, lambda: shuffle_keys(df))
     # the fact side meets the card profile once and the terminals once
     assert keys.count("card_num") == 2, keys
     assert keys.count("terminal_id") == 2, keys
-    # the enriched rows are shuffled once by (client, hour bucket): the main
-    # window; the per-bucket top-2 goes through the same key before it
+    # the enriched rows are shuffled once by (client, hour bucket) for the
+    # windows; the per-bucket top-2 goes through the same key before it
     assert keys.count("client_id, _bucket") == 2, keys
-    assert "WindowGroupLimit" in p
+    assert "WindowGroupLimit" in plan_text(df)
 
 
 def test_no_full_row_window_over_a_whole_client(spark, sf_small):
     """Windows partitioned by the client alone only see the per-bucket
     top-2 rows or per-bucket counts, never the transaction rows."""
     for name in ("fraud_amount_probe", "client_lag_features", "fraud_report"):
-        keys, p = _exchanges(spark, QUERIES[name](spark, sf_small))
-        assert "WindowGroupLimit" in p, name
+        df = QUERIES[name](spark, sf_small)
+        keys = _no_broadcast(spark, lambda: shuffle_keys(df))
+        assert "WindowGroupLimit" in plan_text(df), name
         # two for the accounts-clients join on the dimension side, one for
         # the top-2 rows, and one for the per-bucket counts when ranks are
         # asked for
         want = 2 + (2 if name == "client_lag_features" else 1)
         assert keys.count("client_id") == want, (name, keys)
+
+
+def test_report_since_never_shuffles_history_whole(spark, sf_small):
+    df = QUERIES["fraud_report_since"](spark, sf_small)
+    p = _no_broadcast(spark, lambda: plan_text(df))
+    # the look-back is limited per card inside each task before its shuffle
+    assert "WindowGroupLimit" in p and "Partial" in p
