@@ -1,6 +1,6 @@
 """Run one daily batch from the command line (what a scheduler starts).
 
-    spark-submit --py-files nightledger.zip -m nightledger \\
+    spark-submit --py-files nightledger.zip run_daily.py \\
         --store s3://bucket/dwh --drop s3://bucket/incoming \\
         --sources-format jdbc --jdbc-url jdbc:postgresql://host/db \\
         --jdbc-user ... --jdbc-password-env DWH_PASSWORD
