@@ -1,9 +1,9 @@
 """Run one daily batch from the command line (what a scheduler starts).
 
     spark-submit --py-files nightledger.zip run_daily.py \\
-        --store s3://bucket/dwh --drop s3://bucket/incoming \\
-        --sources-format jdbc --jdbc-url jdbc:postgresql://host/db \\
-        --jdbc-user ... --jdbc-password-env DWH_PASSWORD
+        --store <shared root> --drop <incoming folder> \\
+        --sources-format jdbc --jdbc-url <jdbc url> \\
+        --jdbc-user <user> --jdbc-password-env <VARIABLE>
 
 Without ``--label`` the next label kept by the store is loaded (the seed
 label before the first run).  Source snapshots come from JDBC (tables
