@@ -72,3 +72,50 @@ def test_ordered_lags_equal_plain_window(spark, rows, width, n):
                      *[F.lag(c, i).over(w).alias(lag_name(c, i)) for c in ("t", "id", "v") for i in range(1, n + 1)])
     key = ["k", "id", "rk", *cols]
     assert sorted(map(repr, got.select(*key).collect())) == sorted(map(repr, want.select(*key).collect()))
+
+
+ENRICH_ROWS = st.lists(
+    st.tuples(st.sampled_from(["K1", "K2", "K3", "K9"]),          # K9 has no card row
+              st.integers(0, 240),                                # minutes after T0 (ties likely)
+              st.sampled_from(["5.00", "10.00", "20.00", "30.00"]),
+              st.sampled_from(["REJECT", "SUCCESS"]),
+              st.sampled_from(["T1", "T2", "T3", "TX"])),         # TX unknown, T3 has no city
+    min_size=1, max_size=40)
+
+
+def _dims(spark):
+    from decimal import Decimal  # noqa: F401
+    cards = spark.createDataFrame([("K1", "A1", T0, None), ("K2", "A1", T0, None), ("K3", "A2", T0, None)],
+                                  sch.DIM_CARDS)
+    accounts = spark.createDataFrame([("A1", dt.date(2024, 1, 1), "C1", T0, None),
+                                      ("A2", dt.date(2023, 1, 1), "C2", T0, None)], sch.DIM_ACCOUNTS)
+    clients = spark.createDataFrame([
+        ("C1", "L", "F", None, dt.date(1990, 1, 1), "P1", dt.date(2024, 1, 1), "+7", T0, None),
+        ("C2", "M", "G", "H", dt.date(1990, 1, 1), "P2", dt.date(2030, 1, 1), None, T0, None)], sch.DIM_CLIENTS)
+    terms = spark.createDataFrame([("T1", "ATM", "A", "x", T0, None), ("T2", "POS", "B", "y", T0, None),
+                                   ("T3", "POS", None, "z", T0, None)], sch.DIM_TERMINALS)
+    bl = spark.createDataFrame([("P2", T0)], sch.STG_BLACKLIST)
+    return cards, terms, accounts, clients, bl
+
+
+def _facts(spark, rows):
+    from decimal import Decimal
+    data = [(f"{i:03d}", T0 + dt.timedelta(minutes=m), card, "PAY", Decimal(a), res, term)
+            for i, (card, m, a, res, term) in enumerate(rows)]
+    return spark.createDataFrame(data, sch.FACT_TRANSACTIONS)
+
+
+@SETTINGS
+@given(rows=ENRICH_ROWS, since_min=st.integers(0, 240))
+def test_report_forms_agree(spark, rows, since_min):
+    from nightledger.operators import rules
+    from nightledger.operators.enrich import enrich
+    cards, terms, accounts, clients, bl = _dims(spark)
+    fact = _facts(spark, rows)
+    e = enrich(fact, cards, terms, accounts, clients, blacklist=bl)
+    fused = sorted(map(repr, rules.fraud_report(e, "2024-02-01").collect()))
+    assert fused == sorted(map(repr, rules.fraud_report_by_rule(e, "2024-02-01").collect()))
+    since = T0 + dt.timedelta(minutes=since_min)
+    full_after = [r for r in rules.fraud_report(e, "2024-02-01").collect() if r.event_dt >= since]
+    windowed = rules.fraud_report_since(fact, cards, terms, accounts, clients, bl, since, "2024-02-01")
+    assert sorted(map(repr, windowed.collect())) == sorted(map(repr, full_after))
