@@ -74,12 +74,19 @@ def parse_decimal_comma(c: ColumnOrName) -> Column:
 
 
 def parse_timestamp(c: ColumnOrName, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    return F.to_timestamp_ntz(strip_whitespace(c), F.lit(fmt))
+    """Wall-clock text to TIMESTAMP_NTZ; text that does not parse is null
+    (also under ANSI mode, where ``to_timestamp_ntz`` would fail the job).
+
+    ``try_to_timestamp`` only tests parseability: it yields a zoned value,
+    which would move times inside a daylight-saving gap.
+    """
+    s = strip_whitespace(c)
+    return F.when(F.try_to_timestamp(s, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(s, F.lit(fmt)))
 
 
 def label_to_date(c: ColumnOrName) -> Column:
-    """Batch label ``ddMMyyyy`` to a date."""
-    return F.to_date(_c(c), BATCH_LABEL_FORMAT)
+    """Batch label ``ddMMyyyy`` to a date (null if it is not one)."""
+    return F.try_to_date(_c(c), BATCH_LABEL_FORMAT)
 
 
 def date_to_label(c: ColumnOrName) -> Column:

@@ -36,11 +36,12 @@ def read_source_table(spark: SparkSession, table: str, *, fmt: str = "parquet",
 
 
 def _positional(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Take the first len(schema) columns by position, rename and cast."""
+    """Take the first len(schema) columns by position, rename and cast; a
+    value that does not convert becomes null (left to the quality checks)."""
     if len(df.columns) < len(schema.fields):
         raise ValueError(f"expected {len(schema.fields)} columns, got {df.columns}")
     d = df.select(*df.columns[:len(schema.fields)]).toDF(*schema.names)
-    return d.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return d.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def stage_clients(src: DataFrame) -> DataFrame:

@@ -57,3 +57,20 @@ def test_date_before_timestamp_compares_as_midnight(spark):
                                 (dt.date(2021, 3, 1), dt.datetime(2021, 3, 1, 0, 0, 1))],
                                "d date, t timestamp_ntz")
     assert [r[0] for r in df.select(F.col("d") < F.col("t")).collect()] == [False, True]
+
+
+def test_bad_text_is_null_even_in_ansi_mode(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2021-03-01 10:00:00",), ("garbage",), ("2021-13-45 10:00:00",),
+                                    (" 2024-03-10 02:30:00\t",), (None,)], "t string")
+        got = [r[0] for r in df.select(fn.parse_timestamp("t")).collect()]
+        assert got == [dt.datetime(2021, 3, 1, 10), None, None, dt.datetime(2024, 3, 10, 2, 30), None]
+        labels = spark.createDataFrame([("31022021",), ("01032021",)], "dt string")
+        assert [r[0] for r in labels.select(fn.next_label("dt")).collect()] == [None, "02032021"]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+        spark.conf.set("spark.sql.session.timeZone", zone)
