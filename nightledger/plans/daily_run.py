@@ -81,7 +81,9 @@ def _check(store: Store, day: _dt.date, inputs: DailyInputs, on_violation: str)
     if on_violation == "ignore":
         return
     checks = quality.check_all(inputs.as_dict())
-    checks["bad_amounts"] = inputs.transactions.where(F.col("amt").isNull())
+    # values that did not parse (amount with a decimal comma, timestamp)
+    checks["unparsed_values"] = inputs.transactions.where(
+        F.col("amt").isNull() | F.col("trans_date").isNull())
     for name, df in checks.items():
         if df is None:
             continue
