@@ -76,10 +76,13 @@ class Store:
 
     # partitioned append tables -----------------------------------------------
     def write_partition(self, table: str, column: str, day: _dt.date, df: DataFrame) -> None:
-        """Replace partition ``column=day`` of ``table`` with ``df``."""
-        (df.withColumn(column, F.lit(day.isoformat()).cast("date"))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(column).parquet(self.path(table)))
+        """Replace partition ``column=day`` of ``table`` with ``df``.
+
+        The partition folder itself is overwritten, so a rerun that yields
+        no rows leaves the partition empty instead of keeping the old ones
+        (a dynamic partition overwrite only touches partitions it writes).
+        """
+        df.drop(column).write.mode("overwrite").parquet(self.path(table, f"{column}={day.isoformat()}"))
 
     def read_partitions(self, table: str, column: str, schema: T.StructType,
                         days: list[_dt.date]) -> DataFrame:

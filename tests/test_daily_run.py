@@ -87,3 +87,14 @@ def test_report_since_in_the_daily_run(spark, sf_small, tmp_path):
     want = rules.fraud_report(e, "2024-02-02").where(F.col("event_dt") >= F.lit(since).cast("timestamp_ntz"))
     got = read_report(store, "2024-02-02")
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_rerun_with_no_rows_empties_the_partition(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "wh"))
+    day = dt.date(2024, 2, 2)
+    rows = spark.createDataFrame([("1", dt.datetime(2024, 2, 2), "K", "PAY", None, "SUCCESS", "T")],
+                                 sch.FACT_TRANSACTIONS)
+    store.write_partition("f", "load_dt", day, rows)
+    assert store.read_partitions("f", "load_dt", sch.FACT_TRANSACTIONS, [day]).count() == 1
+    store.write_partition("f", "load_dt", day, rows.limit(0))
+    assert store.read_partitions("f", "load_dt", sch.FACT_TRANSACTIONS, [day]).count() == 0
