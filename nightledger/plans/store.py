@@ -5,7 +5,7 @@ Parquet tables cannot be updated in place, so a daily run writes
 * dimensions, history and metadata as a whole new version
   ``<root>/<table>/v=<batch day>/``;
 * facts and the report into their own partition ``load_dt=`` /
-  ``report_dt=`` (dynamic partition overwrite, so a rerun replaces it);
+  ``report_dt=`` (the folder of that day is overwritten, so a rerun replaces it);
 
 and last a commit marker ``<root>/_commits/batch=<day>/``.  Readers only see
 committed batches, so a run that dies half way leaves nothing visible, and
