@@ -58,9 +58,8 @@ def read_terminals_file(spark: SparkSession, path: str, fmt: str = "csv", sep: s
     if fmt == "csv":
         return (spark.read.schema(sch.STG_TERMINALS).option("header", True)
                 .option("sep", sep).option("enforceSchema", True).csv(path))
-    df = spark.read.format(fmt).load(path)
-    return df.toDF(*sch.STG_TERMINALS.names).select(
-        *[F.col(f.name).cast(f.dataType) for f in sch.STG_TERMINALS.fields])
+    from .tables import stage_terminals
+    return stage_terminals(spark.read.format(fmt).load(path))
 
 
 def parse_blacklist(sheet: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:

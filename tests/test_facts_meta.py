@@ -100,3 +100,11 @@ def test_fact_append_twice_adds_nothing(spark, sf_small):
     bl_new = facts.new_blacklist_entries(fx.incoming_blacklist(spark, sf_small), fx.stored_blacklist(spark, sf_small))
     bl_after = fx.stored_blacklist(spark, sf_small).unionByName(bl_new)
     assert facts.new_blacklist_entries(fx.incoming_blacklist(spark, sf_small), bl_after).count() == 0
+
+
+def test_terminals_sheet_from_parquet(spark, tmp_path):
+    df = spark.createDataFrame([("T1", "ATM", "Moscow", "Lenina 1", "extra")], "a string, b string, c string, "
+                               "d string, e string")
+    df.write.parquet(str(tmp_path / "t"))
+    assert tuple(files.read_terminals_file(spark, str(tmp_path / "t"), fmt="parquet").first()) == \
+        ("T1", "ATM", "Moscow", "Lenina 1")
