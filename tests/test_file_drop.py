@@ -25,6 +25,11 @@ def test_two_daily_drops(spark, sf_small, tmp_path):
         _write(fx.terminals_sheet(spark, sf_small), drop / f"terminals_file_{label}.csv")
         _write(fx.blacklist_sheet(spark, sf_small), drop / f"passport_blacklist_{label}.csv")
 
+    # the file source takes files oldest first: make the order explicit
+    for i, label in enumerate(("01022024", "02022024")):
+        t = 1_700_000_000 + 3600 * i
+        os.utime(drop / f"transactions_{label}.txt", (t, t))
+
     def snapshots(label):
         c, a, k = fx.clients(spark, sf_small), fx.source_accounts(spark, sf_small), fx.source_cards(spark, sf_small)
         return c, a, k
