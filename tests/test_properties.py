@@ -49,10 +49,15 @@ def test_scd_invariants(spark, prev, curr, nxt):
                 assert tuple(r[a] for a in ATTRS) == snap_d[r[KEY]]
         # keys gone from the snapshot are flagged in every version
         assert all(r.deleted for r in rows if r[KEY] not in snap_d)
-        # closed versions never overlap the open one
+        # a key's versions follow each other without overlap; only the last is open
+        by_key = {}
         for r in rows:
-            if r.effective_to is not None:
-                assert r.effective_from <= r.effective_to
+            by_key.setdefault(r[KEY], []).append(r)
+        for versions in by_key.values():
+            versions.sort(key=lambda r: r.effective_from)
+            for a, b in zip(versions, versions[1:]):
+                assert a.effective_to is not None and a.effective_to <= b.effective_from
+            assert all(r.effective_to is None or r.effective_from <= r.effective_to for r in versions)
 
 
 events = st.lists(st.tuples(st.sampled_from(["hot", "a", "b"]), st.integers(0, 600), st.integers(0, 9)),
