@@ -53,8 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` as the cluster configures it.  Only
-    when nothing is configured (a local test run) a fresh temporary folder
-    is used.
+    when nothing is configured and the session runs in local mode (tests) a
+    fresh temporary folder is used; on a cluster that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -62,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d.rsplit("/", 1)[0] if _is_spark_subdir(d) else d
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to the executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         conf = tempfile.mkdtemp(prefix="nightledger-ckpt-")
     sc.setCheckpointDir(conf)
     return conf
