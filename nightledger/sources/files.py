@@ -2,9 +2,11 @@
 
 The transactions file is ``;``-separated text with a header row; columns
 are taken by name and reordered, a missing column becomes null.  The
-terminals and blacklist sheets arrive as spreadsheets in the original;
-Spark has no spreadsheet source, so the same sheets are read from CSV (or
-Parquet) drops: terminals by position, the blacklist by column name.
+terminals and blacklist sheets arrive as spreadsheets in the original.
+Spark has no spreadsheet source: the sheets are read from CSV (or Parquet)
+drops, or, where openpyxl is installed on the executors, from the xlsx
+files themselves (``fmt="xlsx"``); terminals by position, the blacklist by
+column name.
 """
 
 from __future__ import annotations
@@ -29,6 +31,39 @@ def read_text_table(spark: SparkSession, path: str, sep: str = ";") -> DataFrame
             .option("inferSchema", False).option("mode", "PERMISSIVE").csv(path))
 
 
+def read_sheet(spark: SparkSession, path: str, *, by_name: list[str] | None = None,
+               by_position: list[str] | None = None) -> DataFrame:
+    """First sheet of each xlsx file under ``path`` as string columns:
+    ``by_name`` picks header names (a missing one is null), ``by_position``
+    names the first columns.  Files are read with Spark's ``binaryFile``
+    source; each file is decoded by pandas in its task (a sheet is small).
+    Needs openpyxl on the executors.
+    """
+    try:
+        import openpyxl  # noqa: F401
+    except ImportError as e:
+        raise RuntimeError("reading xlsx needs openpyxl; drop the sheet as CSV or Parquet instead") from e
+    names = by_name or by_position
+    schema = ", ".join(f"`{n}` string" for n in names)
+
+    def decode(batches):
+        import io
+
+        import pandas as pd
+        for pdf in batches:
+            for content in pdf["content"]:
+                sheet = pd.read_excel(io.BytesIO(content), header=0, dtype=str)
+                if by_name:
+                    sheet = sheet.reindex(columns=by_name)
+                else:
+                    sheet = sheet.iloc[:, :len(by_position)]
+                    sheet.columns = by_position
+                yield sheet.astype(object).where(sheet.notna(), None)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
+    return files.select("content").mapInPandas(decode, schema)
+
+
 def parse_transactions(text: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """Raw file columns (strings) -> staging transactions.
 
@@ -59,6 +94,8 @@ def read_terminals_file(spark: SparkSession, path: str, fmt: str = "csv", sep: s
         return (spark.read.schema(sch.STG_TERMINALS).option("header", True)
                 .option("sep", sep).option("enforceSchema", True).csv(path))
     from .tables import stage_terminals
+    if fmt == "xlsx":
+        return stage_terminals(read_sheet(spark, path, by_position=sch.STG_TERMINALS.names))
     return stage_terminals(spark.read.format(fmt).load(path))
 
 
@@ -72,7 +109,12 @@ def parse_blacklist(sheet: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss") ->
 
 def read_blacklist_file(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";") -> DataFrame:
     """Blacklist sheet to staging rows (passport_num, entry_dt)."""
-    sheet = read_text_table(spark, path, sep) if fmt == "csv" else spark.read.format(fmt).load(path)
+    if fmt == "csv":
+        sheet = read_text_table(spark, path, sep)
+    elif fmt == "xlsx":
+        sheet = read_sheet(spark, path, by_name=sch.BLACKLIST_FILE_COLUMNS)
+    else:
+        sheet = spark.read.format(fmt).load(path)
     return parse_blacklist(sheet)
 
 

@@ -108,3 +108,22 @@ def test_terminals_sheet_from_parquet(spark, tmp_path):
     df.write.parquet(str(tmp_path / "t"))
     assert tuple(files.read_terminals_file(spark, str(tmp_path / "t"), fmt="parquet").first()) == \
         ("T1", "ATM", "Moscow", "Lenina 1")
+
+
+def test_xlsx_sheets_need_openpyxl(spark, tmp_path):
+    import pytest
+    try:
+        import openpyxl  # noqa: F401
+    except ImportError:
+        with pytest.raises(RuntimeError, match="openpyxl"):
+            files.read_terminals_file(spark, str(tmp_path), fmt="xlsx")
+        return
+    import pandas as pd
+    pd.DataFrame({"id": ["T1"], "kind": ["ATM"], "town": ["Moscow"], "street": ["Lenina 1"]}).to_excel(
+        tmp_path / "terminals_file_01032021.xlsx", index=False)
+    pd.DataFrame({"date": ["2021-03-01 00:00:00"], "passport": ["P1"]}).to_excel(
+        tmp_path / "passport_blacklist_01032021.xlsx", index=False)
+    t = files.read_terminals_file(spark, str(tmp_path / "terminals_file_01032021.xlsx"), fmt="xlsx")
+    assert tuple(t.first()) == ("T1", "ATM", "Moscow", "Lenina 1")
+    b = files.read_blacklist_file(spark, str(tmp_path / "passport_blacklist_01032021.xlsx"), fmt="xlsx")
+    assert b.first().passport_num == "P1"
