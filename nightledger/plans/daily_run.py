@@ -134,6 +134,11 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
         hist = store.read_version(sch.HIST_TABLES[d], prev, sch.HIST[d])
         store.write_version(sch.HIST_TABLES[d], day, scd.scd2_apply(hist, snap, key, attrs, batch_ts))
     dims = {d: store.read_version(sch.DIM_TABLES[d], day, sch.DIM[d]) for d in sch.DIMENSIONS}
+    if on_violation != "ignore":
+        # K5: deleting a parent leaves its children behind (Q11); report them.
+        dwh_orphans = quality.check_all({d: dims[d] for d in ("clients", "accounts", "cards")})["orphans"]
+        dwh_orphans.write.mode("overwrite").parquet(
+            store.path("_quarantine", f"batch={day.isoformat()}", "dwh_orphans"))
 
     # Facts: only rows not stored before; today's partition is replaced.
     tx_fact, bl_fact = "dwh_fact_transactions", "dwh_fact_blacklist"

@@ -98,3 +98,12 @@ def test_rerun_with_no_rows_empties_the_partition(spark, tmp_path):
     assert store.read_partitions("f", "load_dt", sch.FACT_TRANSACTIONS, [day]).count() == 1
     store.write_partition("f", "load_dt", day, rows.limit(0))
     assert store.read_partitions("f", "load_dt", sch.FACT_TRANSACTIONS, [day]).count() == 0
+
+
+def test_dimension_orphans_are_reported(spark, sf_small, tmp_path):
+    store = Store(spark, str(tmp_path / "wh"))
+    run_day(store, "02022024", _inputs(spark, sf_small, 2), batch_ts="2024-02-02 09:00:00",
+            report_dt="2024-02-02")
+    orphans = spark.read.parquet(store.path("_quarantine", "batch=2024-02-02", "dwh_orphans"))
+    # cards of accounts missing from today's snapshot (k % 10 = 8) stay behind
+    assert orphans.where("relation = 'cards.account_num->accounts'").count() > 0
