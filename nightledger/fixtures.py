@@ -26,8 +26,19 @@ REPORT_DT = "2024-02-01"
 OLD_FROM = "2023-12-01 00:00:00"
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's tables.  The DataFrame (not its data) is kept per
+    session and path, so repeated use does not list and open the file
+    again; the tables are read-only."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def ts(s: str) -> Column:
@@ -50,60 +61,59 @@ def _plus_days(d: Column, n: Column) -> Column:
 # Source snapshots (one row per key), with the number k kept as _k.
 # --------------------------------------------------------------------------
 
+# Derivations are SQL expressions: each select is one call into the JVM,
+# parsed there, instead of one call per column operator.
+_NOW0 = f"TIMESTAMP_NTZ'{DAY0} 00:00:00'"
+
+
 def clients_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        k.alias("_k"),
-        _txt("C", k).alias("client_id"),
-        F.col("c_mktsegment").alias("last_name"),
-        F.col("c_name").alias("first_name"),
-        F.when(k % 5 == 0, F.lit(None).cast("string"))
-         .otherwise(_txt("N", F.col("c_nationkey"))).alias("patrinymic"),
-        _plus_days(day("1960-01-01"), k % 15000).alias("date_of_birth"),
-        _txt("P", k).alias("passport_num"),
-        _plus_days(day(DAY0), (k * 7) % 60).alias("passport_valid_to"),
-        F.when(k % 11 == 0, F.lit(None).cast("string"))
-         .otherwise(_txt("+7", k)).alias("phone"),
-        ts(f"{DAY0} 00:00:00").alias("create_dt"),
-        F.lit(None).cast("timestamp_ntz").alias("update_dt"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS _k",
+        "concat('C', c_custkey) AS client_id",
+        "c_mktsegment AS last_name",
+        "c_name AS first_name",
+        "CASE WHEN c_custkey % 5 = 0 THEN CAST(NULL AS STRING) ELSE concat('N', c_nationkey) END AS patrinymic",
+        "date_add(DATE'1960-01-01', CAST(c_custkey % 15000 AS INT)) AS date_of_birth",
+        "concat('P', c_custkey) AS passport_num",
+        f"date_add(DATE'{DAY0}', CAST((c_custkey * 7) % 60 AS INT)) AS passport_valid_to",
+        "CASE WHEN c_custkey % 11 = 0 THEN CAST(NULL AS STRING) ELSE concat('+7', c_custkey) END AS phone",
+        f"{_NOW0} AS create_dt",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS update_dt",
     )
 
 
 def accounts_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        k.alias("_k"),
-        _txt("A", k).alias("account_num"),
-        _plus_days(day(DAY0), (k * 13) % 90).alias("valid_to"),
-        _txt("C", k).alias("client"),
-        ts(f"{DAY0} 00:00:00").alias("create_dt"),
-        F.lit(None).cast("timestamp_ntz").alias("update_dt"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS _k",
+        "concat('A', c_custkey) AS account_num",
+        f"date_add(DATE'{DAY0}', CAST((c_custkey * 13) % 90 AS INT)) AS valid_to",
+        "concat('C', c_custkey) AS client",
+        f"{_NOW0} AS create_dt",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS update_dt",
     )
 
 
 def cards_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    c = table(spark, sf_dir, "customer").select(k)
-    j = F.explode(F.array(F.lit(0), F.lit(1))).alias("_j")
-    return c.select(k, j).select(
-        (F.col("c_custkey") * 2 + F.col("_j")).alias("_k"),
-        F.concat(F.lit("K"), k.cast("string"), F.lit("-"), F.col("_j").cast("string")).alias("card_num"),
-        _txt("A", k).alias("account_num"),
-        ts(f"{DAY0} 00:00:00").alias("create_dt"),
-        F.lit(None).cast("timestamp_ntz").alias("update_dt"),
-    )
+    return (table(spark, sf_dir, "customer")
+            .selectExpr("c_custkey", "explode(array(0, 1)) AS _j")
+            .selectExpr(
+                "c_custkey * 2 + _j AS _k",
+                "concat('K', c_custkey, '-', _j) AS card_num",
+                "concat('A', c_custkey) AS account_num",
+                f"{_NOW0} AS create_dt",
+                "CAST(NULL AS TIMESTAMP_NTZ) AS update_dt",
+            ))
 
 
 def terminals_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
-    k = F.col("s_suppkey")
-    return s.join(n, s.s_nationkey == n.n_nationkey, "inner").select(
-        k.alias("_k"),
-        _txt("T", k).alias("terminal_id"),
-        F.when(k % 2 == 0, F.lit("ATM")).otherwise(F.lit("POS")).alias("terminal_type"),
-        F.col("n_name").alias("terminal_city"),
-        F.col("s_name").alias("terminal_address"),
+    return s.join(n, s.s_nationkey == n.n_nationkey, "inner").selectExpr(
+        "s_suppkey AS _k",
+        "concat('T', s_suppkey) AS terminal_id",
+        "CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type",
+        "n_name AS terminal_city",
+        "s_name AS terminal_address",
     )
 
 
@@ -134,33 +144,25 @@ def transactions(spark: SparkSession, sf_dir: str, *, compress_time: bool = Fals
     squeezes the 30 days of events into 12 hours, so that a client's
     operations fall minutes apart instead of hours.
     """
-    e = table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    t = F.col("ts")
+    t = "ts"
     if compress_time:
-        micros = F.timestamp_diff("MICROSECOND", ts(f"{DAY0} 00:00:00"), t)
-        t = ts(f"{DAY0} 00:00:00") + F.make_dt_interval(
-            F.lit(0), F.lit(0), F.lit(0),
-            (F.floor(micros / 60)).cast("decimal(18,6)") / F.lit(1_000_000))
-    return e.select(
-        eid.cast("string").alias("trans_id"),
-        t.alias("trans_date"),
-        F.concat(F.lit("K"), F.col("user_id").cast("string"), F.lit("-"),
-                 (eid % 2).cast("string")).alias("card_num"),
-        F.col("event_type").alias("oper_type"),
-        F.col("value").cast(sch.AMOUNT).alias("amt"),
-        F.when(F.col("event_type").isin("error", "view", "click"), F.lit(sch.OPER_REJECT))
-         .otherwise(F.lit(sch.OPER_SUCCESS)).alias("oper_result"),
-        _txt("T", eid % 10).alias("terminal"),
+        t = (f"{_NOW0} + make_dt_interval(0, 0, 0, CAST(floor(timestampdiff(MICROSECOND, {_NOW0}, ts) / 60)"
+             " AS DECIMAL(18, 6)) / 1000000)")
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS STRING) AS trans_id",
+        f"{t} AS trans_date",
+        "concat('K', user_id, '-', event_id % 2) AS card_num",
+        "event_type AS oper_type",
+        f"CAST(value AS {sch.AMOUNT.simpleString()}) AS amt",
+        f"CASE WHEN event_type IN ('error', 'view', 'click') THEN '{sch.OPER_REJECT}' "
+        f"ELSE '{sch.OPER_SUCCESS}' END AS oper_result",
+        "concat('T', event_id % 10) AS terminal",
     )
 
 
 def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").where(k % 17 == 3).select(
-        _txt("P", k).alias("passport_num"),
-        ts(f"{DAY0} 00:00:00").alias("entry_dt"),
-    )
+    return (table(spark, sf_dir, "customer").where("c_custkey % 17 = 3")
+            .selectExpr("concat('P', c_custkey) AS passport_num", f"{_NOW0} AS entry_dt"))
 
 
 # --------------------------------------------------------------------------
