@@ -45,18 +45,10 @@ def ts(s: str) -> Column:
     return F.lit(s).cast("timestamp_ntz")
 
 
-def day(s: str) -> Column:
-    return F.lit(s).cast("date")
-
-
 def _txt(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
-def _plus_days(d: Column, n: Column) -> Column:
-    return F.date_add(d, n.cast("int"))
-
-
 # --------------------------------------------------------------------------
 # Source snapshots (one row per key), with the number k kept as _k.
 # --------------------------------------------------------------------------
@@ -171,51 +163,69 @@ def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 # today); k%10 in 3..6 carry attribute changes.
 # --------------------------------------------------------------------------
 
-def _null(t: str) -> Column:
-    return F.lit(None).cast(t)
+# The change scenario, as data: (side, attribute, k % 10 values, new value as
+# a SQL expression over the row).  ``fixtures_sql`` reads the same table, so
+# both engines see the same inputs; the change capture itself is written
+# independently on each side.
+CHANGES: dict[str, list[tuple[str, str, tuple[int, ...], str]]] = {
+    "terminals": [
+        ("curr", "terminal_city", (3,), "'MOVED_' || terminal_city"),
+        ("prev", "terminal_address", (4,), "CAST(NULL AS STRING)"),
+        ("curr", "terminal_address", (5,), "CAST(NULL AS STRING)"),
+    ],
+    "clients": [
+        ("curr", "last_name", (3,), "'X_' || last_name"),
+        ("prev", "phone", (4,), "CAST(NULL AS STRING)"),
+        ("curr", "phone", (5,), "CAST(NULL AS STRING)"),
+        ("curr", "passport_valid_to", (6,), "CAST(passport_valid_to + 365 AS DATE)"),
+    ],
+    "accounts": [
+        ("curr", "valid_to", (3, 5), "CAST(valid_to + 30 AS DATE)"),
+        ("curr", "client", (4, 5), "'C0'"),
+        ("prev", "valid_to", (6,), "CAST(NULL AS DATE)"),
+    ],
+    "cards": [
+        ("curr", "account_num", (3,), "'A0'"),
+        ("prev", "account_num", (4,), "CAST(NULL AS STRING)"),
+        ("curr", "account_num", (5,), "CAST(NULL AS STRING)"),
+    ],
+}
+# Older closed versions (k % 10 in 7, 8) differ in one attribute.
+OLD_VERSION = {
+    "terminals": ("terminal_city", "'OLD_' || terminal_city"),
+    "clients": ("last_name", "'OLD_' || last_name"),
+    "accounts": ("client", "'OLD'"),
+    "cards": ("account_num", "'OLD'"),
+}
 
 
-def _mod(c: int) -> Column:
-    return F.col("_k") % 10 == c
+def side_columns(dim: str, side: str) -> list[str]:
+    """SQL select list (key, attributes) of one side of the snapshot pair."""
+    cols = [sch.dim_key(dim)]
+    for a in sch.dim_attrs(dim):
+        expr = a
+        for s, attr, ks, e in CHANGES[dim]:
+            if s == side and attr == a:
+                expr = f"CASE WHEN _k % 10 IN ({', '.join(map(str, ks))}) THEN {e} ELSE {expr} END"
+        cols.append(f"{expr} AS {a}")
+    return cols
 
 
 def snapshot_pair(spark: SparkSession, sf_dir: str, dim: str) -> tuple[DataFrame, DataFrame]:
-    """(prev, curr) attribute snapshots of one dimension, key + attrs only."""
-    key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
+    """(prev, curr) snapshots of one dimension: key, attributes and _k.
+    prev lacks k % 10 = 9 (inserted today), curr lacks k % 10 = 8 (deleted
+    today)."""
     base = {"terminals": terminals_k, "clients": clients_k,
             "accounts": accounts_k, "cards": cards_k}[dim](spark, sf_dir)
-    base = base.select("_k", key, *attrs)
-    prev = base.where(F.col("_k") % 10 != 9)
-    curr = base.where(F.col("_k") % 10 != 8)
-    if dim == "terminals":
-        curr = curr.withColumn("terminal_city", F.when(_mod(3), F.concat(F.lit("MOVED_"), "terminal_city"))
-                               .otherwise(F.col("terminal_city")))
-        prev = prev.withColumn("terminal_address", F.when(_mod(4), _null("string")).otherwise(F.col("terminal_address")))
-        curr = curr.withColumn("terminal_address", F.when(_mod(5), _null("string")).otherwise(F.col("terminal_address")))
-    elif dim == "clients":
-        curr = curr.withColumn("last_name", F.when(_mod(3), F.concat(F.lit("X_"), "last_name"))
-                               .otherwise(F.col("last_name")))
-        prev = prev.withColumn("phone", F.when(_mod(4), _null("string")).otherwise(F.col("phone")))
-        curr = curr.withColumn("phone", F.when(_mod(5), _null("string")).otherwise(F.col("phone")))
-        curr = curr.withColumn("passport_valid_to", F.when(_mod(6), F.date_add("passport_valid_to", 365))
-                               .otherwise(F.col("passport_valid_to")))
-    elif dim == "accounts":
-        curr = curr.withColumn("valid_to", F.when(_mod(3) | _mod(5), F.date_add("valid_to", 30))
-                               .otherwise(F.col("valid_to")))
-        curr = curr.withColumn("client", F.when(_mod(4) | _mod(5), F.lit("C0")).otherwise(F.col("client")))
-        prev = prev.withColumn("valid_to", F.when(_mod(6), _null("date")).otherwise(F.col("valid_to")))
-    elif dim == "cards":
-        curr = curr.withColumn("account_num", F.when(_mod(3), F.lit("A0")).otherwise(F.col("account_num")))
-        prev = prev.withColumn("account_num", F.when(_mod(4), _null("string")).otherwise(F.col("account_num")))
-        curr = curr.withColumn("account_num", F.when(_mod(5), _null("string")).otherwise(F.col("account_num")))
+    prev = base.where("_k % 10 <> 9").selectExpr("_k", *side_columns(dim, "prev"))
+    curr = base.where("_k % 10 <> 8").selectExpr("_k", *side_columns(dim, "curr"))
     return prev, curr
 
 
 def stored_dimension(spark: SparkSession, sf_dir: str, dim: str) -> DataFrame:
     """The SCD1 dimension as stored before today's run."""
     prev, _ = snapshot_pair(spark, sf_dir, dim)
-    return prev.drop("_k").select(
-        "*", ts(f"{DAY0} 00:00:00").alias("create_dt"), _null("timestamp_ntz").alias("update_dt"))
+    return prev.drop("_k").selectExpr("*", f"{_NOW0} AS create_dt", "CAST(NULL AS TIMESTAMP_NTZ) AS update_dt")
 
 
 def todays_snapshot(spark: SparkSession, sf_dir: str, dim: str) -> DataFrame:
@@ -223,26 +233,18 @@ def todays_snapshot(spark: SparkSession, sf_dir: str, dim: str) -> DataFrame:
     return curr.drop("_k")
 
 
-_OLD_VERSION = {
-    "terminals": ("terminal_city", lambda c: F.concat(F.lit("OLD_"), c)),
-    "clients": ("last_name", lambda c: F.concat(F.lit("OLD_"), c)),
-    "accounts": ("client", lambda c: F.lit("OLD")),
-    "cards": ("account_num", lambda c: F.lit("OLD")),
-}
-
-
 def stored_history(spark: SparkSession, sf_dir: str, dim: str) -> DataFrame:
     """The SCD2 history before today's run: every stored key has an open
     version from DAY0; keys with k%10 in (7, 8) also have an older closed
     version with a different attribute value."""
     prev, _ = snapshot_pair(spark, sf_dir, dim)
     key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
-    open_v = prev.select(key, *attrs, ts(f"{DAY0} 00:00:00").alias("effective_from"),
-                         _null("timestamp_ntz").alias("effective_to"), F.lit(False).alias("deleted"))
-    col, fn = _OLD_VERSION[dim]
-    closed = prev.where(_mod(7) | _mod(8)).withColumn(col, fn(F.col(col))).select(
-        key, *attrs, ts(OLD_FROM).alias("effective_from"),
-        ts(f"{DAY0} 00:00:00").alias("effective_to"), F.lit(False).alias("deleted"))
+    col, expr = OLD_VERSION[dim]
+    open_v = prev.selectExpr(key, *attrs, f"{_NOW0} AS effective_from",
+                             "CAST(NULL AS TIMESTAMP_NTZ) AS effective_to", "false AS deleted")
+    closed = prev.where("_k % 10 IN (7, 8)").selectExpr(
+        key, *[f"{expr} AS {a}" if a == col else a for a in attrs],
+        f"TIMESTAMP_NTZ'{OLD_FROM}' AS effective_from", f"{_NOW0} AS effective_to", "false AS deleted")
     return open_v.unionByName(closed)
 
 

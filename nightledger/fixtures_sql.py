@@ -6,6 +6,8 @@ Spark queries on the same parquet tables (views ``customer``, ``supplier``,
 from __future__ import annotations
 
 from . import schemas as sch
+from .fixtures import OLD_VERSION as _OLD_VERSION
+from .fixtures import side_columns
 
 DAY0 = "DATE '2024-01-01'"
 DAY0_TS = "TIMESTAMP '2024-01-01 00:00:00'"
@@ -159,49 +161,12 @@ def enriched_ctes(compress_time: bool = False) -> dict[str, str]:
 
 
 # Snapshot pairs (prev = stored, curr = today's staging) ----------------------------
-# Per dimension: {attr: (side, k%10 values, SQL expression of the attribute)}.
-_CHANGES = {
-    "terminals": [
-        ("curr", "terminal_city", (3,), "'MOVED_' || terminal_city"),
-        ("prev", "terminal_address", (4,), "CAST(NULL AS VARCHAR)"),
-        ("curr", "terminal_address", (5,), "CAST(NULL AS VARCHAR)"),
-    ],
-    "clients": [
-        ("curr", "last_name", (3,), "'X_' || last_name"),
-        ("prev", "phone", (4,), "CAST(NULL AS VARCHAR)"),
-        ("curr", "phone", (5,), "CAST(NULL AS VARCHAR)"),
-        ("curr", "passport_valid_to", (6,), "CAST(passport_valid_to + 365 AS DATE)"),
-    ],
-    "accounts": [
-        ("curr", "valid_to", (3, 5), "CAST(valid_to + 30 AS DATE)"),
-        ("curr", "client", (4, 5), "'C0'"),
-        ("prev", "valid_to", (6,), "CAST(NULL AS DATE)"),
-    ],
-    "cards": [
-        ("curr", "account_num", (3,), "'A0'"),
-        ("prev", "account_num", (4,), "CAST(NULL AS VARCHAR)"),
-        ("curr", "account_num", (5,), "CAST(NULL AS VARCHAR)"),
-    ],
-}
-_OLD_VERSION = {
-    "terminals": ("terminal_city", "'OLD_' || terminal_city"),
-    "clients": ("last_name", "'OLD_' || last_name"),
-    "accounts": ("client", "'OLD'"),
-    "cards": ("account_num", "'OLD'"),
-}
+# The change scenario is shared with fixtures.py (data, not logic).
 
 
 def _side(dim: str, side: str) -> str:
-    key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
-    cols = []
-    for a in attrs:
-        expr = a
-        for s, attr, ks, e in _CHANGES[dim]:
-            if s == side and attr == a:
-                expr = f"CASE WHEN _k % 10 IN ({', '.join(map(str, ks))}) THEN {e} ELSE {expr} END"
-        cols.append(f"{expr} AS {a}")
     drop = 9 if side == "prev" else 8
-    return f"SELECT _k, {key}, {', '.join(cols)} FROM {dim}_k WHERE _k % 10 <> {drop}"
+    return f"SELECT _k, {', '.join(side_columns(dim, side))} FROM {dim}_k WHERE _k % 10 <> {drop}"
 
 
 def scd_ctes(dim: str, p: str = "", base: bool = True) -> dict[str, str]:
