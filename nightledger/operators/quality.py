@@ -1,7 +1,7 @@
 """K1-K6: data-quality checks in place of database constraints.
 
 Each check returns a DataFrame of violations (or a per-table summary), so a
-run can fail, or quarantine the offending rows, instead of a constraint
+run can fail, or report the offending rows and go on, instead of a constraint
 aborting the load.
 """
 
