@@ -30,6 +30,19 @@ def _report(rows: DataFrame, event_type: str, report_dt: DateLike) -> DataFrame:
     )
 
 
+def _with_blacklist_flag(enriched: DataFrame, blacklist: DataFrame | None) -> DataFrame:
+    """The enriched rows with ``passport_blacklisted``: kept if ``enrich``
+    already attached it (on the client dimension, the cheap place), else
+    joined here from ``blacklist``."""
+    if blacklist is None:
+        if BLACKLISTED not in enriched.columns:
+            raise ValueError("pass the blacklist, or enrich with it")
+        return enriched
+    return (enriched.drop(BLACKLISTED)
+            .join(blacklisted_passports(blacklist), "passport_num", "left")
+            .withColumn(BLACKLISTED, F.coalesce(F.col(BLACKLISTED), F.lit(False))))
+
+
 def fraud_passport(enriched: DataFrame, report_dt: DateLike,
                    blacklist: DataFrame | None = None) -> DataFrame:
     """passport expired before the operation, or blacklisted.
@@ -40,14 +53,7 @@ def fraud_passport(enriched: DataFrame, report_dt: DateLike,
     enriched table already carries ``passport_blacklisted`` (see
     ``enrich(..., blacklist=)``) no further join is needed.
     """
-    if blacklist is None:
-        if BLACKLISTED not in enriched.columns:
-            raise ValueError("pass the blacklist, or enrich with it")
-        rows = enriched
-    else:
-        rows = (enriched.drop(BLACKLISTED)
-                .join(blacklisted_passports(blacklist), "passport_num", "left")
-                .withColumn(BLACKLISTED, F.coalesce(F.col(BLACKLISTED), F.lit(False))))
+    rows = _with_blacklist_flag(enriched, blacklist)
     hit = (F.col("passport_valid_to") < F.col("trans_date")) | F.col(BLACKLISTED)
     return _report(rows.where(hit), sch.EVENT_PASSPORT, report_dt)
 
@@ -167,12 +173,7 @@ def fraud_report(enriched: DataFrame, report_dt: DateLike,
     F3 rows (all others carry a unique row identity).  Same rows as
     ``fraud_report_by_rule``.
     """
-    if blacklist is not None:
-        enriched = (enriched.drop(BLACKLISTED)
-                    .join(blacklisted_passports(blacklist), "passport_num", "left")
-                    .withColumn(BLACKLISTED, F.coalesce(F.col(BLACKLISTED), F.lit(False))))
-    elif BLACKLISTED not in enriched.columns:
-        raise ValueError("pass the blacklist, or enrich with it")
+    enriched = _with_blacklist_flag(enriched, blacklist)
     extra = ["passport_num", "fio", "phone", "passport_valid_to", "valid_to",
              "terminal_city", BLACKLISTED]
     lagged = client_lags(enriched, extra=extra)
