@@ -310,3 +310,20 @@ def blacklist_sheet(spark, sf_dir) -> DataFrame:
     b = blacklist(spark, sf_dir)
     return b.select(F.date_format("entry_dt", "yyyy-MM-dd HH:mm:ss").alias("date"),
                     F.col("passport_num").alias("passport"))
+
+
+def daily_staging(spark: SparkSession, sf_dir: str, day: int) -> dict[str, DataFrame]:
+    """Staged inputs of a two-day scenario: day 1 loads the stored state
+    (prev snapshots, facts but event_id % 10 = 9, the stored blacklist),
+    day 2 today's snapshots, all events and today's blacklist sheet."""
+    snap = ((lambda d: stored_dimension(spark, sf_dir, d).drop("create_dt", "update_dt")) if day == 1
+            else (lambda d: todays_snapshot(spark, sf_dir, d)))
+    stamps = ["CAST(NULL AS TIMESTAMP_NTZ) AS create_dt", "CAST(NULL AS TIMESTAMP_NTZ) AS update_dt"]
+    return {
+        "transactions": stored_transactions(spark, sf_dir) if day == 1 else transactions(spark, sf_dir),
+        "terminals": snap("terminals"),
+        "blacklist": stored_blacklist(spark, sf_dir) if day == 1 else incoming_blacklist(spark, sf_dir),
+        "clients": snap("clients").selectExpr("*", *stamps),
+        "accounts": snap("accounts").selectExpr("*", *stamps),
+        "cards": snap("cards").selectExpr("*", *stamps),
+    }

@@ -330,3 +330,19 @@ DQ_BAD_AMOUNTS = """SELECT 'transactions' AS table_name, count(*) AS n_rows,
   count(*) FILTER (WHERE amount IS NOT NULL AND TRY_CAST(replace(trim(amount), ',', '.') AS DECIMAL(18,2)) IS NULL)
     AS n_bad_amounts
 FROM (SELECT replace(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS amount FROM events)"""
+
+
+# The report published by the second day of a two-day run ----------------------
+def daily_run_report_sql() -> str:
+    """F5 over all events, today's snapshots of the four dimensions and the
+    stored plus today's blacklist."""
+    c = all_dims_ctes()
+    for d in sch.DIMENSIONS:
+        c.pop(d)                       # re-added last: it reads {d}_curr
+        c[d] = f"SELECT * EXCLUDE (_k) FROM {d}_curr"
+    c.pop("blacklist")
+    c["blacklist"] = (
+        f"SELECT 'P' || c_custkey AS passport_num FROM customer WHERE c_custkey % 17 = 3 AND c_custkey % 3 = 0 "
+        f"UNION ALL SELECT 'P' || c_custkey FROM customer WHERE c_custkey % 17 = 3")
+    c["enriched"] = ENRICHED
+    return with_ctes(c, "\nUNION ALL\n".join(f"SELECT * FROM ({q})" for q in (F1, F2, F3, f4())))

@@ -274,3 +274,18 @@ def q_dq_orphans(spark, sf_dir):
 def q_dq_bad_amounts(spark, sf_dir):
     path = drop_file(spark, fx.transactions_text(spark, sf_dir), "transactions_file")
     return quality.bad_amount_summary(files.read_text_table(spark, path), "transactions")
+
+
+# D14 ------------------------------------------------------------------------------------------
+@register("daily_run_report", fq.daily_run_report_sql())
+def q_daily_run_report(spark, sf_dir):
+    """Two daily runs into a fresh warehouse under the scratch folder; the
+    report published by the second."""
+    from .daily_run import DailyInputs, read_report, run_day
+    from .store import Store
+    store = Store(spark, scratch_path(spark, "warehouse"))
+    run_day(store, "01022024", DailyInputs(**fx.daily_staging(spark, sf_dir, 1)),
+            batch_ts="2024-02-01 09:00:00", report_dt="2024-01-31")
+    run_day(store, "02022024", DailyInputs(**fx.daily_staging(spark, sf_dir, 2)),
+            batch_ts=fx.BATCH_TS, report_dt=fx.REPORT_DT)
+    return read_report(store, fx.REPORT_DT)

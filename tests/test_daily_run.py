@@ -13,18 +13,7 @@ from nightledger.plans.store import Store
 
 
 def _inputs(spark, sf, day: int) -> DailyInputs:
-    snap = (lambda d: fx.stored_dimension(spark, sf, d).drop("create_dt", "update_dt")) if day == 1 \
-        else (lambda d: fx.todays_snapshot(spark, sf, d))
-    tx = fx.stored_transactions(spark, sf) if day == 1 else fx.transactions(spark, sf)
-    bl = fx.stored_blacklist(spark, sf) if day == 1 else fx.incoming_blacklist(spark, sf)
-    c = snap("clients").withColumn("create_dt", F.lit(None).cast("timestamp_ntz")) \
-                       .withColumn("update_dt", F.lit(None).cast("timestamp_ntz"))
-    a = snap("accounts").withColumn("create_dt", F.lit(None).cast("timestamp_ntz")) \
-                        .withColumn("update_dt", F.lit(None).cast("timestamp_ntz"))
-    k = snap("cards").withColumn("create_dt", F.lit(None).cast("timestamp_ntz")) \
-                     .withColumn("update_dt", F.lit(None).cast("timestamp_ntz"))
-    return DailyInputs(transactions=tx, terminals=snap("terminals"), blacklist=bl,
-                       clients=c, accounts=a, cards=k)
+    return DailyInputs(**fx.daily_staging(spark, sf, day))
 
 
 def _snapshot_of(store, day):
