@@ -87,3 +87,32 @@ def check_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             for rel, c, ck, fk, p, pk in FOREIGN_KEYS if c in tables and p in tables]
     u = lambda xs: reduce(DataFrame.unionByName, xs) if xs else None
     return {"duplicate_keys": u(dups), "null_keys": u(nulls), "orphans": u(orph)}
+
+
+def violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """All K1, K3, K4 and K6 findings over staged tables in one shape:
+    (check, table_name, key_value, detail)."""
+    c = check_all(tables)
+    parts = []
+    if c["duplicate_keys"] is not None:
+        parts.append(c["duplicate_keys"].select(
+            F.lit("duplicate_key").alias("check"), "table_name", "key_value",
+            F.col("n_rows").cast("string").alias("detail")))
+        parts.append(c["null_keys"].where(F.col("n_null_keys") > 0).select(
+            F.lit("null_key").alias("check"), "table_name", F.lit(None).cast("string").alias("key_value"),
+            F.col("n_null_keys").cast("string").alias("detail")))
+    if c["orphans"] is not None:
+        parts.append(c["orphans"].select(
+            F.lit("orphan").alias("check"), F.col("relation").alias("table_name"),
+            F.col("child_key").alias("key_value"), F.col("fk_value").alias("detail")))
+    if "transactions" in tables:
+        t = tables["transactions"]
+        bad = t.where(F.col("amt").isNull() | F.col("trans_date").isNull())
+        parts.append(bad.select(
+            F.lit("unparsed_value").alias("check"), F.lit("transactions").alias("table_name"),
+            F.col("trans_id").alias("key_value"),
+            F.concat_ws(",", F.when(F.col("amt").isNull(), F.lit("amt")),
+                        F.when(F.col("trans_date").isNull(), F.lit("trans_date"))).alias("detail")))
+    if not parts:
+        raise ValueError("no table to check")
+    return reduce(DataFrame.unionByName, parts)

@@ -72,28 +72,20 @@ class QualityError(RuntimeError):
 
 
 def _check(store: Store, day: _dt.date, inputs: DailyInputs, on_violation: str) -> None:
-    """Run the key and reference checks over the staged inputs.  ``fail``
-    raises on any violation; ``report`` writes the violations under
-    ``_quarantine/batch=<day>/`` and loads the batch as it is; ``ignore``
-    skips the checks."""
+    """Run the key, reference and parse checks over the staged inputs.
+    ``fail`` raises on any violation; ``report`` writes them to
+    ``_quarantine/batch=<day>/violations`` and loads the batch as it is;
+    ``ignore`` skips the checks."""
     if on_violation not in ("fail", "report", "ignore"):
         raise ValueError("on_violation must be 'fail', 'report' or 'ignore'")
     if on_violation == "ignore":
         return
-    checks = quality.check_all(inputs.as_dict())
-    # values that did not parse (amount with a decimal comma, timestamp)
-    checks["unparsed_values"] = inputs.transactions.where(
-        F.col("amt").isNull() | F.col("trans_date").isNull())
-    for name, df in checks.items():
-        if df is None:
-            continue
-        if name == "null_keys":
-            df = df.where(F.col("n_null_keys") > 0)
-        if on_violation == "fail":
-            if df.limit(1).count():
-                raise QualityError(f"{name} violations in batch {day}")
-        else:
-            df.write.mode("overwrite").parquet(store.path("_quarantine", f"batch={day.isoformat()}", name))
+    found = quality.violations(inputs.as_dict())
+    if on_violation == "fail":
+        if found.limit(1).count():
+            raise QualityError(f"data-quality violations in batch {day}")
+    else:
+        found.write.mode("overwrite").parquet(store.path("_quarantine", f"batch={day.isoformat()}", "violations"))
 
 
 def run_day(store: Store, label: str, inputs: DailyInputs, *,

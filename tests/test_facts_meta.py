@@ -127,3 +127,14 @@ def test_xlsx_sheets_need_openpyxl(spark, tmp_path):
     assert tuple(t.first()) == ("T1", "ATM", "Moscow", "Lenina 1")
     b = files.read_blacklist_file(spark, str(tmp_path / "passport_blacklist_01032021.xlsx"), fmt="xlsx")
     assert b.first().passport_num == "P1"
+
+
+def test_violations_in_one_shape(spark):
+    cards = spark.createDataFrame([("K1", "A1", T, None), ("K1", "A9", T, None)], sch.STG_CARDS)
+    accounts = spark.createDataFrame([("A1", dt.date(2024, 1, 1), "C1", T, None)], sch.STG_ACCOUNTS)
+    tx = spark.createDataFrame([("1", None, "K1", "PAY", None, "SUCCESS", "T1")], sch.STG_TRANSACTIONS)
+    got = sorted((r.check, r.table_name, r.key_value, r.detail)
+                 for r in quality.violations({"cards": cards, "accounts": accounts, "transactions": tx}).collect())
+    assert got == [("duplicate_key", "cards", "K1", "2"),
+                   ("orphan", "cards.account_num->accounts", "K1", "A9"),
+                   ("unparsed_value", "transactions", "1", "amt,trans_date")]
