@@ -96,3 +96,28 @@ def test_dimension_orphans_are_reported(spark, sf_small, tmp_path):
     orphans = spark.read.parquet(store.path("_quarantine", "batch=2024-02-02", "dwh_orphans"))
     # cards of accounts missing from today's snapshot (k % 10 = 8) stay behind
     assert orphans.where("relation = 'cards.account_num->accounts'").count() > 0
+
+
+def test_fail_mode_stops_before_publishing(spark, sf_small, tmp_path):
+    import pytest
+    from nightledger.plans.daily_run import QualityError
+    store = Store(spark, str(tmp_path / "wh"))
+    staged = fx.daily_staging(spark, sf_small, 2)
+    staged["cards"] = staged["cards"].unionByName(staged["cards"].limit(1))   # a duplicate key
+    with pytest.raises(QualityError):
+        run_day(store, "02022024", DailyInputs(**staged), batch_ts="2024-02-02 09:00:00",
+                report_dt="2024-02-02", on_violation="fail")
+    assert store.committed_days() == []
+
+
+def test_uncommitted_batch_is_invisible(spark, sf_small, tmp_path):
+    store = Store(spark, str(tmp_path / "wh"))
+    run_day(store, "01022024", _inputs(spark, sf_small, 1), batch_ts="2024-02-01 09:00:00",
+            report_dt="2024-02-01")
+    # a run for 2 Feb that died after writing facts, before its commit marker
+    junk = fx.transactions(spark, sf_small).limit(5)
+    store.write_partition("dwh_fact_transactions", "load_dt", dt.date(2024, 2, 2), junk)
+    assert store.committed_days() == [dt.date(2024, 2, 1)]
+    visible = store.read_partitions("dwh_fact_transactions", "load_dt", sch.FACT_TRANSACTIONS,
+                                    store.committed_days())
+    assert visible.count() == fx.stored_transactions(spark, sf_small).count()
