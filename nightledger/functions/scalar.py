@@ -34,13 +34,16 @@ def full_name(last: ColumnOrName = "last_name", first: ColumnOrName = "first_nam
 
 
 def hour_start(ts: ColumnOrName) -> Column:
-    """Clock-hour bucket of a wall-clock timestamp, kept as TIMESTAMP_NTZ.
+    """Clock-hour bucket of a wall-clock timestamp, kept as TIMESTAMP_NTZ;
+    null stays null.
 
-    ``date_trunc`` would return a zoned timestamp and shift times that fall
-    in a daylight-saving gap of the session zone; the tumbling-window start
-    works on the wall clock only.
+    Built from the timestamp's own fields, so it works on the wall clock
+    only: ``date_trunc`` would return a zoned timestamp and shift times in a
+    daylight-saving gap of the session zone, and ``window`` drops rows whose
+    time is null.
     """
-    return F.window(_c(ts), "1 hour").start
+    t = _c(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
 
 
 def changed(a: ColumnOrName, b: ColumnOrName) -> Column:

@@ -186,7 +186,8 @@ def fraud_report(enriched: DataFrame, report_dt: DateLike,
         F.monotonically_increasing_id().alias("_row"),
         ((F.col("passport_valid_to") < t) | F.col(BLACKLISTED)).alias("_f1"),
         (F.col("valid_to") < t).alias("_f2"),
-        (F.min("terminal_city").over(hour) != F.max("terminal_city").over(hour)).alias("_f3"),
+        # a null time has no clock hour; the original's join on it never matches
+        ((F.min("terminal_city").over(hour) != F.max("terminal_city").over(hour)) & t.isNotNull()).alias("_f3"),
         F.sum(probe_hit).over(instant).cast("int").alias("_f4"))
 
     # One (rule, copy) entry per report row the transaction produces.

@@ -33,9 +33,10 @@ def ordered_lags(df: DataFrame, key: Sequence[str], order: Sequence[str],
     """Add ``<c>_lag<i>`` for each column c of ``order + values`` and i in
     1..n, equal to ``lag(c, i) over (partition by key order by order)``.
 
-    ``order`` must be a total order within a key (end it with a unique id).
-    ``bucket`` must be monotone in ``order`` (later rows never fall into an
-    earlier bucket).  With ``rank_col`` the row's 1-based position within
+    ``order`` must be a total order within a key (end it with a unique id);
+    nulls sort last, as in SQL's default ascending order.  ``bucket`` must
+    be monotone in ``order`` (later rows never fall into an earlier bucket;
+    a null bucket comes last).  With ``rank_col`` the row's 1-based position within
     its key is added too.  The bucket column ``_bucket`` stays in the output.
     """
     key, order, values = list(key), list(order), list(values)
@@ -48,7 +49,8 @@ def ordered_lags(df: DataFrame, key: Sequence[str], order: Sequence[str],
 
     # Last n rows of every (key, bucket).  The row_number <= n filter is
     # planned as a window group limit, applied map-side before the shuffle.
-    newest_first = Window.partitionBy(*key, BUCKET).orderBy(*[F.col(c).desc() for c in order])
+    newest_first = Window.partitionBy(*key, BUCKET).orderBy(*[F.col(c).desc_nulls_first() for c in order])
+    oldest_first = [F.col(c).asc_nulls_last() for c in order]
     tail = (d.select(*key, BUCKET, *carried)
              .withColumn("_rn", F.row_number().over(newest_first))
              .where(F.col("_rn") <= n).drop("_rn"))
@@ -56,12 +58,13 @@ def ordered_lags(df: DataFrame, key: Sequence[str], order: Sequence[str],
     # Within a key, the tail is at most n rows per bucket.  At the first
     # tail row of a bucket, the previous n tail rows are the n rows that
     # precede the bucket in the full order.
-    by_key = Window.partitionBy(*key).orderBy(*order)
+    by_key = Window.partitionBy(*key).orderBy(*oldest_first)
     rec = F.struct(*[F.col(c) for c in carried])
     prev = [F.lag(rec, i).over(by_key) for i in range(1, n + 1)]
     tail = tail.select(*key, BUCKET, F.lag(BUCKET, 1).over(by_key).alias("_prev_bucket"),
                        F.array(*prev).alias("_prev"))
-    carry = (tail.where(F.col("_prev_bucket").isNull() | (F.col("_prev_bucket") != F.col(BUCKET)))
+    first_of_bucket = ~F.col("_prev_bucket").eqNullSafe(F.col(BUCKET)) | F.col("_prev").getItem(0).isNull()
+    carry = (tail.where(first_of_bucket)
                  .select(*key, BUCKET, F.explode(F.filter("_prev", lambda r: r.isNotNull())).alias("_r"))
                  .select(*key, BUCKET, *[F.col(f"_r.{c}").alias(c) for c in carried])
                  .withColumn(_CARRY, F.lit(True)))
@@ -70,15 +73,16 @@ def ordered_lags(df: DataFrame, key: Sequence[str], order: Sequence[str],
     if rank_col:
         # Rows before the bucket, from per-bucket counts (one row per bucket).
         counts = d.groupBy(*key, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-        earlier = Window.partitionBy(*key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        earlier = (Window.partitionBy(*key).orderBy(F.col(BUCKET).asc_nulls_last())
+                   .rowsBetween(Window.unboundedPreceding, -1))
         offsets = counts.select(*key, BUCKET, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
         rows = rows.join(offsets, [*key, BUCKET], "left")
 
-    w = Window.partitionBy(*key, BUCKET).orderBy(*order)
+    w = Window.partitionBy(*key, BUCKET).orderBy(*oldest_first)
     lags = [F.lag(c, i).over(w).alias(lag_name(c, i)) for c in cols for i in range(1, n + 1)]
     extra = []
     if rank_col:
-        running = Window.partitionBy(*key, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        running = Window.partitionBy(*key, BUCKET).orderBy(*oldest_first).rowsBetween(Window.unboundedPreceding, 0)
         extra = [(F.col("_offset") + F.sum(F.when(~F.col(_CARRY), 1).otherwise(0)).over(running))
                  .cast("int").alias(rank_col)]
     out = rows.select("*", *lags, *extra).where(~F.col(_CARRY)).drop(_CARRY)

@@ -74,3 +74,9 @@ def test_bad_text_is_null_even_in_ansi_mode(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_hour_start_keeps_null_rows(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10, 59, 59, 999999),), (None,)], "t timestamp_ntz")
+    got = [r[0] for r in df.select(fn.hour_start("t")).collect()]
+    assert got == [dt.datetime(2024, 1, 1, 10), None]      # window() would have dropped the null row

@@ -81,7 +81,7 @@ def test_ordered_lags_equal_plain_window(spark, rows, width, n):
 
 ENRICH_ROWS = st.lists(
     st.tuples(st.sampled_from(["K1", "K2", "K3", "K9"]),          # K9 has no card row
-              st.integers(0, 240),                                # minutes after T0 (ties likely)
+              st.one_of(st.integers(0, 240), st.none()),          # minutes after T0 (ties likely); None: unparsed
               st.sampled_from(["5.00", "10.00", "20.00", "30.00"]),
               st.sampled_from(["REJECT", "SUCCESS"]),
               st.sampled_from(["T1", "T2", "T3", "TX"])),         # TX unknown, T3 has no city
@@ -105,7 +105,7 @@ def _dims(spark):
 
 def _facts(spark, rows):
     from decimal import Decimal
-    data = [(f"{i:03d}", T0 + dt.timedelta(minutes=m), card, "PAY", Decimal(a), res, term)
+    data = [(f"{i:03d}", None if m is None else T0 + dt.timedelta(minutes=m), card, "PAY", Decimal(a), res, term)
             for i, (card, m, a, res, term) in enumerate(rows)]
     return spark.createDataFrame(data, sch.FACT_TRANSACTIONS)
 
@@ -121,6 +121,7 @@ def test_report_forms_agree(spark, rows, since_min):
     fused = sorted(map(repr, rules.fraud_report(e, "2024-02-01").collect()))
     assert fused == sorted(map(repr, rules.fraud_report_by_rule(e, "2024-02-01").collect()))
     since = T0 + dt.timedelta(minutes=since_min)
-    full_after = [r for r in rules.fraud_report(e, "2024-02-01").collect() if r.event_dt >= since]
+    full_after = [r for r in rules.fraud_report(e, "2024-02-01").collect()
+                  if r.event_dt is not None and r.event_dt >= since]
     windowed = rules.fraud_report_since(fact, cards, terms, accounts, clients, bl, since, "2024-02-01")
     assert sorted(map(repr, windowed.collect())) == sorted(map(repr, full_after))
