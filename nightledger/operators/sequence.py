@@ -75,8 +75,13 @@ def ordered_lags(df: DataFrame, key: Sequence[str], order: Sequence[str],
         counts = d.groupBy(*key, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
         earlier = (Window.partitionBy(*key).orderBy(F.col(BUCKET).asc_nulls_last())
                    .rowsBetween(Window.unboundedPreceding, -1))
-        offsets = counts.select(*key, BUCKET, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-        rows = rows.join(offsets, [*key, BUCKET], "left")
+        offsets = counts.select(*[F.col(k).alias(f"_o_{k}") for k in key], F.col(BUCKET).alias("_o_bucket"),
+                                F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        # null-safe on the bucket: rows without a time form the last bucket
+        on = F.col(BUCKET).eqNullSafe(F.col("_o_bucket"))
+        for k in key:
+            on = on & (F.col(k) == F.col(f"_o_{k}"))
+        rows = rows.join(offsets, on, "left").drop(*[f"_o_{k}" for k in key], "_o_bucket")
 
     w = Window.partitionBy(*key, BUCKET).orderBy(*oldest_first)
     lags = [F.lag(c, i).over(w).alias(lag_name(c, i)) for c in cols for i in range(1, n + 1)]

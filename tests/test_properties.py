@@ -60,7 +60,8 @@ def test_scd_invariants(spark, prev, curr, nxt):
             assert all(r.effective_to is None or r.effective_from <= r.effective_to for r in versions)
 
 
-events = st.lists(st.tuples(st.sampled_from(["hot", "a", "b"]), st.integers(0, 600), st.integers(0, 9)),
+events = st.lists(st.tuples(st.sampled_from(["hot", "a", "b"]), st.one_of(st.integers(0, 600), st.none()),
+                            st.integers(0, 9)),
                   min_size=1, max_size=60)
 
 
@@ -68,10 +69,14 @@ events = st.lists(st.tuples(st.sampled_from(["hot", "a", "b"]), st.integers(0, 6
 @given(rows=events, width=st.sampled_from(["1 minute", "7 minutes", "1 hour", "1 day"]),
        n=st.integers(1, 3))
 def test_ordered_lags_equal_plain_window(spark, rows, width, n):
-    data = [(k, T0 + dt.timedelta(minutes=m), f"{i:03d}", v) for i, (k, m, v) in enumerate(rows)]
+    data = [(k, None if m is None else T0 + dt.timedelta(minutes=m), f"{i:03d}", v)
+            for i, (k, m, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, id string, v int")
-    got = ordered_lags(df, ["k"], ["t", "id"], ["v"], bucket=F.window("t", width).start, n=n, rank_col="rk")
-    w = Window.partitionBy("k").orderBy("t", "id")
+    # a null-preserving bucket of the given width (null times: last bucket)
+    width_s = {"1 minute": 60, "7 minutes": 420, "1 hour": 3600, "1 day": 86400}[width]
+    bucket = F.timestamp_seconds(F.floor(F.unix_seconds(F.col("t").cast("timestamp")) / width_s) * width_s)
+    got = ordered_lags(df, ["k"], ["t", "id"], ["v"], bucket=bucket, n=n, rank_col="rk")
+    w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last())
     cols = [lag_name(c, i) for c in ("t", "id", "v") for i in range(1, n + 1)]
     want = df.select("k", "id", F.row_number().over(w).alias("rk"),
                      *[F.lag(c, i).over(w).alias(lag_name(c, i)) for c in ("t", "id", "v") for i in range(1, n + 1)])
