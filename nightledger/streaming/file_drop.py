@@ -56,8 +56,12 @@ def transactions_stream(spark: SparkSession, drop_dir: str, archive_dir: str | N
 def run_file_drop(spark: SparkSession, store: Store, drop_dir: str, checkpoint: str,
                   snapshots: SnapshotFn, archive_dir: str | None = None,
                   file_columns: list[str] | None = None, sheet_format: str = "csv",
-                  **run_kwargs) -> StreamingQuery:
-    """Process every transactions file that has arrived, then stop."""
+                  files_per_batch: int = 1, **run_kwargs) -> StreamingQuery:
+    """Process every transactions file that has arrived, then stop.
+
+    Keep ``files_per_batch`` at 1 unless each day arrives as exactly one
+    file: a day split over several micro-batches would be loaded in parts.
+    """
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         # One row per batch label present in this micro-batch (a few days).
@@ -75,7 +79,7 @@ def run_file_drop(spark: SparkSession, store: Store, drop_dir: str, checkpoint:
             )
             run_day(store, label, inputs, **run_kwargs)
 
-    stream = transactions_stream(spark, drop_dir, archive_dir, file_columns)
+    stream = transactions_stream(spark, drop_dir, archive_dir, file_columns, files_per_batch=files_per_batch)
     return (stream.writeStream.foreachBatch(each_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
