@@ -59,8 +59,10 @@ def run_file_drop(spark: SparkSession, store: Store, drop_dir: str, checkpoint:
                   files_per_batch: int = 1, **run_kwargs) -> StreamingQuery:
     """Process every transactions file that has arrived, then stop.
 
-    Keep ``files_per_batch`` at 1 unless each day arrives as exactly one
-    file: a day split over several micro-batches would be loaded in parts.
+    Each day must arrive as one transactions file, as the original's daily
+    file does: ``run_day`` loads a label with the rows of its micro-batch,
+    so a day spread over several files could be split across micro-batches.
+    ``files_per_batch`` only sets how many days one micro-batch may hold.
     """
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
