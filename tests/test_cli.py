@@ -22,4 +22,10 @@ def test_cli_runs_the_next_batch(spark, sf_small, tmp_path):
           "--batch-ts", "2021-03-01 09:00:00", "--report-dt", "2021-03-01"])
     store = Store(spark, str(tmp_path / "wh"))
     assert store.next_label() == "02032021"
-    assert read_report(store, "2021-03-01").count() > 0
+    full = read_report(store, "2021-03-01").count()
+    assert full > 0
+    # the same batch again, reporting only operations from 20 January on
+    main(["--store", str(tmp_path / "wh"), "--drop", str(drop), "--sources", str(src), "--label", label,
+          "--batch-ts", "2021-03-01 09:00:00", "--report-dt", "2021-03-01",
+          "--report-since", "2024-01-20 00:00:00"])
+    assert 0 < read_report(store, "2021-03-01").count() < full
