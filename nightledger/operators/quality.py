@@ -116,3 +116,12 @@ def violations(tables: dict[str, DataFrame]) -> DataFrame:
     if not parts:
         raise ValueError("no table to check")
     return reduce(DataFrame.unionByName, parts)
+
+
+def open_version_violations(hist: DataFrame, key: str) -> DataFrame:
+    """SCD2 histories built by ``scd.scd2_apply`` hold exactly one open
+    version per key (the comparison reads only those).  Keys breaking that:
+    (key_value, n_open)."""
+    n_open = F.sum(F.when(F.col("effective_to").isNull(), 1).otherwise(0))
+    return (hist.groupBy(key).agg(n_open.alias("n_open")).where(F.col("n_open") != 1)
+                .select(F.col(key).cast("string").alias("key_value"), F.col("n_open").cast("bigint")))

@@ -129,11 +129,16 @@ def scd2_changes(hist: DataFrame, snapshot: DataFrame, key: str, attrs: list[str
       deleted (effective_to is left as it is);
     * ``same``    every other version, unchanged.
 
-    Closed versions are only compared for presence of the key; attribute
-    changes are tested against the open version alone.
+    Every key of a history built by these operators has exactly one open
+    version (deletion flags versions, it does not close them), so only the
+    open versions are compared with the snapshot: the full outer join moves
+    one row per key, however many versions accumulate.  Closed versions
+    only take the deleted flag, from the keys gone today (a small set,
+    joined by broadcast when it fits).
     """
-    p = _pair(hist, snapshot, key, attrs)
-    is_open = F.col("_old.effective_to").isNull()
+    open_v = hist.where(F.col("effective_to").isNull())
+    closed_v = hist.where(F.col("effective_to").isNotNull())
+    p = _pair(open_v, snapshot, key, attrs)
     changed = _change_test(attrs, change)
     bts = _ts(batch_ts)
     null_ts = F.lit(None).cast("timestamp_ntz")
@@ -145,16 +150,24 @@ def scd2_changes(hist: DataFrame, snapshot: DataFrame, key: str, attrs: list[str
                    deleted.cast("boolean").alias("deleted"), F.lit(action).alias(ACTION)]
         return F.struct(*fields)
 
-    old_ver = lambda deleted, action, eff_to=None: version(
-        "_old", F.col("_old.effective_from"),
-        F.col("_old.effective_to") if eff_to is None else eff_to, deleted, action)
+    old_ver = lambda deleted, action, eff_to=null_ts: version(
+        "_old", F.col("_old.effective_from"), eff_to, deleted, action)
     new_ver = lambda action: version("_new", bts, null_ts, F.lit(False), action)
 
     rows = (F.when(F.col("_old").isNull(), F.array(new_ver(INSERT)))
              .when(F.col("_new").isNull(), F.array(old_ver(F.lit(True), DELETE)))
-             .when(is_open & changed, F.array(old_ver(F.col("_old.deleted"), CLOSE, bts), new_ver(OPEN)))
+             .when(changed, F.array(old_ver(F.col("_old.deleted"), CLOSE, bts), new_ver(OPEN)))
              .otherwise(F.array(old_ver(F.col("_old.deleted"), SAME))))
-    return p.select(F.explode(rows).alias("_v")).select("_v.*")
+    live = p.select(F.explode(rows).alias("_v")).select("_v.*")
+
+    gone = (p.where(F.col("_new").isNull() & F.col("_old").isNotNull())
+             .select(F.col("_key").alias(key), F.lit(True).alias("_gone")))
+    flag = F.coalesce(F.col("_gone"), F.lit(False))
+    closed = closed_v.join(gone, key, "left").select(
+        key, *attrs, "effective_from", "effective_to",
+        (F.col("deleted") | flag).alias("deleted"),
+        F.when(flag, F.lit(DELETE)).otherwise(F.lit(SAME)).alias(ACTION))
+    return live.unionByName(closed)
 
 
 def _scd2(action: str):

@@ -105,3 +105,14 @@ def test_returning_key_is_not_reopened(spark):
     got = scd.scd2_changes(day1, back, KEY, ATTRS, "2024-02-02 09:00:00").collect()
     acts = sorted((r.terminal_id, r._action, r.terminal_city, r.deleted) for r in got)
     assert acts == [("T1", "same", "A", True), ("T2", "close", "A", True), ("T2", "open", "B", False)]
+
+
+def test_history_invariant_check(spark):
+    from nightledger.operators import quality
+    hist = spark.createDataFrame([("T1", "ATM", "A", "a", OLD, None, False),
+                                  ("T2", "ATM", "A", "a", OLD, BTS, False)], sch.HIST["terminals"])
+    bad = [(r.key_value, r.n_open) for r in quality.open_version_violations(hist, KEY).collect()]
+    assert bad == [("T2", 0)]
+    built = scd.scd2_apply(hist.where("terminal_id = 'T1'"), _snap(spark, [("T1", "ATM", "B", "a")]),
+                           KEY, ATTRS, TS)
+    assert quality.open_version_violations(built, KEY).count() == 0
