@@ -160,8 +160,8 @@ def scd2_changes(hist: DataFrame, snapshot: DataFrame, key: str, attrs: list[str
              .otherwise(F.array(old_ver(F.col("_old.deleted"), SAME))))
     live = p.select(F.explode(rows).alias("_v")).select("_v.*")
 
-    gone = (p.where(F.col("_new").isNull() & F.col("_old").isNotNull())
-             .select(F.col("_key").alias(key), F.lit(True).alias("_gone")))
+    # taken from the classified rows, so it reuses their shuffle
+    gone = live.where(F.col(ACTION) == DELETE).select(key, F.lit(True).alias("_gone"))
     flag = F.coalesce(F.col("_gone"), F.lit(False))
     closed = closed_v.join(gone, key, "left").select(
         key, *attrs, "effective_from", "effective_to",
