@@ -54,3 +54,26 @@ def test_two_daily_drops(spark, sf_small, tmp_path):
     # a file is archived when the batch after it is planned: day 1 moved, day 2 waits
     assert archived == ["transactions_01022024.txt"]
     assert "transactions_02022024.txt" in os.listdir(drop)
+
+
+def test_two_days_in_one_micro_batch(spark, sf_small, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    tx = fx.transactions_text(spark, sf_small).withColumn("_mod", F.col("transaction_id").cast("long") % 10)
+    for i, (label, day_tx) in enumerate((("01022024", tx.where("_mod <> 9")), ("02022024", tx.where("_mod = 9")))):
+        _write(day_tx.drop("_mod").select(*sch.TRANSACTIONS_FILE_COLUMNS), drop / f"transactions_{label}.txt")
+        _write(fx.terminals_sheet(spark, sf_small), drop / f"terminals_file_{label}.csv")
+        _write(fx.blacklist_sheet(spark, sf_small), drop / f"passport_blacklist_{label}.csv")
+
+    def snapshots(label):
+        return fx.clients(spark, sf_small), fx.source_accounts(spark, sf_small), fx.source_cards(spark, sf_small)
+
+    store = Store(spark, str(tmp_path / "wh"))
+    q = run_file_drop(spark, store, str(drop), str(tmp_path / "ckpt"), snapshots, files_per_batch=2,
+                      batch_ts="2024-02-01 09:00:00", report_dt="2024-02-01")
+    q.awaitTermination(600)
+    assert q.exception() is None
+    assert [d.isoformat() for d in store.committed_days()] == ["2024-02-01", "2024-02-02"]
+    facts = store.read_partitions("dwh_fact_transactions", "load_dt", sch.FACT_TRANSACTIONS,
+                                  store.committed_days())
+    assert facts.count() == fx.transactions(spark, sf_small).count()
