@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dup, oracles, quality
+import public_tokenizers
+
+from ..session import scratch_path
+from . import bpe, decontaminate, near_dup, oracles, quality, repair
 from .common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +32,16 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def vocabulary_path() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def bpe_digests(encoded: DataFrame) -> DataFrame:
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          sha256(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
+                          sha256(F.col("decoded")).alias("decoded_sha256"))
+
+
 @register("op3_quality_divergence")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir, "doc_id", "text", "lang"))
@@ -40,6 +53,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op5_repair_shards")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-shards")
+    repair.write_shards(documents(spark, sf_dir, "doc_id", "text"), path, vocabulary_path())
+    return repair.read_documents(spark.read.parquet(path))
+
+
+@register("op8_transducer_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(bpe.encode_documents(documents(spark, sf_dir, "doc_id", "text"), vocabulary_path()))
+
+
 @register("op10_suffix_decontamination", oracles.OP10)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(documents(spark, sf_dir, "doc_id", "text"),
