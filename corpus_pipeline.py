@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import decontaminate, near_dup, quality
+from nightledger.llm import bpe, decontaminate, near_dup, quality
 from nightledger.llm.common import documents, written
+from nightledger.llm.queries import bpe_digests, vocabulary_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,10 +24,16 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The digests of every document's ids and of the text they decode to."""
+    return bpe_digests(bpe.encode_documents(docs, vocabulary_path()))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", simhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("bpe_encoding", bpe_encoding),
 ]
 
 # SQL cannot express the histogram references, component search and token merges.
