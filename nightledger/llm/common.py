@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -67,3 +68,28 @@ def sliced(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
                 held, size = [], 0
     if held:
         yield pa.Table.from_batches(held)
+
+
+_BLOCK = 128
+
+
+def total(numbers: Column) -> Column:
+    """The sum of an array of int."""
+    return F.aggregate(numbers, F.lit(0), lambda s, x: s + x)
+
+
+def running_totals(numbers: Column) -> Column:
+    """For each element of an array of int the sum of all earlier ones, block by block so that
+    the work stays near linear in long arrays."""
+    blocks = F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / _BLOCK).cast("int"))
+    parts = F.transform(blocks, lambda k: F.slice(numbers, k * _BLOCK + 1, F.lit(_BLOCK)))
+    sums = F.transform(parts, total)
+    before = lambda a, k: total(F.slice(a, F.lit(1), k))
+    out = F.flatten(F.transform(F.arrays_zip(blocks.alias("k"), parts.alias("p")), lambda b: F.transform(
+        b["p"], lambda _, j: before(sums, b["k"]) + before(b["p"], j))))
+    return F.when(F.size(numbers) > 0, out).otherwise(F.array().cast("array<int>"))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once (an array lambda over the single value)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

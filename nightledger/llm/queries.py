@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import bpe, decontaminate, near_dup, oracles, quality, repair
+from . import bpe, decontaminate, licenses, near_dup, oracles, pii, quality, repair
 from .common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,16 @@ def bpe_digests(encoded: DataFrame) -> DataFrame:
                           sha256(F.col("decoded")).alias("decoded_sha256"))
 
 
+@register("op1_boosted_pii")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(documents(spark, sf_dir, "doc_id", "text"))
+    base = F.filter("found", lambda s: s["base"])
+    counts = [F.size(F.filter("found", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
+              for k in pii.BASE]
+    return found.select("doc_id", *counts, sha256(pii.listed(base)).alias("base_sha256"),
+                        pii.listed(F.col("found")).alias("spans"))
+
+
 @register("op3_quality_divergence")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir, "doc_id", "text", "lang"))
@@ -60,6 +70,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(spark.read.parquet(path))
 
 
+@register("op7_license_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir, "doc_id", "text")).drop("detections")
+
+
 @register("op8_transducer_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(bpe.encode_documents(documents(spark, sf_dir, "doc_id", "text"), vocabulary_path()))
