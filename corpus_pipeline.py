@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import bpe, decontaminate, near_dup, quality
+from nightledger.llm import bpe, decontaminate, near_dup, pii, quality
 from nightledger.llm.common import documents, written
 from nightledger.llm.queries import bpe_digests, vocabulary_path
 
@@ -24,6 +24,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in their texts replaced."""
+    return pii.redact(docs)
+
+
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The digests of every document's ids and of the text they decode to."""
     return bpe_digests(bpe.encode_documents(docs, vocabulary_path()))
@@ -33,10 +38,11 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", simhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("pii_redaction", pii_redaction),
     ("bpe_encoding", bpe_encoding),
 ]
 
-# SQL cannot express the histogram references, component search and token merges.
+# SQL cannot express the histogram references, component search, trained trees and token merges.
 ORACLE_SQL = None
 
 
