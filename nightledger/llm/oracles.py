@@ -22,3 +22,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 """
+
+OP6 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+f AS (SELECT page_id, h, n, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS first_id FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+def op9(limit: int) -> str:
+    """Each document's shard is the shortest hash prefix whose documents fit ``limit``; copies of one
+    document that exceed it alone are dealt to numbered overflow shards."""
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+r AS (SELECT doc_id, octet_length(encode(t)) AS n_bytes,
+             lpad(bin(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || t), 1, 16) AS UBIGINT)), 64, '0') AS bits
+      FROM d),
+c AS (SELECT *, sum(n_bytes) OVER (PARTITION BY bits) AS own,
+             row_number() OVER (PARTITION BY doc_id, bits, n_bytes) - 1 AS copy,
+             greatest({limit} // greatest(n_bytes, 1), 1) AS per, count(*) OVER (PARTITION BY doc_id, bits, n_bytes) AS n FROM r),
+h AS (SELECT bits, any_value(own) AS b FROM c WHERE own <= {limit} GROUP BY bits),
+s AS (SELECT bits, k, sum(b) OVER (PARTITION BY k, left(bits, k)) AS total FROM h, (SELECT unnest(range(0, 64)) AS k)),
+leaf AS (SELECT bits, min(k) AS depth FROM s WHERE total <= {limit} GROUP BY bits)
+SELECT doc_id, CASE WHEN depth IS NOT NULL THEN left(bits, depth)
+                    WHEN n > per THEN bits || '+' || CAST(copy // per AS VARCHAR) ELSE bits END AS shard,
+       CAST(coalesce(depth, 64) AS INTEGER) AS depth, CAST(n_bytes AS BIGINT) AS n_bytes, n_bytes > {limit} AS oversized
+FROM c LEFT JOIN leaf USING (bits)
+"""

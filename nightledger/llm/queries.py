@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import bpe, decontaminate, licenses, near_dup, oracles, pii, quality, repair
+from . import bpe, decontaminate, licenses, near_dup, oracles, pii, quality, repair, shards, warc
 from .common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(spark.read.parquet(path))
 
 
+@register("op6_warc_index", oracles.OP6)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    warc.write_archives(pages, path)
+    captures = warc.merge_runs(warc.read_runs(path, pages))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op7_license_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir, "doc_id", "text")).drop("detections")
@@ -80,6 +89,14 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(bpe.encode_documents(documents(spark, sf_dir, "doc_id", "text"), vocabulary_path()))
 
 
+SHARD_LIMIT = 1 << 20  # small enough that the directory splits on the test tables too
+
+
+@register("op9_extendible_shards", oracles.op9(SHARD_LIMIT))
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(documents(spark, sf_dir, "doc_id", "text"), SHARD_LIMIT)
+
+
 @register("op10_suffix_decontamination", oracles.OP10)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(documents(spark, sf_dir, "doc_id", "text"),
