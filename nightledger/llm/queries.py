@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import bpe, decontaminate, licenses, near_dup, oracles, pii, quality, repair, shards, warc
+from . import bpe, decontaminate, licenses, near_dup, oracles, pii, pitman_yor, quality, repair, shards, warc
 from .common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.listed(F.col("found")).alias("spans"))
 
 
+@register("op2_pitman_yor_score")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(documents(spark, sf_dir, "doc_id", "text"))
+
+
 @register("op3_quality_divergence")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir, "doc_id", "text", "lang"))
