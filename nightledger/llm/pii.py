@@ -47,7 +47,7 @@ FEATURES = ("n_chars", "n_digits", "n_letters", "n_upper", "n_blank", "n_dash",
 
 @dataclass(frozen=True)
 class Training:
-    train_rows: int = 20_000   # candidates that the trees and thresholds are fitted on
+    train_rows: int = 20_000   # candidates, in expectation, that the trees and thresholds are fitted on
     trees: int = 12
     depth: int = 4
     precision: float = 0.95
@@ -178,8 +178,10 @@ def train(docs: DataFrame, options: Training = Training()) -> Model:
     # (an outer explode: else Spark evaluates the whole array once more, for a filter on its size)
     found = found.select("doc_id", F.explode_outer("found").alias("c")).where("c is not null")
     rows = found.select("doc_id", "c.*").withColumn("key", F.xxhash64(F.col("doc_id").cast("string"), "start", "kind"))
-    sample = written(rows.orderBy("key", "start", "end").limit(options.train_rows)
-                     .select("kind", "key", F.col("valid").cast("double").alias("label"), *FEATURES).repartition(2), "pii-sample")
+    rows = written(rows.select("kind", "key", F.col("valid").cast("double").alias("label"), *FEATURES), "pii-candidates")
+    # every candidate has the same chance, by its key
+    share = min(1.0, options.train_rows / max(rows.count(), 1))
+    sample = written(rows.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(share * 1_000_000)).repartition(2), "pii-sample")
     fold = F.pmod("key", F.lit(4)) == 0
     fit = sample.where(~fold)
     if fit.select("label").distinct().count() < 2:

@@ -46,8 +46,8 @@ def bpe_digests(encoded: DataFrame) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(documents(spark, sf_dir, "doc_id", "text"))
     base = F.filter("found", lambda s: s["base"])
-    counts = [F.size(F.filter("found", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
-              for k in pii.BASE]
+    of = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
     return found.select("doc_id", *counts, sha256(pii.listed(base)).alias("base_sha256"),
                         pii.listed(F.col("found")).alias("spans"))
 
