@@ -333,16 +333,19 @@ FROM (SELECT replace(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS
 
 
 # The report published by the second day of a two-day run ----------------------
-def daily_run_report_sql() -> str:
-    """F5 over all events, today's snapshots of the four dimensions and the
-    stored plus today's blacklist."""
+def daily_run_report_sql(day: int = 2) -> str:
+    """F5 as the daily run of ``day`` reports it.  Day 2: all events, today's
+    snapshots of the four dimensions and the stored plus today's blacklist;
+    day 1: the stored events, dimensions and blacklist."""
     c = all_dims_ctes()
     for d in sch.DIMENSIONS:
         c.pop(d)                       # re-added last: it reads {d}_curr
-        c[d] = f"SELECT * EXCLUDE (_k) FROM {d}_curr"
+        c[d] = f"SELECT * EXCLUDE (_k) FROM {d}_{'curr' if day == 2 else 'prev'}"
     c.pop("blacklist")
-    c["blacklist"] = (
-        f"SELECT 'P' || c_custkey AS passport_num FROM customer WHERE c_custkey % 17 = 3 AND c_custkey % 3 = 0 "
-        f"UNION ALL SELECT 'P' || c_custkey FROM customer WHERE c_custkey % 17 = 3")
+    stored = "SELECT 'P' || c_custkey AS passport_num FROM customer WHERE c_custkey % 17 = 3 AND c_custkey % 3 = 0"
+    c["blacklist"] = stored + (" UNION ALL SELECT 'P' || c_custkey FROM customer WHERE c_custkey % 17 = 3" if day == 2 else "")
+    if day == 1:
+        c["all_transactions"] = c.pop("transactions")
+        c["transactions"] = "SELECT * FROM all_transactions WHERE CAST(trans_id AS BIGINT) % 10 <> 9"
     c["enriched"] = ENRICHED
     return with_ctes(c, "\nUNION ALL\n".join(f"SELECT * FROM ({q})" for q in (F1, F2, F3, f4())))

@@ -72,8 +72,11 @@ def strip_whitespace(c: ColumnOrName) -> Column:
 
 def parse_decimal_comma(c: ColumnOrName) -> Column:
     """Text amount with a decimal comma (``8378,05``) to ``decimal(18,2)``.
-    Text that does not parse becomes null (see quality.bad_amounts)."""
-    return strip_whitespace(F.regexp_replace(_c(c), ",", ".")).try_cast(AMOUNT)
+    Text that does not parse becomes null (see quality.bad_amounts), and so
+    does an amount that two decimals cannot hold: it is reported, not rounded."""
+    exact = strip_whitespace(F.regexp_replace(_c(c), ",", ".")).try_cast("decimal(38,18)")
+    amount = exact.try_cast(AMOUNT)
+    return F.when(amount == exact, amount)
 
 
 def parse_timestamp(c: ColumnOrName, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:

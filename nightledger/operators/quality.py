@@ -16,14 +16,16 @@ from ..functions import parse_decimal_comma
 
 
 def _key_text(keys: list[str]):
-    return F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    """The key as text; null if any part is null."""
+    return F.concat(*[x for k in keys for x in (F.lit("|"), F.col(k).cast("string"))][1:])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], table_name: str) -> DataFrame:
     """K1/K2: key values held by more than one row: (table_name, key_value,
-    n_rows).  A grouped count, combined map-side before the shuffle, so a
+    n_rows); keys with a null part are K3's.  A grouped count, combined map-side before the shuffle, so a
     heavily repeated key costs one partial count per task."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return (df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
               .where(F.col("n_rows") > 1)
               .select(F.lit(table_name).alias("table_name"),
                       _key_text(keys).alias("key_value"), "n_rows"))
@@ -79,6 +81,37 @@ PRIMARY_KEYS = {"clients": ["client_id"], "accounts": ["account_num"], "cards":
                 "terminals": ["terminal_id"], "transactions": ["trans_id"]}
 
 
+# Values that must have been parsed for a row to be loaded (K6).
+REQUIRED = {"transactions": ["amt", "trans_date"]}
+
+
+def set_aside(df: DataFrame, keys: list[str], required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows to load, rows set aside with ``reason`` and ``n_rows`` copies).
+
+    Set aside are rows with a null key or a null required value, and of the rows that share
+    a key all but the smallest one (by all columns), so every key keeps one row.  The choice
+    is an aggregate (partial per task first): a key with very many rows meets in one
+    small buffer, not in one sorted group.
+    """
+    cols = df.columns
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    unparsed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required], F.lit(False))
+    marked = df.withColumn("_why", F.when(null_key, "null_key").when(unparsed, "unparsed_value"))
+    sound = marked.where("_why is null").drop("_why")
+    one = sound.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.min(F.struct(*cols)).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    good = one.select("_first.*").select(*cols)
+    repeated = one.where("_n > 1").select(*[f"_{k}" for k in keys], "_first")
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys])
+    # copies of the kept row itself count one less
+    extra = (sound.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows")).join(repeated, on)
+             .withColumn("n_rows", F.col("n_rows") - F.struct(*cols).eqNullSafe(F.col("_first")).cast("long"))
+             .where("n_rows > 0").select(*cols, F.lit("duplicate_key").alias("reason"), "n_rows"))
+    broken = (marked.where("_why is not null").groupBy(*cols, F.col("_why").alias("reason"))
+              .agg(F.count(F.lit(1)).alias("n_rows")))
+    return good, extra.unionByName(broken)
+
+
 def check_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Run K1, K3 and K4 over a set of staged tables keyed by name."""
     dups = [duplicate_keys(tables[t], k, t) for t, k in PRIMARY_KEYS.items() if t in tables]

@@ -4,10 +4,12 @@ Parquet tables cannot be updated in place, so every operator is a function
 from (stored table, today's snapshot) to rows; ``scd1_apply`` and
 ``scd2_apply`` return the whole new table, to be written as a new version.
 
-Each dimension is compared in one pass: a full outer join of the stored
-rows with the snapshot on the key (one shuffle of each side), followed by a
-null-safe comparison of the tracked attributes.  Presence of a side is taken
-from a marker column, never from attribute nulls.
+``*_apply`` compare each dimension in one pass: a full outer join of the
+stored rows with the snapshot on the key (one shuffle of each side), followed
+by a null-safe comparison of the tracked attributes.  Presence of a side is
+taken from a marker column, never from attribute nulls.  The single steps use
+the join that they need: anti joins for new and gone keys, an inner join
+for changed ones, which Spark can broadcast or split.
 """
 
 from __future__ import annotations
@@ -16,9 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .. import schemas as sch
 from .joins import anti_join
 
 INSERT, UPDATE, SAME, DELETE = "insert", "update", "same", "delete"
@@ -88,16 +88,26 @@ def scd1_changes(dim: DataFrame, snapshot: DataFrame, key: str, attrs: list[str]
     return c.select(*cols)
 
 
+def _matched(stored: DataFrame, snapshot: DataFrame, key: str, attrs: list[str], change: str) -> DataFrame:
+    """Changed keys: columns ``_old`` and ``_new`` (inner join)."""
+    old = stored.select(F.col(key).alias("_key"), F.struct(*stored.columns).alias("_old"))
+    new = snapshot.select(F.col(key).alias("_key"), F.struct(key, *attrs).alias("_new"))
+    return old.join(new, "_key").where(_change_test(attrs, change))
+
+
 def scd1_insert(dim, snapshot, key, attrs, batch_ts) -> DataFrame:
     """Snapshot keys missing from the dimension; create_dt = batch time,
     update_dt null."""
-    return _only(scd1_changes(dim, snapshot, key, attrs, batch_ts), INSERT)
+    return anti_join(snapshot.select(key, *attrs), dim.select(key), key).select(
+        key, *attrs, _ts(batch_ts).alias("create_dt"), F.lit(None).cast("timestamp_ntz").alias("update_dt"))
 
 
 def scd1_update(dim, snapshot, key, attrs, batch_ts, change: str = "any") -> DataFrame:
     """Stored keys whose attributes changed, with the new values,
     create_dt kept and update_dt = batch time."""
-    return _only(scd1_changes(dim, snapshot, key, attrs, batch_ts, change), UPDATE)
+    return _matched(dim, snapshot, key, attrs, change).select(
+        F.col("_new").getField(key).alias(key), *[F.col(f"_new.{a}") for a in attrs],
+        F.col("_old.create_dt").alias("create_dt"), _ts(batch_ts).alias("update_dt"))
 
 
 def scd1_delete(dim, snapshot, key, attrs, batch_ts=None) -> DataFrame:
@@ -111,10 +121,6 @@ def scd1_apply(dim, snapshot, key, attrs, batch_ts, change: str = "any") -> Data
     return ch.where(F.col(ACTION) != DELETE).drop(ACTION)
 
 
-def _only(df: DataFrame, action: str) -> DataFrame:
-    return df.where(F.col(ACTION) == action).drop(ACTION)
-
-
 # SCD2 -------------------------------------------------------------------------------
 
 def scd2_changes(hist: DataFrame, snapshot: DataFrame, key: str, attrs: list[str],
@@ -160,8 +166,9 @@ def scd2_changes(hist: DataFrame, snapshot: DataFrame, key: str, attrs: list[str
              .otherwise(F.array(old_ver(F.col("_old.deleted"), SAME))))
     live = p.select(F.explode(rows).alias("_v")).select("_v.*")
 
-    # taken from the classified rows, so it reuses their shuffle
-    gone = live.where(F.col(ACTION) == DELETE).select(key, F.lit(True).alias("_gone"))
+    # keys only: the open versions whose key the snapshot lacks
+    gone = (anti_join(open_v.select(key), snapshot.select(key), key).where(F.col(key).isNotNull())
+            .withColumn("_gone", F.lit(True)))
     flag = F.coalesce(F.col("_gone"), F.lit(False))
     closed = closed_v.join(gone, key, "left").select(
         key, *attrs, "effective_from", "effective_to",
@@ -170,32 +177,41 @@ def scd2_changes(hist: DataFrame, snapshot: DataFrame, key: str, attrs: list[str
     return live.unionByName(closed)
 
 
-def _scd2(action: str):
-    def op(hist, snapshot, key, attrs, batch_ts, change: str = "any") -> DataFrame:
-        return _only(scd2_changes(hist, snapshot, key, attrs, batch_ts, change), action)
-    return op
+def _version(src: str, key: str, attrs: list[str], eff_from: Column, eff_to: Column, deleted: Column) -> list[Column]:
+    return [F.col(src).getField(key).alias(key), *[F.col(f"{src}.{a}") for a in attrs],
+            eff_from.alias("effective_from"), eff_to.alias("effective_to"), deleted.cast("boolean").alias("deleted")]
 
 
-scd2_insert = _scd2(INSERT)
-scd2_insert.__doc__ = "D4: first versions of keys new to the history."
-scd2_close = _scd2(CLOSE)
-scd2_close.__doc__ = "D5: open versions of changed keys, closed at the batch time."
-scd2_open = _scd2(OPEN)
-scd2_open.__doc__ = "D6: new open versions of changed keys."
-scd2_mark_deleted = _scd2(DELETE)
-scd2_mark_deleted.__doc__ = "D7: all versions of keys gone from the snapshot, flagged deleted."
+def _open_versions(hist: DataFrame) -> DataFrame:
+    return hist.where(F.col("effective_to").isNull())
 
 
-def scd2_apply(hist, snapshot, key, attrs, batch_ts, change: str = "any") -> DataFrame:
-    """The history after today's snapshot."""
-    return scd2_changes(hist, snapshot, key, attrs, batch_ts, change).drop(ACTION)
+def scd2_insert(hist, snapshot, key, attrs, batch_ts, change: str = "any") -> DataFrame:
+    """First versions of keys new to the history."""
+    return anti_join(snapshot.select(key, *attrs), _open_versions(hist).select(key), key).select(
+        key, *attrs, _ts(batch_ts).alias("effective_from"), F.lit(None).cast("timestamp_ntz").alias("effective_to"),
+        F.lit(False).alias("deleted"))
+
+
+def scd2_close(hist, snapshot, key, attrs, batch_ts, change: str = "any") -> DataFrame:
+    """Open versions of changed keys, closed at the batch time."""
+    return _matched(_open_versions(hist), snapshot, key, attrs, change).select(
+        *_version("_old", key, attrs, F.col("_old.effective_from"), _ts(batch_ts), F.col("_old.deleted")))
+
 
+def scd2_open(hist, snapshot, key, attrs, batch_ts, change: str = "any") -> DataFrame:
+    """New open versions of changed keys."""
+    return _matched(_open_versions(hist), snapshot, key, attrs, change).select(
+        *_version("_new", key, attrs, _ts(batch_ts), F.lit(None).cast("timestamp_ntz"), F.lit(False)))
 
-# Per-dimension wrappers -------------------------------------------------------------
 
-def for_dim(name: str) -> tuple[str, list[str]]:
-    return sch.dim_key(name), sch.dim_attrs(name)
+def scd2_mark_deleted(hist, snapshot, key, attrs, batch_ts=None, change: str = "any") -> DataFrame:
+    """All versions of keys gone from the snapshot, flagged deleted."""
+    named = hist.where(F.col(key).isNotNull() | F.col("effective_to").isNull())
+    return anti_join(named, snapshot.select(key), key).select(
+        key, *attrs, "effective_from", "effective_to", F.lit(True).alias("deleted"))
 
 
-def empty_like(spark, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def scd2_apply(hist, snapshot, key, attrs, batch_ts, change: str = "any") -> DataFrame:
+    """The history after today's snapshot."""
+    return scd2_changes(hist, snapshot, key, attrs, batch_ts, change).drop(ACTION)

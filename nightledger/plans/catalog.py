@@ -289,3 +289,14 @@ def q_daily_run_report(spark, sf_dir):
     run_day(store, "02022024", DailyInputs(**fx.daily_staging(spark, sf_dir, 2)),
             batch_ts=fx.BATCH_TS, report_dt=fx.REPORT_DT)
     return read_report(store, fx.REPORT_DT)
+
+
+@register("daily_run_report_same_date",
+          f"SELECT * FROM ({fq.daily_run_report_sql(1)}) UNION ALL SELECT * FROM ({fq.daily_run_report_sql(2)})")
+def q_daily_run_report_same_date(spark, sf_dir):
+    """Two batches that report under one date: both batches' rows."""
+    store = Store(spark, scratch_path(spark, "warehouse"))
+    for day, label in ((1, "01022024"), (2, "02022024")):
+        run_day(store, label, DailyInputs(**fx.daily_staging(spark, sf_dir, day)),
+                batch_ts=fx.BATCH_TS, report_dt=fx.REPORT_DT)
+    return read_report(store, fx.REPORT_DT)

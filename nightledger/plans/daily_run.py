@@ -4,7 +4,9 @@ stage -> check -> SCD1 dimensions -> SCD2 history -> facts -> metadata ->
 enriched table -> fraud rules -> report -> commit -> next batch label.
 
 Each batch is a pure function of the previous committed version and the
-day's inputs: rerunning a batch rewrites the same version and partitions.
+day's inputs; rerunning the last batch publishes a new attempt at it.  Batches
+are taken in order: only the label that the control table names, or the last
+one again, is accepted.
 Results that later steps read again (dimensions, facts) are written first
 and read back, which cuts the lineage: a lost executor costs a recompute
 from those files, not from the raw inputs.  The enriched table is not
@@ -24,7 +26,7 @@ from .. import schemas as sch
 from ..operators import facts, meta, quality, rules, scd
 from ..operators.enrich import enrich
 from ..sources import files
-from .store import FACT_PARTITION, REPORT_PARTITION, REPORT_SCHEMA, Store, day_of_label, label_of_day
+from .store import REPORT_DATE, Store, day_of_label, label_of_day
 
 
 @dataclass
@@ -71,27 +73,42 @@ class QualityError(RuntimeError):
     pass
 
 
-def _check(store: Store, day: _dt.date, inputs: DailyInputs, on_violation: str) -> None:
-    """Run the key, reference and parse checks over the staged inputs.
-    ``fail`` raises on any violation; ``report`` writes them to
-    ``_quarantine/batch=<day>/violations`` and loads the batch as it is;
-    ``ignore`` skips the checks."""
-    if on_violation not in ("fail", "report", "ignore"):
-        raise ValueError("on_violation must be 'fail', 'report' or 'ignore'")
+class BatchOrderError(RuntimeError):
+    pass
+
+
+def _check(store: Store, day: _dt.date, attempt: str, inputs: DailyInputs, on_violation: str) -> dict[str, DataFrame]:
+    """Run the key, reference and parse checks over the staged inputs; the tables to load.
+
+    ``quarantine`` writes the findings to ``_violations``, sets the rows that break a key or
+    did not parse aside in ``_quarantine/<table>`` and loads the rest; ``report`` writes the
+    findings and loads every row; ``fail`` raises on any finding; ``ignore`` skips the checks.
+    """
+    if on_violation not in ("quarantine", "fail", "report", "ignore"):
+        raise ValueError("on_violation must be 'quarantine', 'fail', 'report' or 'ignore'")
+    tables = inputs.as_dict()
     if on_violation == "ignore":
-        return
-    found = quality.violations(inputs.as_dict())
+        return tables
+    found = quality.violations(tables)
     if on_violation == "fail":
         if found.limit(1).count():
             raise QualityError(f"data-quality violations in batch {day}")
-    else:
-        found.write.mode("overwrite").parquet(store.path("_quarantine", f"batch={day.isoformat()}", "violations"))
+        return tables
+    store.write("_violations", day, attempt, found)
+    if on_violation == "report":
+        return tables
+    for name, keys in quality.PRIMARY_KEYS.items():
+        good, bad = quality.set_aside(tables[name], keys, quality.REQUIRED.get(name, []))
+        store.write(f"_quarantine/{name}", day, attempt, bad)
+        store.write(f"stg_{name}_valid", day, attempt, good)
+        tables[name] = store.read(f"stg_{name}_valid", tables[name].schema, day, attempt)
+    return tables
 
 
 def run_day(store: Store, label: str, inputs: DailyInputs, *,
             batch_ts: str | _dt.datetime | None = None,
             report_dt: str | _dt.date | None = None,
-            on_violation: str = "report",
+            on_violation: str = "quarantine",
             report_since: str | _dt.datetime | None = None) -> None:
     """Load batch ``label`` (``ddMMyyyy``) and publish its version.
 
@@ -105,55 +122,60 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
     day = day_of_label(label)
     batch_ts = str(batch_ts or _dt.datetime.now().replace(microsecond=0))
     report_dt = _dt.date.fromisoformat(str(report_dt)) if report_dt else _dt.date.today()
-    before = [d for d in store.committed_days() if d < day]
+    done = store.committed_days()
+    if done and day != done[-1] and label != store.next_label():
+        raise BatchOrderError(f"batch {label} is out of order: the next one is {store.next_label()}")
+    before = [d for d in done if d < day]
     prev = before[-1] if before else None
+    attempt = store.new_attempt()
 
     # Staging is written once and read back, so every later step (and
     # any recomputation after a lost executor) sees the same snapshot even if
     # a source database moves on meanwhile.
     staged = {}
     for name, df in inputs.as_dict().items():
-        store.write_version(f"stg_{name}", day, df)
-        staged[name] = store.read_version(f"stg_{name}", day, df.schema)
-    _check(store, day, DailyInputs(**staged), on_violation)
+        store.write(f"stg_{name}", day, attempt, df)
+        staged[name] = store.read(f"stg_{name}", df.schema, day, attempt)
+    staged = _check(store, day, attempt, DailyInputs(**staged), on_violation)
 
     # SCD1 dimensions and SCD2 history, one version each.
     for d in sch.DIMENSIONS:
         key, attrs = sch.dim_key(d), sch.dim_attrs(d)
         snap = staged[d].select(key, *attrs)
-        dim = store.read_version(sch.DIM_TABLES[d], prev, sch.DIM[d])
-        store.write_version(sch.DIM_TABLES[d], day, scd.scd1_apply(dim, snap, key, attrs, batch_ts))
-        hist = store.read_version(sch.HIST_TABLES[d], prev, sch.HIST[d])
-        store.write_version(sch.HIST_TABLES[d], day, scd.scd2_apply(hist, snap, key, attrs, batch_ts))
-    dims = {d: store.read_version(sch.DIM_TABLES[d], day, sch.DIM[d]) for d in sch.DIMENSIONS}
-    if on_violation != "ignore":
-        # K5: deleting a parent leaves its children behind (Q11); report them.
-        dwh_orphans = quality.check_all({d: dims[d] for d in ("clients", "accounts", "cards")})["orphans"]
-        dwh_orphans.write.mode("overwrite").parquet(
-            store.path("_quarantine", f"batch={day.isoformat()}", "dwh_orphans"))
+        dim = store.read(sch.DIM_TABLES[d], sch.DIM[d], prev)
+        store.write(sch.DIM_TABLES[d], day, attempt, scd.scd1_apply(dim, snap, key, attrs, batch_ts))
+        hist = store.read(sch.HIST_TABLES[d], sch.HIST[d], prev)
+        store.write(sch.HIST_TABLES[d], day, attempt, scd.scd2_apply(hist, snap, key, attrs, batch_ts))
+    dims = {d: store.read(sch.DIM_TABLES[d], sch.DIM[d], day, attempt) for d in sch.DIMENSIONS}
 
-    # Facts: only rows not stored before; today's partition is replaced.
+    # Facts: only rows not stored before.
     tx_fact, bl_fact = "dwh_fact_transactions", "dwh_fact_blacklist"
-    old_tx = store.read_partitions(tx_fact, FACT_PARTITION, sch.FACT_TRANSACTIONS, before)
+    own = (day, attempt)
+    old_tx = store.read_days(tx_fact, sch.FACT_TRANSACTIONS, before)
     # Sorted by id inside each file: tight row-group statistics for the id
     # range pre-filter of later days' de-duplication.
-    store.write_partition(tx_fact, FACT_PARTITION, day,
-                          facts.new_transactions(staged["transactions"], old_tx)
-                          .sortWithinPartitions("trans_id"))
-    old_bl = store.read_partitions(bl_fact, FACT_PARTITION, sch.FACT_BLACKLIST, before)
-    store.write_partition(bl_fact, FACT_PARTITION, day,
-                          facts.new_blacklist_entries(staged["blacklist"], old_bl))
+    store.write(tx_fact, day, attempt, facts.new_transactions(staged["transactions"], old_tx)
+                .sortWithinPartitions("trans_id"))
+    old_bl = store.read_days(bl_fact, sch.FACT_BLACKLIST, before)
+    store.write(bl_fact, day, attempt, facts.new_blacklist_entries(staged["blacklist"], old_bl))
+
+    if on_violation != "ignore":
+        # K2, K5 on what is stored: keys of the dimensions and of today's facts, and all four
+        # references; deleting a parent leaves its children behind (Q11), they are reported.
+        stored = quality.check_all({**dims, "transactions": store.read(tx_fact, sch.FACT_TRANSACTIONS, day, attempt)})
+        store.write("_dwh_orphans", day, attempt, stored["orphans"])
+        store.write("_dwh_duplicate_keys", day, attempt, stored["duplicate_keys"])
 
     # Metadata.
-    m = (store.read_version("meta_dwh", prev, sch.META) if prev else meta.seed(spark))
+    m = (store.read("meta_dwh", sch.META, prev) if prev else meta.seed(spark))
     m = meta.stamp_load_time(m, sch.FACT_TABLES, batch_ts)
     m = meta.high_water_marks(m, {sch.DIM_TABLES[d]: dims[d] for d in sch.DIMENSIONS})
     m = meta.stamp_load_time(m, list(sch.HIST_TABLES.values()), batch_ts)
-    store.write_version("meta_dwh", day, m)
+    store.write("meta_dwh", day, attempt, m)
 
     # Enriched table over the whole fact history, as the rules expect.
-    all_tx = store.read_partitions(tx_fact, FACT_PARTITION, sch.FACT_TRANSACTIONS, before + [day])
-    all_bl = store.read_partitions(bl_fact, FACT_PARTITION, sch.FACT_BLACKLIST, before + [day])
+    all_tx = store.read_days(tx_fact, sch.FACT_TRANSACTIONS, before, own)
+    all_bl = store.read_days(bl_fact, sch.FACT_BLACKLIST, before, own)
     if report_since is None:
         enriched = enrich(all_tx, dims["cards"], dims["terminals"], dims["accounts"],
                           dims["clients"], blacklist=all_bl)
@@ -161,13 +183,14 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
     else:
         report = rules.fraud_report_since(all_tx, dims["cards"], dims["terminals"], dims["accounts"],
                                           dims["clients"], all_bl, report_since, report_dt)
-    store.write_partition("rep_fraud", REPORT_PARTITION, report_dt,
-                          report.select(*REPORT_SCHEMA.names))
+    # A batch appends its own rows, also where another batch has the same report date.
+    store.write("rep_fraud", day, attempt, report.select(*sch.REPORT.names))
 
-    store.commit(day, label_of_day(day + _dt.timedelta(days=1)))
+    store.commit(day, attempt, label_of_day(day + _dt.timedelta(days=1)))
 
 
 def read_report(store: Store, report_dt: str | _dt.date) -> DataFrame:
+    """The rows that all committed batches reported under ``report_dt``."""
     d = _dt.date.fromisoformat(str(report_dt))
-    df = store.read_partitions("rep_fraud", REPORT_PARTITION, REPORT_SCHEMA, [d])
-    return df.withColumn(REPORT_PARTITION, F.lit(d.isoformat()).cast("date"))
+    return store.read_days("rep_fraud", sch.REPORT, store.committed_days()).where(
+        F.col(REPORT_DATE) == F.lit(d.isoformat()).cast("date"))

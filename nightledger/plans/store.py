@@ -1,30 +1,32 @@
 """Versioned warehouse storage on plain Parquet (S10-S12, the commit step).
 
-Parquet tables cannot be updated in place, so a daily run writes
+Parquet tables cannot be updated in place, so a daily run is an *attempt* at
+a batch and writes every table it changes - dimensions, history and metadata
+whole, of facts and report the batch's own rows - to
 
-* dimensions, history and metadata as a whole new version
-  ``<root>/<table>/v=<batch day>/``;
-* facts and the report into their own partition ``load_dt=`` /
-  ``report_dt=`` (the folder of that day is overwritten, so a rerun replaces it);
+    <root>/<table>/v=<batch day>/attempt=<id>/
 
-and last a commit marker ``<root>/_commits/batch=<day>/``.  Readers only see
-committed batches, so a run that dies half way leaves nothing visible, and
-rerunning a batch reproduces it from the previous committed version.
+and last a commit marker ``<root>/_commits/batch=<day>/attempt=<id>/``.  The
+marker with the highest number names the attempt that counts; nothing that an
+earlier marker names is ever overwritten, so a run (or a rerun) that dies half
+way leaves the committed state as it was.  All reads go through the markers; a
+committed folder that is missing is an error.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from .. import schemas as sch
+REPORT_DATE = "report_dt"
 
-FACT_PARTITION = "load_dt"
-REPORT_PARTITION = "report_dt"
+
+def _no_path(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
 
 
 class Store:
@@ -36,67 +38,66 @@ class Store:
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def versioned(self, table: str, day: _dt.date) -> str:
-        return self.path(table, f"v={day.isoformat()}")
+    def folder(self, table: str, day: _dt.date, attempt: str) -> str:
+        return self.path(table, f"v={day.isoformat()}", f"attempt={attempt}")
 
     # commits -----------------------------------------------------------------
-    def committed_days(self) -> list[_dt.date]:
-        """Committed batch days, ascending (one small row per day)."""
+    def commits(self) -> dict[_dt.date, tuple[str, str]]:
+        """(attempt, next label) of every committed day, ascending (one small row per commit)."""
         try:
-            df = self.spark.read.schema("batch date, label string").parquet(self.path("_commits"))
-        except AnalysisException:
-            return []
-        return sorted(r["batch"] for r in df.select("batch").distinct().collect())
+            rows = (self.spark.read.schema("label string, number int, batch date, attempt string")
+                    .parquet(self.path("_commits")).collect())
+        except AnalysisException as e:
+            if not _no_path(e):
+                raise
+            return {}
+        last = {}
+        for r in sorted(rows, key=lambda r: (r["batch"], r["number"])):
+            last[r["batch"]] = (r["attempt"], r["label"])
+        return last
 
-    def last_committed_before(self, day: _dt.date) -> _dt.date | None:
-        days = [d for d in self.committed_days() if d < day]
-        return days[-1] if days else None
+    def committed_days(self) -> list[_dt.date]:
+        return list(self.commits())
 
-    def commit(self, day: _dt.date, next_label: str) -> None:
-        """Make the batch visible; written after every table of the batch.
+    def commit(self, day: _dt.date, attempt: str, next_label: str) -> None:
+        """Make the attempt visible; written after every table of the batch.
         The marker also keeps the next batch label (the control table)."""
-        marker = self.spark.createDataFrame([(next_label,)], "label string")
-        marker.write.mode("overwrite").parquet(self.path("_commits", f"batch={day.isoformat()}"))
+        try:
+            number = self.spark.read.parquet(self.path("_commits", f"batch={day.isoformat()}")).count()
+        except AnalysisException as e:
+            if not _no_path(e):
+                raise
+            number = 0
+        marker = self.spark.createDataFrame([(next_label, number)], "label string, number int")
+        marker.coalesce(1).write.parquet(self.path("_commits", f"batch={day.isoformat()}", f"attempt={attempt}"))
 
     def next_label(self) -> str | None:
-        days = self.committed_days()
-        if not days:
-            return None
-        row = self.spark.read.parquet(self.path("_commits", f"batch={days[-1].isoformat()}")).first()
-        return row["label"] if row else None
+        found = list(self.commits().values())
+        return found[-1][1] if found else None
+
+    @staticmethod
+    def new_attempt() -> str:
+        return uuid.uuid4().hex
 
-    # versioned tables --------------------------------------------------------
-    def write_version(self, table: str, day: _dt.date, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.versioned(table, day))
+    # tables ------------------------------------------------------------------
+    def write(self, table: str, day: _dt.date, attempt: str, df: DataFrame) -> None:
+        df.write.parquet(self.folder(table, day, attempt))
 
-    def read_version(self, table: str, day: _dt.date | None, schema: T.StructType) -> DataFrame:
+    def read(self, table: str, schema: T.StructType, day: _dt.date | None, attempt: str | None = None) -> DataFrame:
+        """One day's rows, of the committed attempt unless one is given; no rows without a day."""
         if day is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.versioned(table, day))
-
-    # partitioned append tables -----------------------------------------------
-    def write_partition(self, table: str, column: str, day: _dt.date, df: DataFrame) -> None:
-        """Replace partition ``column=day`` of ``table`` with ``df``.
-
-        The partition folder itself is overwritten, so a rerun that yields
-        no rows leaves the partition empty instead of keeping the old ones
-        (a dynamic partition overwrite only touches partitions it writes).
-        """
-        df.drop(column).write.mode("overwrite").parquet(self.path(table, f"{column}={day.isoformat()}"))
-
-    def read_partitions(self, table: str, column: str, schema: T.StructType,
-                        days: list[_dt.date]) -> DataFrame:
-        """Rows of the given partitions (normally the committed days).  The
-        filter is on the partition column, so other days are never read."""
-        full = T.StructType(schema.fields + [T.StructField(column, T.DateType())])
-        if not days:
+        attempt = attempt or self.commits()[day][0]
+        return self.spark.read.schema(schema).parquet(self.folder(table, day, attempt))
+
+    def read_days(self, table: str, schema: T.StructType, days: list[_dt.date],
+                  own: tuple[_dt.date, str] | None = None) -> DataFrame:
+        """The rows of several committed days, and of a running attempt ``own``; other days are never read."""
+        attempts = self.commits()
+        paths = [self.folder(table, d, attempts[d][0]) for d in days] + ([self.folder(table, *own)] if own else [])
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        try:
-            df = self.spark.read.schema(full).parquet(self.path(table))
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
-        wanted = [F.lit(d.isoformat()).cast("date") for d in days]
-        return df.where(F.col(column).isin(*wanted)).drop(column)
+        return self.spark.read.schema(schema).parquet(*paths)
 
 
 def day_of_label(label: str) -> _dt.date:
@@ -105,6 +106,3 @@ def day_of_label(label: str) -> _dt.date:
 
 def label_of_day(day: _dt.date) -> str:
     return day.strftime("%d%m%Y")
-
-
-REPORT_SCHEMA = T.StructType([f for f in sch.REPORT.fields if f.name != REPORT_PARTITION])

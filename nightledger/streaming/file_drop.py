@@ -2,15 +2,14 @@
 
 The original job is started by a scheduler each morning, reads the day's
 three files and then renames them into an archive folder.  Here a file
-stream source watches the drop folder for transactions files; its
-checkpoint records which files were processed (exactly once, also across
-restarts) and ``cleanSource=archive`` moves each processed file to the
-archive folder (Spark does that when the next micro-batch is planned, so a
-day's file moves when the following day's batch runs).  One file, one day,
-per micro-batch by default.  Every micro-batch is handed to ``run_day`` once per batch
-label found in it, with the terminals and blacklist sheets of that label.
-Run it with ``availableNow`` from any scheduler: it processes what has
-arrived and stops.
+stream source watches the drop folder for transactions files: only their
+names pass through the stream, its checkpoint records which were processed
+(exactly once, also across restarts).  For every batch label found, in
+order, the three files of that label are read by the batch readers (columns by
+header name, whatever their order in the file), ``run_day`` loads them, and
+after the commit all three move to the archive folder.  One file, one day, per
+micro-batch by default.  Run it with ``availableNow`` from any scheduler: it
+processes what has arrived and stops.
 """
 
 from __future__ import annotations
@@ -19,13 +18,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import schemas as sch
-from ..plans.daily_run import DailyInputs, run_day
-from ..plans.store import Store
-from ..sources import files, tables
+from ..plans.daily_run import inputs_from_drop, run_day
+from ..plans.store import Store, day_of_label
+from ..sources import files
 
 LABEL_PATTERN = r"transactions_(\d{8})\.txt$"
 
@@ -33,55 +30,47 @@ LABEL_PATTERN = r"transactions_(\d{8})\.txt$"
 SnapshotFn = Callable[[str], tuple[DataFrame, DataFrame, DataFrame]]
 
 
-def transactions_stream(spark: SparkSession, drop_dir: str, archive_dir: str | None = None,
-                        file_columns: list[str] | None = None, sep: str = ";",
-                        files_per_batch: int = 1) -> DataFrame:
-    """Stream of raw transaction lines with their batch label.
+def file_stream(spark: SparkSession, drop_dir: str, files_per_batch: int = 1) -> DataFrame:
+    """Stream of the transactions files that arrive: (path, label); no content is read."""
+    names = (spark.readStream.format("binaryFile").option("pathGlobFilter", "transactions_*.txt")
+             .option("maxFilesPerTrigger", files_per_batch)
+             .option("ignoreMissingFiles", True)  # already archived by a run that died before its checkpoint
+             .load(drop_dir))
+    return names.select("path", F.regexp_extract("path", LABEL_PATTERN, 1).alias("label"))
 
-    A streaming CSV source needs its schema up front, so the feed's column
-    order is given by ``file_columns`` (default: the order the job keeps);
-    columns are then taken by name as in the batch reader.
-    """
-    cols = file_columns or sch.TRANSACTIONS_FILE_COLUMNS
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    r = (spark.readStream.schema(schema).option("header", True).option("sep", sep)
-         .option("pathGlobFilter", "transactions_*.txt")
-         .option("maxFilesPerTrigger", files_per_batch))
-    if archive_dir:
-        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    df = r.csv(drop_dir)
-    return df.withColumn("_label", F.regexp_extract(F.col("_metadata.file_name"), LABEL_PATTERN, 1))
+
+def archive(spark: SparkSession, paths: list[str], archive_dir: str) -> None:
+    """Move files that are still there to ``archive_dir``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    target = path(archive_dir)
+    for p in map(path, paths):
+        fs = p.getFileSystem(conf)
+        fs.mkdirs(target)
+        if fs.exists(p) and not fs.rename(p, path(target, p.getName())):
+            raise OSError(f"{p} could not be moved to {archive_dir}")
 
 
 def run_file_drop(spark: SparkSession, store: Store, drop_dir: str, checkpoint: str,
                   snapshots: SnapshotFn, archive_dir: str | None = None,
-                  file_columns: list[str] | None = None, sheet_format: str = "csv",
-                  files_per_batch: int = 1, **run_kwargs) -> StreamingQuery:
+                  sheet_format: str = "csv", files_per_batch: int = 1, **run_kwargs) -> StreamingQuery:
     """Process every transactions file that has arrived, then stop.
 
     Each day must arrive as one transactions file, as the original's daily
-    file does: ``run_day`` loads a label with the rows of its micro-batch,
-    so a day spread over several files could be split across micro-batches.
-    ``files_per_batch`` only sets how many days one micro-batch may hold.
+    file does.  ``files_per_batch`` only sets how many days one micro-batch
+    may hold.
     """
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        # One row per batch label present in this micro-batch (a few days).
-        labels = sorted(r["_label"] for r in batch.select("_label").distinct().collect())
+        # One row per file of this micro-batch (a few days).
+        labels = sorted({r["label"] for r in batch.collect()}, key=day_of_label)
         for label in labels:
-            paths = files.daily_paths(drop_dir, label, sheet_format)
             clients, accounts, cards = snapshots(label)
-            inputs = DailyInputs(
-                transactions=files.parse_transactions(batch.where(F.col("_label") == label)),
-                terminals=files.read_terminals_file(spark, paths["terminals"], sheet_format),
-                blacklist=files.read_blacklist_file(spark, paths["blacklist"], sheet_format),
-                clients=tables.stage_clients(clients),
-                accounts=tables.stage_accounts(accounts),
-                cards=tables.stage_cards(cards),
-            )
+            inputs = inputs_from_drop(spark, drop_dir, label, clients, accounts, cards, sheet_format)
             run_day(store, label, inputs, **run_kwargs)
+            if archive_dir:
+                archive(spark, list(files.daily_paths(drop_dir, label, sheet_format).values()), archive_dir)
 
-    stream = transactions_stream(spark, drop_dir, archive_dir, file_columns, files_per_batch=files_per_batch)
-    return (stream.writeStream.foreachBatch(each_batch)
+    return (file_stream(spark, drop_dir, files_per_batch).writeStream.foreachBatch(each_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
