@@ -181,32 +181,42 @@ def fraud_report(enriched: DataFrame, report_dt: DateLike,
     lagged = client_lags(enriched, extra=extra)
     hour = Window.partitionBy("client_id", BUCKET)
     instant = Window.partitionBy("client_id", BUCKET, "trans_date")
+    # a row's number among its client's rows of one instant: rows that tie are alike in every value
+    # used here, so the identity is the same however often a lost task is run again
+    copies = instant.orderBy("passport_num", "fio", "phone", F.col("passport_valid_to"), "valid_to", BLACKLISTED, "trans_id")
     probe_hit = F.coalesce((_probe_pattern() & probe_gap_as_written()).cast("int"), F.lit(0))
     t = F.col("trans_date")
     flagged = lagged.select(
         "trans_date", "passport_num", "fio", "phone",
+        F.struct("client_id", F.row_number().over(copies).alias("n")).alias("_row"),
         ((F.col("passport_valid_to") < t) | F.col(BLACKLISTED)).alias("_f1"),
         (F.col("valid_to") < t).alias("_f2"),
         # a null time has no clock hour; the original's join on it never matches
         ((F.min("terminal_city").over(hour) != F.max("terminal_city").over(hour)) & t.isNotNull()).alias("_f3"),
         F.sum(probe_hit).over(instant).cast("int").alias("_f4"))
 
-    # One label per report row the transaction produces.
-    none = F.array().cast("array<string>")
+    # One (rule, copy) entry per report row the transaction produces.
+    def entry(label: str, copy) -> Column:
+        return F.struct(F.lit(label).alias("t"), F.lit(copy).cast("int").alias("c"))
+
+    none = F.array().cast("array<struct<t:string,c:int>>")
+    probes = F.transform(F.sequence(F.lit(1), F.greatest(F.col("_f4"), F.lit(1))),
+                         lambda i: entry(sch.EVENT_AMOUNT_PROBE, i))
     entries = F.flatten(F.array(
-        F.when(F.col("_f1"), F.array(F.lit(sch.EVENT_PASSPORT))).otherwise(none),
-        F.when(F.col("_f2"), F.array(F.lit(sch.EVENT_CONTRACT))).otherwise(none),
-        F.when(F.col("_f4") > 0, F.array_repeat(F.lit(sch.EVENT_AMOUNT_PROBE), F.col("_f4"))).otherwise(none),
+        F.when(F.col("_f1"), F.array(entry(sch.EVENT_PASSPORT, 0))).otherwise(none),
+        F.when(F.col("_f2"), F.array(entry(sch.EVENT_CONTRACT, 0))).otherwise(none),
+        F.when(F.col("_f3"), F.array(entry(sch.EVENT_MULTI_CITY, 0))).otherwise(none),
+        F.when(F.col("_f4") > 0, probes).otherwise(none),
     ))
-
-    def rows(df: DataFrame, label: Column) -> DataFrame:
-        return df.select(F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"),
-                         "fio", "phone", label.alias("event_type"), F.lit(str(report_dt)).cast("date").alias("report_dt"))
-
-    # only rows of the multi-city rule can collapse (F3 reports a client's distinct times); all
-    # others go out as they are.  Both branches read the same shuffled rows.
-    each = rows(flagged.select("trans_date", "passport_num", "fio", "phone", F.explode(entries).alias("_t")), F.col("_t"))
-    return each.unionByName(rows(flagged.where("_f3"), F.lit(sch.EVENT_MULTI_CITY)).distinct())
+    e = F.col("_e")
+    rows = (flagged.select("trans_date", "passport_num", "fio", "phone", "_row",
+                           F.explode(entries).alias("_e"))
+                   .select(F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"),
+                           "fio", "phone", e["t"].alias("event_type"),
+                           F.lit(str(report_dt)).cast("date").alias("report_dt"),
+                           # F3 rows may collapse; every other row keeps its identity
+                           F.when(e["t"] != sch.EVENT_MULTI_CITY, F.struct("_row", e["c"])).alias("_u")))
+    return rows.dropDuplicates().drop("_u")
 
 
 def fraud_report_since(fact: DataFrame, cards: DataFrame, terminals: DataFrame,
