@@ -327,3 +327,20 @@ def daily_staging(spark: SparkSession, sf_dir: str, day: int) -> dict[str, DataF
         "accounts": snap("accounts").selectExpr("*", *stamps),
         "cards": snap("cards").selectExpr("*", *stamps),
     }
+
+
+def dirty_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards with broken keys, by the card's number: some rows twice, some keys
+    with a second account, some rows without a key."""
+    c = cards(spark, sf_dir).select("card_num", "account_num")
+    return (c.unionByName(c.where("card_num LIKE '%1-0'"))
+             .unionByName(c.where("card_num LIKE '%2-0'").selectExpr("card_num", "account_num || 'x' AS account_num"))
+             .unionByName(c.where("card_num LIKE '%3-0'").selectExpr("CAST(NULL AS STRING) AS card_num", "account_num")))
+
+
+def dirty_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions file's id and amount, some amounts no number or finer than the column."""
+    return transactions_text(spark, sf_dir).selectExpr(
+        "transaction_id",
+        "CASE WHEN transaction_id LIKE '%7' THEN 'n/a' WHEN transaction_id LIKE '%18' THEN amount || '1' "
+        "WHEN transaction_id LIKE '%29' THEN NULL ELSE amount END AS amount")

@@ -349,3 +349,29 @@ def daily_run_report_sql(day: int = 2) -> str:
         c["transactions"] = "SELECT * FROM all_transactions WHERE CAST(trans_id AS BIGINT) % 10 <> 9"
     c["enriched"] = ENRICHED
     return with_ctes(c, "\nUNION ALL\n".join(f"SELECT * FROM ({q})" for q in (F1, F2, F3, f4())))
+
+
+DIRTY_CARDS = """
+SELECT card_num, account_num FROM cards
+UNION ALL SELECT card_num, account_num FROM cards WHERE card_num LIKE '%1-0'
+UNION ALL SELECT card_num, account_num || 'x' FROM cards WHERE card_num LIKE '%2-0'
+UNION ALL SELECT CAST(NULL AS VARCHAR), account_num FROM cards WHERE card_num LIKE '%3-0'"""
+
+QUARANTINE_CARDS = """
+SELECT card_num, account_num, 'null_key' AS reason, count(*) AS n_rows
+FROM dirty WHERE card_num IS NULL GROUP BY card_num, account_num
+UNION ALL
+SELECT card_num, account_num, 'duplicate_key', n FROM (
+  SELECT card_num, account_num, count(*) - CASE WHEN account_num = min(account_num) OVER (PARTITION BY card_num) THEN 1 ELSE 0 END AS n
+  FROM dirty WHERE card_num IS NOT NULL GROUP BY card_num, account_num) WHERE n > 0"""
+
+KEY_FINDINGS_CARDS = """
+SELECT 'duplicate_key' AS finding, card_num AS key_value, count(*) AS n_rows
+FROM dirty WHERE card_num IS NOT NULL GROUP BY card_num HAVING count(*) > 1
+UNION ALL SELECT 'null_key', NULL, count(*) FROM dirty WHERE card_num IS NULL"""
+
+DIRTY_AMOUNTS = """
+SELECT 'transactions' AS table_name, count(*) AS n_rows,
+       count(*) FILTER (WHERE event_id LIKE '%29') AS n_null_amounts,
+       count(*) FILTER (WHERE event_id LIKE '%7' OR event_id LIKE '%18') AS n_bad_amounts
+FROM (SELECT CAST(event_id AS VARCHAR) AS event_id FROM events)"""

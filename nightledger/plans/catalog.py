@@ -278,6 +278,30 @@ def q_dq_bad_amounts(spark, sf_dir):
     return quality.bad_amount_summary(files.read_text_table(spark, path), "transactions")
 
 
+_DIRTY = {**_BASE, "dirty": fq.DIRTY_CARDS}
+
+
+@register("dq_quarantine_cards", fq.with_ctes(_DIRTY, fq.QUARANTINE_CARDS))
+def q_dq_quarantine_cards(spark, sf_dir):
+    """What the daily run sets aside of cards with repeated and null keys."""
+    return quality.set_aside(fx.dirty_cards(spark, sf_dir), ["card_num"], [])[1]
+
+
+@register("dq_key_findings_cards", fq.with_ctes(_DIRTY, fq.KEY_FINDINGS_CARDS))
+def q_dq_key_findings_cards(spark, sf_dir):
+    """K1 and K3 on the same cards."""
+    c = quality.check_all({"cards": fx.dirty_cards(spark, sf_dir)})
+    return (c["duplicate_keys"].select(F.lit("duplicate_key").alias("finding"), "key_value", "n_rows")
+            .unionByName(c["null_keys"].select(F.lit("null_key").alias("finding"), F.lit(None).cast("string").alias("key_value"),
+                                               F.col("n_null_keys").alias("n_rows"))))
+
+
+@register("dq_bad_amounts_dirty", fq.DIRTY_AMOUNTS)
+def q_dq_bad_amounts_dirty(spark, sf_dir):
+    """K6 on amounts that are no number or finer than the column holds."""
+    return quality.bad_amount_summary(fx.dirty_amounts(spark, sf_dir), "transactions")
+
+
 # D14 ------------------------------------------------------------------------------------------
 @register("daily_run_report", fq.daily_run_report_sql())
 def q_daily_run_report(spark, sf_dir):
