@@ -22,9 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import byte_texts, free_name, space_words
+from .common import byte_texts, free_name, space_words, written
 
 SYMBOLS = b"#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "space", "punctuation", "symbol", "wide", "control")
@@ -123,20 +124,20 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> tuple[dict, dict]:
                 if text:
                     chars[lang] += char_histogram(text)
                     words[lang].update(space_words(text, lower=True))
-            if sum(map(len, words.values())) > 1_000_000:
+            if sum(map(len, words.values())) > 200_000:
                 yield flush()
         if chars:
             yield flush()
 
     counts = (docs.select("text", "lang").mapInArrow(count, "lang string, word string, cls int, n long")
               .groupBy("lang", "word", "cls").agg(F.sum("n").alias("n")))
-    by_lang = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = (counts.where("word is not null").withColumn("r", F.row_number().over(by_lang))
-           .where(F.col("r") <= limits.common_words).drop("r"))
-    largest = (counts.where("cls = -1").orderBy(F.desc("n"), "lang").limit(limits.max_languages)
+    # a language's few class rows all pass the same limit as its words
+    ranked = Window.partitionBy("lang", F.col("cls").isNull()).orderBy(F.desc("n"), "word")
+    top = written(counts.withColumn("r", F.row_number().over(ranked))
+                  .where(F.col("r") <= max(limits.common_words, len(CLASSES) + 1)).drop("r"), "quality-references")
+    largest = (top.where("cls = -1").orderBy(F.desc("n"), "lang").limit(limits.max_languages)
                .select(F.col("lang").alias("kept_lang")))
-    rows = (counts.where("cls is not null").unionByName(top)
-            .join(F.broadcast(largest), F.col("lang").eqNullSafe(F.col("kept_lang"))).drop("kept_lang").collect())
+    rows = top.join(F.broadcast(largest), F.col("lang").eqNullSafe(F.col("kept_lang"))).drop("kept_lang").collect()
     chars: dict = defaultdict(lambda: np.zeros(len(CLASSES)))
     words: dict = defaultdict(dict)
     totals: Counter = Counter()
@@ -147,14 +148,14 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> tuple[dict, dict]:
             totals[r["lang"]] += r["n"]
         else:
             chars[r["lang"]][r["cls"]] += r["n"]
+    most = lambda c: dict(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:limits.common_words])
     pooled: Counter = Counter()
     for w in words.values():
         pooled.update(w)
-    chosen = dict(sorted(pooled.items(), key=lambda x: (-x[1], x[0]))[:limits.common_words])
     char_refs = {k: v for k, v in chars.items() if k is not None and totals[k] >= limits.min_reference_words}
-    word_refs = {k: (words[k], totals[k]) for k in char_refs}
+    word_refs = {k: (most(words[k]), totals[k]) for k in char_refs}
     char_refs[None] = sum(chars.values(), np.zeros(len(CLASSES)))
-    word_refs[None] = (chosen, sum(totals.values()))
+    word_refs[None] = (most(pooled), sum(totals.values()))
     return char_refs, {k: (list(v), np.array([*v.values(), max(n - sum(v.values()), 0)], float))
                        for k, (v, n) in word_refs.items()}
 
@@ -207,6 +208,7 @@ def filter_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents that are kept, with all their columns."""
     refs = references(docs, limits)
     lang = free_name(docs, "judged_lang")
+    schema = T.StructType([*docs.schema.fields, T.StructField(lang, docs.schema["lang"].dataType)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -214,4 +216,4 @@ def filter_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
             keep = [measure(t, g, refs, limits)["kept"] for t, g in zip(byte_texts(b), b.column(at).to_pylist())]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.withColumn(lang, F.col("lang")).mapInArrow(run, docs.schema.add(lang, "string")).drop(lang)
+    return docs.withColumn(lang, F.col("lang")).mapInArrow(run, schema).drop(lang)
