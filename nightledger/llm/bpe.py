@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import byte_texts
+from .common import byte_texts, written
 
 # The pre-token pattern of the byte-level vocabulary and its white space.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -284,59 +284,59 @@ class Encoder:
     """Text to ids.  Pieces between single spaces are looked up in a bounded memory of pieces
     already seen; the new ones of a batch are pre-tokenized, found in the lexicon or merged together."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None, memory: int = 250_000):
+    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None, memory: int = 200_000):
         self.v, self.lexicon, self.memory = vocabulary, lexicon, memory
         self.pattern = regex.compile(PATTERN)
         self.within_run = re.compile(WITHIN_RUN)
         self.special = re.compile(vocabulary.special_pattern) if vocabulary.special else None
+        self.marks = {m: np.uint32(vocabulary.byte_ids[ord(m)]).tobytes() for m in MARKS}
         self.seen: dict[str, bytes] = {}     # piece after a space -> ids as little-endian 32-bit integers
-        self.other: dict[str, bytes] = {}    # pre-token or piece without the space
-
-    def _resolve(self, pieces: list[str], lead: str) -> list[bytes]:
-        """Ids of pieces that start a word (or are one whole run of the text)."""
-        index: dict[str, int] = {}
-        number = index.setdefault
-        cut: list[int | list[int]] = []
-        for p in pieces:
-            if p.isalpha():
-                cut.append(number(lead + p, len(index)))
-            elif p[-1:] in MARKS and p[:-1].isalpha():
-                cut.append([number(lead + p[:-1], len(index)), number(p[-1], len(index))])
-            else:
-                cut.append([number(t, len(index)) for t in self.pattern.findall(lead + p)])
-        words = [w.encode() for w in index]
-        found: list[bytes] = [b""] * len(words)
-        rest = range(len(words))
-        if self.lexicon is not None:
-            numbers = self.lexicon.number(words).tolist()
-            rest = [i for i, n in enumerate(numbers) if n < 0]
-            for i, n in enumerate(numbers):
-                if n >= 0:
-                    found[i] = self.lexicon.ids_of(n)
-        for i, ids in zip(rest, merge_words(self.v, [words[i] for i in rest])):
-            found[i] = ids
-        return [found[c] if type(c) is int else b"".join([found[i] for i in c]) for c in cut]
+        self.other: dict[str, bytes] = {}    # the same for pre-tokens and pieces without the space
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of single pre-tokens: from the lexicon, else merged together."""
+        if self.lexicon is None:
+            return merge_words(self.v, words)
+        numbers = self.lexicon.number(words).tolist()
+        merged = iter(merge_words(self.v, [w for w, n in zip(words, numbers) if n < 0]))
+        return [self.lexicon.ids_of(n) if n >= 0 else next(merged) for n in numbers]
+
+    def learn(self, memory: dict[str, bytes], lead: str, new: set[str]) -> None:
+        """Add pieces to ``memory``; they start a word (or are one whole run of the text)."""
+        marked = [p for p in new if p[-1:] in MARKS and p[:-1].isalpha()]
+        new.difference_update(marked)
+        new.update({p[:-1] for p in marked}.difference(memory))
+        plain = [p for p in new if p.isalpha()]
+        memory.update(zip(plain, self._ids([(lead + p).encode() for p in plain])))
+        odd = list(new.difference(plain))
+        cut = [self.pattern.findall(lead + p) for p in odd]
+        tokens = list({t for c in cut for t in c})
+        ids = dict(zip(tokens, self._ids([t.encode() for t in tokens])))
+        memory.update((p, b"".join([ids[t] for t in c])) for p, c in zip(odd, cut))
+        memory.update((p, memory[p[:-1]] + self.marks[p[-1]]) for p in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        plans: list[list] = []  # per text: ids, or lists of pieces with the memory that they are found in
-        for text in texts:
-            plan: list = []
-            rest = 0
-            hits = self.special.finditer(text) if self.special else ()
-            for m in hits:
-                plan += [*self._pieces(text[rest:m.start()]), np.uint32(self.v.special[m[0]]).tobytes()]
-                rest = m.end()
-            plan += self._pieces(text[rest:] if rest else text)
-            plans.append(plan)
+        plans = [self.plan(t) for t in texts]
         for memory, lead in ((self.seen, " "), (self.other, "")):
             if len(memory) > self.memory:
                 memory.clear()
-            new = list(set().union(*(part[1] for p in plans for part in p if type(part) is tuple and part[0] is memory))
-                       .difference(memory))
-            memory.update(zip(new, self._resolve(new, lead)))
-        return [b"".join([part if type(part) is bytes else b"".join(map(part[0].__getitem__, part[1]))
-                          for part in p]) for p in plans]
+            used = (part[1] for p in plans for part in p if type(part) is tuple and part[0] is memory)
+            self.learn(memory, lead, set().union(*used).difference(memory))
+        return [self.joined(p) for p in plans]
+
+    @staticmethod
+    def joined(plan: list) -> bytes:
+        return b"".join([part if type(part) is bytes else b"".join(map(part[0].__getitem__, part[1])) for part in plan])
+
+    def plan(self, text: str) -> list:
+        """A text as ids (of special tokens) and lists of pieces, each with the memory that it is found in."""
+        plan: list = []
+        rest = 0
+        for m in self.special.finditer(text) if self.special else ():
+            plan += [*self._pieces(text[rest:m.start()]), np.uint32(self.v.special[m[0]]).tobytes()]
+            rest = m.end()
+        return plan + self._pieces(text[rest:] if rest else text)
 
     def _pieces(self, text: str) -> list:
         if not text:
@@ -357,7 +357,8 @@ LETTERS = bytes(b if 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 32 for b i
 
 
 def frequent_words(docs: DataFrame, size: int) -> list[str]:
-    """The ``size`` most frequent runs of letters, counted over all documents."""
+    """The most frequent runs of letters, counted over all documents: all above the lowest count
+    (on a scale of sixteenths of an octave) that at most ``size`` of them reach."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
 
@@ -369,14 +370,23 @@ def frequent_words(docs: DataFrame, size: int) -> list[str]:
             for text in byte_texts(b):
                 if text:
                     n.update(text.translate(LETTERS).split())
-            if len(n) > 400_000:
+            if len(n) > 200_000:
                 yield flush()
                 n.clear()
         yield flush()
 
-    counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(size).collect()
-    return [r["word"] for r in rows]
+    counts = written(docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+                     .where(F.length("word") <= 64), "word-counts")
+    # words by sixteenths of an octave of their count: at most 1,024 rows
+    octave = F.floor(F.log2("n") * 16)
+    bins = counts.groupBy(octave.alias("o")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).collect()
+    bar, held = None, 0
+    for b in sorted(bins, key=lambda b: -b["o"]):
+        held += b["words"]
+        if held > size:
+            break
+        bar = b["least"]
+    return [r["word"] for r in counts.where(F.col("n") >= bar).select("word").collect()] if bar else []
 
 
 def ship(spark: SparkSession, data: bytes, name: str) -> str:
@@ -410,7 +420,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, lexicon_size: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, Lexicon.mapped(SparkFiles.get(lexicon)))
         for whole in batches:
-            step = max(1, int(whole.num_rows * (8 << 20) / max(whole.nbytes, 1)))
+            step = max(1, int(whole.num_rows * (2 << 20) / max(whole.nbytes, 1)))
             for at in range(0, whole.num_rows, step):
                 b = whole.slice(at, step)
                 ids = encoder.encode([t or "" for t in b.column(1).to_pylist()])
