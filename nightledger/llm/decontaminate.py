@@ -211,7 +211,7 @@ def _task(block: Block, column: str, shard_bytes: int) -> Callable:
 
 
 def find(docs: DataFrame, benchmark: DataFrame, column: str, window: int = WINDOW,
-         block_bytes: int = 4 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
+         block_bytes: int = 4 << 20, shard_bytes: int = 8 << 20) -> DataFrame:
     """``docs`` with the struct ``column`` of findings (fields of ``FOUND``) added."""
     out = docs.withColumn(column, F.lit(None).cast(FOUND))
     schema = T.StructType([*docs.schema.fields, T.StructField(column, FOUND)])
