@@ -41,8 +41,8 @@ from pyspark.sql import types as T
 
 from .common import byte_texts, sliced, space_words, written
 
-BLOCK_BYTES = 12 << 20
-BUCKET_ENTRIES = 2_000_000
+BLOCK_BYTES = 4 << 20
+BUCKET_ENTRIES = 1_000_000
 CONTEXT_PART = 1 << 22
 DISCOUNT, STRENGTH = 0.8, 1.0        # of the context restaurants
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
@@ -295,7 +295,7 @@ class View:
 def send_pairs(buckets: int, train_tokens: float, start_count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
                 v = View(r["held"], r["sizes"], r["tokens"], r["words_back"], r["buckets"], start_count)
                 pair, to, hu, hto = v.routes(buckets)
                 cut, hcut = (np.searchsorted(x, np.arange(buckets + 1)) for x in (to, hto))
@@ -367,7 +367,7 @@ class Pairs:
 def send_parents(buckets2: int, start_count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
                 v = View(r["held"], r["sizes"], r["tokens"], r["words_back"], r["buckets"], start_count)
                 pairs = Pairs(v, buckets2, r["pairs_back"])
                 new = [np.bincount(v.w, t * pairs.owner, len(v.count)).astype(np.int64) for t in pairs.t]
@@ -411,7 +411,8 @@ def score_blocks(buckets2: int, start_count: int, train_tokens: float, vocabular
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(b.schema.get_field_index("doc_ids"))
-            for i, r in enumerate(b.drop_columns(["doc_ids"]).to_pylist()):
+            light = b.drop_columns(["doc_ids"])
+            for i, r in enumerate(light.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
                 v = View(r["held"], r["sizes"], r["tokens"], r["words_back"], r["buckets"], start_count)
                 pairs = Pairs(v, buckets2, r["pairs_back"])
                 parent = [unpack(d) for d in r["parents_back"]]
@@ -441,7 +442,7 @@ def score(docs: DataFrame) -> DataFrame:
     out = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()),
                         *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")],
                         *[T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]])
-    sizes = blocks.agg(F.sum("n_words"), F.sum("n_tokens"), F.sum("train_docs")).first()
+    sizes = blocks.agg(F.sum("n_words"), F.sum("n_tokens"), F.sum("train_docs"), F.count(F.lit(1))).first()
     if sizes[0] is None:
         return docs.sparkSession.createDataFrame([], out)
     words_n, pairs_n = (max(1, -(-int(n) // BUCKET_ENTRIES)) for n in sizes[:2])
@@ -451,7 +452,9 @@ def score(docs: DataFrame) -> DataFrame:
     words = written(sent.groupBy("bucket").applyInArrow(merge_words, BACK), "lm-words")
     vocabulary, train_tokens, _ = _totals(words)
     held = words.groupBy("block").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-    view = (blocks.select("block", "held", "sizes", "tokens").join(_by_block(words, "words_back"), "block").join(held, "block"))
+    # a block's row is some MB: seldom more than one or two meet in a task
+    view = (blocks.select("block", "held", "sizes", "tokens").repartition(2 * sizes[3], "block")
+            .join(_by_block(words, "words_back"), "block").join(held, "block"))
 
     sent = view.mapInArrow(send_pairs(pairs_n, train_tokens, start_count), SENT)
     pairs = written(sent.groupBy("bucket").applyInArrow(merge_pairs, SENT), "lm-pairs")
