@@ -41,8 +41,8 @@ from pyspark.sql import types as T
 
 from .common import byte_texts, sliced, space_words, written
 
-BLOCK_BYTES = 4 << 20
-BUCKET_ENTRIES = 1_000_000
+BLOCK_BYTES = 3 << 20
+BUCKET_ENTRIES = 500_000
 CONTEXT_PART = 1 << 22
 DISCOUNT, STRENGTH = 0.8, 1.0        # of the context restaurants
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
