@@ -5,9 +5,11 @@ addresses, IP addresses, card and phone numbers) and wider ones (dotted numbers,
 groups, key-like strings).  Gradient-boosted trees score every candidate from its format
 and its context; the trees are trained on a bounded sample of candidates (``train_rows``)
 with labels from exact validity rules (address ranges, Luhn sums, digit counts, an assignment to
-a secret's name).  Per kind, the lowest score at which the held-out fold reaches
-``precision`` is the threshold; kinds that never reach it add nothing.  Base spans that
-pass their rules are always kept; a scored span inside a base span is not repeated.
+a secret's name).  Every candidate is also scored by trees that were trained without its
+fold; per kind, the lowest score from which these reach ``precision`` is the threshold, by
+the same rule however many candidates there are; kinds that never reach it add nothing.
+Base spans that pass their rules are always kept; a scored span inside a base span is not
+repeated.
 
 Everything is DataFrame functions; the trained trees become one column expression.
 
@@ -43,6 +45,7 @@ BASE = ("email", "ip", "card", "phone")
 NEEDS = {"email": "@", "phone": "+", "ip": ".", "dotted": None, "card": None, "number": None, "secret": None}
 FEATURES = ("n_chars", "n_digits", "n_letters", "n_upper", "n_blank", "n_dash", "n_dots", "at", "plus", "hex",
             "before", "after", "secret_word", "phone_word")
+INPUTS = (*FEATURES, "order")  # of the trees: the features and the kind
 
 
 @dataclass(frozen=True)
@@ -51,7 +54,7 @@ class Training:
     trees: int = 12
     depth: int = 4
     precision: float = 0.95
-    least_positives: int = 20  # held-out positives that a threshold needs
+    folds: int = 2             # each is scored by trees of the others
 
 
 def _count(m: Column, chars: str) -> Column:
@@ -154,10 +157,11 @@ def _tree(lines: list[str], feature) -> Column:
 class Model:
     trees: list[tuple[float, str]]
     thresholds: dict[str, float]
+    start: float = 0.0  # margin before any tree
 
     def score(self, feature) -> Column:
         """Probability of personal data; ``feature(i)`` is the i-th feature's column."""
-        margin = F.lit(0.0)
+        margin = F.lit(self.start)
         for weight, text in self.trees:
             body = [x for x in text.splitlines()[1:] if x.strip()]
             margin = margin + F.lit(float(weight)) * _tree(body, feature)
@@ -169,7 +173,23 @@ class Model:
         bar = F.lit(2.0)
         for kind, t in self.thresholds.items():
             bar = F.when(span["kind"] == kind, F.lit(t)).otherwise(bar)
-        return self.score(lambda i: span[FEATURES[i]]) >= bar
+        return self.score(lambda i: span[INPUTS[i]]) >= bar
+
+
+def _fit(rows: DataFrame, options: Training) -> Model:
+    """The trees of ``rows``, without thresholds; every kind and label weighs the same however
+    rare it is.  Rows of one label score 0 or 1."""
+    counts = {(r["kind"], r["label"]): r["count"] for r in rows.groupBy("kind", "label").count().collect()}
+    labels = {label for _, label in counts}
+    if len(labels) < 2:
+        return Model([], {}, 30.0 if labels == {1.0} else -30.0)
+    weight = F.lit(0.0)
+    for (kind, label), n in counts.items():
+        weight = F.when((F.col("kind") == kind) & (F.col("label") == label), F.lit(sum(counts.values()) / (len(counts) * n))).otherwise(weight)
+    vectors = VectorAssembler(inputCols=list(INPUTS), outputCol="features").transform(rows.withColumn("weight", weight))
+    gbt = GBTClassifier(maxIter=options.trees, maxDepth=options.depth, maxBins=32, seed=7, checkpointInterval=-1, weightCol="weight")
+    fitted = gbt.fit(vectors.select("features", "label", "weight"))
+    return Model([(w, t.toDebugString) for w, t in zip(fitted.treeWeights, fitted.trees)], {})
 
 
 def train(docs: DataFrame, options: Training = Training()) -> Model:
@@ -178,25 +198,32 @@ def train(docs: DataFrame, options: Training = Training()) -> Model:
     # (an outer explode: else Spark evaluates the whole array once more, for a filter on its size)
     found = found.select("doc_id", F.explode_outer("found").alias("c")).where("c is not null")
     rows = found.select("doc_id", "c.*").withColumn("key", F.xxhash64(F.col("doc_id").cast("string"), "start", "kind"))
-    rows = written(rows.select("kind", "key", F.col("valid").cast("double").alias("label"), *FEATURES), "pii-candidates")
+    rows = written(rows.select("kind", "key", F.col("valid").cast("double").alias("label"), *INPUTS), "pii-candidates")
     # every candidate has the same chance, by its key
     share = min(1.0, options.train_rows / max(rows.count(), 1))
     sample = written(rows.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(share * 1_000_000)).repartition(2), "pii-sample")
-    fold = F.pmod("key", F.lit(4)) == 0
-    fit = sample.where(~fold)
-    if fit.select("label").distinct().count() < 2:
+    # folds are cut within each kind and label, so that trees of the others have seen its like
+    cuts = sample.groupBy("kind", "label").agg(F.percentile_approx(
+        "key", [(k + 1) / options.folds for k in range(options.folds - 1)], 10_000).alias("at")).collect()
+    fold = F.lit(0)
+    for r in cuts:
+        fold = F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]),
+                      sum(((F.col("key") > F.lit(c)).cast("int") for c in r["at"]), F.lit(0))).otherwise(fold)
+    sample = sample.withColumn("fold", fold)
+    model = _fit(sample, options)
+    if not model.trees:
         return Model([], {})
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(fit)
-    gbt = GBTClassifier(maxIter=options.trees, maxDepth=options.depth, maxBins=32, seed=7, checkpointInterval=-1)
-    fitted = gbt.fit(vectors.select("features", "label"))
-    model = Model([(w, t.toDebugString) for w, t in zip(fitted.treeWeights, fitted.trees)], {})
-    scored = sample.where(fold).select("kind", "label", F.floor(model.score(lambda i: F.col(FEATURES[i])) * 50).alias("bin"))
+    others = [_fit(sample.where(F.col("fold") != k), options) for k in range(options.folds)]
+    score = F.lit(0.0)
+    for k, m in enumerate(others):
+        score = F.when(F.col("fold") == k, m.score(lambda i: F.col(INPUTS[i]))).otherwise(score)
+    scored = sample.select("kind", "label", F.floor(score * 50).alias("bin"))
     bins = scored.groupBy("kind", "bin").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
     for kind in {b["kind"] for b in bins}:
         good = n = 0
         for b in sorted((b for b in bins if b["kind"] == kind), key=lambda b: -b["bin"]):
             good, n = good + b["good"], n + b["n"]
-            if good >= options.least_positives and good >= options.precision * n:
+            if good > 0 and good >= options.precision * n:
                 model.thresholds[kind] = b["bin"] / 50
     return model
 

@@ -73,6 +73,16 @@ def test_model_adds_secrets_and_leaves_prose_alone(make_docs):
     assert all(not r["found"] for r in pii.detect(make_docs(plain)).collect())
 
 
+def test_model_adds_secrets_of_a_small_table(make_docs):
+    rng = random.Random(6)
+    hexes = ["%040x" % rng.getrandbits(160) for _ in range(13)]
+    docs = [(i, f"{prose(i, 20)} token = \"{h}\" {prose(i + 1, 5)}") for i, h in enumerate(hexes)]
+    docs += [(100 + i, f"{prose(i, 9)} {'verylongword' * 2} {prose(i, 5)} 12 {i % 7} 2024-01-{10 + i} u{i}@h.org") for i in range(20)]
+    rows = {r["doc_id"]: r["found"] for r in pii.detect(make_docs(docs)).collect()}
+    assert all([t[s["start"]:s["end"]] for s in rows[i] if s["kind"] == "secret"] == [hexes[i]] for i, t in docs[:13])
+    assert not any(s["kind"] == "secret" for i, _ in docs[13:] for s in rows[i])
+
+
 def test_redaction(make_docs):
     docs = make_docs([(1, "mail é.a@b.co or +1 555 123 4567, 😀 10.0.0.1!"), (2, "nothing"), (3, None), (4, ""),
                       (5, "+1 555 123 4567 8901 2"), (5, "+1 555 123 4567 8901 2")])
