@@ -3,7 +3,8 @@
 High-recall generators propose spans, which may overlap: the four base kinds (e-mail
 addresses, IP addresses, card and phone numbers) and wider ones (dotted numbers, digit
 groups, key-like strings).  Gradient-boosted trees score every candidate from its format
-and its context; the trees are trained on a bounded sample of candidates (``train_rows``)
+and its context; the trees are trained on a bounded sample of candidates (``train_rows``, dealt
+evenly to kinds and labels; rare ones enter whole)
 with labels from exact validity rules (address ranges, Luhn sums, digit counts, an assignment to
 a secret's name).  Every candidate is also scored by trees that were trained without its
 fold; per kind, the lowest score from which these reach ``precision`` is the threshold, by
@@ -50,7 +51,7 @@ INPUTS = (*FEATURES, "order")  # of the trees: the features and the kind
 
 @dataclass(frozen=True)
 class Training:
-    train_rows: int = 20_000   # candidates, in expectation, that the trees and thresholds are fitted on
+    train_rows: int = 20_000   # candidates, in expectation, that the trees are fitted on
     trees: int = 12
     depth: int = 4
     precision: float = 0.95
@@ -192,24 +193,36 @@ def _fit(rows: DataFrame, options: Training) -> Model:
     return Model([(w, t.toDebugString) for w, t in zip(fitted.treeWeights, fitted.trees)], {})
 
 
+def _shares(counts: list[int], total: int) -> list[float]:
+    """The share of each group to take so that all have the same bound and ``total`` rows in sum."""
+    left, bound = total, 0.0
+    for at, n in enumerate(sorted(counts)):
+        bound = left / (len(counts) - at)
+        if n > bound:
+            break
+        left -= n
+        bound = n
+    return [1.0 if n <= bound else bound / n for n in counts]
+
+
 def train(docs: DataFrame, options: Training = Training()) -> Model:
-    """Fit trees and thresholds on a bounded sample of the candidates of all documents."""
+    """Trees of a bounded sample of the candidates of all documents, thresholds of all candidates."""
     found = candidates(docs.select("doc_id", "text"), "text", "found")
     # (an outer explode: else Spark evaluates the whole array once more, for a filter on its size)
     found = found.select("doc_id", F.explode_outer("found").alias("c")).where("c is not null")
     rows = found.select("doc_id", "c.*").withColumn("key", F.xxhash64(F.col("doc_id").cast("string"), "start", "kind"))
     rows = written(rows.select("kind", "key", F.col("valid").cast("double").alias("label"), *INPUTS), "pii-candidates")
-    # every candidate has the same chance, by its key
-    share = min(1.0, options.train_rows / max(rows.count(), 1))
-    sample = written(rows.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(share * 1_000_000)).repartition(2), "pii-sample")
-    # folds are cut within each kind and label, so that trees of the others have seen its like
-    cuts = sample.groupBy("kind", "label").agg(F.percentile_approx(
+    # each kind and label is cut into folds, and has its own share in what the trees are fitted on
+    strata = rows.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(
         "key", [(k + 1) / options.folds for k in range(options.folds - 1)], 10_000).alias("at")).collect()
-    fold = F.lit(0)
-    for r in cuts:
-        fold = F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]),
-                      sum(((F.col("key") > F.lit(c)).cast("int") for c in r["at"]), F.lit(0))).otherwise(fold)
-    sample = sample.withColumn("fold", fold)
+    shares = _shares([r["n"] for r in strata], options.train_rows)
+    fold, share = F.lit(0), F.lit(0.0)
+    for r, part in zip(strata, shares):
+        here = (F.col("kind") == r["kind"]) & (F.col("label") == r["label"])
+        fold = F.when(here, sum(((F.col("key") > F.lit(c)).cast("int") for c in r["at"]), F.lit(0))).otherwise(fold)
+        share = F.when(here, F.lit(part)).otherwise(share)
+    rows = rows.withColumn("fold", fold)
+    sample = written(rows.where(F.xxhash64("key") / F.lit(2.0 ** 64) + 0.5 <= share).repartition(2), "pii-sample")
     model = _fit(sample, options)
     if not model.trees:
         return Model([], {})
@@ -217,7 +230,7 @@ def train(docs: DataFrame, options: Training = Training()) -> Model:
     score = F.lit(0.0)
     for k, m in enumerate(others):
         score = F.when(F.col("fold") == k, m.score(lambda i: F.col(INPUTS[i]))).otherwise(score)
-    scored = sample.select("kind", "label", F.floor(score * 50).alias("bin"))
+    scored = rows.select("kind", "label", F.floor(score * 50).alias("bin"))
     bins = scored.groupBy("kind", "bin").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
     for kind in {b["kind"] for b in bins}:
         good = n = 0

@@ -83,6 +83,25 @@ def test_model_adds_secrets_of_a_small_table(make_docs):
     assert not any(s["kind"] == "secret" for i, _ in docs[13:] for s in rows[i])
 
 
+def test_sample_keeps_rare_kinds_whole():
+    assert pii._shares([13, 2, 5], 20_000) == [1.0, 1.0, 1.0]
+    counts = [10 ** 12, 30, 10 ** 9]
+    shares = pii._shares(counts, 20_000)
+    assert shares[1] == 1.0 and 0 < shares[0] < shares[2] < 1
+    assert abs(sum(n * s for n, s in zip(counts, shares)) - 20_000) < 1
+    assert pii._shares([], 20_000) == []
+
+
+def test_thresholds_count_candidates_outside_the_sample(make_docs):
+    rng = random.Random(8)
+    docs = [(i, f"{prose(i, 9)} token = \"{rng.getrandbits(160):040x}\" x") for i in range(12)]
+    docs += [(100 + i, f"{prose(i, 9)} {' '.join(str(rng.randrange(10, 99)) for _ in range(40))}. {'verylongword' * 2} 7") for i in range(200)]
+    docs = make_docs(docs)
+    model = pii.train(docs, pii.Training(train_rows=60))
+    assert "secret" in model.thresholds
+    assert sum(s["kind"] == "secret" for r in pii.find(docs, "found", model).collect() for s in r["found"]) == 12
+
+
 def test_redaction(make_docs):
     docs = make_docs([(1, "mail é.a@b.co or +1 555 123 4567, 😀 10.0.0.1!"), (2, "nothing"), (3, None), (4, ""),
                       (5, "+1 555 123 4567 8901 2"), (5, "+1 555 123 4567 8901 2")])
