@@ -109,8 +109,10 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
             batch_ts: str | _dt.datetime | None = None,
             report_dt: str | _dt.date | None = None,
             on_violation: str = "quarantine",
-            report_since: str | _dt.datetime | None = None) -> None:
+            report_since: str | _dt.datetime | None = None,
+            stream: tuple[str, int] | None = None) -> None:
     """Load batch ``label`` (``ddMMyyyy``) and publish its version.
+    ``stream`` names the stream and epoch that brought it, if one did.
 
     The report covers the whole fact history, as the original does (every
     past hit is reported again under the new report date).  With
@@ -186,7 +188,7 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
     # A batch appends its own rows, also where another batch has the same report date.
     store.write("rep_fraud", day, attempt, report.select(*sch.REPORT.names))
 
-    store.commit(day, attempt, label_of_day(day + _dt.timedelta(days=1)))
+    store.commit(day, attempt, label_of_day(day + _dt.timedelta(days=1)), stream)
 
 
 def read_report(store: Store, report_dt: str | _dt.date) -> DataFrame:

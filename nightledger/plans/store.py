@@ -19,10 +19,12 @@ import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 REPORT_DATE = "report_dt"
+_MARKER = "label string, number int, stream string, epoch long, batch date, attempt string"
 
 
 def _no_path(e: AnalysisException) -> bool:
@@ -45,8 +47,7 @@ class Store:
     def commits(self) -> dict[_dt.date, tuple[str, str]]:
         """(attempt, next label) of every committed day, ascending (one small row per commit)."""
         try:
-            rows = (self.spark.read.schema("label string, number int, batch date, attempt string")
-                    .parquet(self.path("_commits")).collect())
+            rows = self.spark.read.schema(_MARKER).parquet(self.path("_commits")).collect()
         except AnalysisException as e:
             if not _no_path(e):
                 raise
@@ -59,16 +60,28 @@ class Store:
     def committed_days(self) -> list[_dt.date]:
         return list(self.commits())
 
-    def commit(self, day: _dt.date, attempt: str, next_label: str) -> None:
+    def ledger(self, stream: str) -> set[tuple[int, str]]:
+        """(epoch, label) of every commit that the stream made (one small row per commit)."""
+        try:
+            rows = self.spark.read.schema(_MARKER).parquet(self.path("_commits")).where(F.col("stream") == stream).collect()
+        except AnalysisException as e:
+            if not _no_path(e):
+                raise
+            return set()
+        return {(r["epoch"], label_of_day(r["batch"])) for r in rows}
+
+    def commit(self, day: _dt.date, attempt: str, next_label: str, stream: tuple[str, int] | None = None) -> None:
         """Make the attempt visible; written after every table of the batch.
-        The marker also keeps the next batch label (the control table)."""
+        The marker also keeps the next batch label (the control table) and, for a
+        batch that a stream brought, the stream and its epoch."""
         try:
             number = self.spark.read.parquet(self.path("_commits", f"batch={day.isoformat()}")).count()
         except AnalysisException as e:
             if not _no_path(e):
                 raise
             number = 0
-        marker = self.spark.createDataFrame([(next_label, number)], "label string, number int")
+        marker = self.spark.createDataFrame([(next_label, number, *(stream or (None, None)))],
+                                            "label string, number int, stream string, epoch long")
         marker.coalesce(1).write.parquet(self.path("_commits", f"batch={day.isoformat()}", f"attempt={attempt}"))
 
     def next_label(self) -> str | None:

@@ -26,13 +26,16 @@ from ..sources import files
 
 LABEL_PATTERN = r"transactions_(\d{8})\.txt$"
 
+# The columns of Spark's binaryFile source; a file stream must name them.
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
 # (label) -> (clients, accounts, cards) source snapshots for that batch.
 SnapshotFn = Callable[[str], tuple[DataFrame, DataFrame, DataFrame]]
 
 
 def file_stream(spark: SparkSession, drop_dir: str, files_per_batch: int = 1) -> DataFrame:
     """Stream of the transactions files that arrive: (path, label); no content is read."""
-    names = (spark.readStream.format("binaryFile").option("pathGlobFilter", "transactions_*.txt")
+    names = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", "transactions_*.txt")
              .option("maxFilesPerTrigger", files_per_batch)
              .option("ignoreMissingFiles", True)  # already archived by a run that died before its checkpoint
              .load(drop_dir))
@@ -59,15 +62,24 @@ def run_file_drop(spark: SparkSession, store: Store, drop_dir: str, checkpoint:
     Each day must arrive as one transactions file, as the original's daily
     file does.  ``files_per_batch`` only sets how many days one micro-batch
     may hold.
+
+    A micro-batch that died between a commit and the stream's checkpoint comes
+    again with the same epoch.  Every commit marker names the stream and the
+    epoch it was made in, so a replay skips the labels it had committed,
+    goes on with the rest and finishes the archiving, with or without an
+    archive folder.
     """
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         # One row per file of this micro-batch (a few days).
         labels = sorted({r["label"] for r in batch.collect()}, key=day_of_label)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        committed = store.ledger(stream)
         for label in labels:
-            clients, accounts, cards = snapshots(label)
-            inputs = inputs_from_drop(spark, drop_dir, label, clients, accounts, cards, sheet_format)
-            run_day(store, label, inputs, **run_kwargs)
+            if (epoch_id, label) not in committed:
+                clients, accounts, cards = snapshots(label)
+                inputs = inputs_from_drop(spark, drop_dir, label, clients, accounts, cards, sheet_format)
+                run_day(store, label, inputs, stream=(stream, epoch_id), **run_kwargs)
             if archive_dir:
                 archive(spark, list(files.daily_paths(drop_dir, label, sheet_format).values()), archive_dir)
 

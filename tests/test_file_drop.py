@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from nightledger import fixtures as fx
@@ -80,3 +81,40 @@ def test_two_days_in_one_micro_batch(spark, sf_small, tmp_path):
     assert [d.isoformat() for d in store.committed_days()] == ["2024-02-01", "2024-02-02"]
     facts = store.read_days("dwh_fact_transactions", sch.FACT_TRANSACTIONS, store.committed_days())
     assert facts.count() == fx.transactions(spark, sf_small).count()
+
+
+def test_replay_after_a_crash_skips_what_was_committed(spark, sf_small, tmp_path):
+    """Both days of a micro-batch are committed, then the run dies before the stream's checkpoint."""
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    tx = fx.transactions_text(spark, sf_small).withColumn("_mod", F.col("transaction_id").cast("long") % 10)
+    for label, day_tx in (("01022024", tx.where("_mod <> 9")), ("02022024", tx.where("_mod = 9"))):
+        _write(day_tx.drop("_mod"), drop / f"transactions_{label}.txt")
+        _write(fx.terminals_sheet(spark, sf_small), drop / f"terminals_file_{label}.csv")
+        _write(fx.blacklist_sheet(spark, sf_small), drop / f"passport_blacklist_{label}.csv")
+
+    class Dies(Store):
+        def commit(self, day, *args, **kw):
+            super().commit(day, *args, **kw)
+            if day.isoformat() == "2024-02-02":
+                raise RuntimeError("died after the second commit")
+
+    asked = []
+
+    def snapshots(label):
+        asked.append(label)
+        return fx.clients(spark, sf_small), fx.source_accounts(spark, sf_small), fx.source_cards(spark, sf_small)
+
+    root, ckpt = str(tmp_path / "wh"), str(tmp_path / "ckpt")
+    how = {"files_per_batch": 2, "batch_ts": "2024-02-01 09:00:00", "report_dt": "2024-02-01"}
+    q = run_file_drop(spark, Dies(spark, root), str(drop), ckpt, snapshots, **how)
+    with pytest.raises(Exception, match="died after the second commit"):
+        q.awaitTermination(600)
+    store = Store(spark, root)
+    before = store.commits()
+    assert len(before) == 2
+    q = run_file_drop(spark, store, str(drop), ckpt, snapshots, **how)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    assert store.commits() == before
+    assert asked == ["01022024", "02022024"]
