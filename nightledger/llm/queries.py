@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import bpe, decontaminate, licenses, near_dup, oracles, pii, pitman_yor, quality, repair, shards, warc
+from . import bpe, decontaminate, licenses, merkle, mixing, near_dup, oracles, pii, pitman_yor, quality, repair, shards, warc
 from .common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +108,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
                         sha256(F.concat_ws(",", F.array_sort("items"))).alias("items_sha256"), "contaminated")
+
+
+@register("op12_prefix_mix", oracles.OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.plan(documents(spark, sf_dir, "doc_id", "source", "text"))
+    return found.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op13_merkle_proofs", oracles.op13())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(docs, tampered)
+    return found.select("doc_id", "leaf", "subroot", "root", sha256(F.lower(F.hex("proof"))).alias("proof_sha256"), "folded_root", "verified")
