@@ -78,18 +78,34 @@ def total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0), lambda s, x: s + x)
 
 
-def running_totals(numbers: Column) -> Column:
-    """For each element of an array of int the sum of all earlier ones, block by block so that
-    the work stays near linear in long arrays."""
-    blocks = F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / _BLOCK).cast("int"))
-    parts = F.transform(blocks, lambda k: F.slice(numbers, k * _BLOCK + 1, F.lit(_BLOCK)))
-    sums = F.transform(parts, total)
-    before = lambda a, k: total(F.slice(a, F.lit(1), k))
-    out = F.flatten(F.transform(F.arrays_zip(blocks.alias("k"), parts.alias("p")), lambda b: F.transform(
-        b["p"], lambda _, j: before(sums, b["k"]) + before(b["p"], j))))
-    return F.when(F.size(numbers) > 0, out).otherwise(F.array().cast("array<int>"))
-
-
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once (an array lambda over the single value)."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(numbers: Column, levels: int, whole, join) -> Column:
+    """For a lambda variable ``numbers``: what ``whole`` makes of all earlier elements, for each element.
+    Elements are taken in blocks and the blocks' own values are run over in the same way, so that
+    the work is a fixed number of steps for each element."""
+    if levels == 0:
+        return F.transform(numbers, lambda _, j: whole(F.slice(numbers, F.lit(1), j)))
+    starts = F.sequence(F.lit(0), F.greatest(F.size(numbers) - 1, F.lit(0)), F.lit(_BLOCK))
+    inner = lambda p: F.transform(p, lambda _, j: whole(F.slice(p, F.lit(1), j)))
+    return let(F.transform(starts, lambda k: F.slice(numbers, k + 1, F.lit(_BLOCK))), lambda parts: let(
+        F.transform(parts, whole), lambda of_parts: let(
+            _running(of_parts, levels - 1, whole, join), lambda before: F.flatten(F.transform(
+                F.arrays_zip(parts.alias("p"), before.alias("b")),
+                lambda x: F.transform(inner(x["p"]), lambda v: join(x["b"], v)))))))
+
+
+def running_totals(numbers: Column) -> Column:
+    """For each element of an array of int the sum of all earlier ones."""
+    return let(numbers, lambda a: F.when(F.size(a) > 0, _running(a, 2, total, lambda x, y: x + y))
+               .otherwise(F.array().cast("array<int>")))
+
+
+def running_largest(numbers: Column) -> Column:
+    """For each element of an array of int the largest of all earlier ones, -1 for the first; elements are -1 or more."""
+    largest = lambda a: F.coalesce(F.array_max(a), F.lit(-1))
+    return let(numbers, lambda a: F.when(F.size(a) > 0, _running(a, 2, largest, lambda x, y: F.greatest(x, y)))
+               .otherwise(F.array().cast("array<int>")))

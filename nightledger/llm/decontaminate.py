@@ -70,6 +70,14 @@ class Block:
         self.place_item = np.array([k for k, _ in flat], np.int64)
         self.place_start = np.array([at for _, at in flat], np.int64)
         self.place_first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        # places of whole windows as positions in all items, one item behind the other with a gap between them:
+        # the suffix that stands at each position (-1: none)
+        self.item_first = np.cumsum([1, *(len(w) + 1 for w in numbered)])[:-1].astype(np.int64)
+        self.position = (self.item_first[self.place_item] if len(flat) else self.place_item) + self.place_start
+        suffix = np.repeat(np.arange(len(counts)), counts)
+        whole = self.lengths[suffix] == window
+        self.suffix_at = np.full(sum(len(w) + 1 for w in numbered) + 2, -1, np.int64)
+        self.suffix_at[self.position[whole]] = suffix[whole]
         # leading word pairs (single words for one-word suffixes) that a test suffix starts with
         base = len(self.vocabulary) + 1
         heads = [np.frombuffer(s, KEY)[:2].astype(np.int64) for s in self.suffixes]
@@ -143,29 +151,63 @@ class Block:
             d = int(np.searchsorted(ends, a, "right"))
             out[d]["hit_starts"].append(int(a - starts[d]))
             out[d]["hit_ends"].append(int(b - starts[d]))
-        # maximal matches: consecutive occurrences on one diagonal of a document and an item
+        for place, position, length in (self._short_matches(which, place), self._window_matches(which, place)):
+            item = np.searchsorted(self.item_first, position, "right") - 1
+            doc = np.searchsorted(ends, place, "right")
+            order = np.lexsort((place, place - position, item, doc))
+            for k in order.tolist():
+                d, name = int(doc[k]), self.ids[item[k]]
+                out[d]["matches"].append({"item_id": name, "item_start": int(position[k] - self.item_first[item[k]]),
+                                          "doc_start": int(place[k] - starts[d]), "n_words": int(length[k])})
+                if name is not None:
+                    out[d]["items"].append(name)
+        return out
+
+    def _places(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each suffix its places in the items: (index into ``which``, position)."""
         n = self.place_first[which + 1] - self.place_first[which]
         each = np.repeat(np.arange(len(which)), n)
         at = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n) + self.place_first[which[each]]
-        doc_at, item, item_at = place[each], self.place_item[at], self.place_start[at]
-        length = self.lengths[which[each]]
-        diagonal = doc_at - item_at
-        doc = np.searchsorted(ends, doc_at, "right")
-        order = np.lexsort((doc_at, diagonal, item, doc))
-        doc, item, item_at, doc_at, length, diagonal = (x[order] for x in (doc, item, item_at, doc_at, length, diagonal))
-        new = np.ones(len(doc), bool)
-        new[1:] = ((doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1])
-                   | (doc_at[1:] != doc_at[:-1] + 1))
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(doc)) - 1
-        for f, e in zip(first, last):
-            d, name = int(doc[f]), self.ids[item[f]]
-            out[d]["matches"].append({"item_id": name, "item_start": int(item_at[f]),
-                                      "doc_start": int(doc_at[f] - starts[d]),
-                                      "n_words": int(doc_at[e] + length[e] - doc_at[f])})
-            if name is not None:
-                out[d]["items"].append(name)
-        return out
+        return each, self.position[at]
+
+    def _short_matches(self, which: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, position, length) of the occurrences of items shorter than the window: each is a match."""
+        short = self.lengths[which] < self.window
+        which, place = which[short], place[short]
+        each, position = self._places(which)
+        return place[each], position, self.lengths[which[each]]
+
+    def _window_matches(self, which: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, position, length) of the maximal matches of whole windows.  A match starts at an occurrence and
+        one of its places in the items if the words before them are no occurrence together, and ends likewise.
+        Which places these are depends on the suffixes at two neighbouring places only, so it is worked out once
+        for each two suffixes that follow each other, and not for every occurrence and place."""
+        whole = np.flatnonzero(self.lengths[which] == self.window)
+        whole = whole[np.argsort(place[whole], kind="stable")]
+        which, place = which[whole], place[whole]  # one suffix at each place
+        edges = []
+        for step in (-1, 1):
+            beside = np.full(len(which), -2, np.int64)
+            follows = place[1:] == place[:-1] + 1
+            if step < 0:
+                beside[1:][follows] = which[:-1][follows]
+            else:
+                beside[:-1][follows] = which[1:][follows]
+            pairs, kind = np.unique(np.stack([which, beside], 1), axis=0, return_inverse=True)
+            kind = kind.reshape(-1)
+            each, position = self._places(pairs[:, 0])
+            edge = self.suffix_at[position + step] != pairs[each, 1]
+            each, position = each[edge], position[edge]
+            first = np.searchsorted(each, np.arange(len(pairs) + 1))
+            n = (first[1:] - first[:-1])[kind]
+            at = np.repeat(np.arange(len(which)), n)
+            inside = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+            position, at = position[first[kind[at]] + inside], place[at]
+            order = np.lexsort((at, at - position))
+            edges.append((at[order], position[order]))
+        # along a diagonal starts and ends take turns
+        (at, position), (last, _) = edges
+        return at, position, last - at + self.window
 
 
 def merge(old: dict | None, new: dict) -> dict:

@@ -29,7 +29,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, running_totals, written
+from .common import _BLOCK, free_name, let, running_largest, running_totals, written
 
 # Possessive quantifiers and run starts give the same matches as the plain patterns
 # without recursion or quadratic rescans on very long runs.
@@ -250,9 +250,19 @@ def find(docs: DataFrame, out: str, model: Model, text: str = "text") -> DataFra
     base = F.transform(F.filter(F.col(name), lambda c: c["kind"].isin(*BASE) & c["valid"]), lambda c: brief(c, True))
     kept = free_name(df, "base_spans")
     df = df.withColumn(kept, base)
-    more = F.filter(F.col(name), lambda c: ~(c["kind"].isin(*BASE) & c["valid"]) & model.selects(c) & ~F.exists(
-        F.col(kept), lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])))
-    spans = F.array_sort(F.concat(F.col(kept), F.transform(more, lambda c: brief(c, False))))
+    more = F.filter(F.col(name), lambda c: ~(c["kind"].isin(*BASE) & c["valid"]) & model.selects(c))
+    # by start, longer ones first, base spans before others: a span lies within a base span exactly if a base
+    # span before it ends no earlier
+    both = F.array_sort(F.concat(
+        F.transform(F.col(kept), lambda b: F.struct(b["start"].alias("start"), (-b["end"]).alias("back"), F.lit(0).alias("added"), b.alias("span"))),
+        F.transform(more, lambda c: F.struct(c["start"].alias("start"), (-c["end"]).alias("back"), F.lit(1).alias("added"), brief(c, False).alias("span")))))
+
+    def outer(b: Column) -> Column:
+        covered = running_largest(F.transform(b, lambda x: F.when(x["added"] == 0, -x["back"]).otherwise(-1)))
+        return F.transform(F.filter(F.arrays_zip(b.alias("x"), covered.alias("to")), lambda y: (
+            y["x"]["added"] == 0) | (y["to"] < -y["x"]["back"])), lambda y: y["x"]["span"])
+
+    spans = F.array_sort(let(both, outer))
     return df.select(*[F.col(f"`{c}`") for c in docs.columns], spans.alias(out))
 
 
@@ -272,21 +282,40 @@ def redact(docs: DataFrame, options: Training = Training()) -> DataFrame:
     are replaced together, under the first one's kind."""
     spans = free_name(docs, "spans")
     df = find(docs, spans, train(docs, options))
-    joined = F.aggregate(
-        F.col(spans), F.array().cast("array<struct<start:int,end:int,kind:string>>"),
-        lambda acc, s: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] > s["start"]),
-            F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["start"].alias("start"),
-                F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end"), F.element_at(acc, -1)["kind"].alias("kind")))))
-        .otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))))
+    # a span starts a group of overlapping ones if all earlier spans end before it; a group ends where the
+    # next one's earlier spans do
+    def groups(spans: Column) -> Column:
+        before = running_largest(F.transform(spans, lambda s: s["end"]))
+        heads = F.filter(F.arrays_zip(spans.alias("s"), before.alias("b")), lambda x: x["b"] <= x["s"]["start"])
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return let(heads, lambda h: F.transform(F.arrays_zip(h.alias("h"), F.concat(F.transform(F.slice(h, F.lit(2), F.size(h)), lambda x: x["b"]), F.array(last)).alias("e")), lambda x: F.struct(
+            x["h"]["s"]["start"].alias("start"), x["e"].alias("end"), x["h"]["s"]["kind"].alias("kind"))))
+
     merged = free_name(df, "merged")
-    df = df.withColumn(merged, F.when(F.size(spans) > 0, joined))
-    s, text = F.col(merged), F.col("text")
-    pieces = F.transform(s, lambda x, i: F.concat(
-        F.substring(text, F.when(i == 0, 0).otherwise(F.get(s, i - 1)["end"]) + 1,
-                    x["start"] - F.when(i == 0, 0).otherwise(F.get(s, i - 1)["end"])),
-        F.lit("["), F.upper(x["kind"]), F.lit("]")))
-    tail = F.substring(text, F.element_at(s, -1)["end"] + 1, F.length(text))
-    masked = F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(text)
+    df = df.withColumn(merged, F.when(F.size(spans) > 0, let(F.col(spans), groups)))
+    masked = F.when(F.size(spans) > 0, let(F.struct(F.col("text").alias("text"), F.col(merged).alias("spans")),
+                                           lambda x: _masked(x["text"], x["spans"], F.lit(0), 2))).otherwise(F.col("text"))
     return df.select(*[masked.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def _masked(text: Column, spans: Column, start: Column, levels: int) -> Column:
+    """``text``, which begins at code point ``start``, with the spans replaced.  A long list of spans is cut into
+    blocks with their own pieces of text, as a substring is searched from the beginning of its text."""
+    if levels == 0:
+        pieces = F.transform(spans, lambda x, i: F.concat(
+            let(F.when(i == 0, start).otherwise(F.get(spans, i - 1)["end"]),
+                lambda at: F.substring(text, at - start + 1, x["start"] - at)),
+            F.lit("["), F.upper(x["kind"]), F.lit("]")))
+        rest = F.substring(text, F.element_at(spans, -1)["end"] - start + 1, F.length(text))
+        return F.concat(F.array_join(pieces, ""), rest)
+    block = _BLOCK ** levels
+    starts = F.sequence(F.lit(0), F.size(spans) - 1, F.lit(block))
+
+    def part(k: Column) -> Column:
+        lo = F.when(k == 0, start).otherwise(F.get(spans, k)["start"])
+        hi = F.coalesce(F.get(spans, k + block)["start"], start + F.length(text))
+        return let(F.struct(lo.alias("lo"), hi.alias("hi")), lambda c: let(
+            F.struct(F.substring(text, c["lo"] - start + 1, c["hi"] - c["lo"]).alias("t"), F.slice(spans, k + 1, F.lit(block)).alias("s"), c["lo"].alias("at")),
+            lambda x: _masked(x["t"], x["s"], x["at"], levels - 1)))
+
+    return F.array_join(F.transform(starts, part), "")

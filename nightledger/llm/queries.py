@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import bpe, decontaminate, licenses, merkle, mixing, near_dup, oracles, pii, pitman_yor, quality, repair, shards, warc
+from . import bpe, decontaminate, licenses, merkle, mixing, near_dup, oracles, pii, pitman_yor, quality, repair, shards, spelling, warc
 from .common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     found = merkle.manifest(docs, tampered)
     return found.select("doc_id", "leaf", "subroot", "root", sha256(F.lower(F.hex("proof"))).alias("proof_sha256"), "folded_root", "verified")
+
+
+@register("op11_kd_spelling")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir, "doc_id", "text"))
