@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+from . import membership
 from .joins import anti_join
 
 
@@ -32,6 +36,19 @@ def new_transactions(staged: DataFrame, fact: DataFrame, range_prefilter: bool =
     return anti_join(staged, seen_again, "trans_id")
 
 
+def new_transactions_by_filter(staged: DataFrame, filters: DataFrame, batch: str,
+                               read: Callable[[list], DataFrame]) -> DataFrame:
+    """D8 from the membership filters of the committed batches (see ``membership``), which carry the
+    batch in a column: only the batches that may hold one of today's ids are read (``read`` gives their
+    facts), and of them the ids in question, which are then checked exactly."""
+    may = written(membership.may_hold(staged, "trans_id", filters), "ids-in-question")
+    asked = sorted(r[batch] for r in may.select(batch).distinct().collect())
+    if not asked:
+        return staged
+    stored = read(asked).select("trans_id").join(may.select("trans_id"), "trans_id", "left_semi")
+    return anti_join(staged, stored, "trans_id")
+
+
 def new_blacklist_entries(staged: DataFrame, fact: DataFrame) -> DataFrame:
     """Staged blacklist rows whose passport is not yet stored.
 

@@ -98,13 +98,16 @@ def set_aside(df: DataFrame, keys: list[str], required: list[str]) -> tuple[Data
     unparsed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required], F.lit(False))
     marked = df.withColumn("_why", F.when(null_key, "null_key").when(unparsed, "unparsed_value"))
     sound = marked.where("_why is null").drop("_why")
-    one = sound.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.min(F.struct(*cols)).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    good = one.select("_first.*").select(*cols)
-    repeated = one.where("_n > 1").select(*[f"_{k}" for k in keys], "_first")
+    # the keys alone are grouped; whole rows only where a key is repeated
+    repeated = (sound.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+                .where("_n > 1").drop("_n"))
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys])
+    copies = sound.join(repeated, on).groupBy(*cols, *[f"_{k}" for k in keys]).agg(F.count(F.lit(1)).alias("n_rows"))
+    first = copies.groupBy(*[F.col(f"_{k}").alias(f"_f_{k}") for k in keys]).agg(F.min(F.struct(*cols)).alias("_first"))
+    good = sound.join(repeated, on, "left_anti").unionByName(first.select("_first.*").select(*cols))
     # copies of the kept row itself count one less
-    extra = (sound.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows")).join(repeated, on)
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_f_{k}") for k in keys])
+    extra = (copies.join(first, same)
              .withColumn("n_rows", F.col("n_rows") - F.struct(*cols).eqNullSafe(F.col("_first")).cast("long"))
              .where("n_rows > 0").select(*cols, F.lit("duplicate_key").alias("reason"), "n_rows"))
     broken = (marked.where("_why is not null").groupBy(*cols, F.col("_why").alias("reason"))

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from .. import schemas as sch
 from ..functions import hour_start, minute_field
-from .enrich import BLACKLISTED, blacklisted_passports
-from .sequence import BUCKET, lag_name, ordered_lags
+from ..session import written
+from .enrich import BLACKLISTED, blacklisted_passports, enrich
+from .lookback import newest_two
+from .sequence import PART, lag_name, ordered_lags, ordered_ranges, range_lags, spanning
 
 DateLike = str | _dt.date
 
@@ -100,8 +102,7 @@ def client_lags(enriched: DataFrame, extra: list[str] | None = None,
     operations' time, amount and result."""
     cols = ["client_id", *LAG_ORDER, *LAG_VALUES, *(extra or [])]
     return ordered_lags(enriched.select(*dict.fromkeys(cols)), key=["client_id"],
-                        order=LAG_ORDER, values=LAG_VALUES,
-                        bucket=hour_start("trans_date"), n=2, rank_col=rank_col)
+                        order=LAG_ORDER, values=LAG_VALUES, n=2, rank_col=rank_col)
 
 
 def _probe_pattern() -> Column:
@@ -135,17 +136,20 @@ def fraud_amount_probe(enriched: DataFrame, report_dt: DateLike,
 
     Reported: the successful operation, and (as the original's join back on
     client and timestamp does) every operation of that client with exactly
-    the same timestamp, once per hit at that timestamp.  The join back is
-    done inside the same partitioning, without another shuffle.
+    the same timestamp, once per hit at that timestamp.
     """
     gap = probe_gap_as_written() if gap is None else gap
     lagged = client_lags(enriched, extra=["passport_num", "fio", "phone"])
-    is_hit = (_probe_pattern() & gap).cast("int")
-    same_instant = Window.partitionBy("client_id", BUCKET, "trans_date")
-    rows = (lagged.withColumn("_hits", F.sum(F.coalesce(is_hit, F.lit(0))).over(same_instant))
-                  .where(F.col("_hits") > 0)
-                  .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_hits").cast("int")))))
-    return _report(rows, sch.EVENT_AMOUNT_PROBE, report_dt)
+    rows = written(lagged.select("client_id", "trans_date", "passport_num", "fio", "phone", (_probe_pattern() & gap).alias("_f4")), "probe-rows")
+    return _report(_probe_copies(rows), sch.EVENT_AMOUNT_PROBE, report_dt)
+
+
+def _probe_copies(rows: DataFrame) -> DataFrame:
+    """The rows at the client and time of a hit (``_f4``), once for each hit there.  Hits are few,
+    so this is a join with a small table; a third of all rows at one instant is a skewed join, not one group."""
+    hits = rows.where("_f4").groupBy("client_id", "trans_date").agg(F.count(F.lit(1)).cast("int").alias("_hits"))
+    return (rows.join(hits, ["client_id", "trans_date"])
+            .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_hits")))))
 
 
 def fraud_amount_probe_elapsed(enriched: DataFrame, report_dt: DateLike,
@@ -164,59 +168,45 @@ def fraud_report_by_rule(enriched: DataFrame, report_dt: DateLike,
 
 
 def fraud_report(enriched: DataFrame, report_dt: DateLike,
-                 blacklist: DataFrame | None = None) -> DataFrame:
+                 blacklist: DataFrame | None = None, stored: bool = False) -> DataFrame:
     """all four rules, appended (duplicates across rules are kept).
 
-    One pass: F3 groups by (client, clock hour) and F4 looks back per
-    (client, clock-hour bucket), so one shuffle of the enriched rows by that
-    pair serves both, and F1/F2 are filters on the same rows.  Each row
-    emits one report row per rule it triggers (F4: once per hit at its
-    timestamp); one ``dropDuplicates`` over the report rows then merges only
-    F3 rows (all others carry a unique row identity).  Same rows as
-    ``fraud_report_by_rule``.
+    The enriched rows are range-sorted once by (client, time, id); within the
+    ranges F4 looks back over rows and F3 takes the extreme cities of each
+    clock hour, and the few hours that reach over the edge of a range are
+    summed up on their own.  The flagged rows are written; F1 and F2 are
+    filters on them, F4 joins its hits back, and only the F3 rows go through
+    a ``distinct``.  Same rows as ``fraud_report_by_rule``.  ``stored``: the
+    enriched rows are a plain scan.
     """
     enriched = _with_blacklist_flag(enriched, blacklist)
-    extra = ["passport_num", "fio", "phone", "passport_valid_to", "valid_to",
-             "terminal_city", BLACKLISTED]
-    lagged = client_lags(enriched, extra=extra)
-    hour = Window.partitionBy("client_id", BUCKET)
-    instant = Window.partitionBy("client_id", BUCKET, "trans_date")
-    # a row's number among its client's rows of one instant: rows that tie are alike in every value
-    # used here, so the identity is the same however often a lost task is run again
-    copies = instant.orderBy("passport_num", "fio", "phone", F.col("passport_valid_to"), "valid_to", BLACKLISTED, "trans_id")
-    probe_hit = F.coalesce((_probe_pattern() & probe_gap_as_written()).cast("int"), F.lit(0))
+    key, hour = ["client_id"], hour_start("trans_date")
+    ranged = ordered_ranges(enriched.select(
+        *key, *LAG_ORDER, *LAG_VALUES, "passport_num", "fio", "phone", "passport_valid_to", "valid_to", "terminal_city", BLACKLISTED),
+        key, LAG_ORDER, stored)
+    lagged = range_lags(ranged, key, LAG_ORDER, LAG_VALUES)
+    over = spanning(ranged, key, LAG_ORDER, {"client_id": F.col("client_id"), "hour": hour})
+    whole = written(ranged.withColumn("hour", hour).join(over, ["client_id", "hour"]).groupBy("client_id", "hour")
+                    .agg(F.min("terminal_city").alias("_lo"), F.max("terminal_city").alias("_hi")), "hours-over-ranges")
+    here = Window.partitionBy(PART, "client_id", "hour")
+    cities = (lagged.withColumn("hour", hour)
+              .withColumn("_low", F.min("terminal_city").over(here)).withColumn("_high", F.max("terminal_city").over(here))
+              .join(whole, ["client_id", "hour"], "left"))
     t = F.col("trans_date")
-    flagged = lagged.select(
-        "trans_date", "passport_num", "fio", "phone",
-        F.struct("client_id", F.row_number().over(copies).alias("n")).alias("_row"),
+    flagged = written(cities.select(
+        "client_id", "trans_date", "passport_num", "fio", "phone",
         ((F.col("passport_valid_to") < t) | F.col(BLACKLISTED)).alias("_f1"),
         (F.col("valid_to") < t).alias("_f2"),
         # a null time has no clock hour; the original's join on it never matches
-        ((F.min("terminal_city").over(hour) != F.max("terminal_city").over(hour)) & t.isNotNull()).alias("_f3"),
-        F.sum(probe_hit).over(instant).cast("int").alias("_f4"))
-
-    # One (rule, copy) entry per report row the transaction produces.
-    def entry(label: str, copy) -> Column:
-        return F.struct(F.lit(label).alias("t"), F.lit(copy).cast("int").alias("c"))
-
-    none = F.array().cast("array<struct<t:string,c:int>>")
-    probes = F.transform(F.sequence(F.lit(1), F.greatest(F.col("_f4"), F.lit(1))),
-                         lambda i: entry(sch.EVENT_AMOUNT_PROBE, i))
-    entries = F.flatten(F.array(
-        F.when(F.col("_f1"), F.array(entry(sch.EVENT_PASSPORT, 0))).otherwise(none),
-        F.when(F.col("_f2"), F.array(entry(sch.EVENT_CONTRACT, 0))).otherwise(none),
-        F.when(F.col("_f3"), F.array(entry(sch.EVENT_MULTI_CITY, 0))).otherwise(none),
-        F.when(F.col("_f4") > 0, probes).otherwise(none),
-    ))
-    e = F.col("_e")
-    rows = (flagged.select("trans_date", "passport_num", "fio", "phone", "_row",
-                           F.explode(entries).alias("_e"))
-                   .select(F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"),
-                           "fio", "phone", e["t"].alias("event_type"),
-                           F.lit(str(report_dt)).cast("date").alias("report_dt"),
-                           # F3 rows may collapse; every other row keeps its identity
-                           F.when(e["t"] != sch.EVENT_MULTI_CITY, F.struct("_row", e["c"])).alias("_u")))
-    return rows.dropDuplicates().drop("_u")
+        ((F.least("_low", "_lo") != F.greatest("_high", "_hi")) & t.isNotNull()).alias("_f3"),
+        (_probe_pattern() & probe_gap_as_written()).alias("_f4")), "flagged-rows")
+    simple = F.filter(F.array(F.when(F.col("_f1"), F.lit(sch.EVENT_PASSPORT)), F.when(F.col("_f2"), F.lit(sch.EVENT_CONTRACT))),
+                      lambda e: e.isNotNull())
+    first = flagged.where("_f1 or _f2").withColumn("_event", F.explode(simple))
+    report = first.select(F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"), "fio", "phone",
+                          F.col("_event").alias("event_type"), F.lit(str(report_dt)).cast("date").alias("report_dt"))
+    return (report.unionByName(_report(flagged.where("_f3"), sch.EVENT_MULTI_CITY, report_dt).distinct())
+            .unionByName(_report(_probe_copies(flagged), sch.EVENT_AMOUNT_PROBE, report_dt)))
 
 
 def fraud_report_since(fact: DataFrame, cards: DataFrame, terminals: DataFrame,
@@ -224,7 +214,7 @@ def fraud_report_since(fact: DataFrame, cards: DataFrame, terminals: DataFrame,
                        since, report_dt: DateLike) -> DataFrame:
     """F5 restricted to operations at or after ``since``: exactly the rows of
     the full report with ``event_dt >= since``, without pushing the whole
-    history through the enrichment and the (client, hour) shuffle.
+    history through the enrichment and the look-back.
 
     * F1, F2 need only the rows themselves; F3 needs whole clock hours, so
       the window starts at the clock hour of ``since``.
@@ -233,16 +223,32 @@ def fraud_report_since(fact: DataFrame, cards: DataFrame, terminals: DataFrame,
       cards, so history contributes only a top-2 per card (limited in each
       task before its shuffle), taken over rows that survive the terminal
       join, and enriched like the window rows.
+
+    This form scans the history for the look-back; ``fraud_report_from_state``
+    has it at hand.
     """
-    from .enrich import enrich  # local: enrich imports nothing from rules
+    start = window_start(since)
+    return _report_window(fact.where(F.col("trans_date") >= start), fact.where(F.col("trans_date") < start),
+                          cards, terminals, accounts, clients, blacklist, since, report_dt)
+
+
+def window_start(since) -> Column:
+    return hour_start(F.lit(str(since)).cast("timestamp_ntz"))
+
+
+def fraud_report_from_state(state: DataFrame, late: DataFrame, recent: DataFrame, cards: DataFrame, terminals: DataFrame,
+                            accounts: DataFrame, clients: DataFrame, blacklist: DataFrame,
+                            since, report_dt: DateLike) -> DataFrame:
+    """``fraud_report_since`` from a look-back state (``lookback.merge_state``) and the facts loaded after
+    it was taken: ``late`` ones before the clock hour of ``since`` and ``recent`` ones from it on.  All facts
+    that the state covers must lie before that hour."""
+    return _report_window(recent, state.unionByName(late.select(*state.columns)),
+                          cards, terminals, accounts, clients, blacklist, since, report_dt)
+
 
-    start = F.lit(str(since)).cast("timestamp_ntz")
-    window_start = hour_start(start)
-    recent = fact.where(F.col("trans_date") >= window_start)
+def _report_window(recent: DataFrame, older: DataFrame, cards: DataFrame, terminals: DataFrame, accounts: DataFrame,
+                   clients: DataFrame, blacklist: DataFrame, since, report_dt: DateLike) -> DataFrame:
     known_terminal = terminals.select(F.col("terminal_id").alias("terminal"))
-    older = fact.where(F.col("trans_date") < window_start).join(known_terminal, "terminal", "left_semi")
-    newest = Window.partitionBy("card_num").orderBy(F.col("trans_date").desc(), F.col("trans_id").desc())
-    lookback = (older.withColumn("_rn", F.row_number().over(newest))
-                     .where(F.col("_rn") <= 2).drop("_rn"))
-    rows = enrich(recent.unionByName(lookback), cards, terminals, accounts, clients, blacklist=blacklist)
-    return fraud_report(rows, report_dt).where(F.col("event_dt") >= start)
+    lookback = newest_two(older.join(known_terminal, "terminal", "left_semi"), ["card_num"])
+    rows = enrich(recent.unionByName(lookback.select(*recent.columns)), cards, terminals, accounts, clients, blacklist=blacklist)
+    return fraud_report(rows, report_dt).where(F.col("event_dt") >= F.lit(str(since)).cast("timestamp_ntz"))

@@ -1,15 +1,13 @@
-"""Ordered look-back (``lag``/``row_number`` per key) that does not put a
-whole key into one task.
+"""Ordered look-back (``lag``/``row_number`` per key) by ranges with boundary carry.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sorts every row of a key in a
-single task; one client holding a large share of all transactions would
-then hold up the job.  Here rows are windowed per ``(key, bucket)``, where
-the bucket is a coarse, order-preserving slice of the ordering (a clock hour
-of the timestamp by default).  The only rows a bucket needs from the past
-are the last ``n`` rows before it; those are found from the last ``n`` rows
-of every bucket (a top-n per bucket that Spark limits before the shuffle)
-and handed to the bucket as extra leading rows.  The result is exactly the
-unbucketed window's, while each task sees one bucket plus ``n`` rows.
+single task; one client holding a large share of all transactions would then
+hold up the job.  Here the rows are range-sorted by (key, order) and written,
+each with the number of its range, so a hot key, a hot hour of it, or even a
+hot instant spreads over as many ranges as its rows fill.  The windows run
+within (range, key).  What a range needs from before it, the last ``n`` rows
+of its first key, comes from the last ``n`` rows of the earlier ranges: a
+table of a few rows for each range.  The result is exactly the plain window's.
 """
 
 from __future__ import annotations
@@ -19,7 +17,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "_bucket"
+from ..session import written
+
+PART = "_part"
 _CARRY = "_carry"
 
 
@@ -27,68 +27,94 @@ def lag_name(col: str, i: int) -> str:
     return f"{col}_lag{i}"
 
 
-def ordered_lags(df: DataFrame, key: Sequence[str], order: Sequence[str],
-                 values: Sequence[str], bucket: Column, n: int = 2,
-                 rank_col: str | None = None) -> DataFrame:
-    """Add ``<c>_lag<i>`` for each column c of ``order + values`` and i in
-    1..n, equal to ``lag(c, i) over (partition by key order by order)``.
+def _sorted(cols: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in cols]
 
-    ``order`` must be a total order within a key (end it with a unique id);
-    nulls sort last, as in SQL's default ascending order.  ``bucket`` must
-    be monotone in ``order`` (later rows never fall into an earlier bucket;
-    a null bucket comes last).  With ``rank_col`` the row's 1-based position within
-    its key is added too.  The bucket column ``_bucket`` stays in the output.
+
+def ordered_ranges(df: DataFrame, key: Sequence[str], order: Sequence[str], stored: bool = False) -> DataFrame:
+    """``df`` range-sorted by key and order, with the number of each row's range in ``_part``.
+
+    The range sort looks at its input twice (once for the bounds), so the
+    input is written first; say ``stored`` if it is a plain scan already.
+    The ranges are written too: every later step sees the same ones.
     """
-    key, order, values = list(key), list(order), list(values)
-    cols = list(dict.fromkeys(order + values))
-    d = df.withColumn(BUCKET, bucket)
-    # The look-back rows carry every column of the input, not only the ones
-    # the lags need: both branches of the union below then read the same
-    # input columns, so Spark plans the input once and reuses its shuffles.
-    carried = list(dict.fromkeys(cols + [c for c in df.columns if c not in key]))
-
-    # Last n rows of every (key, bucket).  The row_number <= n filter is
-    # planned as a window group limit, applied map-side before the shuffle.
-    newest_first = Window.partitionBy(*key, BUCKET).orderBy(*[F.col(c).desc_nulls_first() for c in order])
-    oldest_first = [F.col(c).asc_nulls_last() for c in order]
-    tail = (d.select(*key, BUCKET, *carried)
-             .withColumn("_rn", F.row_number().over(newest_first))
-             .where(F.col("_rn") <= n).drop("_rn"))
-
-    # Within a key, the tail is at most n rows per bucket.  At the first
-    # tail row of a bucket, the previous n tail rows are the n rows that
-    # precede the bucket in the full order.
-    by_key = Window.partitionBy(*key).orderBy(*oldest_first)
-    rec = F.struct(*[F.col(c) for c in carried])
-    prev = [F.lag(rec, i).over(by_key) for i in range(1, n + 1)]
-    tail = tail.select(*key, BUCKET, F.lag(BUCKET, 1).over(by_key).alias("_prev_bucket"),
-                       F.array(*prev).alias("_prev"))
-    first_of_bucket = ~F.col("_prev_bucket").eqNullSafe(F.col(BUCKET)) | F.col("_prev").getItem(0).isNull()
-    carry = (tail.where(first_of_bucket)
-                 .select(*key, BUCKET, F.explode(F.filter("_prev", lambda r: r.isNotNull())).alias("_r"))
-                 .select(*key, BUCKET, *[F.col(f"_r.{c}").alias(c) for c in carried])
-                 .withColumn(_CARRY, F.lit(True)))
-
-    rows = d.withColumn(_CARRY, F.lit(False)).unionByName(carry, allowMissingColumns=True)
+    rows = df if stored else written(df, "ordered-rows")
+    by = _sorted([*key, *order])
+    return written(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(PART, F.spark_partition_id()), "ordered-ranges")
+
+
+def edge_rows(ranged: DataFrame, key: Sequence[str], order: Sequence[str], n: int, newest: bool) -> DataFrame:
+    """The last (or first) ``n`` rows of every range, with their place ``_rn`` from that end; limited in
+    each task before the shuffle."""
+    by = [F.col(c).desc_nulls_first() if newest else F.col(c).asc_nulls_last() for c in [*key, *order]]
+    return ranged.withColumn("_rn", F.row_number().over(Window.partitionBy(PART).orderBy(*by))).where(F.col("_rn") <= n)
+
+
+def same_key(a: Sequence[Column], b: Sequence[Column]) -> Column:
+    on = F.lit(True)
+    for x, y in zip(a, b):
+        on = on & x.eqNullSafe(y)
+    return on
+
+
+def carried(ranged: DataFrame, key: Sequence[str], order: Sequence[str], cols: Sequence[str], n: int) -> DataFrame:
+    """For every range whose first key began in an earlier range: ``_part``, the key, ``_prev`` (the ``n``
+    rows of the key before the range, newest first, null where there are fewer) and ``_offset`` (their number)."""
+    tails = edge_rows(ranged, key, order, n, newest=True).select(PART, *key, *order, "_rn", F.struct(*cols).alias("_rec"))
+    heads = edge_rows(ranged, key, order, 1, newest=False).select(PART, *key)
+    # rows of each range's last key: only that key can go on in the next range
+    last = tails.where("_rn = 1").select(F.col(PART).alias("_p"), *[F.col(k).alias(f"_k_{k}") for k in key])
+    of_last = (ranged.join(last, (F.col(PART) == F.col("_p")) & same_key([F.col(k) for k in key], [F.col(f"_k_{k}") for k in key]))
+               .groupBy(F.col("_p")).agg(F.count(F.lit(1)).alias("_n")))
+    tails = tails.join(of_last, F.col(PART) == F.col("_p"), "left").drop("_p")
+    by_key = Window.partitionBy(*key).orderBy(PART, *_sorted(order))
+    tails = tails.withColumn("_last", F.array(F.col("_rec"), *[F.lag("_rec", i).over(by_key) for i in range(1, n)]))
+    marks = (tails.select(PART, *key, *order, "_last", F.lit(1).alias("_own"), F.when(F.col("_rn") == 1, F.col("_n")).otherwise(0).alias("_n"))
+             .unionByName(heads.withColumn("_own", F.lit(0)), allowMissingColumns=True))
+    earlier = Window.partitionBy(*key).orderBy(PART, "_own", *_sorted(order)).rowsBetween(Window.unboundedPreceding, -1)
+    found = (marks.withColumn("_prev", F.last("_last", ignorenulls=True).over(earlier))
+             .withColumn("_offset", F.sum("_n").over(earlier))
+             .where((F.col("_own") == 0) & F.col("_prev").isNotNull()))
+    # written: Spark knows how small it is before it plans the joins with the rows
+    return written(found.select(PART, *key, "_prev", "_offset"), "ordered-carry")
+
+
+def spanning(ranged: DataFrame, key: Sequence[str], order: Sequence[str], group: dict[str, Column]) -> DataFrame:
+    """The groups (runs of rows that stand together in the order) that lie in more than one range: at most one for each range."""
+    edges = (edge_rows(ranged, key, order, 1, newest=True).unionByName(edge_rows(ranged, key, order, 1, newest=False))
+             .select(PART, *[c.alias(name) for name, c in group.items()]))
+    return edges.groupBy(*group).agg(F.min(PART).alias("_lo"), F.max(PART).alias("_hi")).where("_lo < _hi").select(*group)
+
+
+def range_lags(ranged: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str],
+               n: int = 2, rank_col: str | None = None) -> DataFrame:
+    """``ordered_lags`` over rows from ``ordered_ranges``; ``_part`` stays in the output, and the rows
+    are partitioned by (``_part``, key)."""
+    key, order = list(key), list(order)
+    cols = list(dict.fromkeys([*order, *values]))
+    prev = carried(ranged, key, order, cols, n)
+    carry = (prev.select(PART, *key, F.explode(F.filter("_prev", lambda r: r.isNotNull())).alias("_r"))
+             .select(PART, *key, *[F.col(f"_r.{c}").alias(c) for c in cols], F.lit(True).alias(_CARRY)))
+    rows = ranged.withColumn(_CARRY, F.lit(False)).unionByName(carry, allowMissingColumns=True)
     if rank_col:
-        # Rows before the bucket, from per-bucket counts (one row per bucket).
-        counts = d.groupBy(*key, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-        earlier = (Window.partitionBy(*key).orderBy(F.col(BUCKET).asc_nulls_last())
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        offsets = counts.select(*[F.col(k).alias(f"_o_{k}") for k in key], F.col(BUCKET).alias("_o_bucket"),
-                                F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-        # null-safe on the bucket: rows without a time form the last bucket
-        on = F.col(BUCKET).eqNullSafe(F.col("_o_bucket"))
-        for k in key:
-            on = on & (F.col(k) == F.col(f"_o_{k}"))
-        rows = rows.join(offsets, on, "left").drop(*[f"_o_{k}" for k in key], "_o_bucket")
-
-    w = Window.partitionBy(*key, BUCKET).orderBy(*oldest_first)
+        before = prev.select(F.col(PART).alias("_p"), *[F.col(k).alias(f"_k_{k}") for k in key], "_offset")
+        rows = rows.join(before, (F.col(PART) == F.col("_p")) & same_key([F.col(k) for k in key], [F.col(f"_k_{k}") for k in key]), "left")
+    w = Window.partitionBy(PART, *key).orderBy(*_sorted(order))
     lags = [F.lag(c, i).over(w).alias(lag_name(c, i)) for c in cols for i in range(1, n + 1)]
-    extra = []
     if rank_col:
-        running = Window.partitionBy(*key, BUCKET).orderBy(*oldest_first).rowsBetween(Window.unboundedPreceding, 0)
-        extra = [(F.col("_offset") + F.sum(F.when(~F.col(_CARRY), 1).otherwise(0)).over(running))
-                 .cast("int").alias(rank_col)]
-    out = rows.select("*", *lags, *extra).where(~F.col(_CARRY)).drop(_CARRY)
-    return out.drop("_offset") if rank_col else out
+        running = F.sum(F.when(F.col(_CARRY), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        lags.append((F.coalesce("_offset", F.lit(0)) + running).cast("int").alias(rank_col))
+    out = rows.select(*ranged.columns, _CARRY, *lags)
+    return out.where(~F.col(_CARRY)).drop(_CARRY)
+
+
+def ordered_lags(df: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str],
+                 n: int = 2, rank_col: str | None = None, stored: bool = False) -> DataFrame:
+    """Add ``<c>_lag<i>`` for each column c of ``order + values`` and i in
+    1..n, equal to ``lag(c, i) over (partition by key order by order)``.
+
+    ``order`` must be a total order within a key (end it with a unique id);
+    nulls sort last, as in SQL's default ascending order.  With ``rank_col``
+    the row's 1-based position within its key is added too.
+    """
+    return range_lags(ordered_ranges(df, key, order, stored), key, order, values, n, rank_col).drop(PART)

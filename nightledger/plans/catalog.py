@@ -4,7 +4,9 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +15,11 @@ from .. import fixtures as fx
 from .. import fixtures_sql as fq
 from .. import schemas as sch
 from ..operators import enrich as en
-from ..operators import facts, meta, quality, rules, scd
+from ..operators import facts, lookback, membership, meta, quality, rules, scd
 from ..operators.sequence import lag_name
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sources import control, files, tables
+from .buckets import write_version
 from .daily_run import DailyInputs, read_report, run_day
 from .store import Store
 
@@ -105,6 +108,7 @@ def q_fraud_amount_probe_elapsed(spark, sf_dir):
 
 
 REPORT_SINCE = "2024-01-20 12:30:00"
+REPORT_HALF = "2024-01-10 00:00:00"
 
 
 @register("fraud_report_since", fq.with_ctes(_E, "SELECT * FROM (" + "\nUNION ALL\n".join(
@@ -117,6 +121,22 @@ def q_fraud_report_since(spark, sf_dir):
         REPORT_SINCE, fx.REPORT_DT)
 
 
+@register("fraud_report_from_state", ORACLES["fraud_report_since"])
+def q_fraud_report_from_state(spark, sf_dir):
+    """The same report from a look-back state that three batches maintain: the state is merged by two batches
+    of old facts, the third brings the recent facts and late ones."""
+    fact, start = fx.transactions(spark, sf_dir), rules.window_start(REPORT_SINCE)
+    late = F.col("trans_id").cast("long") % 13 == 5
+    older = fact.where((F.col("trans_date") < start) & ~late)
+    half = F.col("trans_date") < F.lit(REPORT_HALF).cast("timestamp_ntz")
+    state = written(lookback.merge_state(spark.createDataFrame([], sch.FACT_TRANSACTIONS), older.where(half)), "lookback")
+    state = written(lookback.merge_state(state, older.where(~half)), "lookback")
+    return rules.fraud_report_from_state(
+        state, fact.where((F.col("trans_date") < start) & late), fact.where(F.col("trans_date") >= start),
+        fx.cards(spark, sf_dir), fx.terminals(spark, sf_dir), fx.accounts(spark, sf_dir),
+        fx.clients(spark, sf_dir), fx.blacklist(spark, sf_dir), REPORT_SINCE, fx.REPORT_DT)
+
+
 @register("fraud_report", fq.with_ctes(_E, "\nUNION ALL\n".join(
     f"SELECT * FROM ({q})" for q in (fq.F1, fq.F2, fq.F3, fq.f4()))))
 def q_fraud_report(spark, sf_dir):
@@ -164,6 +184,36 @@ register("scd1_update_accounts_allchanged", fq.scd1_sql("accounts", "update", al
     _scd1_query("accounts", "update", change="all"))
 
 
+VERSION_ROWS = 500  # rows of a bucket: the test tables too have several
+
+
+def _versions_query(dim: str, history: bool) -> QueryFn:
+    """The second of two copy-on-write versions of a table (see ``buckets``)."""
+    key, attrs = sch.dim_key(dim), sch.dim_attrs(dim)
+    table, schema = (sch.HIST_TABLES, sch.HIST) if history else (sch.DIM_TABLES, sch.DIM)
+    days = [_dt.date(2024, 2, 1), _dt.date(2024, 2, 2)]
+
+    def q(spark, sf_dir):
+        store = Store(spark, scratch_path(spark, "warehouse"))
+        stored = (fx.stored_history if history else fx.stored_dimension)(spark, sf_dir, dim)
+        apply = scd.scd2_apply if history else scd.scd1_apply
+        live = (F.col("effective_to").isNull() & ~F.col("deleted")) if history else None
+        attempts = [store.new_attempt(), store.new_attempt()]
+        write_version(store, table[dim], schema[dim], days[0], attempts[0], None, stored.where(live) if history else stored,
+                      key, attrs, lambda old, new: stored, live, VERSION_ROWS)
+        write_version(store, table[dim], schema[dim], days[1], attempts[1], (days[0], attempts[0]),
+                      fx.todays_snapshot(spark, sf_dir, dim).select(key, *attrs), key, attrs,
+                      lambda old, new: apply(old, new, key, attrs, fx.BATCH_TS), live, VERSION_ROWS)
+        return store.read(table[dim], schema[dim], days[1], attempts[1])
+    q.__name__ = f"{'hist' if history else 'dim'}_version_{dim}"
+    return q
+
+
+for _dim in ("clients", "cards"):
+    register(f"dim_version_{_dim}", fq.scd1_sql(_dim, "apply"))(_versions_query(_dim, False))
+    register(f"hist_version_{_dim}", fq.scd2_sql(_dim, "apply"))(_versions_query(_dim, True))
+
+
 # Staging --------------------------------------------------------------------------
 
 _BASE = fq.base_ctes()
@@ -216,6 +266,16 @@ def q_fact_transactions_append(spark, sf_dir):
     return facts.new_transactions(fx.transactions(spark, sf_dir), fx.stored_transactions(spark, sf_dir))
 
 
+@register("fact_transactions_append_filtered", ORACLES["fact_transactions_append"])
+def q_fact_transactions_append_filtered(spark, sf_dir):
+    """The same from the membership filters of five stored batches; batches without one of today's ids are not read."""
+    stored = fx.stored_transactions(spark, sf_dir).withColumn("batch", (F.col("trans_id").cast("long") % 5).cast("int"))
+    filters = [membership.build(stored.where(F.col("batch") == b), "trans_id").withColumn("batch", F.lit(b)) for b in range(5)]
+    held = written(reduce(DataFrame.unionByName, filters), "members")
+    return facts.new_transactions_by_filter(fx.transactions(spark, sf_dir), held, "batch",
+                                            lambda batches: stored.where(F.col("batch").isin(batches)))
+
+
 @register("fact_blacklist_append", fq.FACT_BLACKLIST_APPEND)
 def q_fact_blacklist_append(spark, sf_dir):
     return facts.new_blacklist_entries(fx.incoming_blacklist(spark, sf_dir), fx.stored_blacklist(spark, sf_dir))

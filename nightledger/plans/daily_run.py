@@ -23,11 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as sch
-from ..operators import facts, meta, quality, rules, scd
+from ..operators import facts, lookback, membership, meta, quality, rules, scd
 from ..operators.enrich import enrich
 from ..sources import files
+from .buckets import BUCKET_ROWS, write_version
 from .store import REPORT_DATE, Store, day_of_label, label_of_day
 
+LOOKBACK = "state_lookback"
+MEMBERS = "_members/dwh_fact_transactions"
+_MEMBERS = "day date, blocks long, block long, w0 long, w1 long, w2 long, w3 long"
+
 
 @dataclass
 class DailyInputs:
@@ -100,8 +105,9 @@ def _check(store: Store, day: _dt.date, attempt: str, inputs: DailyInputs, on_vi
     for name, keys in quality.PRIMARY_KEYS.items():
         good, bad = quality.set_aside(tables[name], keys, quality.REQUIRED.get(name, []))
         store.write(f"_quarantine/{name}", day, attempt, bad)
-        store.write(f"stg_{name}_valid", day, attempt, good)
-        tables[name] = store.read(f"stg_{name}_valid", tables[name].schema, day, attempt)
+        if store.read(f"_quarantine/{name}", bad.schema, day, attempt).limit(1).count():
+            store.write(f"stg_{name}_valid", day, attempt, good)
+            tables[name] = store.read(f"stg_{name}_valid", tables[name].schema, day, attempt)
     return tables
 
 
@@ -110,6 +116,7 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
             report_dt: str | _dt.date | None = None,
             on_violation: str = "quarantine",
             report_since: str | _dt.datetime | None = None,
+            bucket_rows: int = BUCKET_ROWS,
             stream: tuple[str, int] | None = None) -> None:
     """Load batch ``label`` (``ddMMyyyy``) and publish its version.
     ``stream`` names the stream and epoch that brought it, if one did.
@@ -117,18 +124,20 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
     The report covers the whole fact history, as the original does (every
     past hit is reported again under the new report date).  With
     ``report_since`` it covers operations from that time on, computed from
-    the recent rows plus a two-row look-back per card
-    (``rules.fraud_report_since``), so the history is not re-enriched.
+    the batches since then and the look-back state stored before them
+    (``rules.fraud_report_from_state``); the history is not read.
     """
     spark = store.spark
     day = day_of_label(label)
     batch_ts = str(batch_ts or _dt.datetime.now().replace(microsecond=0))
     report_dt = _dt.date.fromisoformat(str(report_dt)) if report_dt else _dt.date.today()
-    done = store.committed_days()
-    if done and day != done[-1] and label != store.next_label():
-        raise BatchOrderError(f"batch {label} is out of order: the next one is {store.next_label()}")
+    commits = store.commits()  # one listing a run: what is committed does not change meanwhile
+    done = list(commits)
+    if done and day != done[-1] and label != commits[done[-1]][1]:
+        raise BatchOrderError(f"batch {label} is out of order: the next one is {commits[done[-1]][1]}")
     before = [d for d in done if d < day]
-    prev = before[-1] if before else None
+    held = {d: a for d, (a, _) in commits.items()}
+    previous = (before[-1], held[before[-1]]) if before else None
     attempt = store.new_attempt()
 
     # Staging is written once and read back, so every later step (and
@@ -140,57 +149,82 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
         staged[name] = store.read(f"stg_{name}", df.schema, day, attempt)
     staged = _check(store, day, attempt, DailyInputs(**staged), on_violation)
 
-    # SCD1 dimensions and SCD2 history, one version each.
+    # SCD1 dimensions and SCD2 history, one version each: the buckets that the snapshot changes.
+    shown = F.col("effective_to").isNull() & ~F.col("deleted")
     for d in sch.DIMENSIONS:
         key, attrs = sch.dim_key(d), sch.dim_attrs(d)
         snap = staged[d].select(key, *attrs)
-        dim = store.read(sch.DIM_TABLES[d], sch.DIM[d], prev)
-        store.write(sch.DIM_TABLES[d], day, attempt, scd.scd1_apply(dim, snap, key, attrs, batch_ts))
-        hist = store.read(sch.HIST_TABLES[d], sch.HIST[d], prev)
-        store.write(sch.HIST_TABLES[d], day, attempt, scd.scd2_apply(hist, snap, key, attrs, batch_ts))
+        write_version(store, sch.DIM_TABLES[d], sch.DIM[d], day, attempt, previous, snap, key, attrs,
+                      lambda old, new, k=key, a=attrs: scd.scd1_apply(old, new, k, a, batch_ts), bucket_rows=bucket_rows)
+        write_version(store, sch.HIST_TABLES[d], sch.HIST[d], day, attempt, previous, snap, key, attrs,
+                      lambda old, new, k=key, a=attrs: scd.scd2_apply(old, new, k, a, batch_ts), shown, bucket_rows)
     dims = {d: store.read(sch.DIM_TABLES[d], sch.DIM[d], day, attempt) for d in sch.DIMENSIONS}
 
     # Facts: only rows not stored before.
     tx_fact, bl_fact = "dwh_fact_transactions", "dwh_fact_blacklist"
     own = (day, attempt)
-    old_tx = store.read_days(tx_fact, sch.FACT_TRANSACTIONS, before)
-    # Sorted by id inside each file: tight row-group statistics for the id
-    # range pre-filter of later days' de-duplication.
-    store.write(tx_fact, day, attempt, facts.new_transactions(staged["transactions"], old_tx)
-                .sortWithinPartitions("trans_id"))
-    old_bl = store.read_days(bl_fact, sch.FACT_BLACKLIST, before)
+    # Only the batches whose filter may hold one of today's ids are read.
+    filters = store.read_days(MEMBERS, _MEMBERS, before, attempts=held)
+    new = facts.new_transactions_by_filter(staged["transactions"], filters, "day", lambda days: store.read_days(
+        tx_fact, sch.FACT_TRANSACTIONS, days, attempts=held))
+    # Files by event time, so that the zone map tells them apart, and sorted by id inside each file: tight
+    # row-group statistics for the check of ids in question.
+    store.write(tx_fact, day, attempt, new.repartitionByRange("trans_date").sortWithinPartitions("trans_id"))
+    store.write_zones(tx_fact, day, attempt, "trans_date")
+    new_tx = store.read(tx_fact, sch.FACT_TRANSACTIONS, day, attempt)
+    store.write(MEMBERS, day, attempt, membership.build(new_tx, "trans_id").select(F.lit(day).alias("day"), "*"))
+    state = (store.read(LOOKBACK, sch.FACT_TRANSACTIONS, *previous) if previous else spark.createDataFrame([], sch.FACT_TRANSACTIONS))
+    store.write(LOOKBACK, day, attempt, lookback.merge_state(state, new_tx))
+    old_bl = store.read_days(bl_fact, sch.FACT_BLACKLIST, before, attempts=held)
     store.write(bl_fact, day, attempt, facts.new_blacklist_entries(staged["blacklist"], old_bl))
 
     if on_violation != "ignore":
         # K2, K5 on what is stored: keys of the dimensions and of today's facts, and all four
         # references; deleting a parent leaves its children behind (Q11), they are reported.
-        stored = quality.check_all({**dims, "transactions": store.read(tx_fact, sch.FACT_TRANSACTIONS, day, attempt)})
+        stored = quality.check_all({**dims, "transactions": new_tx})
         store.write("_dwh_orphans", day, attempt, stored["orphans"])
         store.write("_dwh_duplicate_keys", day, attempt, stored["duplicate_keys"])
 
     # Metadata.
-    m = (store.read("meta_dwh", sch.META, prev) if prev else meta.seed(spark))
+    m = (store.read("meta_dwh", sch.META, *previous) if previous else meta.seed(spark))
     m = meta.stamp_load_time(m, sch.FACT_TABLES, batch_ts)
     m = meta.high_water_marks(m, {sch.DIM_TABLES[d]: dims[d] for d in sch.DIMENSIONS})
     m = meta.stamp_load_time(m, list(sch.HIST_TABLES.values()), batch_ts)
     store.write("meta_dwh", day, attempt, m)
 
-    # Enriched table over the whole fact history, as the rules expect.
-    all_tx = store.read_days(tx_fact, sch.FACT_TRANSACTIONS, before, own)
-    all_bl = store.read_days(bl_fact, sch.FACT_BLACKLIST, before, own)
+    all_bl = store.read_days(bl_fact, sch.FACT_BLACKLIST, before, own, held)
     if report_since is None:
+        # Enriched table over the whole fact history, as the rules expect.
+        all_tx = store.read_days(tx_fact, sch.FACT_TRANSACTIONS, before, own, held)
         enriched = enrich(all_tx, dims["cards"], dims["terminals"], dims["accounts"],
                           dims["clients"], blacklist=all_bl)
         report = rules.fraud_report(enriched, report_dt)
     else:
-        report = rules.fraud_report_since(all_tx, dims["cards"], dims["terminals"], dims["accounts"],
-                                          dims["clients"], all_bl, report_since, report_dt)
+        state, late, recent = window_facts(store, before, own, held, report_since)
+        report = rules.fraud_report_from_state(state, late, recent, dims["cards"], dims["terminals"], dims["accounts"],
+                                               dims["clients"], all_bl, report_since, report_dt)
     # A batch appends its own rows, also where another batch has the same report date.
     store.write("rep_fraud", day, attempt, report.select(*sch.REPORT.names))
 
     store.commit(day, attempt, label_of_day(day + _dt.timedelta(days=1)), stream)
 
 
+def window_facts(store: Store, days: list[_dt.date], own: tuple[_dt.date, str] | None, attempts: dict[_dt.date, str],
+                 since: str | _dt.datetime) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(look-back state, late facts, recent facts) for a report from ``since`` on: the state after the last
+    batch up to which every fact lies before the clock hour of ``since``, and the later batches' facts
+    before and from that hour.  Batches and files are chosen by their zone maps; no other fact file is opened."""
+    table, start = "dwh_fact_transactions", rules.window_start(since)
+    zones = store.zones(table, days, own, attempts)
+    reached = {r["day"] for r in zones.where(F.col("hi") >= start).select("day").distinct().collect()}
+    first = next((i for i, d in enumerate(days) if d in reached), len(days))
+    state = (store.read(LOOKBACK, sch.FACT_TRANSACTIONS, days[first - 1], attempts[days[first - 1]]) if first
+             else store.spark.createDataFrame([], sch.FACT_TRANSACTIONS))
+    after = zones.where(~F.col("day").isin(*days[:first])) if first else zones
+    of = lambda **bounds: store.read_files(store.files_between(after, table, **bounds), sch.FACT_TRANSACTIONS)
+    return state, of(hi=start).where(F.col("trans_date") < start), of(lo=start).where(F.col("trans_date") >= start)
+
+
 def read_report(store: Store, report_dt: str | _dt.date) -> DataFrame:
     """The rows that all committed batches reported under ``report_dt``."""
     d = _dt.date.fromisoformat(str(report_dt))

@@ -1,8 +1,8 @@
 """Versioned warehouse storage on plain Parquet (S10-S12, the commit step).
 
 Parquet tables cannot be updated in place, so a daily run is an *attempt* at
-a batch and writes every table it changes - dimensions, history and metadata
-whole, of facts and report the batch's own rows - to
+a batch and writes what it changes - of dimensions and history the changed
+buckets (see ``buckets``), of facts and report the batch's own rows - to
 
     <root>/<table>/v=<batch day>/attempt=<id>/
 
@@ -23,7 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from .. import schemas as sch
+from .buckets import read_buckets, read_manifest
+
 REPORT_DATE = "report_dt"
+BUCKETED = {*sch.DIM_TABLES.values(), *sch.HIST_TABLES.values()}
+_ZONES = "day date, attempt string, file string, lo timestamp_ntz, hi timestamp_ntz, n_rows long"
 _MARKER = "label string, number int, stream string, epoch long, batch date, attempt string"
 
 
@@ -101,17 +106,50 @@ class Store:
         if day is None:
             return self.spark.createDataFrame([], schema)
         attempt = attempt or self.commits()[day][0]
+        if table in BUCKETED:
+            return read_buckets(self, table, schema, read_manifest(self, table, day, attempt))
         return self.spark.read.schema(schema).parquet(self.folder(table, day, attempt))
 
-    def read_days(self, table: str, schema: T.StructType, days: list[_dt.date],
-                  own: tuple[_dt.date, str] | None = None) -> DataFrame:
-        """The rows of several committed days, and of a running attempt ``own``; other days are never read."""
-        attempts = self.commits()
-        paths = [self.folder(table, d, attempts[d][0]) for d in days] + ([self.folder(table, *own)] if own else [])
+    def read_days(self, table: str, schema: T.StructType | str, days: list[_dt.date],
+                  own: tuple[_dt.date, str] | None = None, attempts: dict[_dt.date, str] | None = None) -> DataFrame:
+        """The rows of several committed days, and of a running attempt ``own``; other days are never read.
+        ``attempts`` are the committed ones, if the caller has them."""
+        paths = self._folders(table, days, own, attempts)
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def _folders(self, table, days, own, attempts) -> list[str]:
+        if attempts is None:
+            attempts = {d: a for d, (a, _) in self.commits().items()}
+        return [self.folder(table, d, attempts[d]) for d in days] + ([self.folder(table, *own)] if own else [])
+
+    # zone maps ---------------------------------------------------------------
+    def write_zones(self, table: str, day: _dt.date, attempt: str, column: str) -> None:
+        """The smallest and largest ``column`` of every file of a batch, beside its rows."""
+        rows = self.spark.read.parquet(self.folder(table, day, attempt))
+        zones = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+            F.min(column).alias("lo"), F.max(column).alias("hi"), F.count(F.lit(1)).alias("n_rows"))
+        self.write(f"_zones/{table}", day, attempt, zones.select(
+            F.lit(day).alias("day"), F.lit(attempt).alias("attempt"), "file", F.col("lo").cast("timestamp_ntz").alias("lo"),
+            F.col("hi").cast("timestamp_ntz").alias("hi"), "n_rows").coalesce(1))
+
+    def zones(self, table: str, days: list[_dt.date], own: tuple[_dt.date, str] | None = None,
+              attempts: dict[_dt.date, str] | None = None) -> DataFrame:
+        return self.read_days(f"_zones/{table}", _ZONES, days, own, attempts)
+
+    def files_between(self, zones: DataFrame, table: str, lo=None, hi=None) -> list[str]:
+        """The files that may hold values in [lo, hi): chosen before anything of the table is scanned."""
+        meets = F.col("lo").isNotNull()
+        if lo is not None:
+            meets = meets & (F.col("hi") >= lo)
+        if hi is not None:
+            meets = meets & (F.col("lo") < hi)
+        return [f"{self.folder(table, r['day'], r['attempt'])}/{r['file']}" for r in zones.where(meets).select("day", "attempt", "file").collect()]
+
+    def read_files(self, files: list[str], schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
+
 
 def day_of_label(label: str) -> _dt.date:
     return _dt.datetime.strptime(label, "%d%m%Y").date()

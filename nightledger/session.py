@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on.  Join strategy is left to Spark: a side is
 # broadcast only when its measured size is under the broadcast thresholds
@@ -83,3 +83,10 @@ def _is_spark_subdir(d: str) -> bool:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/nightledger/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the scratch folder and read again: cuts the lineage, and Spark knows its size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,3 +1,4 @@
+import contextlib
 import os
 import sys
 
@@ -22,3 +23,16 @@ def sf_small():
     if not os.path.exists(f"{SF_SMALL}/events.parquet"):
         pytest.skip("driver test data not present")
     return SF_SMALL
+
+
+@pytest.fixture(scope="session")
+def many_ranges(spark):
+    """Within it small tables too are cut into as many ranges as there are shuffle partitions."""
+    @contextlib.contextmanager
+    def cut():
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            yield
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    return cut

@@ -3,6 +3,7 @@ products, pruned scans, and the expected shuffles."""
 
 from nightledger.plans.catalog import QUERIES
 from nightledger.plans.explain import plan_text, shuffle_keys, summary
+from nightledger.session import written
 
 
 def _no_broadcast(spark, fn):
@@ -29,34 +30,51 @@ def test_scans_read_only_needed_columns(spark, sf_small):
     assert events and all("props" not in s for s in events), schemas
 
 
-def test_report_plans_the_enrichment_once(spark, sf_small):
+def test_report_plans_the_enrichment_once(spark, sf_small, monkeypatch):
+    """One plan reads the facts and joins them; all later steps read what it wrote."""
+    from nightledger.operators import sequence
+    plans = []
+
+    def seen(df, name):
+        plans.append((name, df))
+        return written(df, name)
+
+    monkeypatch.setattr(sequence, "written", seen)
     df = QUERIES["fraud_report"](spark, sf_small)
-    keys = _no_broadcast(spark, lambda: shuffle_keys(df))
+    assert [n for n, _ in plans] == ["ordered-rows", "ordered-ranges", "ordered-carry"]
+    keys = _no_broadcast(spark, lambda: shuffle_keys(plans[0][1]))
     # the fact side meets the card profile once and the terminals once
     assert keys.count("card_num") == 2, keys
     assert keys.count("terminal_id") == 2, keys
-    # the enriched rows are shuffled once by (client, hour bucket) for the
-    # windows; the per-bucket top-2 goes through the same key before it
-    assert keys.count("client_id, _bucket") == 2, keys
-    assert "WindowGroupLimit" in plan_text(df)
-
-
-def test_no_full_row_window_over_a_whole_client(spark, sf_small):
-    """Windows partitioned by the client alone only see the per-bucket
-    top-2 rows or per-bucket counts, never the transaction rows."""
-    for name in ("fraud_amount_probe", "client_lag_features", "fraud_report"):
-        df = QUERIES[name](spark, sf_small)
-        keys = _no_broadcast(spark, lambda: shuffle_keys(df))
-        assert "WindowGroupLimit" in plan_text(df), name
-        # two for the accounts-clients join on the dimension side, one for
-        # the top-2 rows, and one for the per-bucket counts when ranks are
-        # asked for
-        want = 2 + (2 if name == "client_lag_features" else 1)
-        assert keys.count("client_id") == want, (name, keys)
-
-
-def test_report_since_never_shuffles_history_whole(spark, sf_small):
-    df = QUERIES["fraud_report_since"](spark, sf_small)
-    p = _no_broadcast(spark, lambda: plan_text(df))
+    assert all("events" not in plan_text(d) for d in (plans[1][1], plans[2][1], df))
+
+
+def test_no_window_over_a_whole_client(spark, sf_small, monkeypatch):
+    """Windows over transaction rows are bounded by a range; by the client alone only the last rows of the ranges are sorted."""
+    from nightledger.operators import sequence
+    plans = []
+
+    def seen(df, name):
+        plans.append((name, df))
+        return written(df, name)
+
+    monkeypatch.setattr(sequence, "written", seen)
+    keys = _no_broadcast(spark, lambda: shuffle_keys(QUERIES["client_lag_features"](spark, sf_small)))
+    assert "_part, client_id" in keys and "client_id" not in keys, keys
+    carry = dict(plans)["ordered-carry"]
+    assert "WindowGroupLimit" in plan_text(carry)
+
+
+def test_report_since_never_shuffles_history_whole(spark, sf_small, monkeypatch):
+    from nightledger.operators import sequence
+    plans = {}
+
+    def seen(df, name):
+        plans[name] = df
+        return written(df, name)
+
+    monkeypatch.setattr(sequence, "written", seen)
+    QUERIES["fraud_report_since"](spark, sf_small)
+    p = _no_broadcast(spark, lambda: plan_text(plans["ordered-rows"]))
     # the look-back is limited per card inside each task before its shuffle
     assert "WindowGroupLimit" in p and "Partial" in p

@@ -1,4 +1,4 @@
-"""Fraud rules F1-F4 on hand-made rows, and the bucketed look-back."""
+"""Fraud rules F1-F4 on hand-made rows, and the look-back by ranges."""
 
 import datetime as dt
 import random
@@ -88,7 +88,7 @@ def test_amount_probe_as_written_and_elapsed(spark):
     assert len(el) == 5
 
 
-def test_ordered_lags_match_a_plain_window(spark):
+def test_ordered_lags_match_a_plain_window(spark, many_ranges):
     rnd = random.Random(7)
     base = dt.datetime(2024, 1, 1)
     rows = []
@@ -97,8 +97,8 @@ def test_ordered_lags_match_a_plain_window(spark):
         t = base + dt.timedelta(minutes=rnd.randrange(0, 60 * 30))
         rows.append((k, t, f"{i:04d}", rnd.randrange(100)))
     df = spark.createDataFrame(rows, "k string, t timestamp_ntz, id string, v int")
-    got = ordered_lags(df, ["k"], ["t", "id"], ["v"], bucket=F.window("t", "1 hour").start, n=2,
-                       rank_col="rk")
+    with many_ranges():
+        got = ordered_lags(df, ["k"], ["t", "id"], ["v"], n=2, rank_col="rk")
     w = Window.partitionBy("k").orderBy("t", "id")
     want = df.select("k", "id", F.row_number().over(w).alias("rk"),
                      *[F.lag(c, i).over(w).alias(lag_name(c, i)) for c in ("t", "id", "v") for i in (1, 2)])
@@ -106,7 +106,7 @@ def test_ordered_lags_match_a_plain_window(spark):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
-def test_fused_report_equals_rules_appended(spark):
+def test_fused_report_equals_rules_appended(spark, many_ranges):
     h = lambda H, M, S=0: dt.datetime(2021, 3, 1, H, M, S)
     rows = (_probe_rows([5, 5], client="C1") + _probe_rows([0, 10], client="C3", id0=20)
             + [row("90", h(12, 1), city="A", client="C7", pvalid=dt.date(2021, 3, 1)),
@@ -115,7 +115,8 @@ def test_fused_report_equals_rules_appended(spark):
                row("93", h(13, 0), city=None, client="C8", passport="P9")])
     e = spark.createDataFrame(rows, ENRICHED)
     bl = spark.createDataFrame([("P9", T0)], sch.STG_BLACKLIST)
-    fused = rules.fraud_report(e, "2021-03-02", bl).collect()
+    with many_ranges():
+        fused = rules.fraud_report(e, "2021-03-02", bl).collect()
     by_rule = rules.fraud_report_by_rule(e, "2021-03-02", bl).collect()
     assert sorted(map(repr, fused)) == sorted(map(repr, by_rule))
     assert {r.event_type for r in fused} == {sch.EVENT_PASSPORT, sch.EVENT_CONTRACT,
@@ -156,3 +157,30 @@ def test_report_since_equals_full_report_after_since(spark):
                                                    "2021-03-02").collect()))
     assert got == want
     assert any(sch.EVENT_AMOUNT_PROBE in r for r in got)     # the look-back reached into history
+
+
+def test_a_hot_hour_spreads_over_ranges(spark, many_ranges):
+    """A third of all rows in one clock hour of one client, and of these many at one instant: several
+    tasks share them, and every rule reports what the plain forms report."""
+    from nightledger.operators.sequence import PART, ordered_ranges
+    rnd = random.Random(3)
+    rows = [row(f"{i:05d}", T0 + dt.timedelta(hours=9, seconds=rnd.randrange(1200) if i % 2 else 7),
+                amt=Decimal(rnd.randrange(1, 9)), res=rnd.choice(["REJECT", "REJECT", "SUCCESS"]),
+                city="B" if i == 40 else "A") for i in range(300)]
+    rows += [row(f"{i:05d}", T0 + dt.timedelta(minutes=rnd.randrange(3000)), amt=Decimal(rnd.randrange(1, 9)),
+                 res=rnd.choice(["REJECT", "SUCCESS"]), city=rnd.choice("AB"), client=f"C{rnd.randrange(2, 9)}") for i in range(300, 900)]
+    e = spark.createDataFrame(rows, ENRICHED)
+    bl = spark.createDataFrame([("P9", T0)], sch.STG_BLACKLIST)
+    with many_ranges():
+        ranged = ordered_ranges(e, ["client_id"], ["trans_date", "trans_id"])
+        parts = {r[PART] for r in ranged.where("client_id = 'C1'").select(PART).collect()}
+        fused = sorted(map(repr, rules.fraud_report(e, "2021-03-02", bl).collect()))
+    assert len(parts) > 2
+    # plain windows over whole clients
+    w = Window.partitionBy("client_id").orderBy("trans_date", "trans_id")
+    lagged = e.select("*", *[F.lag(c, i).over(w).alias(lag_name(c, i)) for c in ("trans_date", "amt", "oper_result") for i in (1, 2)])
+    hits = lagged.where(rules._probe_pattern() & rules.probe_gap_as_written()).select("client_id", "trans_date")
+    probes = rules._report(e.join(hits, ["client_id", "trans_date"]), sch.EVENT_AMOUNT_PROBE, "2021-03-02")
+    want = (rules.fraud_passport(e, "2021-03-02", bl).unionByName(rules.fraud_contract(e, "2021-03-02"))
+            .unionByName(rules.fraud_multi_city(e, "2021-03-02")).unionByName(probes))
+    assert fused == sorted(map(repr, want.collect())) and any(sch.EVENT_AMOUNT_PROBE in r for r in fused)
