@@ -87,15 +87,15 @@ def write_version(store, table: str, schema: T.StructType, day: _dt.date, attemp
     """
     live = F.lit(True) if live is None else live
     old = read_manifest(store, table, *previous) if previous else None
-    n, wanted = snapshot.count(), 1
+    seen = digests(snapshot, key, attrs, old.buckets, F.lit(True)) if old else None
+    n, wanted = sum(rows for rows, _ in seen.values()) if old else snapshot.count(), 1
     while wanted * bucket_rows < n:
         wanted *= 2
     keep = old is not None and 2 * old.buckets > wanted
     buckets = old.buckets if keep else wanted
     if keep:
-        seen = {b: d for b, (_, d) in digests(snapshot, key, attrs, buckets, F.lit(True)).items()}
         stored = {b: e[3] for b, e in old.entries.items()}
-        changed = {b for b in {*seen, *stored} if seen.get(b) != stored.get(b) or b == NULL_BUCKET}
+        changed = {b for b in {*seen, *stored} if b == NULL_BUCKET or stored.get(b) != (seen[b][1] if b in seen else None)}
         new = Manifest(buckets, {b: e for b, e in old.entries.items() if b not in changed})
         here = bucket_of(key, buckets).isin(*changed) if changed else F.lit(False)
         before, today = read_buckets(store, table, schema, old, changed), snapshot.where(here)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .. import schemas as sch
 from ..operators import facts, lookback, membership, meta, quality, rules, scd
 from ..operators.enrich import enrich
+from ..session import together
 from ..sources import files
 from .buckets import BUCKET_ROWS, write_version
 from .store import REPORT_DATE, Store, day_of_label, label_of_day
@@ -99,15 +100,19 @@ def _check(store: Store, day: _dt.date, attempt: str, inputs: DailyInputs, on_vi
         if found.limit(1).count():
             raise QualityError(f"data-quality violations in batch {day}")
         return tables
-    store.write("_violations", day, attempt, found)
     if on_violation == "report":
+        store.write("_violations", day, attempt, found)
         return tables
-    for name, keys in quality.PRIMARY_KEYS.items():
+
+    def sort_out(name: str, keys: list[str]) -> None:
         good, bad = quality.set_aside(tables[name], keys, quality.REQUIRED.get(name, []))
         store.write(f"_quarantine/{name}", day, attempt, bad)
         if store.read(f"_quarantine/{name}", bad.schema, day, attempt).limit(1).count():
             store.write(f"stg_{name}_valid", day, attempt, good)
             tables[name] = store.read(f"stg_{name}_valid", tables[name].schema, day, attempt)
+
+    together(lambda: store.write("_violations", day, attempt, found),
+             *[lambda n=name, k=keys: sort_out(n, k) for name, keys in quality.PRIMARY_KEYS.items()])
     return tables
 
 
@@ -143,70 +148,82 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
     # Staging is written once and read back, so every later step (and
     # any recomputation after a lost executor) sees the same snapshot even if
     # a source database moves on meanwhile.
-    staged = {}
-    for name, df in inputs.as_dict().items():
-        store.write(f"stg_{name}", day, attempt, df)
-        staged[name] = store.read(f"stg_{name}", df.schema, day, attempt)
+    arrived = inputs.as_dict()
+    together(*[lambda n=name, d=df: store.write(f"stg_{n}", day, attempt, d) for name, df in arrived.items()])
+    staged = {name: store.read(f"stg_{name}", df.schema, day, attempt) for name, df in arrived.items()}
     staged = _check(store, day, attempt, DailyInputs(**staged), on_violation)
 
     # SCD1 dimensions and SCD2 history, one version each: the buckets that the snapshot changes.
     shown = F.col("effective_to").isNull() & ~F.col("deleted")
-    for d in sch.DIMENSIONS:
+
+    def version(d: str, history: bool) -> None:
         key, attrs = sch.dim_key(d), sch.dim_attrs(d)
-        snap = staged[d].select(key, *attrs)
-        write_version(store, sch.DIM_TABLES[d], sch.DIM[d], day, attempt, previous, snap, key, attrs,
-                      lambda old, new, k=key, a=attrs: scd.scd1_apply(old, new, k, a, batch_ts), bucket_rows=bucket_rows)
-        write_version(store, sch.HIST_TABLES[d], sch.HIST[d], day, attempt, previous, snap, key, attrs,
-                      lambda old, new, k=key, a=attrs: scd.scd2_apply(old, new, k, a, batch_ts), shown, bucket_rows)
-    dims = {d: store.read(sch.DIM_TABLES[d], sch.DIM[d], day, attempt) for d in sch.DIMENSIONS}
+        table, schema, apply = ((sch.HIST_TABLES[d], sch.HIST[d], scd.scd2_apply) if history
+                                else (sch.DIM_TABLES[d], sch.DIM[d], scd.scd1_apply))
+        write_version(store, table, schema, day, attempt, previous, staged[d].select(key, *attrs), key, attrs,
+                      lambda old, new: apply(old, new, key, attrs, batch_ts), shown if history else None, bucket_rows)
 
     # Facts: only rows not stored before.
     tx_fact, bl_fact = "dwh_fact_transactions", "dwh_fact_blacklist"
     own = (day, attempt)
-    # Only the batches whose filter may hold one of today's ids are read.
-    filters = store.read_days(MEMBERS, _MEMBERS, before, attempts=held)
-    new = facts.new_transactions_by_filter(staged["transactions"], filters, "day", lambda days: store.read_days(
-        tx_fact, sch.FACT_TRANSACTIONS, days, attempts=held))
-    # Files by event time, so that the zone map tells them apart, and sorted by id inside each file: tight
-    # row-group statistics for the check of ids in question.
-    store.write(tx_fact, day, attempt, new.repartitionByRange("trans_date").sortWithinPartitions("trans_id"))
-    store.write_zones(tx_fact, day, attempt, "trans_date")
+
+    def transactions() -> None:
+        # Only the batches whose filter may hold one of today's ids are read.
+        filters = store.read_days(MEMBERS, _MEMBERS, before, attempts=held)
+        new = facts.new_transactions_by_filter(staged["transactions"], filters, "day", lambda days: store.read_days(
+            tx_fact, sch.FACT_TRANSACTIONS, days, attempts=held))
+        # Files by event time, so that the zone map tells them apart, and sorted by id inside each file: tight
+        # row-group statistics for the check of ids in question.
+        store.write(tx_fact, day, attempt, new.repartitionByRange("trans_date").sortWithinPartitions("trans_id"))
+        stored = store.read(tx_fact, sch.FACT_TRANSACTIONS, day, attempt)
+        state = (store.read(LOOKBACK, sch.FACT_TRANSACTIONS, *previous) if previous else spark.createDataFrame([], sch.FACT_TRANSACTIONS))
+        together(lambda: store.write_zones(tx_fact, day, attempt, "trans_date"),
+                 lambda: store.write(MEMBERS, day, attempt, membership.build(stored, "trans_id").select(F.lit(day).alias("day"), "*")),
+                 lambda: store.write(LOOKBACK, day, attempt, lookback.merge_state(state, stored)))
+
+    def blacklist() -> None:
+        old_bl = store.read_days(bl_fact, sch.FACT_BLACKLIST, before, attempts=held)
+        store.write(bl_fact, day, attempt, facts.new_blacklist_entries(staged["blacklist"], old_bl))
+
+    together(transactions, blacklist, *[lambda d=d, h=h: version(d, h) for d in sch.DIMENSIONS for h in (False, True)])
+    dims = {d: store.read(sch.DIM_TABLES[d], sch.DIM[d], day, attempt) for d in sch.DIMENSIONS}
     new_tx = store.read(tx_fact, sch.FACT_TRANSACTIONS, day, attempt)
-    store.write(MEMBERS, day, attempt, membership.build(new_tx, "trans_id").select(F.lit(day).alias("day"), "*"))
-    state = (store.read(LOOKBACK, sch.FACT_TRANSACTIONS, *previous) if previous else spark.createDataFrame([], sch.FACT_TRANSACTIONS))
-    store.write(LOOKBACK, day, attempt, lookback.merge_state(state, new_tx))
-    old_bl = store.read_days(bl_fact, sch.FACT_BLACKLIST, before, attempts=held)
-    store.write(bl_fact, day, attempt, facts.new_blacklist_entries(staged["blacklist"], old_bl))
 
-    if on_violation != "ignore":
+    def stored_checks() -> None:
         # K2, K5 on what is stored: keys of the dimensions and of today's facts, and all four
         # references; deleting a parent leaves its children behind (Q11), they are reported.
         stored = quality.check_all({**dims, "transactions": new_tx})
-        store.write("_dwh_orphans", day, attempt, stored["orphans"])
-        store.write("_dwh_duplicate_keys", day, attempt, stored["duplicate_keys"])
+        together(lambda: store.write("_dwh_orphans", day, attempt, stored["orphans"]),
+                 lambda: store.write("_dwh_duplicate_keys", day, attempt, stored["duplicate_keys"]))
+
+    def metadata() -> None:
+        m = (store.read("meta_dwh", sch.META, *previous) if previous else meta.seed(spark))
+        m = meta.stamp_load_time(m, sch.FACT_TABLES, batch_ts)
+        m = meta.high_water_marks(m, {sch.DIM_TABLES[d]: dims[d] for d in sch.DIMENSIONS})
+        m = meta.stamp_load_time(m, list(sch.HIST_TABLES.values()), batch_ts)
+        store.write("meta_dwh", day, attempt, m)
+
+    def report_fraud() -> None:
+        report = _report(store, before, own, held, dims, report_since, report_dt)
+        # A batch appends its own rows, also where another batch has the same report date.
+        store.write("rep_fraud", day, attempt, report.select(*sch.REPORT.names))
+
+    together(report_fraud, metadata, *([] if on_violation == "ignore" else [stored_checks]))
+    store.commit(day, attempt, label_of_day(day + _dt.timedelta(days=1)), stream)
 
-    # Metadata.
-    m = (store.read("meta_dwh", sch.META, *previous) if previous else meta.seed(spark))
-    m = meta.stamp_load_time(m, sch.FACT_TABLES, batch_ts)
-    m = meta.high_water_marks(m, {sch.DIM_TABLES[d]: dims[d] for d in sch.DIMENSIONS})
-    m = meta.stamp_load_time(m, list(sch.HIST_TABLES.values()), batch_ts)
-    store.write("meta_dwh", day, attempt, m)
 
-    all_bl = store.read_days(bl_fact, sch.FACT_BLACKLIST, before, own, held)
+def _report(store: Store, before: list[_dt.date], own: tuple[_dt.date, str], held: dict[_dt.date, str],
+            dims: dict[str, DataFrame], report_since, report_dt) -> DataFrame:
+    all_bl = store.read_days("dwh_fact_blacklist", sch.FACT_BLACKLIST, before, own, held)
     if report_since is None:
         # Enriched table over the whole fact history, as the rules expect.
-        all_tx = store.read_days(tx_fact, sch.FACT_TRANSACTIONS, before, own, held)
+        all_tx = store.read_days("dwh_fact_transactions", sch.FACT_TRANSACTIONS, before, own, held)
         enriched = enrich(all_tx, dims["cards"], dims["terminals"], dims["accounts"],
                           dims["clients"], blacklist=all_bl)
-        report = rules.fraud_report(enriched, report_dt)
-    else:
-        state, late, recent = window_facts(store, before, own, held, report_since)
-        report = rules.fraud_report_from_state(state, late, recent, dims["cards"], dims["terminals"], dims["accounts"],
-                                               dims["clients"], all_bl, report_since, report_dt)
-    # A batch appends its own rows, also where another batch has the same report date.
-    store.write("rep_fraud", day, attempt, report.select(*sch.REPORT.names))
-
-    store.commit(day, attempt, label_of_day(day + _dt.timedelta(days=1)), stream)
+        return rules.fraud_report(enriched, report_dt)
+    state, late, recent = window_facts(store, before, own, held, report_since)
+    return rules.fraud_report_from_state(state, late, recent, dims["cards"], dims["terminals"], dims["accounts"],
+                                         dims["clients"], all_bl, report_since, report_dt)
 
 
 def window_facts(store: Store, days: list[_dt.date], own: tuple[_dt.date, str] | None, attempts: dict[_dt.date, str],

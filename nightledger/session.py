@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on.  Join strategy is left to Spark: a side is
@@ -90,3 +93,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(*jobs: Callable[[], object], at_once: int = 8) -> list:
+    """Run independent Spark jobs side by side: while one has few tasks left, the others use the
+    executors.  All end before this returns; the first error is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        futures = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+    return [f.result() for f in futures]
