@@ -3,8 +3,8 @@
 Documents are encoded, each closed by an end id, and written in ascending doc_id order as
 shards of bounded size.  A shard's ids are compressed by Re-Pair: round after round the
 most frequent pairs of neighbouring symbols become rules (nonterminals), chosen so that
-occurrences of different pairs never overlap, until no pair is frequent enough or a round
-shortens the sequence by less than ``gain``.  A shard row holds the rules, the expansion length of every rule
+occurrences of different pairs never overlap, until no pair occurs often enough to pay for its
+rule.  A shard row holds the rules, the expansion length of every rule
 and the compressed sequence, so any range of ids is decoded alone (``read_range``).
 
 The file format is a Parquet table of shard rows, its binary columns little-endian
@@ -34,6 +34,7 @@ from pyspark.sql.window import Window
 from .bpe import MARKS, PATTERN, Encoder, Vocabulary
 
 END_ID = 2
+LEAST = 4  # a rule takes three integers and saves one at each place: with fewer places it would not pay
 _HASH_BITS = 20
 _MIX = np.array([0x9E3779B1, 0x85EBCA77], np.uint32)
 
@@ -54,40 +55,51 @@ def _choose(codes: np.ndarray, counts: np.ndarray, most: int, least: int) -> np.
     return np.array(sorted(chosen), np.uint64)
 
 
-def compress(ids: np.ndarray, base: int, rounds: int = 20, per_round: int = 4096,
-             least: int = 16, gain: float = 0.06) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _counted(seq: np.ndarray, mix: np.ndarray, per_round: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places, their pair's number, pairs, counts) of frequent pairs of neighbours.
+
+    Pairs are counted by a hash of ``_HASH_BITS``: slots too light for one of the most frequent pairs are
+    left out, and in the others one of the pairs that share it stands for the slot and is counted exactly.
+    Where that shows none, the pairs of all slots that could hold one are counted by sorting."""
+    slot = (seq[:-1] * mix[0] + seq[1:] * mix[1]) >> np.uint32(32 - _HASH_BITS)  # wraps
+    heavy = np.bincount(slot, minlength=1 << _HASH_BITS)
+    bar = max(least, int(np.partition(heavy, -2 * per_round)[-2 * per_round]))
+    at = np.flatnonzero((heavy >= bar)[slot])
+    own, codes = slot[at], (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+    stands = np.zeros(1 << _HASH_BITS, np.uint64)
+    stands[own] = codes
+    same = stands[own] == codes
+    at, own = at[same], own[same]
+    counts = np.bincount(own, minlength=1 << _HASH_BITS)
+    full = np.flatnonzero(counts >= least)
+    if len(full):
+        number = np.full(1 << _HASH_BITS, -1, np.int64)
+        number[full] = np.arange(len(full))
+        return at, number[own], stands[full], counts[full]
+    at = np.flatnonzero((heavy >= least)[slot])
+    codes = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+    pairs, number, counts = np.unique(codes, return_inverse=True, return_counts=True)
+    return at, number, pairs, counts
+
+
+def compress(ids: np.ndarray, base: int, per_round: int = 8192, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, rules as rows of left and right, expansion length per rule).
 
-    A round takes up to ``per_round`` pairs that occur at least ``least`` times."""
+    A round replaces up to ``per_round`` pairs; rounds go on until no pair occurs ``least`` times."""
     seq = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
-    n_rules = 0
-    stands = np.zeros(1 << _HASH_BITS, np.uint64)
-    rule_of = np.full(1 << _HASH_BITS, -1, np.int64)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        slot = (seq[:-1] * _MIX[0] + seq[1:] * _MIX[1]) >> np.uint32(32 - _HASH_BITS)  # wraps
-        heavy = np.bincount(slot, minlength=1 << _HASH_BITS)
-        # slots too light for one of the most frequent pairs are left out; in the others one pair
-        # (of several that may share a slot) stands for the slot and is counted exactly
-        bar = max(least, int(np.partition(heavy, -2 * per_round)[-2 * per_round]))
-        at = np.flatnonzero((heavy >= bar)[slot])
-        slot, codes = slot[at], (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        stands[slot] = codes
-        same = stands[slot] == codes
-        at, slot = at[same], slot[same]
-        counts = np.bincount(slot, minlength=1 << _HASH_BITS)
-        full = np.flatnonzero(counts >= least)
-        chosen = _choose(stands[full], counts[full], per_round, least)
+    n_rules, mix = 0, _MIX.copy()
+    while len(seq) > 1:
+        at, number, pairs, counts = _counted(seq, mix, per_round, least)
+        mix = mix * _MIX[::-1] | np.uint32(1)  # other pairs share a slot in the next round
+        chosen = _choose(pairs, counts, per_round, least)
         if not len(chosen):
             break
-        order = np.argsort(stands[full])
-        spots = full[order][np.searchsorted(stands[full][order], chosen)]
-        rule_of[spots] = np.arange(len(chosen))
-        found = rule_of[slot]
+        order = np.argsort(pairs)
+        rule_of = np.full(len(pairs) + 1, -1, np.int64)  # the last stands for no pair
+        rule_of[order[np.searchsorted(pairs, chosen, sorter=order)]] = np.arange(len(chosen))
+        found = rule_of[number]
         at, found = at[found >= 0], found[found >= 0]
-        rule_of[spots] = -1
         # only a run of one symbol can overlap itself: every other place counts, from the left
         new = np.concatenate([[True], np.diff(at) != 1])
         run = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
@@ -96,12 +108,9 @@ def compress(ids: np.ndarray, base: int, rounds: int = 20, per_round: int = 4096
         seq[at] = (base + n_rules + found).astype(np.uint32)
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        shorter = len(at) / len(seq)
         seq = seq[keep]
         rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         n_rules += len(chosen)
-        if shorter < gain:
-            break
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     lengths = np.ones(base + len(table), np.int64)
     first = 0

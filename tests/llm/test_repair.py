@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -62,3 +63,17 @@ def test_empty_table(no_docs, spark, tmp_path):
     path = str(tmp_path / "none")
     repair.write_shards(no_docs, path, PATH)
     assert repair.read_documents(spark.read.schema(repair.shard_schema(no_docs.schema["doc_id"].dataType)).parquet(path)).count() == 0
+
+
+def test_the_grammar_is_whole():
+    """Rounds go on until no pair pays: every copy of a rare passage becomes one symbol."""
+    r = np.random.default_rng(1)
+    ids = r.integers(0, 50_000, 400_000).astype(np.uint32)
+    passage = ids[:50].copy()
+    for k in range(200):
+        ids[k * 1990:k * 1990 + 50] = passage
+    symbols, rules, lengths = repair.compress(ids, 50_000)
+    assert len(symbols) <= 400_000 - 49 * 200 and lengths.max() >= 50
+    assert (repair.expand(symbols, rules, 50_000) == ids).all()
+    pairs = Counter(zip(symbols[:-1].tolist(), symbols[1:].tolist()))
+    assert max(n for (a, b), n in pairs.items() if a != b) < repair.LEAST
