@@ -78,3 +78,30 @@ def test_null_language_uses_the_pooled_reference(make_docs):
 def test_empty_table(no_docs):
     assert quality.score(no_docs).count() == 0
     assert quality.filter_documents(no_docs).count() == 0
+
+
+def test_every_language_has_its_reference(spark, make_docs):
+    """More languages than tasks hold: the others are joined, with the same figures."""
+    from pyspark.sql import functions as F
+    docs = make_docs([(i, prose(i % 97, 60 + i % 40)) for i in range(600)]).withColumn("lang", F.concat(F.lit("l"), (F.col("doc_id") % 300).cast("string")))
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") == 7, None).otherwise(F.col("lang")))
+    few, many = (sorted(map(repr, quality.score(docs, quality.Limits(held_languages=n)).collect())) for n in (5, 1000))
+    assert few == many and len(few) == 600
+    a, b = (sorted(r["doc_id"] for r in quality.filter_documents(docs, quality.Limits(held_languages=n)).collect()) for n in (5, 1000))
+    assert a == b and len(a) > 500
+    assert quality.filter_documents(docs, quality.Limits(held_languages=5)).columns == docs.columns
+
+
+def test_pooled_list_counts_all_words(make_docs):
+    """A word ranked below every language's own list, and a very long word, are pooled by all their occurrences."""
+    long = "x" * 300
+    docs = []
+    for k in range(4):
+        own = " ".join(f"w{k}x{i} " * 10 for i in range(100))
+        docs.append((k, own + " shared" * 9 + f" {long}" * 8))
+    from pyspark.sql import functions as F
+    df = make_docs(docs).withColumn("lang", F.col("doc_id").cast("string"))
+    refs, rest = quality.references(df, quality.Limits())
+    assert rest is None and refs[None][1][:2] == [b"shared", long.encode()] and refs[None][2][0] == 36
+    assert all(len(refs[str(k)][1]) == 100 and b"shared" not in refs[str(k)][1] for k in range(4))
+    assert refs[None][2].sum() == sum(len(t.split()) for _, t in docs)
