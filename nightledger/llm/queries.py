@@ -99,7 +99,9 @@ SHARD_LIMIT = 1 << 20  # small enough that the directory splits on the test tabl
 
 @register("op9_extendible_shards", oracles.op9(SHARD_LIMIT))
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards.assign(documents(spark, sf_dir, "doc_id", "text"), SHARD_LIMIT)
+    path = scratch_path(spark, "shards")
+    shards.write(documents(spark, sf_dir, "doc_id", "text"), path, SHARD_LIMIT)
+    return shards.read(spark, path, SHARD_LIMIT)
 
 
 @register("op10_suffix_decontamination", oracles.OP10)

@@ -18,10 +18,11 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import free_name, written
+from .prefix import prefix_sums
 
 LIMIT = 256 << 20
 STEP = 8
@@ -79,26 +80,48 @@ def shard_of_hash(rows: DataFrame, limit: int, step: int = STEP) -> DataFrame:
             .unionByName(sums.where(F.col("b") > limit).select("bits", F.col("bits").alias("shard"), F.lit(BITS).alias("depth"))))
 
 
-def assign(docs: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFrame:
-    """``doc_id``, ``shard``, ``depth``, ``n_bytes`` and ``oversized`` of every document."""
+def placed(docs: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFrame:
+    """Every row of ``docs`` (as ``row``) with its ``shard``, ``depth`` and ``n_bytes``.
+
+    Copies of a document that do not fit one shard together are numbered one by one, by
+    prefix sums over the rows themselves, and dealt to overflow shards in that order."""
     rows = written(sized(docs), "shard-sizes")
-    placed = rows.join(shard_of_hash(rows, limit, step), "bits")
-    copies = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    of = written(shard_of_hash(rows, limit, step), "shard-of-hash")
     per = F.greatest(F.floor(F.lit(limit) / F.greatest("n_bytes", F.lit(1))), F.lit(1))  # copies that fit together
-    shard = F.when((F.col("depth") == BITS) & (F.col("n") > per),
-                   F.concat_ws("+", "shard", F.floor(F.col("copy") / per).cast("string"))).otherwise(F.col("shard"))
-    return copies.select("doc_id", shard.alias("shard"), F.col("depth").cast("int").alias("depth"), "n_bytes",
-                         (F.col("n_bytes") > limit).alias("oversized"))
+    full = of.where(F.col("depth") == BITS).select("bits")
+    over = written(rows.join(full, "bits").where(F.col("n") > per).select(F.col("bits").alias("o_bits"), F.col("doc_id").alias("o_id"),
+                                                                       F.col("n_bytes").alias("o_bytes")), "shard-overflow")
+    size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
+    at = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+          .select("row", hash_bits(F.col("row.doc_id"), F.col("row.text")).alias("bits"), size.alias("n_bytes")))
+    same = (F.col("bits") == F.col("o_bits")) & F.col("row.doc_id").eqNullSafe(F.col("o_id")) & (F.col("n_bytes") == F.col("o_bytes"))
+    plain = at.join(over, same, "left_anti").join(of, "bits").select("row", "shard", "depth", "n_bytes")
+    if not over.limit(1).count():
+        return plain
+    group = F.concat_ws(":", "bits", F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")), F.col("n_bytes").cast("string"))
+    hot = written(at.join(over, same, "left_semi").select("row", "bits", "n_bytes", group.alias("g"), F.monotonically_increasing_id().alias("number"),
+                                                          F.lit(1).cast("long").alias("one")), "shard-copies")
+    dealt = prefix_sums(hot, "g", ["number"], "one", "shard-copies")
+    return plain.unionByName(dealt.select("row", F.concat_ws("+", "bits", F.floor(F.col("before") / per).cast("string")).alias("shard"),
+                                          F.lit(BITS).alias("depth"), "n_bytes"))
+
+
+def assign(docs: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFrame:
+    """``doc_id``, ``shard``, ``depth``, ``n_bytes`` and ``oversized`` of every document."""
+    return placed(docs.select("doc_id", "text"), limit, step).select(
+        "row.doc_id", "shard", F.col("depth").cast("int").alias("depth"), "n_bytes", (F.col("n_bytes") > limit).alias("oversized"))
 
 
 def write(docs: DataFrame, path: str, limit: int = LIMIT, step: int = STEP) -> None:
-    """Write ``docs``, with all their columns, to a folder per shard (shard=b<prefix>).  Copies that
-    overfill a bucket are dealt in turn within each input partition."""
-    rows = written(sized(docs), "shard-sizes")
-    full = rows.groupBy("bits").agg((F.sum(F.col("n_bytes") * F.col("n")) / limit).alias("parts"))
-    of = shard_of_hash(rows, limit, step).join(full, "bits").select(F.col("bits").alias("b"), "shard", F.ceil("parts").alias("parts"))
+    """Write ``docs``, with all their columns, to a folder per shard (shard=b<prefix>), placed as ``assign`` says."""
     name = free_name(docs, "shard")
-    at = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("i"))
-    joined = at.join(of, hash_bits(F.col("row.doc_id"), F.col("row.text")) == F.col("b"))
-    shard = F.concat(F.lit("b"), "shard", F.when(F.col("parts") > 1, F.concat(F.lit("+"), F.col("i") % F.col("parts"))).otherwise(""))
-    joined.select("row.*", shard.alias(name)).repartition(F.col(name)).write.partitionBy(name).parquet(path)
+    at = placed(docs, limit, step).select("row.*", F.concat(F.lit("b"), "shard").alias(name))
+    at.repartition(F.col(name)).write.partitionBy(name).parquet(path)
+
+
+def read(spark: SparkSession, path: str, limit: int = LIMIT) -> DataFrame:
+    """What ``assign`` says, from the files that ``write`` wrote (of documents without a column ``shard``)."""
+    prefix = F.substring("shard", 2, 200)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return (spark.read.parquet(path).withColumn("shard", F.col("shard").cast("string"))
+            .select("doc_id", prefix.alias("shard"), F.length(F.substring_index(prefix, "+", 1)).alias("depth"), size.alias("n_bytes"), (size > limit).alias("oversized")))

@@ -78,5 +78,22 @@ def test_written_shards_hold_all_rows_and_columns(spark, odd_docs, tmp_path):
     assert out.select("shard").distinct().count() > 1
 
 
+def test_written_shards_keep_the_limit_and_agree_with_the_placement(spark, make_docs, tmp_path):
+    """A document repeated ten thousand times is dealt by the same rule in the files."""
+    text = prose(1, 20)
+    docs = make_docs([(i, prose(i, 50)) for i in range(2, 60)]).unionByName(
+        make_docs([(1, text)]).crossJoin(spark.range(10_000)).drop("id"))
+    limit = 100 * len(text) + 7
+    path = str(tmp_path / "s")
+    shards.write(docs, path, limit)
+    rows = got(shards.read(spark, path, limit))
+    assert rows == got(shards.assign(docs, limit))
+    sizes = defaultdict(int)
+    for _, s, _, n, _ in rows:
+        sizes[s] += n
+    assert max(sizes.values()) <= limit and len(rows) == 10_058
+    assert sum("+" in s for s in sizes) == 100
+
+
 def test_empty_table(no_docs):
     assert shards.assign(no_docs).count() == 0
