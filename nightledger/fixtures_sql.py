@@ -305,6 +305,10 @@ DQ_DUPLICATE_KEYS = " UNION ALL ".join(
     + ["SELECT 'lineitem' AS table_name, CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) "
        "AS key_value, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"])
 
+DWH_DUPLICATE_KEYS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST({k} AS VARCHAR) AS key_value, count(*) AS n_rows "
+    f"FROM {'dirty' if t == 'cards' else t} WHERE {k} IS NOT NULL GROUP BY {k} HAVING count(*) > 1" for t, k in _PKS.items())
+
 DQ_NULL_KEYS = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) FILTER (WHERE {k} IS NULL) AS n_null_keys "
     f"FROM {t}" for t, k in _PKS.items())

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse_decimal_comma
+from ..session import written
 
 
 def _key_text(keys: list[str]):
@@ -55,6 +56,29 @@ def orphans(child: DataFrame, child_key: str, fk: str, parent: DataFrame, pk: st
         F.lit(relation).alias("relation"), "child_key", "fk_value")
 
 
+def orphans_after(open_findings: DataFrame, new_children: DataFrame, old_children: DataFrame, child_key: str, fk: str,
+                  parent_before: DataFrame, parent_after: DataFrame, pk: str, relation: str,
+                  append_only: bool = False) -> DataFrame:
+    """K4/K5 from the findings of the day before: the same rows as ``orphans`` over all children.
+
+    ``new_children`` are new or changed today, ``old_children`` the rows that are as they were (with
+    ``append_only`` all earlier rows).  Checked are the new children against all parents, and the old ones
+    against the parents gone today; an open finding goes when its parent is back or its row is gone or
+    changed.  The old children meet only the gone keys, which Spark broadcasts when they are few."""
+    pairs = lambda df: df.select(F.col(child_key).alias("child_key"), F.col(fk).alias("fk_value"))
+    keys = lambda df: df.select(F.col(pk).alias("fk_value")).where("fk_value is not null").distinct()
+    before, after = keys(parent_before), keys(parent_after)
+    gone, back = (written(a.join(b, "fk_value", "left_anti"), "parent-keys") for a, b in ((before, after), (after, before)))
+    still = open_findings.where(F.col("relation") == relation).select("child_key", "fk_value").join(back, "fk_value", "left_anti")
+    kept = pairs(old_children)
+    if not append_only:
+        k = kept.select(F.col("child_key").alias("k"), F.col("fk_value").alias("v"))
+        still = still.join(k, F.col("child_key").eqNullSafe(F.col("k")) & (F.col("fk_value") == F.col("v")), "left_semi")
+    lost = kept.join(gone, "fk_value", "left_semi")
+    fresh = orphans(new_children, child_key, fk, parent_after, pk, relation)
+    return fresh.unionByName(still.unionByName(lost).select(F.lit(relation).alias("relation"), "child_key", "fk_value"))
+
+
 def bad_amount_rows(text: DataFrame, amount_col: str = "amount") -> DataFrame:
     """K6: rows whose amount text is present but does not parse."""
     return text.where(F.col(amount_col).isNotNull() & parse_decimal_comma(amount_col).isNull())

@@ -15,6 +15,7 @@ from .. import fixtures as fx
 from .. import fixtures_sql as fq
 from .. import schemas as sch
 from ..operators import enrich as en
+from ..operators import enriched_delta as delta
 from ..operators import facts, lookback, membership, meta, quality, rules, scd
 from ..operators.sequence import lag_name
 from ..session import scratch_path, written
@@ -56,6 +57,29 @@ def q_enriched(spark, sf_dir):
     return enriched(spark, sf_dir)
 
 
+@register("enriched_transactions_maintained", fq.with_ctes(_E, "SELECT * FROM enriched"))
+def q_enriched_maintained(spark, sf_dir):
+    """The same table, maintained over three batches of facts while the dimensions change before the second and
+    the third: no fact of an unchanged card and terminal is joined twice."""
+    fact = fx.transactions(spark, sf_dir)
+    batch = F.pmod(F.xxhash64("trans_id"), F.lit(3))
+    now = {"cards": fx.cards(spark, sf_dir), "terminals": fx.terminals(spark, sf_dir), "accounts": fx.accounts(spark, sf_dir),
+           "clients": fx.clients(spark, sf_dir)}
+    first = {**now, "terminals": now["terminals"].where("terminal_id <> 'T3'"),
+             "clients": now["clients"].withColumn("phone", F.when(F.length("client_id") % 2 == 0, F.col("phone")))}
+    second = {**now, "terminals": now["terminals"].withColumn("terminal_city", F.upper("terminal_city"))}
+    states = [first, second, now]
+    parts, ids, rows = [], [], []
+    for k, dims in enumerate(states):
+        parts.append(written(delta.part(fact.where(batch == k), dims), "enriched-part"))
+        if k:
+            i, r = delta.patch(fact.where(batch < k), states[k - 1], dims)
+            ids.append(i.withColumn("v", F.lit(k)))
+            rows.append(written(r.withColumn("v", F.lit(k)), "enriched-patch"))
+    all_of = lambda dfs: reduce(DataFrame.unionByName, dfs)
+    return delta.current(all_of(parts), all_of(ids), all_of(rows))
+
+
 @register("fraud_passport", fq.with_ctes(_E, fq.F1))
 def q_fraud_passport(spark, sf_dir):
     return rules.fraud_passport(enriched(spark, sf_dir, with_blacklist=True), fx.REPORT_DT)
@@ -332,6 +356,33 @@ def q_dq_orphans(spark, sf_dir):
     return quality.check_all(t)["orphans"]
 
 
+@register("dq_dwh_orphans", ORACLES["dq_orphans"])
+def q_dq_dwh_orphans(spark, sf_dir):
+    """K5 on stored tables, as a daily check keeps it: the findings of day 1 over the whole stored tables, then day 2
+    from new and changed rows and from the keys gone."""
+    then = {d: fx.stored_dimension(spark, sf_dir, d) for d in sch.DIMENSIONS}
+    now = {d: fx.todays_snapshot(spark, sf_dir, d) for d in sch.DIMENSIONS}
+    facts_then, facts_now = fx.stored_transactions(spark, sf_dir), fx.transactions(spark, sf_dir)
+    found = written(quality.check_all({**then, "transactions": facts_then})["orphans"], "open-orphans")
+    out = []
+    for rel, child, key, fk, parent, pk in quality.FOREIGN_KEYS:
+        if child == "transactions":
+            new, old = facts_now.join(facts_then.select("trans_id"), "trans_id", "left_anti"), facts_then
+        else:
+            was = then[child].select(F.col(key).alias("_k"), F.col(fk).alias("_f"))
+            same = F.col(key).eqNullSafe(F.col("_k")) & F.col(fk).eqNullSafe(F.col("_f"))
+            new, old = now[child].join(was, same, "left_anti"), now[child].join(was, same, "left_semi")
+        out.append(quality.orphans_after(found, new, old, key, fk, then[parent], now[parent], pk, rel, child == "transactions"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@register("dq_dwh_duplicate_keys", fq.with_ctes({**_BASE, "dirty": fq.DIRTY_CARDS}, fq.DWH_DUPLICATE_KEYS))
+def q_dq_dwh_duplicate_keys(spark, sf_dir):
+    """K2 on stored tables: dimensions and facts as a run that sets nothing aside would store them, cards with repeated keys."""
+    stored = {t: written(df, f"dwh-{t}") for t, df in {**_staged(spark, sf_dir), "cards": fx.dirty_cards(spark, sf_dir)}.items()}
+    return quality.check_all(stored)["duplicate_keys"]
+
+
 @register("dq_bad_amounts", fq.DQ_BAD_AMOUNTS)
 def q_dq_bad_amounts(spark, sf_dir):
     path = drop_file(spark, fx.transactions_text(spark, sf_dir), "transactions_file")

@@ -9,9 +9,9 @@ are taken in order: only the label that the control table names, or the last
 one again, is accepted.
 Results that later steps read again (dimensions, facts) are written first
 and read back, which cuts the lineage: a lost executor costs a recompute
-from those files, not from the raw inputs.  The enriched table is not
-materialized: the report reads it in a single plan (see
-``rules.fraud_report``), so writing it would only copy fact-sized data.
+from those files, not from the raw inputs.  The enriched table is a
+maintained view (``enriched_delta``): a batch joins its new facts and the
+facts of changed dimension keys, not the history.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas as sch
 from ..operators import facts, lookback, membership, meta, quality, rules, scd
-from ..operators.enrich import enrich
+from ..operators import enriched_delta as delta
+from ..operators.enrich import BLACKLISTED
 from ..session import together
 from ..sources import files
 from .buckets import BUCKET_ROWS, write_version
@@ -32,6 +33,10 @@ from .store import REPORT_DATE, Store, day_of_label, label_of_day
 
 LOOKBACK = "state_lookback"
 MEMBERS = "_members/dwh_fact_transactions"
+PART, PATCHED, PATCH = "enriched_part", "enriched_patched_ids", "enriched_patch"
+ENRICHED = ("trans_id string, trans_date timestamp_ntz, amt decimal(18,2), oper_result string, passport_valid_to date, "
+            "passport_num string, fio string, phone string, terminal_city string, account_num string, valid_to date, "
+            f"client_id string, {BLACKLISTED} boolean")
 _MEMBERS = "day date, blocks long, block long, w0 long, w1 long, w2 long, w3 long"
 
 
@@ -189,6 +194,22 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
     dims = {d: store.read(sch.DIM_TABLES[d], sch.DIM[d], day, attempt) for d in sch.DIMENSIONS}
     new_tx = store.read(tx_fact, sch.FACT_TRANSACTIONS, day, attempt)
 
+    all_bl = store.read_days(bl_fact, sch.FACT_BLACKLIST, before, own, held)
+    now = {**dims, "blacklist": all_bl}
+
+    def add_part() -> None:
+        store.write(PART, day, attempt, delta.part(new_tx, now))
+
+    def add_patch() -> None:
+        if previous:
+            then = {d: store.read(sch.DIM_TABLES[d], sch.DIM[d], *previous) for d in sch.DIMENSIONS}
+            then["blacklist"] = store.read_days(bl_fact, sch.FACT_BLACKLIST, before, attempts=held)
+            ids, rows = delta.patch(store.read_days(tx_fact, sch.FACT_TRANSACTIONS, before, attempts=held), then, now)
+        else:
+            ids, rows = spark.createDataFrame([], "trans_id string"), spark.createDataFrame([], ENRICHED)
+        together(lambda: store.write(PATCHED, day, attempt, ids.withColumn("v", F.lit(day))),
+                 lambda: store.write(PATCH, day, attempt, rows.withColumn("v", F.lit(day))))
+
     def stored_checks() -> None:
         # K2, K5 on what is stored: keys of the dimensions and of today's facts, and all four
         # references; deleting a parent leaves its children behind (Q11), they are reported.
@@ -204,7 +225,15 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
         store.write("meta_dwh", day, attempt, m)
 
     def report_fraud() -> None:
-        report = _report(store, before, own, held, dims, report_since, report_dt)
+        if report_since is None:
+            # The whole fact history, as the rules expect: the maintained enriched table.
+            together(add_part, add_patch)
+            report = rules.fraud_report(read_enriched(store, before, own, held), report_dt)
+        else:
+            state, late, recent = window_facts(store, before, own, held, report_since)
+            report = rules.fraud_report_from_state(state, late, recent, dims["cards"], dims["terminals"], dims["accounts"],
+                                                   dims["clients"], all_bl, report_since, report_dt)
+            together(add_part, add_patch)
         # A batch appends its own rows, also where another batch has the same report date.
         store.write("rep_fraud", day, attempt, report.select(*sch.REPORT.names))
 
@@ -212,18 +241,11 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
     store.commit(day, attempt, label_of_day(day + _dt.timedelta(days=1)), stream)
 
 
-def _report(store: Store, before: list[_dt.date], own: tuple[_dt.date, str], held: dict[_dt.date, str],
-            dims: dict[str, DataFrame], report_since, report_dt) -> DataFrame:
-    all_bl = store.read_days("dwh_fact_blacklist", sch.FACT_BLACKLIST, before, own, held)
-    if report_since is None:
-        # Enriched table over the whole fact history, as the rules expect.
-        all_tx = store.read_days("dwh_fact_transactions", sch.FACT_TRANSACTIONS, before, own, held)
-        enriched = enrich(all_tx, dims["cards"], dims["terminals"], dims["accounts"],
-                          dims["clients"], blacklist=all_bl)
-        return rules.fraud_report(enriched, report_dt)
-    state, late, recent = window_facts(store, before, own, held, report_since)
-    return rules.fraud_report_from_state(state, late, recent, dims["cards"], dims["terminals"], dims["accounts"],
-                                         dims["clients"], all_bl, report_since, report_dt)
+def read_enriched(store: Store, days: list[_dt.date], own: tuple[_dt.date, str] | None = None,
+                  attempts: dict[_dt.date, str] | None = None) -> DataFrame:
+    """The enriched table (D13) after the given days, from its parts and patches."""
+    of = lambda table, schema: store.read_days(table, schema, days, own, attempts)
+    return delta.current(of(PART, ENRICHED), of(PATCHED, "trans_id string, v date"), of(PATCH, f"{ENRICHED}, v date"))
 
 
 def window_facts(store: Store, days: list[_dt.date], own: tuple[_dt.date, str] | None, attempts: dict[_dt.date, str],

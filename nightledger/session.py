@@ -98,6 +98,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def together(*jobs: Callable[[], object], at_once: int = 8) -> list:
     """Run independent Spark jobs side by side: while one has few tasks left, the others use the
     executors.  All end before this returns; the first error is raised."""
+    session = SparkSession.getActiveSession()
+    carry = inheritable_thread_target(session) if session else inheritable_thread_target
     with ThreadPoolExecutor(at_once) as pool:
-        futures = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        futures = [pool.submit(carry(job)) for job in jobs]
     return [f.result() for f in futures]
