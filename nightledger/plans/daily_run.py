@@ -26,7 +26,7 @@ from .. import schemas as sch
 from ..operators import facts, lookback, membership, meta, quality, rules, scd
 from ..operators import enriched_delta as delta
 from ..operators.enrich import BLACKLISTED
-from ..session import together
+from ..session import scratch_scope, together
 from ..sources import files
 from .buckets import BUCKET_ROWS, write_version
 from .store import REPORT_DATE, Store, day_of_label, label_of_day
@@ -37,6 +37,7 @@ PART, PATCHED, PATCH = "enriched_part", "enriched_patched_ids", "enriched_patch"
 ENRICHED = ("trans_id string, trans_date timestamp_ntz, amt decimal(18,2), oper_result string, passport_valid_to date, "
             "passport_num string, fio string, phone string, terminal_city string, account_num string, valid_to date, "
             f"client_id string, {BLACKLISTED} boolean")
+COMPACT_DAYS = 32
 _MEMBERS = "day date, blocks long, block long, w0 long, w1 long, w2 long, w3 long"
 
 
@@ -137,6 +138,12 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
     the batches since then and the look-back state stored before them
     (``rules.fraud_report_from_state``); the history is not read.
     """
+    with scratch_scope(store.spark):
+        _run_day(store, label, inputs, batch_ts, report_dt, on_violation, report_since, bucket_rows, stream)
+
+
+def _run_day(store: Store, label: str, inputs: DailyInputs, batch_ts, report_dt, on_violation: str, report_since,
+             bucket_rows: int, stream) -> None:
     spark = store.spark
     day = day_of_label(label)
     batch_ts = str(batch_ts or _dt.datetime.now().replace(microsecond=0))
@@ -239,6 +246,11 @@ def run_day(store: Store, label: str, inputs: DailyInputs, *,
 
     together(report_fraud, metadata, *([] if on_violation == "ignore" else [stored_checks]))
     store.commit(day, attempt, label_of_day(day + _dt.timedelta(days=1)), stream)
+    if (len(before) + 1) % COMPACT_DAYS == 0:
+        # what later runs read of every day is merged, so that they open few folders
+        together(*[lambda t=t, x=x: store.compact(t, x, COMPACT_DAYS) for t, x in (
+            (tx_fact, sch.FACT_TRANSACTIONS), (bl_fact, sch.FACT_BLACKLIST), (MEMBERS, _MEMBERS), (PART, ENRICHED),
+            (PATCHED, "trans_id string, v date"), (PATCH, f"{ENRICHED}, v date"))])
 
 
 def read_enriched(store: Store, days: list[_dt.date], own: tuple[_dt.date, str] | None = None,

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +30,17 @@ from .buckets import read_buckets, read_manifest
 REPORT_DATE = "report_dt"
 BUCKETED = {*sch.DIM_TABLES.values(), *sch.HIST_TABLES.values()}
 _ZONES = "day date, attempt string, file string, lo timestamp_ntz, hi timestamp_ntz, n_rows long"
+_MERGED = "merged string, level int, day date, attempt string"
 _MARKER = "label string, number int, stream string, epoch long, batch date, attempt string"
 
 
+class Unit(NamedTuple):
+    """A folder and the (day, attempt) pairs whose rows it holds; level 0 is a day's own."""
+    members: tuple
+    folder: str
+    level: int
+
+
 def _no_path(e: AnalysisException) -> bool:
     return e.getCondition() == "PATH_NOT_FOUND"
 
@@ -122,7 +131,68 @@ class Store:
     def _folders(self, table, days, own, attempts) -> list[str]:
         if attempts is None:
             attempts = {d: a for d, (a, _) in self.commits().items()}
-        return [self.folder(table, d, attempts[d]) for d in days] + ([self.folder(table, *own)] if own else [])
+        return [u.folder for u in self._units(table, days, attempts)] + ([self.folder(table, *own)] if own else [])
+
+    # compaction --------------------------------------------------------------
+    def _units(self, table: str, days: list[_dt.date], attempts: dict[_dt.date, str]) -> list[Unit]:
+        """The folders that hold just the given days: merged ones where all their days are asked for and were
+        merged from the attempts that count, else the days' own."""
+        wanted = [(d, attempts[d]) for d in sorted(days)]
+        merged: dict[tuple, list[Unit]] = {}
+        for u in self._merged(table):
+            merged.setdefault(u.members[0], []).append(u)
+        out, at = [], 0
+        while at < len(wanted):
+            fits = [u for u in merged.get(wanted[at], []) if tuple(wanted[at:at + len(u.members)]) == u.members]
+            unit = max(fits, key=lambda u: len(u.members), default=Unit((wanted[at],), self.folder(table, *wanted[at]), 0))
+            out.append(unit)
+            at += len(unit.members)
+        return out
+
+    def _merged(self, table: str) -> list[Unit]:
+        try:
+            rows = self.spark.read.schema(_MERGED).parquet(self.path("_merged_from", table)).collect()
+        except AnalysisException as e:
+            if not _no_path(e):
+                raise
+            return []
+        by: dict[str, list] = {}
+        for r in sorted(rows, key=lambda r: r["day"]):
+            by.setdefault(r["merged"], []).append(r)
+        return [Unit(tuple((r["day"], r["attempt"]) for r in rs), self.path("_merged", table, f"id={k}"), rs[0]["level"]) for k, rs in by.items()]
+
+    def compact(self, table: str, schema: T.StructType | str, fan: int = 32) -> int:
+        """Merge ``fan`` neighbouring folders of one level to a folder of the next, as often as there are so many, so that
+        a history of n days is read from no more than fan folders a level.  The days' own folders stay (an earlier
+        version may still read them); a marker written last makes a merged folder count.  Returns the merges."""
+        done = 0
+        while True:
+            attempts = {d: a for d, (a, _) in self.commits().items()}
+            units = self._units(table, list(attempts), attempts)
+            runs = [units[k:k + fan] for k in range(len(units) - fan + 1) if len({u.level for u in units[k:k + fan]}) == 1]
+            if not runs:
+                return done
+            members = [m for u in runs[0] for m in u.members]
+            key = self.new_attempt()
+            self.spark.read.schema(schema).parquet(*[u.folder for u in runs[0]]).write.parquet(self.path("_merged", table, f"id={key}"))
+            marker = self.spark.createDataFrame([(key, runs[0][0].level + 1, d, a) for d, a in members], _MERGED)
+            marker.coalesce(1).write.parquet(self.path("_merged_from", table, f"id={key}"))
+            done += 1
+
+    def expire_attempts(self) -> list[str]:
+        """Delete the folders of attempts that no commit marker names: of runs that died, or were run again.
+        Not beside a running batch, whose attempt is not named yet.  Returns the deleted folders."""
+        kept = {(f"v={d.isoformat()}", f"attempt={a}") for d, (a, _) in self.commits().items()}
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        gone = []
+        for pattern in ("*/v=*/attempt=*", "*/*/v=*/attempt=*"):
+            for f in fs.globStatus(path(self.root, pattern)) or []:
+                p = f.getPath()
+                if (p.getParent().getName(), p.getName()) not in kept:
+                    fs.delete(p, True)
+                    gone.append(p.toString())
+        return gone
 
     # zone maps ---------------------------------------------------------------
     def write_zones(self, table: str, day: _dt.date, attempt: str, column: str) -> None:

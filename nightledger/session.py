@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -85,7 +87,28 @@ def _is_spark_subdir(d: str) -> bool:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/nightledger/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/nightledger/{name}-{uuid.uuid4().hex}"
+    for made in _scopes.get():
+        made.append(path)
+    return path
+
+
+# the lists that note the scratch folders of the jobs now running in this thread, and in those it starts by ``together``
+_scopes: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scratch_scopes", default=())
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders made within it when it ends: for jobs whose results are all written elsewhere."""
+    made: list[str] = []
+    token = _scopes.set((*_scopes.get(), made))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        for p in map(path, made):
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -101,5 +124,5 @@ def together(*jobs: Callable[[], object], at_once: int = 8) -> list:
     session = SparkSession.getActiveSession()
     carry = inheritable_thread_target(session) if session else inheritable_thread_target
     with ThreadPoolExecutor(at_once) as pool:
-        futures = [pool.submit(carry(job)) for job in jobs]
+        futures = [pool.submit(contextvars.copy_context().run, carry(job)) for job in jobs]
     return [f.result() for f in futures]
