@@ -75,8 +75,33 @@ NAMES = [
     ("wtfpl", "wtfpl", r"wtfpl", []),
     ("reserved", "all rights", r"all rights reserved", []),
     ("proprietary", "proprietary", r"proprietary(?: and confidential)?", []),
-    ("copyright", "copyright", r"copyright(?: c)?(?: [12][0-9]{3})+", []),
+    ("copyright", "copyright", r"copyright(?: c)?(?: [12][0-9]{3}){1,60}", []),
 ]
+# phrases of license texts and notices: label, keyword, phrase as words; all come before the names
+BODIES = [
+    ("mit", "permission is hereby", r"permission is hereby granted free of charge to any person obtaining a copy"),
+    ("mit", "the above copyright", r"the above copyright notice and this permission notice shall be included in all copies"),
+    ("bsd-4-clause", "all advertising", r"all advertising materials mentioning features or use of this software must display"),
+    ("bsd-3-clause", "neither the", r"neither the names? of (?:the )?(?:[^ ]+ ){1,12}nor the names of (?:its|their|any) contributors"),
+    ("bsd", "redistribution and", r"redistribution and use in source and binary forms with or without modification"),
+    ("bsd", "redistributions", r"redistributions (?:of source code|in binary form) must (?:retain|reproduce) the above copyright notice"),
+    ("isc", "permission to use", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee"),
+    ("apache-2.0", "you may not", r"you may not use this file except in compliance with the licen[sc]e"),
+    ("apache-2.0", "unless required", r"unless required by applicable law or agreed to in writing software distributed under the licen[sc]e"),
+    ("gpl", "this program", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e"),
+    ("lgpl", "this library", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e"),
+    ("mpl-2.0", "this source", r"this source code form is subject to the terms of the mozilla public licen[sc]e v 2 0"),
+    ("boost-1.0", "permission is hereby", r"permission is hereby granted free of charge to any person or organization obtaining a copy"),
+    ("zlib", "this software is", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("unlicense", "this is free", r"this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "you just", r"you just do what the fuck you want to"),
+    ("warranty-disclaimer", "as is", r"as is without warrant(?:y|ies)(?: or conditions)? of any kind"),
+]
+# license identifiers as a tag writes them, longer ones before those they begin with
+SPDX = ["0bsd", "agpl 3 0 only", "agpl 3 0 or later", "agpl 3 0", "apache 1 1", "apache 2 0", "artistic 2 0", "bsd 2 clause", "bsd 3 clause", "bsd 4 clause",
+        "bsl 1 0", "cc by 4 0", "cc by sa 4 0", "cc by nc 4 0", "cc0 1 0", "cddl 1 0", "epl 1 0", "epl 2 0", "eupl 1 2", "gpl 2 0 only", "gpl 2 0 or later",
+        "gpl 2 0", "gpl 3 0 only", "gpl 3 0 or later", "gpl 3 0", "isc", "lgpl 2 1 only", "lgpl 2 1 or later", "lgpl 2 1", "lgpl 3 0 only", "lgpl 3 0 or later",
+        "lgpl 3 0", "mit 0", "mit", "mpl 1 1", "mpl 2 0", "ms pl", "ofl 1 1", "postgresql", "python 2 0", "unlicense", "wtfpl", "zlib"]
 # phrase before a name, and the confidence of a rule with it; the strongest first
 GRANTS = [
     (r"(?:is |are )?licen[sc]ed(?: to you)? under (?:the )?(?:terms of )?(?:the )?", 0.98),
@@ -98,9 +123,11 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    """All rules by priority: versions before none, then the strength of the grant, then the names' order."""
+    """All rules by priority: identifier tags, phrases of license texts, then names: versions before none, then
+    the strength of the grant, then the names' order."""
     ends = lambda p: rf"(?<= ){p}(?= )"
-    out = []
+    out = [Rule("spdx-" + name.replace(" ", "-"), "spdx", ends(f"spdx licen[sc]e identifier {name}"), 1.0) for name in SPDX]
+    out += [Rule(label, keyword, ends(phrase), 0.95) for label, keyword, phrase in BODIES]
     for versioned in (True, False):
         for grant, confidence in GRANTS:
             for label, keyword, name, versions in NAMES:

@@ -61,6 +61,19 @@ def test_containment_leaves_one_detection(make_docs):
     assert r["labels"] == "gpl,gpl-3" and len(r["detections"]) == 1 and r["score"] == 1.0
 
 
+def test_license_texts_and_tags(make_docs):
+    texts = ["// SPDX-License-Identifier: GPL-2.0-or-later", "# SPDX-License-Identifier: MIT",
+             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+             "Redistribution and use in source and binary forms, with or without modification, are permitted. Neither the name of the "
+             "copyright holder nor the names of its contributors may be used", "you may not use this file except in compliance with the License.",
+             "the software is provided \"as is\", without warranty of any kind", "permission is granted"]
+    docs = make_docs(list(enumerate(texts)))
+    check(docs)
+    labels = {r["doc_id"]: r["labels"] for r in licenses.scan(docs).collect()}
+    assert labels == {0: "spdx-gpl-2.0-or-later".replace(".", "-"), 1: "spdx-mit", 2: "mit", 3: "bsd,bsd-3-clause", 4: "apache-2.0",
+                      5: "warranty-disclaimer", 6: ""}
+
+
 def test_many_places_in_one_document(make_docs):
     check(make_docs([(1, "cc by 4.0 and " * 400)]))
 
