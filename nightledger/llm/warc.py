@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 MIN_SHARED = 100
 SEPARATOR = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -180,8 +182,12 @@ class LoserTree:
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
-    """The capture history: part by part in ascending order of URL key, time, run and place in the run."""
-    ranged = runs.repartitionByRange("url_key", "captured", "run", "place")
+    """The capture history: part by part in ascending order of URL key, time, run and place in the run.
+
+    The runs are stored first: the range sort looks at them twice, and a lost range reads its slices again
+    instead of the archives."""
+    ranged = (written(runs, "warc-runs").repartitionByRange("url_key", "captured", "run", "place")
+              .sortWithinPartitions("run", "place"))
     names = ranged.columns
     at = {c: i for i, c in enumerate(names)}
     step = 65_536
@@ -195,8 +201,6 @@ def merge_runs(runs: DataFrame) -> DataFrame:
                 slices.setdefault(row[at["run"]], []).append(row)
         if schema is None:
             return
-        for rows in slices.values():  # a shuffle hands a run's rows over in any order
-            rows.sort(key=lambda r: r[at["place"]])
         order = lambda r: (r[at["url_key"]], r[at["captured"]], r[at["run"]], r[at["place"]])
         held: list[tuple] = []
         for row in LoserTree(list(slices.values()), order):
