@@ -67,17 +67,26 @@ def directory(rows: DataFrame, limit: int, step: int = STEP) -> DataFrame:
     return found
 
 
-def shard_of_hash(rows: DataFrame, limit: int, step: int = STEP) -> DataFrame:
-    """``bits``, ``shard`` and ``depth`` of every hash in the directory; hashes whose copies alone
-    exceed ``limit`` have the whole hash as shard and depth ``BITS``."""
+def leaves_of(rows: DataFrame, limit: int, step: int = STEP) -> tuple[DataFrame, DataFrame]:
+    """The directory's buckets (``prefix``, ``depth``), and the hashes whose copies alone exceed ``limit``
+    (``bits``), which are not in it.  Neither has more rows than the documents fill shards, about."""
     sums = written(rows.groupBy("bits").agg(F.sum(F.col("n_bytes") * F.col("n")).alias("b")), "hash-sizes")
-    light = sums.where(F.col("b") <= limit)
-    leaves = directory(light, limit, step)
-    depths = sorted(r[0] for r in leaves.select("depth").distinct().collect())  # at most 64
-    keyed = light.select("bits", F.explode(F.array(*[F.lit(d) for d in depths]).cast("array<int>")).alias("depth"))
-    placed = keyed.withColumn("prefix", F.expr("left(bits, depth)")).join(leaves, ["prefix", "depth"])
-    return (placed.select("bits", F.col("prefix").alias("shard"), "depth")
-            .unionByName(sums.where(F.col("b") > limit).select("bits", F.col("bits").alias("shard"), F.lit(BITS).alias("depth"))))
+    return (written(directory(sums.where(F.col("b") <= limit), limit, step), "shard-leaves"),
+            written(sums.where(F.col("b") > limit).select("bits"), "shard-heavy"))
+
+
+def in_directory(at: DataFrame, leaves: DataFrame, heavy: DataFrame) -> DataFrame:
+    """``at`` with ``shard`` and ``depth`` of its ``bits``: of heavy hashes the whole hash and depth ``BITS``.
+
+    Rows meet the buckets by the prefix that all buckets have, so rows are neither multiplied nor, where
+    Spark can broadcast the directory (its size is known: it is written), moved."""
+    low = leaves.agg(F.min("depth")).first()[0] or 0
+    named = leaves.select(F.left("prefix", F.lit(low)).alias("l_low"), F.col("prefix").alias("l_prefix"), F.col("depth").alias("l_depth"))
+    alone = heavy.select(F.col("bits").alias("h_bits"))
+    inside = (F.left("bits", F.lit(low)) == F.col("l_low")) & F.expr("left(bits, l_depth)").eqNullSafe(F.col("l_prefix"))
+    return (at.join(alone, F.col("bits") == F.col("h_bits"), "left").join(named, F.col("h_bits").isNull() & inside, "left")
+            .withColumn("shard", F.coalesce("h_bits", "l_prefix")).withColumn("depth", F.coalesce("l_depth", F.lit(BITS)))
+            .drop("h_bits", "l_low", "l_prefix", "l_depth"))
 
 
 def placed(docs: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFrame:
@@ -86,17 +95,17 @@ def placed(docs: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFrame:
     Copies of a document that do not fit one shard together are numbered one by one, by
     prefix sums over the rows themselves, and dealt to overflow shards in that order."""
     rows = written(sized(docs), "shard-sizes")
-    of = written(shard_of_hash(rows, limit, step), "shard-of-hash")
+    leaves, heavy = leaves_of(rows, limit, step)
     per = F.greatest(F.floor(F.lit(limit) / F.greatest("n_bytes", F.lit(1))), F.lit(1))  # copies that fit together
-    full = of.where(F.col("depth") == BITS).select("bits")
-    over = written(rows.join(full, "bits").where(F.col("n") > per).select(F.col("bits").alias("o_bits"), F.col("doc_id").alias("o_id"),
-                                                                       F.col("n_bytes").alias("o_bytes")), "shard-overflow")
+    over = written(rows.join(heavy, "bits").where(F.col("n") > per).select(F.col("bits").alias("o_bits"), F.col("doc_id").alias("o_id"),
+                                                                        F.col("n_bytes").alias("o_bytes")), "shard-overflow")
     size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
     at = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
           .select("row", hash_bits(F.col("row.doc_id"), F.col("row.text")).alias("bits"), size.alias("n_bytes")))
     same = (F.col("bits") == F.col("o_bits")) & F.col("row.doc_id").eqNullSafe(F.col("o_id")) & (F.col("n_bytes") == F.col("o_bytes"))
-    plain = at.join(over, same, "left_anti").join(of, "bits").select("row", "shard", "depth", "n_bytes")
-    if not over.limit(1).count():
+    some = bool(over.take(1))
+    plain = in_directory(at.join(over, same, "left_anti") if some else at, leaves, heavy).select("row", "shard", "depth", "n_bytes")
+    if not some:
         return plain
     group = F.concat_ws(":", "bits", F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")), F.col("n_bytes").cast("string"))
     hot = written(at.join(over, same, "left_semi").select("row", "bits", "n_bytes", group.alias("g"), F.monotonically_increasing_id().alias("number"),

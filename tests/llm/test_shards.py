@@ -97,3 +97,19 @@ def test_written_shards_keep_the_limit_and_agree_with_the_placement(spark, make_
 
 def test_empty_table(no_docs):
     assert shards.assign(no_docs).count() == 0
+
+
+def test_documents_are_not_moved_to_meet_the_directory(spark, make_docs):
+    """With more hashes than Spark broadcasts, only the write itself moves the texts."""
+    docs = make_docs([(i, prose(i, 30)) for i in range(3000)])
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in kept:
+            spark.conf.set(k, str(24 << 10))
+        found = shards.placed(docs, 60_000)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        assert found.count() == 3000
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
