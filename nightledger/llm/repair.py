@@ -19,11 +19,11 @@ rows each get their ids; an empty table writes no shard.
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -31,85 +31,129 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .bpe import MARKS, PATTERN, Encoder, Vocabulary
+from .bpe import Encoder, Vocabulary
+from .common import written
 
 END_ID = 2
 LEAST = 4  # a rule takes three integers and saves one at each place: with fewer places it would not pay
 _HASH_BITS = 20
+_SORTED = 1 << 17  # fewer pairs than this are counted by sorting
 _MIX = np.array([0x9E3779B1, 0x85EBCA77], np.uint32)
 
 
 def _choose(codes: np.ndarray, counts: np.ndarray, most: int, least: int) -> np.ndarray:
-    """Up to ``most`` frequent pairs, by descending count, in which no symbol is both a left
-    and a right member; a pair of one symbol with itself shares it with no other pair."""
+    """The places in ``codes`` of up to ``most`` frequent pairs, by descending count, in which no symbol is both a
+    left and a right member; a pair of one symbol with itself shares it with no other pair.  Ascending by pair."""
     left, right, chosen = set(), set(), []
-    for i in np.lexsort((codes, -counts))[:4 * most]:
-        if counts[i] < least or len(chosen) == most:
+    best = np.lexsort((codes, -counts))[:4 * most]
+    best = best[counts[best] >= least]
+    for i, code in zip(best.tolist(), codes[best].tolist()):
+        if len(chosen) == most:
             break
-        a, b = int(codes[i]) >> 32, int(codes[i]) & 0xFFFFFFFF
+        a, b = code >> 32, code & 0xFFFFFFFF
         if a in right or b in left or a == b and a in left:
             continue
         left.add(a)
         right.add(b)
-        chosen.append(codes[i])
-    return np.array(sorted(chosen), np.uint64)
+        chosen.append((code, i))
+    return np.array([i for _, i in sorted(chosen)], np.int64)
 
 
-def _counted(seq: np.ndarray, mix: np.ndarray, per_round: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(places, their pair's number, pairs, counts) of frequent pairs of neighbours.
+def _counted(left: np.ndarray, right: np.ndarray, mix: np.ndarray, per_round: int,
+             least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(index, their pair's number, pairs, counts, whether each index may still pay) of frequent pairs.
 
-    Pairs are counted by a hash of ``_HASH_BITS``: slots too light for one of the most frequent pairs are
+    Many pairs are counted by a hash of ``_HASH_BITS``: slots too light for one of the most frequent pairs are
     left out, and in the others one of the pairs that share it stands for the slot and is counted exactly.
-    Where that shows none, the pairs of all slots that could hold one are counted by sorting."""
-    slot = (seq[:-1] * mix[0] + seq[1:] * mix[1]) >> np.uint32(32 - _HASH_BITS)  # wraps
-    heavy = np.bincount(slot, minlength=1 << _HASH_BITS)
-    bar = max(least, int(np.partition(heavy, -2 * per_round)[-2 * per_round]))
-    at = np.flatnonzero((heavy >= bar)[slot])
-    own, codes = slot[at], (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-    stands = np.zeros(1 << _HASH_BITS, np.uint64)
-    stands[own] = codes
-    same = stands[own] == codes
-    at, own = at[same], own[same]
-    counts = np.bincount(own, minlength=1 << _HASH_BITS)
-    full = np.flatnonzero(counts >= least)
-    if len(full):
-        number = np.full(1 << _HASH_BITS, -1, np.int64)
-        number[full] = np.arange(len(full))
-        return at, number[own], stands[full], counts[full]
-    at = np.flatnonzero((heavy >= least)[slot])
-    codes = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-    pairs, number, counts = np.unique(codes, return_inverse=True, return_counts=True)
-    return at, number, pairs, counts
+    Few pairs, or where that shows none, are counted by sorting."""
+    alive = None
+    if len(left) > _SORTED:
+        slot = ((left * mix[0] + right * mix[1]) >> np.uint32(32 - _HASH_BITS)).astype(np.intp)  # wraps
+        heavy = np.bincount(slot, minlength=1 << _HASH_BITS)
+        pays = heavy >= least
+        weights = heavy[pays]
+        bar = int(np.partition(weights, -2 * per_round)[-2 * per_round]) if len(weights) >= 2 * per_round else least
+        alive = pays[slot]
+        top = heavy >= bar
+        own = np.where(top, np.cumsum(top, dtype=np.int32) - np.int32(1), np.int32(-1))[slot]
+        del slot
+        at = np.flatnonzero(own >= 0)
+        own, codes = own[at], _codes(left[at], right[at])
+        stands = np.zeros(np.count_nonzero(top), np.uint64)
+        stands[own] = codes
+        same = stands[own] == codes
+        del codes
+        at, own = at[same], own[same]
+        counts = np.bincount(own, minlength=len(stands))
+        if (counts >= least).any():
+            return at, own, stands, counts, alive
+    at = np.arange(len(left)) if alive is None else np.flatnonzero(alive)
+    pairs, number, counts = np.unique(_codes(left[at], right[at]), return_inverse=True, return_counts=True)
+    pays = counts[number] >= least
+    alive = np.zeros(len(left), bool)
+    alive[at[pays]] = True
+    return at[pays], number[pays], pairs, counts, alive
+
+
+def _codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    out = left.astype(np.uint64)
+    out <<= np.uint64(32)
+    out |= right
+    return out
 
 
 def compress(ids: np.ndarray, base: int, per_round: int = 8192, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, rules as rows of left and right, expansion length per rule).
 
-    A round replaces up to ``per_round`` pairs; rounds go on until no pair occurs ``least`` times."""
-    seq = ids.astype(np.uint32)
+    A round replaces up to ``per_round`` pairs; rounds go on until no pair occurs ``least`` times.  A pair arises
+    only beside a place that a round replaces, with all its places at once, and is found less and less often
+    from then on: a round looks at the places whose pair may still pay and at those beside the last replacements."""
+    n = len(ids)
+    seq = np.append(ids.astype(np.uint32), np.uint32(0))
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    open_ = np.arange(max(n - 1, 0))  # places whose pair may pay, ascending
     rules: list[np.ndarray] = []
     n_rules, mix = 0, _MIX.copy()
-    while len(seq) > 1:
-        at, number, pairs, counts = _counted(seq, mix, per_round, least)
+    left, right = seq[:max(n - 1, 0)], seq[1:n]
+    while len(open_):
+        index, number, pairs, counts, alive = _counted(left, right, mix, per_round, least)
+        del left, right
         mix = mix * _MIX[::-1] | np.uint32(1)  # other pairs share a slot in the next round
         chosen = _choose(pairs, counts, per_round, least)
         if not len(chosen):
             break
-        order = np.argsort(pairs)
-        rule_of = np.full(len(pairs) + 1, -1, np.int64)  # the last stands for no pair
-        rule_of[order[np.searchsorted(pairs, chosen, sorter=order)]] = np.arange(len(chosen))
+        rule_of = np.full(len(pairs), -1, np.int32)
+        rule_of[chosen] = np.arange(len(chosen))
         found = rule_of[number]
-        at, found = at[found >= 0], found[found >= 0]
+        hit = np.flatnonzero(found >= 0)
+        at, found = open_[index[hit]], found[hit]
+        del index, number, hit
         # only a run of one symbol can overlap itself: every other place counts, from the left
-        new = np.concatenate([[True], np.diff(at) != 1])
-        run = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-        ok = (np.arange(len(at)) - run) % 2 == 0
-        at, found = at[ok], found[ok]
+        new = np.concatenate([[True], after[at[:-1]] != at[1:]])
+        if not new.all():
+            run = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+            ok = (np.arange(len(at)) - run) % 2 == 0
+            at, found = at[ok], found[ok]
+        gone = after[at]
+        beyond = after[gone]
         seq[at] = (base + n_rules + found).astype(np.uint32)
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq = seq[keep]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        after[at] = beyond
+        before[beyond] = at
+        after[gone] = -1
+        beside = before[at]
+        beside = beside[beside >= 0]
+        open_ = open_[alive]
+        if 16 * len(open_) > n:
+            held = np.zeros(n, bool)
+            held[open_], held[at], held[beside] = True, True, True
+            held[gone], held[before[n]] = False, False  # the last symbol has no pair
+            open_ = np.flatnonzero(held)
+        else:
+            open_ = np.sort(np.concatenate([open_, at, beside]))
+            open_ = open_[np.concatenate([[True], open_[1:] != open_[:-1]]) & (after[open_] >= 0) & (open_ != before[n])]
+        left, right = seq[open_], seq[after[open_]]
+        pair = pairs[chosen]
+        rules.append(np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         n_rules += len(chosen)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     lengths = np.ones(base + len(table), np.int64)
@@ -118,22 +162,33 @@ def compress(ids: np.ndarray, base: int, per_round: int = 8192, least: int = LEA
         part = r.astype(np.int64)
         lengths[base + first:base + first + len(r)] = lengths[part[:, 0]] + lengths[part[:, 1]]
         first += len(r)
-    return seq, table, lengths[base:].astype(np.uint32)
-
-
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that ``symbols`` stand for."""
-    seq = symbols
-    while len(seq):
-        rule = seq >= base
-        if not rule.any():
-            break
-        times = 1 + rule.astype(np.int64)
-        start = (np.cumsum(times) - times)[rule]
-        members = rules[(seq[rule] - base).astype(np.int64)]
-        seq = np.repeat(seq, times)
-        seq[start], seq[start + 1] = members[:, 0], members[:, 1]
-    return seq
+    return seq[:n][after[:n] >= 0], table, lengths[base:].astype(np.uint32)
+
+
+def rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
+    """Expansion length per rule; a rule uses ids and earlier rules only."""
+    out: list[int] = []
+    for a, b in rules.tolist():
+        out.append((1 if a < base else out[a - base]) + (1 if b < base else out[b - base]))
+    return np.array(out, np.int64)
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids that ``symbols`` stand for; each member of a rule is put down at its own place."""
+    size = np.ones(base + len(rules), np.int64)
+    size[base:] = rule_lengths(rules, base) if lengths is None else lengths
+    left, right = np.ascontiguousarray(rules[:, 0]), np.ascontiguousarray(rules[:, 1])
+    place = np.cumsum(size[symbols])
+    out = np.empty(int(place[-1]) if len(place) else 0, symbols.dtype)
+    place -= size[symbols]
+    while len(symbols):
+        rule = symbols >= base
+        plain = ~rule
+        out[place[plain]] = symbols[plain]
+        number, place = symbols[rule] - np.array(base, symbols.dtype), place[rule]
+        first = left[number]
+        symbols, place = np.concatenate([first, right[number]]), np.concatenate([place, place + size[first]])
+    return out
 
 
 def read_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int, start: int, stop: int) -> np.ndarray:
@@ -144,7 +199,7 @@ def read_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base
     ends = np.cumsum(size)
     a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
     skip = start - (int(ends[a - 1]) if a else 0)
-    return expand(symbols[a:b], rules, base)[skip:skip + stop - start]
+    return expand(symbols[a:b], rules, base, lengths)[skip:skip + stop - start]
 
 
 def _u32(data: bytes) -> np.ndarray:
@@ -159,31 +214,76 @@ def shard_schema(doc_id: T.DataType) -> T.StructType:
         *[T.StructField(c, T.BinaryType()) for c in ("doc_tokens", "rules", "lengths", "symbols")]])
 
 
+# PATTERN, written so that the library's matcher never goes back over a run
+_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+
+
 class LibraryEncoder(Encoder):
     """The same ids with a library's merges: tiktoken takes the vocabulary as ranks, which are its ids."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__(vocabulary)
         ranks = {t: i for i, t in enumerate(vocabulary.tokens) if t.decode(errors="replace") not in vocabulary.special}
-        self.library = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.library = tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.opens = np.array([t[:1] == b" " for t in vocabulary.tokens])
 
-    def learn(self, memory: dict[str, bytes], lead: str, new: set[str]) -> None:
-        marked = [p for p in new if p[-1:] in MARKS and p[:-1].isalpha()]
-        new.difference_update(marked)
-        new.update({p[:-1] for p in marked}.difference(memory))
-        encode = self.library.encode_ordinary
-        plain = [p for p in new if p.isalpha()] if lead else []
-        if plain:
-            # words after spaces are pre-tokens of their own: one call encodes them all, and a
-            # token that begins with a space begins the next word
-            ids = np.array(encode(lead + lead.join(plain)), "<u4")
-            cut = [*(np.flatnonzero(self.opens[ids]) * 4).tolist(), 4 * len(ids)]
-            data = ids.tobytes()
-            memory.update(zip(plain, [data[a:b] for a, b in zip(cut, cut[1:])], strict=True))
-        for p in new.difference(plain):
-            memory[p] = array("I", encode(lead + p)).tobytes()
-        memory.update((p, memory[p[:-1]] + self.marks[p[-1]]) for p in marked)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text.  Texts that single spaces part are cut there and each distinct piece is encoded once;
+        the library takes the others whole."""
+        out: list[bytes | None] = [None] * len(texts)
+        cut = []
+        for i, t in enumerate(texts):
+            if self.special and self.special.search(t):
+                out[i] = self._with_special(t)
+            elif self.within_run.search(t):
+                out[i] = self._ids_of(t)
+            else:
+                cut.append(i)
+        for i, ids in zip(cut, self._by_piece([texts[i] for i in cut])):
+            out[i] = ids
+        return out
+
+    def _by_piece(self, texts: list[str]) -> Iterator[bytes]:
+        if not texts:
+            return
+        pieces = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        first = pieces.offsets.to_numpy()[:-1].astype(np.int64)
+        coded = pieces.flatten().dictionary_encode()
+        known = coded.dictionary.to_pylist()
+        # joined by spaces, pieces are pre-tokens of their own unless white space meets: a token that
+        # begins with a space begins the next piece, which has no other space
+        edged = [p == "" or p[0].isspace() or p[-1].isspace() for p in known]
+        plain = [p for p, e in zip(known, edged) if not e]
+        joined = np.frombuffer(self._ids_of(" " + " ".join(plain)), "<u4") if plain else np.zeros(0, np.uint32)
+        sizes = np.diff(np.append(np.flatnonzero(self.opens[joined]), len(joined)))
+        # then the other pieces after a space, and those that begin a text
+        alone = [np.frombuffer(self._ids_of(p), "<u4") for p in [*(" " + p for p, e in zip(known, edged) if e),
+                                                                 *(t.partition(" ")[0] for t in texts)]]
+        table = np.concatenate([joined, *alone])
+        sizes = np.concatenate([sizes, np.array([len(x) for x in alone], np.int64)])
+        starts = np.cumsum(sizes) - sizes
+        edged = np.array(edged, bool)
+        row = np.where(edged, len(plain) + np.cumsum(edged) - 1, np.cumsum(~edged) - 1)
+        at = row[coded.indices.to_numpy()]
+        at[first] = len(sizes) - len(texts) + np.arange(len(texts))
+        n = sizes[at]
+        ends = np.cumsum(n)
+        ids = table[np.repeat(starts[at] - (ends - n), n) + np.arange(int(ends[-1]))].astype("<u4", copy=False).tobytes()
+        cut = [*((ends - n)[first] * 4).tolist(), len(ids)]
+        yield from (ids[a:b] for a, b in zip(cut, cut[1:]))
+
+    def _ids_of(self, text: str) -> bytes:
+        try:
+            return self.library.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        except ValueError:  # white space of a million characters is too much for the library's pattern
+            return super().encode([text])[0]
+
+    def _with_special(self, text: str) -> bytes:
+        out, rest = [], 0
+        for m in self.special.finditer(text):
+            out += [self._ids_of(text[rest:m.start()]), np.array([self.v.special[m[0]]], "<u4").tobytes()]
+            rest = m.end()
+        return b"".join([*out, self._ids_of(text[rest:])])
 
 
 def write_shards(docs: DataFrame, path: str, vocabulary_path: str, shard_tokens: int = 1 << 22) -> None:
@@ -201,9 +301,10 @@ def write_shards(docs: DataFrame, path: str, vocabulary_path: str, shard_tokens:
         size = 0
 
         def flush() -> pa.RecordBatch:
+            counts = np.array([len(h) // 4 for h in held], "<u4")
             ids = _u32(b"".join(held))
+            held.clear()
             symbols, rules, lengths = compress(ids, vocabulary.size)
-            counts = np.array([len(h) // 4 for h in held], "<u4")
             doc_ids = pa.concat_arrays(names)
             one = lambda x: pa.array([x.astype("<u4").tobytes()], pa.binary())
             return pa.RecordBatch.from_arrays(
@@ -239,7 +340,8 @@ def read_documents(shards: DataFrame) -> DataFrame:
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before_part"))
     inside = sizes.select("part", "shard", (F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard"))
                                             - F.col("n_tokens")).alias("before_shard"))
-    starts = inside.join(before, "part").select("part", "shard", (F.col("before_part") + F.col("before_shard")).alias("first"))
+    # one small row per shard, written so that Spark knows its size and need not shuffle the shards for it
+    starts = written(inside.join(before, "part").select("part", "shard", (F.col("before_part") + F.col("before_shard")).alias("first")), "shard-starts")
     kind = shards.schema["doc_ids"].dataType.elementType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,8 +349,8 @@ def read_documents(shards: DataFrame) -> DataFrame:
             for i in range(b.num_rows):
                 doc_ids = b.column(1).slice(i, 1).flatten()
                 first, base = b.column(0)[i].as_py(), b.column(2)[i].as_py()
-                counts, rules, symbols = (_u32(b.column(c)[i].as_py()) for c in (3, 4, 5))
-                ids = expand(symbols, rules.reshape(-1, 2), base).astype("<u4")
+                counts, rules, lengths, symbols = (_u32(b.column(c)[i].as_py()) for c in (3, 4, 5, 6))
+                ids = expand(symbols, rules.reshape(-1, 2), base, lengths).astype("<u4")
                 ends = np.cumsum(counts.astype(np.int64))
                 data = memoryview(ids.tobytes())
                 crc = [zlib.crc32(data[4 * a:4 * e]) for a, e in zip(ends - counts, ends)]
@@ -258,5 +360,5 @@ def read_documents(shards: DataFrame) -> DataFrame:
 
     out = T.StructType([T.StructField("doc_id", kind), T.StructField("start", T.LongType()),
                         T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
-    return (shards.select("part", "shard", "doc_ids", "base", "doc_tokens", "rules", "symbols").join(starts, ["part", "shard"])
-            .select("first", "doc_ids", "base", "doc_tokens", "rules", "symbols").mapInArrow(run, out))
+    return (shards.select("part", "shard", "doc_ids", "base", "doc_tokens", "rules", "lengths", "symbols").join(starts, ["part", "shard"])
+            .select("first", "doc_ids", "base", "doc_tokens", "rules", "lengths", "symbols").mapInArrow(run, out))

@@ -77,3 +77,28 @@ def test_the_grammar_is_whole():
     assert (repair.expand(symbols, rules, 50_000) == ids).all()
     pairs = Counter(zip(symbols[:-1].tolist(), symbols[1:].tolist()))
     assert max(n for (a, b), n in pairs.items() if a != b) < repair.LEAST
+
+
+def test_rounds_look_only_where_a_pair_may_pay(monkeypatch):
+    """Places looked at in all rounds together: a few times the ids, however many rounds there are."""
+    looked, counted = [], repair._counted
+    monkeypatch.setattr(repair, "_counted", lambda *a: looked.append(len(a[0])) or counted(*a))
+    r = np.random.default_rng(5)
+    # words of some ids with Zipf frequencies, and prefixes of a chain that share their pairs
+    words = [r.integers(0, 5000, k) for k in r.integers(1, 9, 3000)]
+    ids = np.concatenate([words[k] for k in np.minimum(r.zipf(1.3, 60_000), 3000) - 1] + [np.arange(6000, 6200)[:k] for k in range(200)] * 5)
+    ids = ids.astype(np.uint32)
+    symbols, rules, lengths = repair.compress(ids, 50_257)
+    assert (repair.expand(symbols, rules, 50_257, lengths) == ids).all()
+    assert len(looked) > 10 and sum(looked) < 4 * len(ids)
+
+
+def test_whitespace_beyond_the_librarys_pattern():
+    e = repair.LibraryEncoder(repair.Vocabulary(PATH))
+    text = " " * 1_500_000 + "a <|endoftext|>  b"
+    tokens = e.v.tokens
+    got = np.frombuffer(e.encode([text])[0], "<u4").tolist()
+    assert b"".join(tokens[i] for i in got) == text.encode() and e.v.special["<|endoftext|>"] in got
+    odd = ["it's  a\tb \n c\x85 <|endoftext|><|endoftext|>\u3000z ", "", " ", "<|endoftext|>", "\u00e9" * 500 + " 12345 ...!"]
+    library = Tokenizer.from_file(PATH)
+    assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(odd)] == [library.encode(t, add_special_tokens=False).ids for t in odd]
