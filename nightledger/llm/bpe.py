@@ -189,6 +189,8 @@ class Lexicon:
     """
 
     ARRAYS = ("keys", "target", "add", "final", "first", "ids")
+    flat: bytes | None = None  # the ids as little-endian 32-bit integers, and where each word's begin
+    cut: list[int]
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.__dict__.update(arrays)
@@ -277,12 +279,15 @@ class Lexicon:
         return out
 
     def ids_of(self, number: int) -> bytes:
-        return self.ids[self.first[number]:self.first[number + 1]].astype("<u4").tobytes()
+        if self.flat is None:
+            self.flat, self.cut = self.ids.astype("<u4").tobytes(), (self.first * 4).tolist()
+        return self.flat[self.cut[number]:self.cut[number + 1]]
 
 
 class Encoder:
     """Text to ids.  Pieces between single spaces are looked up in a bounded memory of pieces
-    already seen; the new ones of a batch are pre-tokenized, found in the lexicon or merged together."""
+    already seen; the new ones of a batch are pre-tokenized, found in the lexicon or merged together.
+    A full memory is put aside, and pieces that come again return from there."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None, memory: int = 200_000):
         self.v, self.lexicon, self.memory = vocabulary, lexicon, memory
@@ -292,6 +297,7 @@ class Encoder:
         self.marks = {m: np.uint32(vocabulary.byte_ids[ord(m)]).tobytes() for m in MARKS}
         self.seen: dict[str, bytes] = {}     # piece after a space -> ids as little-endian 32-bit integers
         self.other: dict[str, bytes] = {}    # the same for pre-tokens and pieces without the space
+        self.aside: dict[str, dict[str, bytes]] = {" ": {}, "": {}}  # the full memories before, by the lead
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         """Ids of single pre-tokens: from the lexicon, else merged together."""
@@ -310,8 +316,12 @@ class Encoder:
         memory.update(zip(plain, self._ids([(lead + p).encode() for p in plain])))
         odd = list(new.difference(plain))
         cut = [self.pattern.findall(lead + p) for p in odd]
-        tokens = list({t for c in cut for t in c})
-        ids = dict(zip(tokens, self._ids([t.encode() for t in tokens])))
+        # a pre-token is a piece of its own: many are known
+        ids = {t: self.seen.get(t[1:]) if t[0] == " " else self.other.get(t) for c in cut for t in c}
+        tokens = [t for t, known in ids.items() if known is None]
+        for t, new_ids in zip(tokens, self._ids([t.encode() for t in tokens])):
+            ids[t] = new_ids
+            (self.seen if t[0] == " " else self.other)[t[t[0] == " ":]] = new_ids
         memory.update((p, b"".join([ids[t] for t in c])) for p, c in zip(odd, cut))
         memory.update((p, memory[p[:-1]] + self.marks[p[-1]]) for p in marked)
 
@@ -320,9 +330,13 @@ class Encoder:
         plans = [self.plan(t) for t in texts]
         for memory, lead in ((self.seen, " "), (self.other, "")):
             if len(memory) > self.memory:
+                self.aside[lead] = memory.copy()
                 memory.clear()
             used = (part[1] for p in plans for part in p if type(part) is tuple and part[0] is memory)
-            self.learn(memory, lead, set().union(*used).difference(memory))
+            new, aside = set().union(*used).difference(memory), self.aside[lead]
+            again = new.intersection(aside)
+            memory.update(zip(again, map(aside.__getitem__, again)))
+            self.learn(memory, lead, new.difference(again))
         return [self.joined(p) for p in plans]
 
     @staticmethod

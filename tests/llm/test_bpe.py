@@ -97,3 +97,17 @@ def test_frequent_words_are_counted_over_all_documents(make_docs):
     docs = make_docs([(i, "often, often; rare%d" % i) for i in range(20)] + [(50, "twice twice")])
     assert bpe.frequent_words(docs, 2)[:1] == ["often"] or "often" in bpe.frequent_words(docs, 2)
     assert "often" in bpe.frequent_words(docs, 5) and bpe.frequent_words(docs, 0) == []
+
+
+def test_pieces_seen_before_are_not_merged_again(library, vocabulary):
+    """Neither after a full memory is put aside, nor as parts of other pieces."""
+    encoder, asked = bpe.Encoder(vocabulary, memory=100), []
+    known = encoder._ids
+    encoder._ids = lambda words: asked.extend(words) or known(words)
+    letters = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    a = "x " + " ".join(f"q{letters(i)}z" for i in range(80))
+    b = "x " + " ".join(f"u{letters(i)}y" for i in range(60))
+    c = "x " + " ".join(f"q{letters(i)}z\nu" for i in range(80))
+    for text in (a, b, a, c):
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(asked) == len(set(asked))
