@@ -43,6 +43,7 @@ from .common import byte_texts, sliced, space_words, written
 
 BLOCK_BYTES = 3 << 20
 BUCKET_ENTRIES = 500_000
+JOINT = 4096                         # bytes of arrays that are compressed in one piece
 CONTEXT_PART = 1 << 22
 DISCOUNT, STRENGTH = 0.8, 1.0        # of the context restaurants
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
@@ -55,25 +56,32 @@ SEED = 20_240
 # --- packed arrays ---------------------------------------------------------------
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Integer arrays, the bytes of equal weight together, compressed."""
-    out = []
+    """Integer arrays, the bytes of equal weight together, compressed: small ones in one piece."""
+    planes, head = [], []
     for a in arrays:
         a = np.ascontiguousarray(a)
-        planes = a.view(np.uint8).reshape(-1, a.itemsize).T if len(a) else np.zeros((a.itemsize, 0), np.uint8)
-        data = zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-        out += [np.array([ord(a.dtype.char), len(a), len(data)], "<i8").tobytes(), data]
-    return b"".join(out)
+        planes.append(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if len(a) else b"")
+        head += [ord(a.dtype.char), len(a)]
+    if sum(map(len, planes)) < JOINT:
+        planes = [b"".join(planes)]
+    data = [zstandard.ZstdCompressor(level=1).compress(p) for p in planes]
+    return b"".join([np.array([len(arrays), len(data), *head, *map(len, data)], "<u4").tobytes(), *data])
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
-    out, at = [], 0
-    while at < len(data):
-        char, n, size = np.frombuffer(data, "<i8", 3, at).tolist()
-        kind = np.dtype(chr(char))
-        raw = zstandard.ZstdDecompressor().decompress(data[at + 24:at + 24 + size], max_output_size=max(n * kind.itemsize, 1))
-        planes = np.frombuffer(raw, np.uint8).reshape(kind.itemsize, n)
+    n, pieces = np.frombuffer(data, "<u4", 2).tolist()
+    head = np.frombuffer(data, "<u4", 2 * n + pieces, 8).tolist()
+    kinds, sizes = [np.dtype(chr(c)) for c in head[:2 * n:2]], head[1:2 * n:2]
+    at, raw = 8 + 4 * len(head), []
+    weights = [k.itemsize * m for k, m in zip(kinds, sizes)]
+    for size, most in zip(head[2 * n:], weights if pieces == n else [sum(weights)]):
+        raw.append(zstandard.ZstdDecompressor().decompress(data[at:at + size], max_output_size=max(most, 1)))
+        at += size
+    whole, at, out = b"".join(raw), 0, []
+    for kind, m, weight in zip(kinds, sizes, weights):
+        planes = np.frombuffer(whole, np.uint8, weight, at).reshape(kind.itemsize, m)
         out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
-        at += 24 + size
+        at += weight
     return out
 
 
@@ -187,7 +195,7 @@ def build_blocks(docs: DataFrame) -> DataFrame:
                     [pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), part.column(0)),
                      pa.array([len(order)], pa.int64()), pa.array([len(tokens)], pa.int64()), pa.array([int((~held).sum())], pa.int64()),
                      one(pack(held.astype(np.uint8))), one(pack(narrow(sizes))), one(pack(narrow(tokens))),
-                     one(pack(hashes[order], narrow(counts)))],
+                     one(pack(steps(hashes[order]), narrow(counts)))],
                     names=[f.name for f in schema])
                 number += 1
 
@@ -226,9 +234,10 @@ def send_words(buckets: int):
         for b in batches:
             for block, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 hashes, counts = unpack(data)
+                hashes = np.cumsum(hashes)
                 to = bucket_of(hashes, buckets)
                 cut = np.searchsorted(to, np.arange(buckets + 1))
-                yield from _rows([(block, k, pack(hashes[s:e], counts[s:e])) for k, (s, e) in enumerate(zip(cut, cut[1:]))
+                yield from _rows([(block, k, pack(steps(hashes[s:e]), counts[s:e])) for k, (s, e) in enumerate(zip(cut, cut[1:]))
                                   if e > s]).to_batches()
     return run
 
@@ -237,7 +246,7 @@ def merge_words(table: pa.Table) -> pa.Table:
     """Global numbers and counts of a bucket's words; totals: words seen in training, their tokens."""
     bucket = table["bucket"][0].as_py()
     sent = [unpack(d) for d in table["data"].to_pylist()]
-    words, at = np.unique(np.concatenate([s[0] for s in sent]), return_inverse=True)
+    words, at = np.unique(np.concatenate([np.cumsum(s[0]) for s in sent]), return_inverse=True)
     counts = np.bincount(at, np.concatenate([s[1] for s in sent]).astype(np.float64), len(words)).astype(np.int64)
     cut = np.cumsum([0, *(len(s[0]) for s in sent)])
     rows = [(b, bucket, pack(steps(at[s:e].astype(np.int64)), narrow(counts[at[s:e]])))
@@ -305,10 +314,11 @@ def send_pairs(buckets: int, train_tokens: float, start_count: int):
                     s, e, hs, he = cut[k], cut[k + 1], hcut[k], hcut[k + 1]
                     if he > hs:
                         p, h = pair[s:e], hu[hs:he]
+                        words, place = np.unique(v.w[p], return_inverse=True)
                         rows.append((r["block"], k, pack(
                             steps(v.context_number[h]), narrow(-(-v.context_count[h] // CONTEXT_PART)),
                             narrow(np.diff(np.searchsorted(v.u[p], np.append(h, len(v.context_count))))),
-                            steps(v.number[v.w[p]]), narrow(v.own[p]), level[v.w[p]])))
+                            steps(v.number[words]), narrow(place), narrow(v.own[p]), level[words])))
                 yield from _rows(rows).to_batches()
     return run
 
@@ -324,20 +334,21 @@ def merge_pairs(table: pa.Table) -> pa.Table:
     np.maximum.at(parts, head_at, np.concatenate([s[1] for s in sent]).astype(np.int64))
     per_head = np.concatenate([s[2] for s in sent]).astype(np.int64)
     context = np.repeat(head_at, per_head)
-    words, word_at = np.unique(np.concatenate([np.cumsum(s[3]) for s in sent]), return_inverse=True)
+    words, word_at = np.unique(np.concatenate([np.cumsum(s[3])[s[4]] for s in sent]), return_inverse=True)
     pairs, first, at = np.unique(context * max(len(words), 1) + word_at, return_index=True, return_inverse=True)
-    c = np.bincount(at, np.concatenate([s[4] for s in sent]).astype(np.float64), len(pairs)).astype(np.int64)
-    p = np.exp2(-np.concatenate([s[5] for s in sent])[first] / 8.0)
+    c = np.bincount(at, np.concatenate([s[5] for s in sent]).astype(np.float64), len(pairs)).astype(np.int64)
+    p = np.exp2(-np.concatenate([s[6][s[4]] for s in sent])[first] / 8.0)
     own_context = pairs // max(len(words), 1)
     tables = seat(c, own_context, p, parts, DISCOUNT, STRENGTH, np.random.default_rng([SEED, 2, bucket]))
     totals = [np.bincount(own_context, t, len(contexts)).astype(np.int64) for t in tables]
     owner = np.zeros(len(at), np.uint8)
     owner[first] = 1
-    cut, hcut = np.cumsum([0, *(len(s[3]) for s in sent)]), np.cumsum([0, *(len(h) for h in heads)])
+    cut, hcut = np.cumsum([0, *(len(s[4]) for s in sent)]), np.cumsum([0, *(len(h) for h in heads)])
     rows = []
     for i, block in enumerate(table["block"].to_pylist()):
         a, h = at[cut[i]:cut[i + 1]], head_at[hcut[i]:hcut[i + 1]]
-        rows.append((block, bucket, pack(narrow(c[a]), owner[cut[i]:cut[i + 1]], *(narrow(t[a]) for t in tables),
+        more = a[c[a] > 1]  # of the others the tables are as many as the customers
+        rows.append((block, bucket, pack(narrow(c[a]), owner[cut[i]:cut[i + 1]], *(narrow(t[more]) for t in tables),
                                          *(narrow(t[h]) for t in totals))))
     return _rows(rows)
 
@@ -351,13 +362,14 @@ class Pairs:
         join = lambda i: np.concatenate([p[i] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
         self.c = np.zeros(len(v.u), np.int64)
         self.c[pair] = join(0)
+        more = self.c[pair] > 1
         self.owner = np.zeros(len(v.u), bool)
         self.owner[pair] = join(1) == 1
         self.t = []
         self.context_tables = []
         for s in range(SAMPLES):
-            t = np.zeros(len(v.u), np.int64)
-            t[pair] = join(2 + s)
+            t = self.c.copy()
+            t[pair[more]] = join(2 + s)
             self.t.append(t)
             self.context_tables.append(np.bincount(hu, join(2 + SAMPLES + s), len(v.context_count)))
 

@@ -106,3 +106,24 @@ def test_odd_rows(odd_docs, make_docs):
 
 def test_empty_table(no_docs):
     assert py.score(no_docs).count() == 0
+
+
+def test_packed_arrays_carry_little_beside_their_bytes():
+    """A block sends a few pairs to each of many buckets: seven small arrays go in one compressed piece."""
+    rng = np.random.default_rng(1)
+    arrays = [rng.integers(0, 256, 20).astype(np.uint8) for _ in range(7)]
+    assert len(py.pack(*arrays)) < sum(a.nbytes for a in arrays) + 7 * 8 + 40
+    assert all((a == b).all() for a, b in zip(py.unpack(py.pack(*arrays)), arrays, strict=True))
+
+
+def test_tables_of_single_customers_are_not_sent():
+    """A bucket's answer grows with its repeated pairs, and comes back whole."""
+    blocks = [(1, [5, 5, 6, 7, 8]), (2, [5, 6, 9, 9, 9])]
+    rows = []
+    for block, words in blocks:
+        number, own = np.unique(np.array(words, np.int64), return_counts=True)
+        rows.append((block, 0, py.pack(py.steps(np.array([3], np.int64)), np.array([1], np.uint8), np.array([len(number)], np.uint8),
+                                       py.steps(number), np.arange(len(number), dtype=np.uint8), py.narrow(own), np.full(len(number), 80, np.uint8))))
+    back = [py.unpack(d) for d in py.merge_pairs(py._rows(rows))["data"].to_pylist()]
+    assert [b[0].tolist() for b in back] == [[3, 2, 1, 1], [3, 2, 3]]
+    assert [len(b[2]) for b in back] == [2, 3] and all((1 <= b[2]).all() and (b[2] <= b[0][b[0] > 1]).all() for b in back)
