@@ -34,8 +34,8 @@ def staged(spark, sf_small):
 
 
 def test_quality_stage(spark, sf_small, staged):
-    refs = quality.references(spark.read.parquet(f"{sf_small}/documents.parquet"))
-    want = {r["doc_id"] for r in staged[0] if quality.measure(r["text"].encode(), r["lang"], refs, quality.Limits())["kept"]}
+    refs, _ = quality.references(spark.read.parquet(f"{sf_small}/documents.parquet"))
+    want = {r["doc_id"] for r in staged[0] if quality.measure(r["text"].encode(), refs[r["lang"]], quality.Limits())["kept"]}
     assert {r["doc_id"] for r in staged[1]} == want
 
 
