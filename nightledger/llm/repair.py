@@ -38,6 +38,8 @@ END_ID = 2
 LEAST = 4  # a rule takes three integers and saves one at each place: with fewer places it would not pay
 _HASH_BITS = 20
 _SORTED = 1 << 17  # fewer pairs than this are counted by sorting
+_AT_ONCE = 1 << 18  # pairs hashed at a time, in little memory
+_LINKED = 16  # symbols to a place that is looked at, from which on the symbols are linked
 _MIX = np.array([0x9E3779B1, 0x85EBCA77], np.uint32)
 
 
@@ -60,39 +62,59 @@ def _choose(codes: np.ndarray, counts: np.ndarray, most: int, least: int) -> np.
 
 
 def _counted(left: np.ndarray, right: np.ndarray, mix: np.ndarray, per_round: int,
-             least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(index, their pair's number, pairs, counts, whether each index may still pay) of frequent pairs.
+             least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the places of the round's pairs, their pair's number, the pairs, whether each index may still pay).
 
-    Many pairs are counted by a hash of ``_HASH_BITS``: slots too light for one of the most frequent pairs are
-    left out, and in the others one of the pairs that share it stands for the slot and is counted exactly.
-    Few pairs, or where that shows none, are counted by sorting."""
+    Many pairs are counted by a hash of ``_HASH_BITS``, some at a time: the pair last seen in a slot stands for the
+    slot, the heaviest slots give the round's pairs, and only the places in their slots are compared with them.
+    A pair that turns out to occur too seldom is left out.  Few pairs, or where that shows none, are counted by sorting."""
     alive = None
     if len(left) > _SORTED:
-        slot = ((left * mix[0] + right * mix[1]) >> np.uint32(32 - _HASH_BITS)).astype(np.intp)  # wraps
-        heavy = np.bincount(slot, minlength=1 << _HASH_BITS)
+        slots = np.empty(len(left), np.uint32)
+        heavy, last = np.zeros(1 << _HASH_BITS, np.int32), np.zeros(1 << _HASH_BITS, np.int32)
+        parts = [slice(a, min(a + _AT_ONCE, len(left))) for a in range(0, len(left), _AT_ONCE)]
+        for part in parts:
+            slot = np.multiply(left[part], mix[0], out=slots[part])  # wraps
+            slot += right[part] * mix[1]
+            slot >>= np.uint32(32 - _HASH_BITS)
+            slot = slot.astype(np.intp)
+            np.add.at(heavy, slot, np.int32(1))
+            last[slot] = np.arange(part.start, part.stop, dtype=np.int32)
         pays = heavy >= least
         weights = heavy[pays]
         bar = int(np.partition(weights, -2 * per_round)[-2 * per_round]) if len(weights) >= 2 * per_round else least
-        alive = pays[slot]
-        top = heavy >= bar
-        own = np.where(top, np.cumsum(top, dtype=np.int32) - np.int32(1), np.int32(-1))[slot]
-        del slot
-        at = np.flatnonzero(own >= 0)
-        own, codes = own[at], _codes(left[at], right[at])
-        stands = np.zeros(np.count_nonzero(top), np.uint64)
-        stands[own] = codes
-        same = stands[own] == codes
-        del codes
-        at, own = at[same], own[same]
-        counts = np.bincount(own, minlength=len(stands))
-        if (counts >= least).any():
-            return at, own, stands, counts, alive
+        top = np.flatnonzero(heavy >= bar)
+        stands = _codes(left[last[top]], right[last[top]])
+        chosen = _choose(stands, heavy[top], per_round, least)
+        stand_left, stand_right = left[last[top[chosen]]], right[last[top[chosen]]]
+        kind = np.where(pays, np.int32(-1), np.int32(-2))
+        kind[top[chosen]] = np.arange(len(chosen), dtype=np.int32)
+        alive, index, number = np.empty(len(left), bool), [], []
+        for part in parts:
+            own = kind.take(slots[part])
+            np.greater(own, -2, out=alive[part])
+            at = np.flatnonzero(own >= 0)
+            own = own[at]
+            same = (left[part][at] == stand_left[own]) & (right[part][at] == stand_right[own])
+            index.append(at[same] + part.start)
+            number.append(own[same])
+        at, own = np.concatenate(index), np.concatenate(number)
+        often = np.bincount(own, minlength=len(chosen)) >= least
+        if often.any():
+            if not often.all():
+                ok = often[own]
+                at, own = at[ok], (np.cumsum(often, dtype=np.int32) - np.int32(1))[own[ok]]
+            return at, own, stands[chosen][often], alive
     at = np.arange(len(left)) if alive is None else np.flatnonzero(alive)
     pairs, number, counts = np.unique(_codes(left[at], right[at]), return_inverse=True, return_counts=True)
-    pays = counts[number] >= least
     alive = np.zeros(len(left), bool)
-    alive[at[pays]] = True
-    return at[pays], number[pays], pairs, counts, alive
+    alive[at[counts[number] >= least]] = True
+    chosen = _choose(pairs, counts, per_round, least)
+    rule_of = np.full(len(pairs), -1, np.int32)
+    rule_of[chosen] = np.arange(len(chosen))
+    own = rule_of[number]
+    hit = np.flatnonzero(own >= 0)
+    return at[hit], own[hit], pairs[chosen], alive
 
 
 def _codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -107,54 +129,70 @@ def compress(ids: np.ndarray, base: int, per_round: int = 8192, least: int = LEA
 
     A round replaces up to ``per_round`` pairs; rounds go on until no pair occurs ``least`` times.  A pair arises
     only beside a place that a round replaces, with all its places at once, and is found less and less often
-    from then on: a round looks at the places whose pair may still pay and at those beside the last replacements."""
-    n = len(ids)
-    seq = np.append(ids.astype(np.uint32), np.uint32(0))
-    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
-    open_ = np.arange(max(n - 1, 0))  # places whose pair may pay, ascending
+    from then on: a round looks at the places whose pair may still pay and at those beside the last replacements.
+    While these are many, the symbols are moved together after a round; later they are linked."""
+    seq = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
     n_rules, mix = 0, _MIX.copy()
-    left, right = seq[:max(n - 1, 0)], seq[1:n]
-    while len(open_):
-        index, number, pairs, counts, alive = _counted(left, right, mix, per_round, least)
-        del left, right
+
+    def chosen_places(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the places of the round's pairs, their symbols, whether each place may still pay)."""
+        nonlocal n_rules, mix
+        index, number, pairs, alive = _counted(left, right, mix, per_round, least)
         mix = mix * _MIX[::-1] | np.uint32(1)  # other pairs share a slot in the next round
-        chosen = _choose(pairs, counts, per_round, least)
-        if not len(chosen):
+        found = number.astype(np.uint32)
+        found += np.uint32(base + n_rules)
+        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        n_rules += len(pairs)
+        return index, found, alive
+
+    def without_overlap(at: np.ndarray, found: np.ndarray, follows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Only a run of one symbol can overlap itself: every other place counts, from the left."""
+        if not follows.any():
+            return at, found
+        run = np.maximum.accumulate(np.where(np.concatenate([[True], ~follows]), np.arange(len(at)), 0))
+        ok = (np.arange(len(at)) - run) % 2 == 0
+        return at[ok], found[ok]
+
+    open_ = np.arange(max(len(seq) - 1, 0))  # places whose pair may pay, ascending
+    left, right = seq[:-1], seq[1:]
+    while _LINKED * len(open_) > len(seq):
+        index, found, alive = chosen_places(left, right)
+        if not len(index):
+            open_ = open_[:0]
+            break
+        at = open_[index]
+        at, found = without_overlap(at, found, at[:-1] + 1 == at[1:])
+        held, kept = np.zeros(len(seq), bool), np.ones(len(seq), bool)
+        held[open_[alive]] = True
+        held[at] = True
+        held[at[at > 0] - 1] = True
+        kept[at + 1] = False
+        seq[at] = found
+        seq, held = seq[kept], held[kept]
+        held[-1] = False  # the last symbol has no pair
+        open_ = np.flatnonzero(held)
+        left, right = seq.take(open_), seq.take(open_ + 1)
+    n = len(seq)
+    seq = np.append(seq, np.uint32(0))
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    while len(open_):
+        index, found, alive = chosen_places(left, right)
+        if not len(index):
             break
-        rule_of = np.full(len(pairs), -1, np.int32)
-        rule_of[chosen] = np.arange(len(chosen))
-        found = rule_of[number]
-        hit = np.flatnonzero(found >= 0)
-        at, found = open_[index[hit]], found[hit]
-        del index, number, hit
-        # only a run of one symbol can overlap itself: every other place counts, from the left
-        new = np.concatenate([[True], after[at[:-1]] != at[1:]])
-        if not new.all():
-            run = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-            ok = (np.arange(len(at)) - run) % 2 == 0
-            at, found = at[ok], found[ok]
+        at = open_[index]
+        at, found = without_overlap(at, found, after[at[:-1]] == at[1:])
         gone = after[at]
         beyond = after[gone]
-        seq[at] = (base + n_rules + found).astype(np.uint32)
+        seq[at] = found
         after[at] = beyond
         before[beyond] = at
         after[gone] = -1
         beside = before[at]
         beside = beside[beside >= 0]
-        open_ = open_[alive]
-        if 16 * len(open_) > n:
-            held = np.zeros(n, bool)
-            held[open_], held[at], held[beside] = True, True, True
-            held[gone], held[before[n]] = False, False  # the last symbol has no pair
-            open_ = np.flatnonzero(held)
-        else:
-            open_ = np.sort(np.concatenate([open_, at, beside]))
-            open_ = open_[np.concatenate([[True], open_[1:] != open_[:-1]]) & (after[open_] >= 0) & (open_ != before[n])]
+        open_ = np.sort(np.concatenate([open_[alive], at, beside]))
+        open_ = open_[np.concatenate([[True], open_[1:] != open_[:-1]]) & (after[open_] >= 0) & (open_ != before[n])]
         left, right = seq[open_], seq[after[open_]]
-        pair = pairs[chosen]
-        rules.append(np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        n_rules += len(chosen)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     lengths = np.ones(base + len(table), np.int64)
     first = 0
@@ -174,10 +212,21 @@ def rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarray | None = None) -> np.ndarray:
-    """The ids that ``symbols`` stand for; each member of a rule is put down at its own place."""
+    """The ids that ``symbols`` stand for.  For many symbols every rule is expanded once and its ids are copied to
+    each place, unless all rules together have many more ids than there are symbols."""
     size = np.ones(base + len(rules), np.int64)
     size[base:] = rule_lengths(rules, base) if lengths is None else lengths
     left, right = np.ascontiguousarray(rules[:, 0]), np.ascontiguousarray(rules[:, 1])
+    if len(symbols) <= len(size) or int(size.sum()) > 4 * len(symbols):
+        return _placed(symbols, left, right, base, size)
+    table = _placed(np.arange(len(size), dtype=symbols.dtype), left, right, base, size)
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)]) * table.itemsize
+    copies = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(table)])
+    return np.frombuffer(copies.take(pa.array(symbols)).buffers()[2], symbols.dtype)
+
+
+def _placed(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int, size: np.ndarray) -> np.ndarray:
+    """The ids that ``symbols`` stand for; each member of a rule is put down at its own place."""
     place = np.cumsum(size[symbols])
     out = np.empty(int(place[-1]) if len(place) else 0, symbols.dtype)
     place -= size[symbols]
@@ -249,27 +298,26 @@ class LibraryEncoder(Encoder):
         pieces = pc.split_pattern(pa.array(texts, pa.string()), " ")
         first = pieces.offsets.to_numpy()[:-1].astype(np.int64)
         coded = pieces.flatten().dictionary_encode()
-        known = coded.dictionary.to_pylist()
+        known = coded.dictionary
         # joined by spaces, pieces are pre-tokens of their own unless white space meets: a token that
         # begins with a space begins the next piece, which has no other space
-        edged = [p == "" or p[0].isspace() or p[-1].isspace() for p in known]
-        plain = [p for p, e in zip(known, edged) if not e]
-        joined = np.frombuffer(self._ids_of(" " + " ".join(plain)), "<u4") if plain else np.zeros(0, np.uint32)
+        edged = pc.or_(pc.equal(known, ""), pc.not_equal(known, pc.utf8_trim_whitespace(known))).to_numpy(zero_copy_only=False)
+        plain = known.filter(pa.array(~edged))
+        whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(plain)], pa.int32()), plain), " ")[0].as_py()
+        joined = np.frombuffer(self._ids_of(" " + whole), "<u4") if len(plain) else np.zeros(0, np.uint32)
         sizes = np.diff(np.append(np.flatnonzero(self.opens[joined]), len(joined)))
         # then the other pieces after a space, and those that begin a text
-        alone = [np.frombuffer(self._ids_of(p), "<u4") for p in [*(" " + p for p, e in zip(known, edged) if e),
+        alone = [np.frombuffer(self._ids_of(p), "<u4") for p in [*(" " + p for p in known.filter(pa.array(edged)).to_pylist()),
                                                                  *(t.partition(" ")[0] for t in texts)]]
-        table = np.concatenate([joined, *alone])
+        table = np.concatenate([joined, *alone]).astype("<u4", copy=False)
         sizes = np.concatenate([sizes, np.array([len(x) for x in alone], np.int64)])
-        starts = np.cumsum(sizes) - sizes
-        edged = np.array(edged, bool)
         row = np.where(edged, len(plain) + np.cumsum(edged) - 1, np.cumsum(~edged) - 1)
         at = row[coded.indices.to_numpy()]
         at[first] = len(sizes) - len(texts) + np.arange(len(texts))
-        n = sizes[at]
-        ends = np.cumsum(n)
-        ids = table[np.repeat(starts[at] - (ends - n), n) + np.arange(int(ends[-1]))].astype("<u4", copy=False).tobytes()
-        cut = [*((ends - n)[first] * 4).tolist(), len(ids)]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)]) * 4
+        rows = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(table)]).take(pa.array(at))
+        ids = rows.buffers()[2].to_pybytes() if len(table) else b""
+        cut = np.frombuffer(rows.buffers()[1], np.int64, len(rows) + 1)[np.append(first, len(rows))].tolist()
         yield from (ids[a:b] for a, b in zip(cut, cut[1:]))
 
     def _ids_of(self, text: str) -> bytes:

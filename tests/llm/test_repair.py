@@ -102,3 +102,35 @@ def test_whitespace_beyond_the_librarys_pattern():
     odd = ["it's  a\tb \n c\x85 <|endoftext|><|endoftext|>\u3000z ", "", " ", "<|endoftext|>", "\u00e9" * 500 + " 12345 ...!"]
     library = Tokenizer.from_file(PATH)
     assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(odd)] == [library.encode(t, add_special_tokens=False).ids for t in odd]
+
+
+def test_a_round_returns_only_the_places_of_its_pairs():
+    """Frequent pairs that a round does not replace are counted by their slot, no list of their places is made."""
+    r = np.random.default_rng(7)
+    ids = np.minimum(r.zipf(1.3, 300_000), 20_000).astype(np.uint32)
+    left, right = ids[:-1], ids[1:]
+    index, number, pairs, alive = repair._counted(left, right, repair._MIX, 64, repair.LEAST)
+    codes = repair._codes(left, right)
+    want = Counter(codes.tolist())
+    assert 0 < len(pairs) <= 64 and len(index) == sum(want[p] for p in pairs.tolist()) < len(ids) / 2
+    assert (codes[index] == pairs[number]).all() and (np.bincount(number) >= repair.LEAST).all()
+    assert all(alive[i] for i, c in enumerate(codes.tolist()) if want[c] >= repair.LEAST)
+
+
+def test_rules_are_expanded_once_for_all_their_places(monkeypatch):
+    """Symbols put down one by one: those of the rules, not those of the shard."""
+    r = np.random.default_rng(8)
+    words = [r.integers(0, 500, k) for k in r.integers(2, 7, 300)]
+    ids = np.concatenate([words[k] for k in r.integers(0, 300, 40_000)]).astype(np.uint32)
+    symbols, rules, lengths = repair.compress(ids, 500, least=2000)
+    put, placed = [], repair._placed
+    monkeypatch.setattr(repair, "_placed", lambda s, *a: put.append(len(s)) or placed(s, *a))
+    assert (repair.expand(symbols, rules, 500, lengths) == ids).all()
+    assert put == [500 + len(rules)] and put[0] < len(symbols)
+
+
+def test_pieces_with_white_space_at_an_edge():
+    e = repair.LibraryEncoder(repair.Vocabulary(PATH))
+    library = Tokenizer.from_file(PATH)
+    texts = [f"a b{c} c d {c}e b{c} f{c}g {c} h" for c in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0   ​    　﻿"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
