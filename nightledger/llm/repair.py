@@ -46,19 +46,20 @@ _MIX = np.array([0x9E3779B1, 0x85EBCA77], np.uint32)
 def _choose(codes: np.ndarray, counts: np.ndarray, most: int, least: int) -> np.ndarray:
     """The places in ``codes`` of up to ``most`` frequent pairs, by descending count, in which no symbol is both a
     left and a right member; a pair of one symbol with itself shares it with no other pair.  Ascending by pair."""
-    left, right, chosen = set(), set(), []
     best = np.lexsort((codes, -counts))[:4 * most]
     best = best[counts[best] >= least]
-    for i, code in zip(best.tolist(), codes[best].tolist()):
+    first, second = codes[best] >> np.uint64(32), codes[best] & np.uint64(0xFFFFFFFF)
+    left, right, chosen = set(), set(), []
+    for i, a, b in zip(best.tolist(), first.tolist(), second.tolist()):
         if len(chosen) == most:
             break
-        a, b = code >> 32, code & 0xFFFFFFFF
         if a in right or b in left or a == b and a in left:
             continue
         left.add(a)
         right.add(b)
-        chosen.append((code, i))
-    return np.array([i for _, i in sorted(chosen)], np.int64)
+        chosen.append(i)
+    found = np.array(chosen, np.int64)
+    return found[np.argsort(codes[found])]
 
 
 def _counted(left: np.ndarray, right: np.ndarray, mix: np.ndarray, per_round: int,
@@ -272,7 +273,8 @@ class LibraryEncoder(Encoder):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__(vocabulary)
-        ranks = {t: i for i, t in enumerate(vocabulary.tokens) if t.decode(errors="replace") not in vocabulary.special}
+        special = {t.encode() for t in vocabulary.special}
+        ranks = {t: i for i, t in enumerate(vocabulary.tokens) if t not in special}
         self.library = tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.opens = np.array([t[:1] == b" " for t in vocabulary.tokens])
 
