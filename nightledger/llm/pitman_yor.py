@@ -51,6 +51,7 @@ BURN_IN, SAMPLES = 2, 3
 SMALL = 12                           # words with more customers are reseated as a whole
 END, START = 0, -1                   # the end token's word hash; the context of a first word
 SEED = 20_240
+PACKED = "none"                      # tables of packed arrays: a codec would only hold buffers outside the heap
 
 
 # --- packed arrays ---------------------------------------------------------------
@@ -216,10 +217,26 @@ def _rows(rows: list[tuple], totals: tuple[float, ...] = ()) -> pa.Table:
     return pa.Table.from_arrays(out, names=names)
 
 
-def _by_block(back: DataFrame, name: str) -> DataFrame:
-    """What came back to each block, one row per block (at most one part per bucket)."""
-    return (back.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "data"))).alias("s"))
-            .select("block", F.transform("s", lambda s: s["data"]).alias(name)))
+OWN, WORDS, PAIRS, PARENTS, IDS = range(5)  # rows of a block: its own arrays, what came back from each exchange, its documents
+
+
+def _gathered(blocks: DataFrame, *back: DataFrame) -> DataFrame:
+    """The rows of each block: its own arrays and what came back to it.  Grouped, they meet one block at a time, so
+    that a task holds one block's arrays however many blocks it gets."""
+    own = blocks.select("block", F.lit(OWN).alias("kind"), F.posexplode(F.array("held", "sizes", "tokens")).alias("bucket", "data"))
+    out = own.select("block", "kind", "bucket", "data")
+    for kind, rows in zip((WORDS, PAIRS, PARENTS), back):
+        out = out.unionByName(rows.select("block", F.lit(kind).alias("kind"), "bucket", "data"))
+    return out
+
+
+def _of_block(table: pa.Table) -> tuple[int, dict[int, list[bytes]], list[int]]:
+    """(block, data of each kind by bucket, buckets of its words) of a block's group."""
+    by: dict[int, list[tuple[int, bytes]]] = {k: [] for k in (OWN, WORDS, PAIRS, PARENTS, IDS)}
+    for kind, bucket, data in zip(*(table[c].to_pylist() for c in ("kind", "bucket", "data"))):
+        by[kind].append((bucket, data))
+    found = {k: sorted(rows, key=lambda x: x[0]) for k, rows in by.items()}
+    return table["block"][0].as_py(), {k: [d for _, d in rows] for k, rows in found.items()}, [b for b, _ in found[WORDS]]
 
 
 def _totals(back: DataFrame) -> tuple[float, float, float]:
@@ -302,24 +319,23 @@ class View:
 # Exchange 2: pairs.
 
 def send_pairs(buckets: int, train_tokens: float, start_count: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
-                v = View(r["held"], r["sizes"], r["tokens"], r["words_back"], r["buckets"], start_count)
-                pair, to, hu, hto = v.routes(buckets)
-                cut, hcut = (np.searchsorted(x, np.arange(buckets + 1)) for x in (to, hto))
-                level = np.clip(np.round(-8 * np.log2(np.maximum(v.count, 1) / max(train_tokens, 1))), 0, 255).astype(np.uint8)
-                rows = []
-                for k in range(buckets):
-                    s, e, hs, he = cut[k], cut[k + 1], hcut[k], hcut[k + 1]
-                    if he > hs:
-                        p, h = pair[s:e], hu[hs:he]
-                        words, place = np.unique(v.w[p], return_inverse=True)
-                        rows.append((r["block"], k, pack(
-                            steps(v.context_number[h]), narrow(-(-v.context_count[h] // CONTEXT_PART)),
-                            narrow(np.diff(np.searchsorted(v.u[p], np.append(h, len(v.context_count))))),
-                            steps(v.number[words]), narrow(place), narrow(v.own[p]), level[words])))
-                yield from _rows(rows).to_batches()
+    def run(table: pa.Table) -> pa.Table:
+        block, data, words_in = _of_block(table)
+        v = View(*data[OWN], data[WORDS], words_in, start_count)
+        pair, to, hu, hto = v.routes(buckets)
+        cut, hcut = (np.searchsorted(x, np.arange(buckets + 1)) for x in (to, hto))
+        level = np.clip(np.round(-8 * np.log2(np.maximum(v.count, 1) / max(train_tokens, 1))), 0, 255).astype(np.uint8)
+        rows = []
+        for k in range(buckets):
+            s, e, hs, he = cut[k], cut[k + 1], hcut[k], hcut[k + 1]
+            if he > hs:
+                p, h = pair[s:e], hu[hs:he]
+                words, place = np.unique(v.w[p], return_inverse=True)
+                rows.append((block, k, pack(
+                    steps(v.context_number[h]), narrow(-(-v.context_count[h] // CONTEXT_PART)),
+                    narrow(np.diff(np.searchsorted(v.u[p], np.append(h, len(v.context_count))))),
+                    steps(v.number[words]), narrow(place), narrow(v.own[p]), level[words])))
+        return _rows(rows)
     return run
 
 
@@ -377,15 +393,14 @@ class Pairs:
 # Exchange 3: the parent restaurant.
 
 def send_parents(buckets2: int, start_count: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
-                v = View(r["held"], r["sizes"], r["tokens"], r["words_back"], r["buckets"], start_count)
-                pairs = Pairs(v, buckets2, r["pairs_back"])
-                new = [np.bincount(v.w, t * pairs.owner, len(v.count)).astype(np.int64) for t in pairs.t]
-                cut = np.cumsum([0, *(len(x) for x in v.ranks)])
-                yield from _rows([(r["block"], k, pack(steps(rank), *(narrow(n[s:e]) for n in new)))
-                                  for k, rank, s, e in zip(v.buckets, v.ranks, cut, cut[1:])]).to_batches()
+    def run(table: pa.Table) -> pa.Table:
+        block, data, words_in = _of_block(table)
+        v = View(*data[OWN], data[WORDS], words_in, start_count)
+        pairs = Pairs(v, buckets2, data[PAIRS])
+        new = [np.bincount(v.w, t * pairs.owner, len(v.count)).astype(np.int64) for t in pairs.t]
+        cut = np.cumsum([0, *(len(x) for x in v.ranks)])
+        return _rows([(block, k, pack(steps(rank), *(narrow(n[s:e]) for n in new)))
+                      for k, rank, s, e in zip(v.buckets, v.ranks, cut, cut[1:])])
     return run
 
 
@@ -420,36 +435,34 @@ PARENT_BACK = SENT + "".join(f", c{i} double, t{i} double" for i in range(SAMPLE
 
 
 def score_blocks(buckets2: int, start_count: int, train_tokens: float, vocabulary: float, states: list[tuple[float, float]], out: T.StructType):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column(b.schema.get_field_index("doc_ids"))
-            light = b.drop_columns(["doc_ids"])
-            for i, r in enumerate(light.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
-                v = View(r["held"], r["sizes"], r["tokens"], r["words_back"], r["buckets"], start_count)
-                pairs = Pairs(v, buckets2, r["pairs_back"])
-                parent = [unpack(d) for d in r["parents_back"]]
-                cu = v.context_count[v.u]
-                p = np.zeros(len(v.u))
-                for s, (customers, tables) in enumerate(states):
-                    c0, t0 = (np.concatenate([x[k] for x in parent]).astype(np.float64) for k in (s, SAMPLES + s))
-                    root = (ROOT_STRENGTH + ROOT_DISCOUNT * tables) / (ROOT_STRENGTH + customers) / (vocabulary + 1)
-                    single = (c0 - ROOT_DISCOUNT * t0) / (ROOT_STRENGTH + customers) + root
-                    seen = (pairs.c - DISCOUNT * pairs.t[s]) / (STRENGTH + cu)
-                    rest = (STRENGTH + DISCOUNT * pairs.context_tables[s][v.u]) / (STRENGTH + cu)
-                    p += seen + rest * single[v.w]
-                logs = np.log10(p / len(states))[v.pair_of]
-                base = np.log10((v.count + 0.1) / (train_tokens + 0.1 * (vocabulary + 1)))[v.tokens]
-                start = np.cumsum(v.sizes) - v.sizes
-                per = lambda x: np.add.reduceat(x, start)  # noqa: E731 - every document has its end token
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, 1).flatten(), pa.array(v.held), pa.array(v.sizes), pa.array(per((v.count[v.tokens] > 0).astype(np.int64))),
-                     pa.array(np.full(len(v.sizes), int(train_tokens))), pa.array(per(base)), pa.array(per(logs))], names=[f.name for f in out])
+    def run(table: pa.Table) -> pa.Table:
+        ids = table["doc_ids"].combine_chunks().drop_null().flatten()  # one row of the group has them
+        _, data, words_in = _of_block(table)
+        v = View(*data[OWN], data[WORDS], words_in, start_count)
+        pairs = Pairs(v, buckets2, data[PAIRS])
+        parent = [unpack(d) for d in data[PARENTS]]
+        cu = v.context_count[v.u]
+        p = np.zeros(len(v.u))
+        for s, (customers, tables) in enumerate(states):
+            c0, t0 = (np.concatenate([x[k] for x in parent]).astype(np.float64) for k in (s, SAMPLES + s))
+            root = (ROOT_STRENGTH + ROOT_DISCOUNT * tables) / (ROOT_STRENGTH + customers) / (vocabulary + 1)
+            single = (c0 - ROOT_DISCOUNT * t0) / (ROOT_STRENGTH + customers) + root
+            seen = (pairs.c - DISCOUNT * pairs.t[s]) / (STRENGTH + cu)
+            rest = (STRENGTH + DISCOUNT * pairs.context_tables[s][v.u]) / (STRENGTH + cu)
+            p += seen + rest * single[v.w]
+        logs = np.log10(p / len(states))[v.pair_of]
+        base = np.log10((v.count + 0.1) / (train_tokens + 0.1 * (vocabulary + 1)))[v.tokens]
+        start = np.cumsum(v.sizes) - v.sizes
+        per = lambda x: np.add.reduceat(x, start)  # noqa: E731 - every document has its end token
+        return pa.Table.from_arrays(
+            [ids, pa.array(v.held), pa.array(v.sizes), pa.array(per((v.count[v.tokens] > 0).astype(np.int64))),
+             pa.array(np.full(len(v.sizes), int(train_tokens))), pa.array(per(base)), pa.array(per(logs))], names=[f.name for f in out])
     return run
 
 
 def score(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every document."""
-    blocks = written(build_blocks(docs), "lm-blocks")
+    blocks = written(build_blocks(docs), "lm-blocks", PACKED)
     kind = blocks.schema["doc_ids"].dataType.elementType
     out = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()),
                         *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")],
@@ -461,21 +474,16 @@ def score(docs: DataFrame) -> DataFrame:
     start_count = int(sizes[2])
 
     sent = blocks.select("block", "words").mapInArrow(send_words(words_n), SENT)
-    words = written(sent.groupBy("bucket").applyInArrow(merge_words, BACK), "lm-words")
+    words = written(sent.groupBy("bucket").applyInArrow(merge_words, BACK), "lm-words", PACKED)
     vocabulary, train_tokens, _ = _totals(words)
-    held = words.groupBy("block").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-    # a block's row is some MB: seldom more than one or two meet in a task
-    view = (blocks.select("block", "held", "sizes", "tokens").repartition(2 * sizes[3], "block")
-            .join(_by_block(words, "words_back"), "block").join(held, "block"))
-
-    sent = view.mapInArrow(send_pairs(pairs_n, train_tokens, start_count), SENT)
-    pairs = written(sent.groupBy("bucket").applyInArrow(merge_pairs, SENT), "lm-pairs")
-    empty = F.coalesce("pairs_back", F.array().cast("array<binary>"))
-    view = view.join(_by_block(pairs, "pairs_back"), "block", "left").withColumn("pairs_back", empty)
-
-    sent = view.mapInArrow(send_parents(pairs_n, start_count), SENT)
-    parents = written(sent.groupBy("bucket").applyInArrow(merge_parents(vocabulary), PARENT_BACK), "lm-parents")
+
+    sent = _gathered(blocks, words).groupBy("block").applyInArrow(send_pairs(pairs_n, train_tokens, start_count), SENT)
+    pairs = written(sent.groupBy("bucket").applyInArrow(merge_pairs, SENT), "lm-pairs", PACKED)
+
+    sent = _gathered(blocks, words, pairs).groupBy("block").applyInArrow(send_parents(pairs_n, start_count), SENT)
+    parents = written(sent.groupBy("bucket").applyInArrow(merge_parents(vocabulary), PARENT_BACK), "lm-parents", PACKED)
     t = parents.agg(*[F.sum(f"{c}{i}") for i in range(SAMPLES) for c in "ct"]).first()
     states = [(t[2 * i], t[2 * i + 1]) for i in range(SAMPLES)]
-    view = view.join(_by_block(parents, "parents_back"), "block").join(blocks.select("block", "doc_ids"), "block")
-    return view.mapInArrow(score_blocks(pairs_n, start_count, train_tokens, vocabulary, states, out), out)
+    rows = _gathered(blocks, words, pairs, parents).unionByName(
+        blocks.select("block", F.lit(IDS).alias("kind"), F.lit(0).alias("bucket"), "doc_ids"), allowMissingColumns=True)
+    return rows.groupBy("block").applyInArrow(score_blocks(pairs_n, start_count, train_tokens, vocabulary, states, out), out)

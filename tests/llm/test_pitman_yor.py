@@ -127,3 +127,15 @@ def test_tables_of_single_customers_are_not_sent():
     back = [py.unpack(d) for d in py.merge_pairs(py._rows(rows))["data"].to_pylist()]
     assert [b[0].tolist() for b in back] == [[3, 2, 1, 1], [3, 2, 3]]
     assert [len(b[2]) for b in back] == [2, 3] and all((1 <= b[2]).all() and (b[2] <= b[0][b[0] > 1]).all() for b in back)
+
+
+def test_a_task_takes_one_block_at_a_time(small_docs, monkeypatch):
+    """However many blocks meet in a partition: a block's arrays are a group of their own, not rows of one batch."""
+    monkeypatch.setattr(py, "BLOCK_BYTES", 20_000)
+    scored = py.score(small_docs)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Join" not in plan and "FlatMapGroupsInArrow" in plan
+    rows = {"block": [7] * 5, "kind": [py.WORDS, py.OWN, py.WORDS, py.OWN, py.OWN], "bucket": [4, 2, 1, 0, 1],
+            "data": [b"w4", b"tokens", b"w1", b"held", b"sizes"]}
+    assert py._of_block(py.pa.table(rows)) == (7, {py.OWN: [b"held", b"sizes", b"tokens"], py.WORDS: [b"w1", b"w4"], py.PAIRS: [],
+                                                   py.PARENTS: [], py.IDS: []}, [1, 4])
