@@ -47,17 +47,19 @@ def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
 
 def enrich(fact: DataFrame, cards: DataFrame, terminals: DataFrame,
            accounts: DataFrame, clients: DataFrame,
-           blacklist: DataFrame | None = None) -> DataFrame:
+           blacklist: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
     """Inner-join every transaction to its card, account, client and terminal.
 
     Output: the 12 enriched columns (plus ``passport_blacklisted`` when a
     blacklist is given).  Transactions whose card, account, client or
     terminal is missing drop out, as with the inner joins of the original.
+    ``profile``: the ``card_profile`` of these tables, if at hand.
     """
     f = fact.select("trans_id", "trans_date", "amt", "oper_result", "card_num",
                     F.col("terminal").alias("terminal_id"))
     term = terminals.select("terminal_id", "terminal_city")
-    out = (f.join(card_profile(cards, accounts, clients, blacklist), "card_num", "inner")
+    profile = card_profile(cards, accounts, clients, blacklist) if profile is None else profile
+    out = (f.join(profile, "card_num", "inner")
             .join(term, "terminal_id", "inner"))
     cols = ENRICHED_COLUMNS + ([BLACKLISTED] if blacklist is not None else [])
     return out.select(*cols)

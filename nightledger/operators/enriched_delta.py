@@ -19,10 +19,21 @@ from ..session import written
 from .enrich import card_profile, enrich
 
 Dims = dict[str, DataFrame]  # cards, terminals, accounts, clients, and blacklist if the flag is kept
+PROFILE = "card_profile"  # of ``profiled`` dimensions
 
 
 def _enrich(facts: DataFrame, dims: Dims) -> DataFrame:
-    return enrich(facts, dims["cards"], dims["terminals"], dims["accounts"], dims["clients"], blacklist=dims.get("blacklist"))
+    return enrich(facts, dims["cards"], dims["terminals"], dims["accounts"], dims["clients"], blacklist=dims.get("blacklist"),
+                  profile=dims.get(PROFILE))
+
+
+def _card_profile(dims: Dims) -> DataFrame:
+    return dims[PROFILE] if PROFILE in dims else card_profile(dims["cards"], dims["accounts"], dims["clients"], dims.get("blacklist"))
+
+
+def profiled(dims: Dims) -> Dims:
+    """The dimensions with the card profile joined once, for a part and a patch of the same state."""
+    return {**dims, PROFILE: written(_card_profile(dims), "card-profile")}
 
 
 def changed_keys(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
@@ -34,7 +45,7 @@ def changed_keys(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
 
 
 def _profiles(dims: Dims) -> tuple[DataFrame, DataFrame]:
-    return (card_profile(dims["cards"], dims["accounts"], dims["clients"], dims.get("blacklist")),
+    return (_card_profile(dims),
             dims["terminals"].select(F.col("terminal_id").alias("terminal"), "terminal_city"))
 
 
@@ -62,9 +73,14 @@ def patch(old_facts: DataFrame, before: Dims, after: Dims) -> tuple[DataFrame, D
 
 def current(parts: DataFrame, patched_ids: DataFrame, patched_rows: DataFrame, version: str = "v") -> DataFrame:
     """The enriched table now.  The patches carry the batch in ``version``; a patch is newer than every part
-    that has one of its ids."""
-    last = patched_ids.groupBy(F.col("trans_id").alias("_id")).agg(F.max(version).alias("_v"))
+    that has one of its ids.  No id of the newest patch is in a newer one, so its rows count as they are;
+    only the rows of older patches are looked up."""
+    newest = patched_ids.agg(F.max(version)).first()[0]
+    if newest is None:
+        return parts
     same = F.col("trans_id").eqNullSafe(F.col("_id"))
-    kept = parts.join(last, same, "left_anti")
-    again = patched_rows.join(last, same & (F.col(version) == F.col("_v")), "left_semi")
+    kept = parts.join(patched_ids.select(F.col("trans_id").alias("_id")), same, "left_anti")
+    last = patched_ids.groupBy(F.col("trans_id").alias("_id")).agg(F.max(version).alias("_v"))
+    older = patched_rows.where(F.col(version) < F.lit(newest)).join(last, same & (F.col(version) == F.col("_v")), "left_semi")
+    again = patched_rows.where(F.col(version) == F.lit(newest)).unionByName(older)
     return kept.unionByName(again.drop(version))

@@ -60,9 +60,11 @@ def may_hold(ids: DataFrame, column: str, filters: DataFrame) -> DataFrame:
     that may hold it.  The filters' sizes are few (powers of two)."""
     sizes = [r["blocks"] for r in filters.select("blocks").distinct().collect()]
     batch = [c for c in filters.columns if c not in ("blocks", "block", *[f"w{i}" for i in range(WORDS)])]
+    if not sizes:
+        # no batch yet: the ids are not looked at
+        return ids.select(column).limit(0).join(filters.select(*batch))
     ids = ids.select(column).where(F.col(column).isNotNull()).distinct()
-    probes = ids.select(column, F.explode(F.array(*[F.lit(s).cast("long") for s in sizes])).alias("blocks")) if sizes else (
-        ids.withColumn("blocks", F.lit(0).cast("long")))
+    probes = ids.select(column, F.explode(F.array(*[F.lit(s).cast("long") for s in sizes])).alias("blocks"))
     probes = probes.select(column, "blocks", _block(column, F.greatest("blocks", F.lit(1))).alias("block"),
                            *[w.alias(f"m{i}") for i, w in enumerate(_words(column))])
     held = reduce(lambda a, b: a & b, [F.col(f"w{i}").bitwiseAND(F.col(f"m{i}")) == F.col(f"m{i}") for i in range(WORDS)])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse_decimal_comma
-from ..session import written
+from ..session import together, written
 
 
 def _key_text(keys: list[str]):
@@ -21,15 +21,26 @@ def _key_text(keys: list[str]):
     return F.concat(*[x for k in keys for x in (F.lit("|"), F.col(k).cast("string"))][1:])
 
 
-def duplicate_keys(df: DataFrame, keys: list[str], table_name: str) -> DataFrame:
+def _repeated(df: DataFrame, keys: list[str], required: list[str]) -> DataFrame:
+    """Key values held by more than one row: the key, ``n_rows``, and ``n_sound``, its rows with every required value."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    sound = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.lit(True))
+    return (df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(sound, 1)).alias("n_sound"))
+              .where(F.col("n_rows") > 1))
+
+
+def repeated_keys(df: DataFrame, keys: list[str], required: list[str]) -> DataFrame:
+    """``_repeated``, written: the keys are grouped once for K1 and ``set_aside``, and Spark knows how few there are
+    before it plans a join of whole rows with them."""
+    return written(_repeated(df, keys, required), "repeated-keys")
+
+
+def duplicate_keys(df: DataFrame, keys: list[str], table_name: str, repeated: DataFrame | None = None) -> DataFrame:
     """K1/K2: key values held by more than one row: (table_name, key_value,
     n_rows); keys with a null part are K3's.  A grouped count, combined map-side before the shuffle, so a
-    heavily repeated key costs one partial count per task."""
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return (df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-              .where(F.col("n_rows") > 1)
-              .select(F.lit(table_name).alias("table_name"),
-                      _key_text(keys).alias("key_value"), "n_rows"))
+    heavily repeated key costs one partial count per task.  ``repeated``: from ``repeated_keys``, if at hand."""
+    repeated = _repeated(df, keys, []) if repeated is None else repeated
+    return repeated.select(F.lit(table_name).alias("table_name"), _key_text(keys).alias("key_value"), "n_rows")
 
 
 def null_key_rows(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,11 +59,13 @@ def null_key_summary(df: DataFrame, keys: list[str], table_name: str) -> DataFra
 def orphans(child: DataFrame, child_key: str, fk: str, parent: DataFrame, pk: str,
             relation: str) -> DataFrame:
     """K4/K5: child rows whose non-null foreign key has no parent:
-    (relation, child_key, fk_value)."""
+    (relation, child_key, fk_value).  The distinct foreign keys meet the parents and the lost ones are written;
+    the children are only scanned for them, not shuffled, while those are few."""
     c = child.select(F.col(child_key).alias("child_key"), F.col(fk).alias("fk_value")) \
              .where(F.col("fk_value").isNotNull())
     p = parent.select(F.col(pk).alias("fk_value"))
-    return c.join(p, "fk_value", "left_anti").select(
+    lost = written(c.select("fk_value").distinct().join(p, "fk_value", "left_anti"), "lost-keys")
+    return c.join(lost, "fk_value", "left_semi").select(
         F.lit(relation).alias("relation"), "child_key", "fk_value")
 
 
@@ -109,13 +122,13 @@ PRIMARY_KEYS = {"clients": ["client_id"], "accounts": ["account_num"], "cards":
 REQUIRED = {"transactions": ["amt", "trans_date"]}
 
 
-def set_aside(df: DataFrame, keys: list[str], required: list[str]) -> tuple[DataFrame, DataFrame]:
+def set_aside(df: DataFrame, keys: list[str], required: list[str], repeated: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows to load, rows set aside with ``reason`` and ``n_rows`` copies).
 
     Set aside are rows with a null key or a null required value, and of the rows that share
     a key all but the smallest one (by all columns), so every key keeps one row.  The choice
     is an aggregate (partial per task first): a key with very many rows meets in one
-    small buffer, not in one sorted group.
+    small buffer, not in one sorted group.  ``repeated``: from ``repeated_keys``, if at hand.
     """
     cols = df.columns
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -123,8 +136,8 @@ def set_aside(df: DataFrame, keys: list[str], required: list[str]) -> tuple[Data
     marked = df.withColumn("_why", F.when(null_key, "null_key").when(unparsed, "unparsed_value"))
     sound = marked.where("_why is null").drop("_why")
     # the keys alone are grouped; whole rows only where a key is repeated
-    repeated = (sound.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-                .where("_n > 1").drop("_n"))
+    repeated = repeated_keys(df, keys, required) if repeated is None else repeated
+    repeated = repeated.where("n_sound > 1").select(*[F.col(k).alias(f"_{k}") for k in keys])
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys])
     copies = sound.join(repeated, on).groupBy(*cols, *[f"_{k}" for k in keys]).agg(F.count(F.lit(1)).alias("n_rows"))
     first = copies.groupBy(*[F.col(f"_{k}").alias(f"_f_{k}") for k in keys]).agg(F.min(F.struct(*cols)).alias("_first"))
@@ -134,25 +147,32 @@ def set_aside(df: DataFrame, keys: list[str], required: list[str]) -> tuple[Data
     extra = (copies.join(first, same)
              .withColumn("n_rows", F.col("n_rows") - F.struct(*cols).eqNullSafe(F.col("_first")).cast("long"))
              .where("n_rows > 0").select(*cols, F.lit("duplicate_key").alias("reason"), "n_rows"))
-    broken = (marked.where("_why is not null").groupBy(*cols, F.col("_why").alias("reason"))
+    # on the columns themselves: files without nulls are not read
+    broken = (marked.where(null_key | unparsed).groupBy(*cols, F.col("_why").alias("reason"))
               .agg(F.count(F.lit(1)).alias("n_rows")))
     return good, extra.unionByName(broken)
 
 
-def check_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Run K1, K3 and K4 over a set of staged tables keyed by name."""
-    dups = [duplicate_keys(tables[t], k, t) for t, k in PRIMARY_KEYS.items() if t in tables]
-    nulls = [null_key_summary(tables[t], k, t) for t, k in PRIMARY_KEYS.items() if t in tables]
-    orph = [orphans(tables[c], ck, fk, tables[p], pk, rel)
-            for rel, c, ck, fk, p, pk in FOREIGN_KEYS if c in tables and p in tables]
+CHECKS = ("duplicate_keys", "null_keys", "orphans")
+
+
+def check_all(tables: dict[str, DataFrame], checks: tuple[str, ...] = CHECKS,
+              repeated: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Run K1, K3 and K4, or those asked for, over a set of staged tables keyed by name; ``repeated`` holds
+    the tables' ``repeated_keys``, if at hand."""
+    has = {t: k for t, k in PRIMARY_KEYS.items() if t in tables}
+    found = {"duplicate_keys": lambda: [duplicate_keys(tables[t], k, t, (repeated or {}).get(t)) for t, k in has.items()],
+             "null_keys": lambda: [null_key_summary(tables[t], k, t) for t, k in has.items()],
+             "orphans": lambda: together(*[lambda r=r: orphans(tables[r[1]], r[2], r[3], tables[r[4]], r[5], r[0])
+                                           for r in FOREIGN_KEYS if r[1] in tables and r[4] in tables])}
     u = lambda xs: reduce(DataFrame.unionByName, xs) if xs else None
-    return {"duplicate_keys": u(dups), "null_keys": u(nulls), "orphans": u(orph)}
+    return {check: u(found[check]()) for check in checks}
 
 
-def violations(tables: dict[str, DataFrame]) -> DataFrame:
+def violations(tables: dict[str, DataFrame], repeated: dict[str, DataFrame] | None = None) -> DataFrame:
     """All K1, K3, K4 and K6 findings over staged tables in one shape:
     (check, table_name, key_value, detail)."""
-    c = check_all(tables)
+    c = check_all(tables, repeated=repeated)
     parts = []
     if c["duplicate_keys"] is not None:
         parts.append(c["duplicate_keys"].select(

@@ -18,6 +18,7 @@ match nothing and are new every day).
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -54,11 +55,24 @@ def digests(rows: DataFrame, key: str, attrs: list[str], buckets: int, live: Col
     """(rows, digest of the live rows) of every bucket; one row for each bucket reaches the driver."""
     cols = [key, *attrs]
     n = F.sum(live.cast("int"))
+    h = F.when(live, _hash(cols, "a"))  # summed by halves, exactly: longs instead of big decimals for every row
     found = rows.groupBy(bucket_of(key, buckets).alias("b")).agg(
         F.count(F.lit(1)).alias("n_rows"), n.alias("live"),
-        F.sum(F.when(live, _hash(cols, "a").cast("decimal(38,0)"))).alias("total"),
+        F.sum(F.shiftright(h, 32)).alias("high"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
         F.bit_xor(F.when(live, _hash(cols, "b"))).alias("mixed"))
-    return {r["b"]: (r["n_rows"], (r["live"], int(r["total"]), r["mixed"]) if r["live"] else None) for r in found.collect()}
+    return {r["b"]: (r["n_rows"], (r["live"], (r["high"] << 32) + r["low"], r["mixed"]) if r["live"] else None) for r in found.collect()}
+
+
+def shared_digests(rows: DataFrame, key: str, attrs: list[str]) -> Callable[[int], dict[int, tuple[int, Digest]]]:
+    """``digests`` of a snapshot by the number of buckets, worked out once for the tables that are compared with it."""
+    lock, held = threading.Lock(), {}
+
+    def of(buckets: int) -> dict[int, tuple[int, Digest]]:
+        with lock:
+            if buckets not in held:
+                held[buckets] = digests(rows, key, attrs, buckets, F.lit(True))
+            return held[buckets]
+    return of
 
 
 def read_manifest(store, table: str, day: _dt.date, attempt: str) -> Manifest:
@@ -79,15 +93,15 @@ def read_buckets(store, table: str, schema: T.StructType, manifest: Manifest, on
 def write_version(store, table: str, schema: T.StructType, day: _dt.date, attempt: str,
                   previous: tuple[_dt.date, str] | None, snapshot: DataFrame, key: str, attrs: list[str],
                   step: Callable[[DataFrame, DataFrame], DataFrame], live: Column | None = None,
-                  bucket_rows: int = BUCKET_ROWS) -> Manifest:
+                  bucket_rows: int = BUCKET_ROWS, seen_by: Callable[[int], dict[int, tuple[int, Digest]]] | None = None) -> Manifest:
     """Write the table's version after ``step(stored rows, snapshot rows)`` and its manifest.
 
     ``step`` must treat every key on its own; ``live`` says which stored rows
-    are what the snapshot shows (all of them by default).
+    are what the snapshot shows (all of them by default).  ``seen_by``: the snapshot's ``shared_digests``.
     """
     live = F.lit(True) if live is None else live
     old = read_manifest(store, table, *previous) if previous else None
-    seen = digests(snapshot, key, attrs, old.buckets, F.lit(True)) if old else None
+    seen = (seen_by or shared_digests(snapshot, key, attrs))(old.buckets) if old else None
     n, wanted = sum(rows for rows, _ in seen.values()) if old else snapshot.count(), 1
     while wanted * bucket_rows < n:
         wanted *= 2

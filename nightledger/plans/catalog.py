@@ -339,21 +339,21 @@ def _staged(spark, sf_dir) -> dict[str, DataFrame]:
 
 @register("dq_duplicate_keys", fq.with_ctes(_BASE, fq.DQ_DUPLICATE_KEYS))
 def q_dq_duplicate_keys(spark, sf_dir):
-    dups = quality.check_all(_staged(spark, sf_dir))["duplicate_keys"]
+    dups = quality.check_all(_staged(spark, sf_dir), ("duplicate_keys",))["duplicate_keys"]
     li = quality.duplicate_keys(fx.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem")
     return dups.unionByName(li)
 
 
 @register("dq_null_keys", fq.with_ctes(_BASE, fq.DQ_NULL_KEYS))
 def q_dq_null_keys(spark, sf_dir):
-    return quality.check_all(_staged(spark, sf_dir))["null_keys"]
+    return quality.check_all(_staged(spark, sf_dir), ("null_keys",))["null_keys"]
 
 
 @register("dq_orphans", fq.with_ctes(fq.all_dims_ctes(), fq.DQ_ORPHANS))
 def q_dq_orphans(spark, sf_dir):
     t = {d: fx.todays_snapshot(spark, sf_dir, d) for d in sch.DIMENSIONS}
     t["transactions"] = fx.transactions(spark, sf_dir)
-    return quality.check_all(t)["orphans"]
+    return quality.check_all(t, ("orphans",))["orphans"]
 
 
 @register("dq_dwh_orphans", ORACLES["dq_orphans"])
@@ -363,7 +363,7 @@ def q_dq_dwh_orphans(spark, sf_dir):
     then = {d: fx.stored_dimension(spark, sf_dir, d) for d in sch.DIMENSIONS}
     now = {d: fx.todays_snapshot(spark, sf_dir, d) for d in sch.DIMENSIONS}
     facts_then, facts_now = fx.stored_transactions(spark, sf_dir), fx.transactions(spark, sf_dir)
-    found = written(quality.check_all({**then, "transactions": facts_then})["orphans"], "open-orphans")
+    found = written(quality.check_all({**then, "transactions": facts_then}, ("orphans",))["orphans"], "open-orphans")
     out = []
     for rel, child, key, fk, parent, pk in quality.FOREIGN_KEYS:
         if child == "transactions":
@@ -380,7 +380,7 @@ def q_dq_dwh_orphans(spark, sf_dir):
 def q_dq_dwh_duplicate_keys(spark, sf_dir):
     """K2 on stored tables: dimensions and facts as a run that sets nothing aside would store them, cards with repeated keys."""
     stored = {t: written(df, f"dwh-{t}") for t, df in {**_staged(spark, sf_dir), "cards": fx.dirty_cards(spark, sf_dir)}.items()}
-    return quality.check_all(stored)["duplicate_keys"]
+    return quality.check_all(stored, ("duplicate_keys",))["duplicate_keys"]
 
 
 @register("dq_bad_amounts", fq.DQ_BAD_AMOUNTS)
